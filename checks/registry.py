@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
-    "feature_checks", "window_checks", "target_checks",
+    "feature_checks", "window_checks", "target_checks", "gain_checks", "score_checks", "drift_checks",
 )
 
 QUERIES: dict = {}
