@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mensula.operators.ranks import quantiles
+from mensula.operators.ranks import quantiles, with_place
 from mensula.sizing import small_side
 
 # Decimals of rounded edges, and the finest rounding tried.
@@ -103,18 +103,21 @@ def quantile_edges(
     return edges.select("feature", label_edges(F.col("edges")).alias("edges")) if labelled else edges
 
 
-def histogram(long: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def histogram(
+    long: DataFrame, edges: DataFrame, by: Sequence[str] = (), most_edges: int = 255
+) -> DataFrame:
     """Counts per (by, feature, bin) for bins [left, right), the last one closed.
 
-    Values outside the edges and NULL give no bin.
+    Values outside the edges and NULL give no bin. `most_edges` bounds a feature's edges.
     """
     table = small_side(edges)
     joined = long.where(F.col("value").isNotNull()).join(table, "feature")
     last = F.size("edges") - 1
-    below = F.size(F.filter("edges", lambda e: e <= F.col("value"))) - 1
+    placed = with_place(joined, "edges", F.col("value"), "_below", most_edges)
+    below = F.col("_below") - 1
     bin_ = F.when(F.col("value") == F.get("edges", last), last - 1).otherwise(below)
     return (
-        joined.select(*by, "feature", bin_.alias("bin"), last.alias("_last"))
+        placed.select(*by, "feature", bin_.alias("bin"), last.alias("_last"))
         .where((F.col("bin") >= 0) & (F.col("bin") < F.col("_last")))
         .groupBy(*by, "feature", "bin").agg(F.count("*").alias("n"))
     )
@@ -128,7 +131,7 @@ def bin_counts(
     long = long_form(df, columns, [sample])
     edges = small_side(quantile_edges(
         long.where(F.col(sample) == expected), buckets, labelled, rows_per_bucket))
-    counted = histogram(long.where(F.col(sample).isin(expected, actual)), edges, [sample])
+    counted = histogram(long.where(F.col(sample).isin(expected, actual)), edges, [sample], buckets + 1)
     side = lambda name: F.sum(F.when(F.col(sample) == name, F.col("n")))
     per_bin = counted.groupBy("feature", "bin").agg(side(expected).alias("e"), side(actual).alias("a"))
     bins = edges.where(F.size("edges") > 1).select(

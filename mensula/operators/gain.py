@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mensula.functions.columns import PROBABILITY_CUT
 from mensula.operators.combine import studies_of
-from mensula.operators.ranks import Ranking, best_prefix, keys_at_ranks, top_rows, value_of, with_rank
+from mensula.operators.ranks import Ranking, best_prefix, keys_at_ranks, top_rows, value_of, with_place, with_rank
 from mensula.sizing import small_side
 
 # Gain per hit, cost per contact, contacts to select, and the sweeps.
@@ -149,8 +149,9 @@ def hits_within(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int]) -
     else:
         whole = edges.select(F.struct("_edges", "n_rows").alias("e")).scalar()
         rows = df.select("*", whole.alias("_e")).select("*", "_e._edges", "_e.n_rows").drop("_e")
-    place = F.size(F.filter("_edges", lambda e: e["key"] < ranking.key()))
-    counted = rows.select(*by, y, "_edges", "n_rows", place.alias("_place")).groupBy(*by, "_place").agg(
+    keyed = rows.select(*by, y, "_edges", "n_rows", F.col("_edges.key").alias("_bounds"), ranking.key().alias("_key"))
+    placed = with_place(keyed, "_bounds", F.col("_key"), "_place", len(set(sizes)), closed=False)
+    counted = placed.groupBy(*by, "_place").agg(
         F.count(F.when(F.col(y) == 1, 1)).alias("_hits"),
         F.first("_edges").alias("_edges"), F.first("n_rows").alias("n_rows"),
     )

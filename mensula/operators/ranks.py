@@ -50,8 +50,23 @@ def sort_key(score: Column, ties: Sequence[str], descending: bool = True) -> Col
     )
 
 
+def with_place(
+    df: DataFrame, array: str, key: Column, name: str, longest: int, closed: bool = True
+) -> DataFrame:
+    """Add how many elements of an ascending array column are at or below `key` (below it when
+    not `closed`). A binary search in as many projections as `longest` has bits, all compiled.
+    """
+    out = df.withColumn(name, F.lit(0))
+    for bit in reversed(range(longest.bit_length())):
+        step = 1 << bit
+        probe = F.get(array, F.col(name) + (step - 1))
+        passed = probe <= key if closed else probe < key
+        out = out.withColumn(name, F.when(passed, F.col(name) + step).otherwise(F.col(name)))
+    return out
+
+
 def _cuts(keyed: DataFrame, ranking: Ranking) -> list[tuple]:
-    """(group values..., blocks of cut keys) rows; groups that need no cut are left out."""
+    """(group values..., cut keys) rows; groups that need no cut are left out."""
     n = keyed.count()
     buckets = min(MAX_BUCKETS, -(-n // ranking.rows_per_bucket))
     if buckets <= 1:
@@ -69,8 +84,7 @@ def _cuts(keyed: DataFrame, ranking: Ranking) -> list[tuple]:
             if not chosen or cut != chosen[-1]:
                 chosen.append(cut)
         if chosen:
-            side = max(1, round(len(chosen) ** 0.5))
-            out.append((*values, [chosen[i:i + side] for i in range(0, len(chosen), side)]))
+            out.append((*values, chosen))
     return out
 
 
@@ -83,20 +97,15 @@ def with_buckets(df: DataFrame, ranking: Ranking) -> DataFrame:
     kind = keyed.schema["_key"].dataType.simpleString()
     names = [f"_g{i}" for i in range(len(ranking.group))]
     fields = [f"{n} {df.schema[g].dataType.simpleString()}" for n, g in zip(names, ranking.group)]
-    schema = ", ".join([*fields, f"_cuts array<array<{kind}>>"])
+    schema = ", ".join([*fields, f"_cuts array<{kind}>"])
     table = df.sparkSession.createDataFrame(cuts, schema)
     if names:
         same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(ranking.group, names)]
         joined = keyed.join(F.broadcast(table), same, "left")
     else:
         joined = keyed.select("*", table.scalar().alias("_cuts"))
-    # Two short searches: which block of cuts, then where inside it.
-    blocks = F.size(F.filter("_cuts", lambda block: block[0] <= F.col("_key")))
-    block = F.get(F.col("_cuts"), F.greatest(blocks - 1, F.lit(0)))
-    side = F.size(F.get(F.col("_cuts"), F.lit(0)))
-    inside = F.size(F.filter(block, lambda cut: cut <= F.col("_key")))
-    place = F.when(blocks == 0, 0).otherwise((blocks - 1) * side + inside)
-    return joined.withColumn("_bucket", F.coalesce(place, F.lit(0))).drop("_cuts", *names)
+    longest = max(len(row[-1]) for row in cuts)
+    return with_place(joined, "_cuts", F.col("_key"), "_bucket", longest).drop("_cuts", *names)
 
 
 def _spans(bucketed: DataFrame, ranking: Ranking, sums: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,8 @@ of the entity, not calendar periods.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -246,6 +248,6 @@ def _with_tiles(out, df, panel, names, kind, tiles, rows_per_bucket):
     added = []
     for i, c in enumerate(names):
         mine = sort_key(F.col(c).cast(kind), [panel.entity], descending=False)
-        below = F.filter(F.col(f"_bounds_{i}"), lambda b: b < mine)
-        added.append((F.size(below) + 1).alias(f"{c}_decile"))
+        passed = [F.when(F.get(f"_bounds_{i}", F.lit(t)) < mine, 1).otherwise(0) for t in range(tiles - 1)]
+        added.append(reduce(add, passed, F.lit(1)).alias(f"{c}_decile"))
     return joined.select(*out.columns, *added)
