@@ -104,14 +104,14 @@ def quantile_edges(
 
 
 def histogram(
-    long: DataFrame, edges: DataFrame, by: Sequence[str] = (), most_edges: int = 255
+    long: DataFrame, edges: DataFrame, by: Sequence[str] = (), most_edges: int = 32
 ) -> DataFrame:
     """Counts per (by, feature, bin) for bins [left, right), the last one closed.
 
-    Values outside the edges and NULL give no bin. `most_edges` bounds a feature's edges.
+    Values outside the edges and NULL give no bin. `edges` is a `small_side`, and
+    `most_edges` bounds the edges of a feature.
     """
-    table = small_side(edges)
-    joined = long.where(F.col("value").isNotNull()).join(table, "feature")
+    joined = long.where(F.col("value").isNotNull()).join(edges, "feature")
     last = F.size("edges") - 1
     placed = with_place(joined, "edges", F.col("value"), "_below", most_edges)
     below = F.col("_below") - 1

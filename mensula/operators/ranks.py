@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import groupby
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from mensula.sizing import small_side
 
 SAMPLES_PER_BUCKET = 24
 MAX_BUCKETS = 4096
+SHORT_ARRAY = 32
 
 
 @dataclass(frozen=True)
@@ -54,14 +56,24 @@ def with_place(
     df: DataFrame, array: str, key: Column, name: str, longest: int, closed: bool = True
 ) -> DataFrame:
     """Add how many elements of an ascending array column are at or below `key` (below it when
-    not `closed`). A binary search in as many projections as `longest` has bits, all compiled.
+    not `closed`), for arrays of at most `longest` elements.
+
+    A short array is compared element by element in one expression. A long one is searched
+    by halving, one projection per bit; do not filter on that result, because a filter
+    pushed below the projections would write the whole search out again.
     """
+    def passed(at: Column) -> Column:
+        probe = F.get(array, at)
+        return probe <= key if closed else probe < key
+
+    if longest <= SHORT_ARRAY:
+        steps = [F.when(passed(F.lit(i)), 1).otherwise(0) for i in range(longest)]
+        return df.withColumn(name, reduce(add, steps, F.lit(0)))
     out = df.withColumn(name, F.lit(0))
     for bit in reversed(range(longest.bit_length())):
         step = 1 << bit
-        probe = F.get(array, F.col(name) + (step - 1))
-        passed = probe <= key if closed else probe < key
-        out = out.withColumn(name, F.when(passed, F.col(name) + step).otherwise(F.col(name)))
+        found = F.col(name)
+        out = out.withColumn(name, F.when(passed(found + (step - 1)), found + step).otherwise(found))
     return out
 
 
@@ -73,10 +85,13 @@ def _cuts(keyed: DataFrame, ranking: Ranking) -> list[tuple]:
         return []
     group = list(ranking.group)
     share = min(1.0, buckets * SAMPLES_PER_BUCKET / n)
-    sample = keyed.select(*group, "_key").sample(share, seed=7).orderBy(*group, "_key").collect()
+    sample = (
+        keyed.select(*group, "_key").sample(share, seed=7)
+        .groupBy(*group).agg(F.sort_array(F.collect_list("_key")).alias("_keys")).collect()
+    )
     out = []
-    for values, members in groupby(sample, key=lambda r: tuple(r[g] for g in group)):
-        keys = [m["_key"] for m in members]
+    for row in sample:
+        values, keys = tuple(row[g] for g in group), row["_keys"]
         parts = min(round(len(keys) / SAMPLES_PER_BUCKET), len(keys))
         chosen: list = []
         for i in range(1, parts):

@@ -8,14 +8,12 @@ of the entity, not calendar periods.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mensula.functions.columns import flag
-from mensula.operators.ranks import Ranking, keys_at_ranks, sort_key
+from mensula.operators.ranks import Ranking, keys_at_ranks, sort_key, with_place
 from mensula.panel import Panel
 from mensula.sizing import small_side
 
@@ -244,10 +242,9 @@ def _with_tiles(out, df, panel, names, kind, tiles, rows_per_bucket):
         .agg(F.collect_list("key"))
         .toDF(panel.period, *[f"_bounds_{i}" for i in range(len(names))])
     )
-    joined = out.join(bounds, panel.period, "left")
-    added = []
+    placed = out.join(bounds, panel.period, "left")
     for i, c in enumerate(names):
         mine = sort_key(F.col(c).cast(kind), [panel.entity], descending=False)
-        passed = [F.when(F.get(f"_bounds_{i}", F.lit(t)) < mine, 1).otherwise(0) for t in range(tiles - 1)]
-        added.append(reduce(add, passed, F.lit(1)).alias(f"{c}_decile"))
-    return joined.select(*out.columns, *added)
+        placed = with_place(placed, f"_bounds_{i}", mine, f"_place_{i}", tiles - 1, closed=False)
+    return placed.select(*out.columns, *[
+        (F.col(f"_place_{i}") + 1).alias(f"{c}_decile") for i, c in enumerate(names)])

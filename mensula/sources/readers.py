@@ -69,13 +69,13 @@ def read_scores(spark: SparkSession, base: str) -> DataFrame:
 
 def read_score_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Score files named `<study>_seed<number>_<split>.parquet`; the name gives the columns."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    parts = r"^(.*)_seed(\d+)_(.*)\.parquet$"
+    path = F.col("_metadata.file_path")
+    parts = r"([^/]*)_seed(\d+)_([^/]*)\.parquet"
     return spark.read.parquet(pattern).select(
         "*",
-        F.regexp_extract(name, parts, 1).alias("study"),
-        F.regexp_extract(name, parts, 2).cast("int").alias("seed"),
-        F.regexp_extract(name, parts, 3).alias("split"),
+        F.regexp_extract(path, parts, 1).alias("study"),
+        F.regexp_extract(path, parts, 2).cast("int").alias("seed"),
+        F.regexp_extract(path, parts, 3).alias("split"),
     )
 
 
