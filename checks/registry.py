@@ -6,7 +6,7 @@ import importlib
 
 MODULES = (
     "feature_checks", "window_checks", "target_checks", "gain_checks", "score_checks", "drift_checks",
-    "sample_checks", "table_checks",
+    "sample_checks", "table_checks", "model_checks", "recipe_checks",
 )
 
 QUERIES: dict = {}

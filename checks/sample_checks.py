@@ -136,7 +136,7 @@ OLD_SQL, NEW_SQL = str(OLD), str(NEW)
 
 
 def drawn(seed):
-    return f"(c * 7919 + m * 104729 + {seed}) % 1000 / 1000.0::double"
+    return f"(c * 7919 + m::bigint * 104729 + {seed}) % 1000 / 1000.0::double"
 
 
 def lab(select, *more):

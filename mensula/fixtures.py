@@ -128,3 +128,40 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of a later file; its first month repeats rows of the base."""
     return table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit("2000-12-01").cast("timestamp"))
+
+
+CARD_MEASURES = ("msaldototal", "mlimitecompra", "mconsumototal", "mpagado", "mpagominimo", "madelantopesos")
+
+
+def bank_columns(recipe) -> list[str]:
+    """Input columns a bank recipe names, cards as brand pairs, in sorted order."""
+    made = {f"{m}_tc" for m in CARD_MEASURES}
+    used: set[str] = set()
+    for kind, spec in recipe.steps:
+        made |= set(spec)
+        if kind != "flags":
+            used |= {c for columns in spec.values() for c in columns}
+    used |= {c for _, c in recipe.behaviour.values()} | {*recipe.trends, *recipe.accelerations, *recipe.momenta}
+    cards = [f"{brand}_{m}" for m in CARD_MEASURES for brand in ("Visa", "Master")]
+    dates = [c for a, b, _ in recipe.date_triples for c in (a, b)]
+    return sorted({*(used - made), *cards, *dates, *recipe.not_expanded, "ccuenta_corriente", "ccaja_ahorro"})
+
+
+def bank_months(spark: SparkSession, sf_dir: str, recipe) -> DataFrame:
+    """Users by day in the shape of the bank panel: every input column is a mix of the user's
+    key, day and event count, NULL now and then."""
+    def mixed(i: int):
+        return F.pmod(F.col("c") * (i + 11) + F.col("m") * (i % 5 + 3) + F.col("n_all") * (i + 5), F.lit(40 + i)) - i % 7 * 4
+
+    def present(i: int):
+        return F.pmod(F.col("c") + F.col("m") + i, F.lit(13)) != 0
+
+    columns = []
+    for i, name in enumerate(bank_columns(recipe)):
+        quarter = name.startswith(("m", "Visa", "Master"))
+        columns.append(F.when(present(i), mixed(i) / 4.0 if quarter else mixed(i)).alias(name))
+    codes = F.array(*[F.lit(v) for v in (0, 6, 7, 9, None)])
+    for i, name in enumerate(recipe.status_columns):
+        columns.append(F.get(codes, F.pmod(F.col("c") + F.floor(F.col("m") / 2) * (i + 1), F.lit(5)).cast("int")).alias(name))
+    return user_days(spark, sf_dir).select(
+        F.col("c").alias("numero_de_cliente"), F.col("m").alias("foto_mes"), *columns)

@@ -57,9 +57,11 @@ def sum_without_nulls(left: str, right: str) -> Column:
 
 
 def card_stem(name: str, brand: str) -> str:
-    """Column name without its brand, in any of its spellings."""
-    lowered = name.lower().find(brand)
-    return (name[:lowered] + name[lowered + len(brand):]).lstrip("_") if lowered >= 0 else name
+    """Column name without its brand and the underscore after it, in any spelling."""
+    start = name.lower().find(brand)
+    if start < 0:
+        return name
+    return name[:start] + name[start + len(brand):].removeprefix("_")
 
 
 def paired_sums(
