@@ -92,8 +92,8 @@ def active_quarter(spark, sf):
 def flagship(spark, sf):
     df = fx.user_days(spark, sf)
     columns = numeric_columns(df, exclude=KEY)
-    behaviour_ = with_columns(df, W.lags(P, columns, 2), W.deltas(P, columns, 2), W.rolling(P, columns, 3))
-    return T.churn_targets(behaviour_, P)
+    labelled = T.churn_targets(df, P)
+    return W.expand(labelled, P, columns, lags_n=2, deltas_n=2, window=3)
 
 
 FLAGSHIP = sql("p_ud", f"""select p.*, {lag_sql(MEASURES)}, {delta_sql(MEASURES)},

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mensula.functions.columns import whole
 
@@ -13,6 +14,8 @@ from mensula.functions.columns import whole
 TYPE_CLASSES = {"string": "int_categorico", "int": "int_numerico", "float": "float", "double": "float"}
 OTHER_TYPE = "otro"
 
+PROBE_ROWS = 1_000
+
 
 def schema_table(df: DataFrame) -> DataFrame:
     """(variable, tipo_dato) by name; metadata only."""
@@ -30,19 +33,39 @@ def classify_types(df: DataFrame) -> DataFrame:
     )
 
 
+def _unsettled(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
+    """Columns that a few rows do not already show to hold `max_unique` values or more."""
+    if max_unique >= PROBE_ROWS:
+        return list(columns)
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    simple = [c for c in columns if not isinstance(df.schema[c].dataType, nested)]
+    rows = df.select(*simple).limit(PROBE_ROWS).collect()
+
+    def plain(value):
+        return (value + 0.0 if value == value else "nan") if isinstance(value, float) else value
+
+    wide = {
+        c for i, c in enumerate(simple)
+        if len({plain(r[i]) for r in rows if r[i] is not None}) >= max_unique
+    }
+    return [c for c in columns if c not in wide]
+
+
 def _few(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
     """Columns whose estimated cardinality is near the bound or below it."""
-    if not columns:
+    open_ = _unsettled(df, columns, max_unique)
+    if not open_:
         return []
-    row = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return [c for i, c in enumerate(columns) if row[f"n{i}"] <= 2 * max_unique]
+    row = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(open_)]).first()
+    return [c for i, c in enumerate(open_) if row[f"n{i}"] <= 2 * max_unique]
 
 
 def cardinality(df: DataFrame, max_unique: int = 10, columns: Iterable[str] | None = None) -> DataFrame:
     """(variable, n_distinct) of columns with fewer than `max_unique` non-NULL values.
 
-    A sketch over all columns sorts out the wide ones; the rest hold few values, so their
-    exact sets stay small in one aggregation without multiplying rows.
+    A few rows prove most wide columns wide, a sketch over the whole table sorts out the
+    others; what is left holds few values, so the exact sets stay small in one aggregation
+    without multiplying rows.
     """
     names = list(columns if columns is not None else df.columns)
     near = _few(df, names, max_unique)

@@ -8,6 +8,8 @@ of the entity, not calendar periods.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,16 +23,18 @@ AGGREGATES = {"max": F.max, "min": F.min, "avg": F.avg}
 
 
 def lags(panel: Panel, columns: Iterable[str], n: int = 1) -> list[Column]:
+    history = panel.history
     return [
-        F.lag(c, i).over(panel.history).alias(f"{c}_lag_{i}")
+        F.lag(c, i).over(history).alias(f"{c}_lag_{i}")
         for c in columns
         for i in range(1, n + 1)
     ]
 
 
 def deltas(panel: Panel, columns: Iterable[str], n: int = 1) -> list[Column]:
+    history = panel.history
     return [
-        (F.col(c) - F.lag(c, i).over(panel.history)).alias(f"{c}_delta_{i}")
+        (F.col(c) - F.lag(c, i).over(history)).alias(f"{c}_delta_{i}")
         for c in columns
         for i in range(1, n + 1)
     ]
@@ -52,11 +56,60 @@ def rolling(
     ]
 
 
+LONGEST_LAG_WINDOW = 12
+
+
+def expand(
+    df: DataFrame, panel: Panel, columns: Sequence[str], lags_n: int = 2, deltas_n: int = 2, window: int = 3,
+    also: Iterable[Column] = (),
+) -> DataFrame:
+    """`lags`, `deltas` and `rolling` (without the current row) of the columns together.
+
+    Each earlier value is fetched once; deltas and short rolling aggregates are arithmetic
+    on the fetched values, compiled, instead of a moving frame per aggregate. `also` joins
+    further window Columns to the same step.
+    """
+    short = window <= LONGEST_LAG_WINDOW
+    depth = max(lags_n, deltas_n, window if short else 0)
+    history = panel.history
+    fetched = [
+        F.lag(c, i).over(history).alias(f"{c}_lag_{i}" if i <= lags_n else f"_{c}_lag_{i}")
+        for c in columns for i in range(1, depth + 1)
+    ]
+    framed = [] if short else rolling(panel, columns, window)
+    wide = df.select("*", *fetched, *also, *framed)
+
+    def earlier(c: str, i: int) -> Column:
+        return F.col(f"{c}_lag_{i}" if i <= lags_n else f"_{c}_lag_{i}")
+
+    derived = [(F.col(c) - earlier(c, i)).alias(f"{c}_delta_{i}") for c in columns for i in range(1, deltas_n + 1)]
+    if short:
+        for c in columns:
+            values = [earlier(c, i) for i in range(window, 0, -1)]
+            derived += [
+                _widest(F.greatest, values).alias(f"{c}_max_{window}"),
+                _widest(F.least, values).alias(f"{c}_min_{window}"),
+                _mean(values).alias(f"{c}_avg_{window}"),
+            ]
+    hidden = {f"_{c}_lag_{i}" for c in columns for i in range(lags_n + 1, depth + 1)}
+    return wide.select(*[c for c in wide.columns if c not in hidden], *derived)
+
+
+def _widest(kind, values: Sequence[Column]) -> Column:
+    return kind(*values) if len(values) > 1 else values[0]
+
+
+def _mean(values: Sequence[Column]) -> Column:
+    """Mean of the values that are not NULL, added in the given order."""
+    summed = reduce(add, [F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
+    return F.try_divide(summed, reduce(add, [v.isNotNull().cast("int") for v in values]))
+
+
 def mean_steps(panel: Panel, columns: Iterable[str], window: int = 3) -> list[Column]:
     """Average change per row over `window` rows: last minus first by their distance."""
-    steps = window - 1
+    steps, history = window - 1, panel.history
     return [
-        F.try_divide((F.col(c) - F.lag(c, steps).over(panel.history)).cast("double"), F.lit(steps))
+        F.try_divide((F.col(c) - F.lag(c, steps).over(history)).cast("double"), F.lit(steps))
         .alias(f"{c}_trend_{window}")
         for c in columns
     ]
@@ -131,11 +184,11 @@ def time_since(
     """
     if unit not in ("raw", "months"):
         raise ValueError(f"unit {unit!r}: use 'raw' or 'months'")
-    period = F.col(panel.period)
+    period, upto = F.col(panel.period), panel.to_date
     out = []
     for name, test in conditions.items():
         condition = F.expr(test) if isinstance(test, str) else test
-        last = F.max(F.when(condition, period)).over(panel.to_date)
+        last = F.max(F.when(condition, period)).over(upto)
         gap = period - last if unit == "raw" else months_of(period) - months_of(last)
         out.append(gap.alias(name))
     return out

@@ -78,15 +78,10 @@ def history_features(
     """Windows in two levels over one shuffle and sort: plain columns, then flags and deltas."""
     expanded = numeric_columns(df, not_expanded)
     require_columns(df, [*recipe.trends, *recipe.momenta])
-    first = with_columns(
-        df,
-        W.lags(panel, expanded, recipe.lags),
-        W.deltas(panel, expanded, recipe.deltas),
-        W.rolling(panel, expanded, recipe.window),
-        [_behaviour(panel, kind, c).alias(name) for name, (kind, c) in recipe.behaviour.items()],
-        W.momentum(panel, recipe.momenta),
-        [W.row_index(panel, "_row_idx")],
-    )
+    behaviour = [_behaviour(panel, kind, c).alias(name) for name, (kind, c) in recipe.behaviour.items()]
+    momenta = W.momentum(panel, recipe.momenta)
+    first = W.expand(df, panel, expanded, recipe.lags, recipe.deltas, recipe.window,
+                     also=[*behaviour, *momenta, W.row_index(panel, "_row_idx")])
     second = with_columns(
         first,
         W.active_quarter(panel, recipe.inactive_flag) if recipe.inactive_flag else [],
@@ -99,9 +94,15 @@ def history_features(
 
 
 def build_features(df: DataFrame, panel: Panel, recipe: Recipe) -> DataFrame:
-    """The whole feature table with both churn targets."""
+    """The whole feature table with both churn targets.
+
+    Targets are found while rows are still narrow; everything shares one shuffle by entity.
+    """
     rows, not_expanded = row_features(df, panel, recipe)
-    return churn_targets(history_features(rows, panel, recipe, not_expanded), panel)
+    labelled = churn_targets(rows, panel)
+    targets = [c for c in labelled.columns if c not in rows.columns]
+    out = history_features(labelled, panel, recipe, [*not_expanded, *targets])
+    return out.select(*[c for c in out.columns if c not in targets], *targets)
 
 
 # Key, column groups and output names of the bank customer panel.

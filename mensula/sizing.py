@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """A broadcast copy of `df` when it has at most `max_rows` rows, else `df` itself.
 
     The rows are computed once. A table above the bound stays an ordinary join side that
     Spark shuffles, so the result is the same either way.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    bound = BROADCAST_ROWS if max_rows is None else max_rows
+    rows = df.limit(bound + 1).toArrow()
+    if rows.num_rows > bound:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
