@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from mensula.functions.columns import PROBABILITY_CUT
 from mensula.operators.combine import studies_of
 from mensula.operators.ranks import Ranking, best_prefix, keys_at_ranks, top_rows, value_of, with_place, with_rank
-from mensula.sizing import small_side
+from mensula.sizing import settle, small_side
 
 # Gain per hit, cost per contact, contacts to select, and the sweeps.
 GAIN_PER_HIT = 780_000
@@ -268,20 +268,20 @@ def seed_average(
     return scores.groupBy(*keys).agg(F.avg(proba).alias(proba), *[F.max(c).alias(c) for c in keep])
 
 
-def ensemble_scores(
-    scores: DataFrame, entity: str = "entity", study: str = "study", proba: str = "proba", y: str = "y",
-    split: Sequence[str] = (), studies: Sequence | None = None,
+def _study_means(
+    scores: DataFrame, entity: str, study: str, proba: str, y: str, split: Sequence[str], names: Sequence
 ) -> DataFrame:
-    """Long scores per `strategy`: mean over all models, mean of study means, each study's mean.
-
-    One aggregation by entity; a strategy's row appears where the entity has its scores.
-    """
-    names = list(studies) if studies is not None else studies_of(scores, study)
+    """One row per entity: label, mean over all models, and each study's mean."""
     means = [F.avg(F.when(F.col(study) == s, F.col(proba))) for s in names]
-    wide = scores.groupBy(*split, entity).agg(
+    return scores.groupBy(*split, entity).agg(
         F.max(y).alias(y), F.avg(proba).alias("_simple"),
         *[m.alias(f"_study_{i}") for i, m in enumerate(means)],
     )
+
+
+def _strategies(
+    wide: DataFrame, entity: str, proba: str, y: str, split: Sequence[str], names: Sequence
+) -> DataFrame:
     per_study = F.array_compact(F.array(*[F.col(f"_study_{i}") for i in range(len(names))]))
     two_stage = F.aggregate(
         per_study, F.lit(0.0), lambda total, v: total + v, lambda total: total / F.size(per_study))
@@ -295,13 +295,31 @@ def ensemble_scores(
     )
 
 
+def ensemble_scores(
+    scores: DataFrame, entity: str = "entity", study: str = "study", proba: str = "proba", y: str = "y",
+    split: Sequence[str] = (), studies: Sequence | None = None,
+) -> DataFrame:
+    """Long scores per `strategy`: mean over all models, mean of study means, each study's mean.
+
+    One aggregation by entity; a strategy's row appears where the entity has its scores.
+    """
+    names = list(studies) if studies is not None else studies_of(scores, study)
+    wide = _study_means(scores, entity, study, proba, y, split, names)
+    return _strategies(wide, entity, proba, y, split, names)
+
+
 def ensemble_report(
     scores: DataFrame, entity: str = "entity", study: str = "study", proba: str = "proba", y: str = "y",
     split: Sequence[str] = (), studies: Sequence | None = None,
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST, rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
-    """Gain and contacts of every strategy, and its difference from the plain mean."""
-    long = ensemble_scores(scores, entity, study, proba, y, split, studies)
+    """Gain and contacts of every strategy, and its difference from the plain mean.
+
+    The means are written once; ranking reads them several times.
+    """
+    names = list(studies) if studies is not None else studies_of(scores, study)
+    wide = settle(_study_means(scores, entity, study, proba, y, split, names))
+    long = _strategies(wide, entity, proba, y, split, names)
     ranking = Ranking(proba, (entity,), (*split, "strategy"), rows_per_bucket=rows_per_bucket)
     best = small_side(best_gain(long, ranking, y, gain, cost))
     plain = best.where(F.col("strategy") == "simple").select(*split, F.col("gain").alias("_plain"))
@@ -319,7 +337,7 @@ def seed_report(
 ) -> DataFrame:
     """Test result of each seed and of the seeds' mean: gain, contacts, share contacted."""
     single = scores.select(entity, y, proba, F.col(seed).cast("string").alias("model"))
-    mean = seed_average(scores, [entity], proba, keep=[y]).withColumn("model", F.lit("mean"))
+    mean = settle(seed_average(scores, [entity], proba, keep=[y])).withColumn("model", F.lit("mean"))
     ranking = Ranking(proba, (entity,), ("model",), rows_per_bucket=rows_per_bucket)
     best = best_gain(single.unionByName(mean), ranking, y, gain, cost)
     return best.select(

@@ -60,6 +60,14 @@ def _few(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
     return [c for i, c in enumerate(open_) if row[f"n{i}"] <= 2 * max_unique]
 
 
+def _distinct(df: DataFrame, column: str) -> Column:
+    """Distinct non-NULL values of a column that holds few; NaN counts once, zero has no sign."""
+    if not isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return F.size(F.collect_set(column))
+    number = F.when(~F.isnan(column), F.col(column) + F.lit(0.0))
+    return F.size(F.collect_set(number)) + F.coalesce(F.max(F.isnan(column).cast("int")), F.lit(0))
+
+
 def cardinality(df: DataFrame, max_unique: int = 10, columns: Iterable[str] | None = None) -> DataFrame:
     """(variable, n_distinct) of columns with fewer than `max_unique` non-NULL values.
 
@@ -71,7 +79,7 @@ def cardinality(df: DataFrame, max_unique: int = 10, columns: Iterable[str] | No
     near = _few(df, names, max_unique)
     if not near:
         return df.sparkSession.createDataFrame([], "variable string, n_distinct long")
-    exact = df.agg(*[F.size(F.collect_set(c)).cast("long").alias(c) for c in near])
+    exact = df.agg(*[_distinct(df, c).cast("long").alias(c) for c in near])
     return (
         exact.unpivot([], near, "variable", "n_distinct")
         .where(F.col("n_distinct") < max_unique)
