@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
 from mensula import fixtures as fx
 from mensula.operators import drift as D
 
 COLUMNS = ("price", "quantity", "discount", "discount_known")
-SMALL = 2_000
 
 
 def nulls(spark, sf):
@@ -22,29 +22,29 @@ def zeros(spark, sf):
 
 def edges(spark, sf):
     long = D.long_form(fx.drift_pair(spark, sf), COLUMNS, ["sample"]).where("sample = 'expected'")
-    out = D.quantile_edges(long, 10, rows_per_bucket=SMALL)
+    out = D.quantile_edges(long, 10, rows_per_bucket=ROWS_PER_BUCKET)
     return out.select("feature", F.posexplode("edges").alias("i", "edge")).select(
         "feature", "i", F.round("edge", 9).alias("edge"))
 
 
 def counts(spark, sf):
-    out = D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, 10, rows_per_bucket=SMALL)
+    out = D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, 10, rows_per_bucket=ROWS_PER_BUCKET)
     return out.select("feature", "bin", "n_expected", "n_actual")
 
 
 def stability(spark, sf):
-    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", ["price"], rows_per_bucket=SMALL)
+    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", ["price"], rows_per_bucket=ROWS_PER_BUCKET)
     return out.select("feature", F.round("psi", 9).alias("psi"))
 
 
 def ranking(spark, sf):
-    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, rows_per_bucket=SMALL)
+    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, rows_per_bucket=ROWS_PER_BUCKET)
     return out.select("feature", F.round("psi", 9).alias("psi"))
 
 
 def deep(spark, sf):
     parts = [
-        D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", [c], b, rows_per_bucket=SMALL)
+        D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", [c], b, rows_per_bucket=ROWS_PER_BUCKET)
         .withColumn("buckets", F.lit(b))
         for c, b in (("price", 3), ("quantity", 20))
     ]

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
 from mensula import fixtures as fx
 from mensula.operators import combine as B
@@ -9,13 +10,12 @@ from mensula.operators import gain as G
 from mensula.operators.ranks import Ranking, with_rank
 
 HIT, COST = 40_000, 20_000
-SMALL = 4_000  # rows per bucket here, so that the bucketed path runs on the small tables
 SIZES = (50, 500, 2000, 5000)
 MODEL = ("study", "seed")
 
 
 def rank(*group):
-    return Ranking("proba", ("entity",), tuple(group), rows_per_bucket=SMALL)
+    return Ranking("proba", ("entity",), tuple(group), rows_per_bucket=ROWS_PER_BUCKET)
 
 
 def one(spark, sf):
@@ -55,7 +55,7 @@ def size_sweep(spark, sf):
 
 
 def size_sweep_whole(spark, sf):
-    out = G.top_n_sweep(fx.scores(spark, sf), Ranking("proba", ("entity", "study", "seed"), rows_per_bucket=SMALL),
+    out = G.top_n_sweep(fx.scores(spark, sf), Ranking("proba", ("entity", "study", "seed"), rows_per_bucket=ROWS_PER_BUCKET),
                         "y", (5000, 7000, 9000, 11000))
     return rounded(out, 9, "gain_per_contact", "precision")
 
@@ -112,17 +112,17 @@ def halves(spark, sf):
 
 def ensembles(spark, sf):
     df = halves(spark, sf)
-    return G.ensemble_report(df, split=["split"], gain=HIT, cost=COST, rows_per_bucket=SMALL)
+    return G.ensemble_report(df, split=["split"], gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET)
 
 
 def seed_test(spark, sf):
     df = fx.scores(spark, sf).where("study = 1")
-    return rounded(G.seed_report(df, gain=HIT, cost=COST, rows_per_bucket=SMALL), 6, "pct_contacted")
+    return rounded(G.seed_report(df, gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET), 6, "pct_contacted")
 
 
 def results(spark, sf):
     df = halves(spark, sf)
-    return G.model_results(df, ["test1", "test2"], gain=HIT, cost=COST, rows_per_bucket=SMALL)
+    return G.model_results(df, ["test1", "test2"], gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET)
 
 
 def uneven(spark, sf):

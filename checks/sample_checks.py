@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
 from mensula import fixtures as fx
 from mensula.operators import combine as B
@@ -67,7 +68,7 @@ def strategies(spark, sf):
 def exact(spark, sf):
     df = labelled(spark, sf)
     sampling = K.Sampling(ratio=1.5, periods=(*OLD, *NEW), y="target_ternario")
-    return K.exact_undersample(df, P, sampling, chance(9), rows_per_bucket=200).select(*KEY, "target_ternario")
+    return K.exact_undersample(df, P, sampling, chance(9), rows_per_bucket=ROWS_PER_BUCKET).select(*KEY, "target_ternario")
 
 
 def folds(spark, sf):

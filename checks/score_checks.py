@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from checks.gain_checks import ONE, SMALL, one, rank
+from checks.gain_checks import ONE, one, rank
+from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
 from mensula.operators import scores as S
 
@@ -14,11 +15,11 @@ def _round(df, digits=9):
 
 
 def stats(spark, sf):
-    return _round(S.distribution(one(spark, sf), "proba", rows_per_bucket=SMALL))
+    return _round(S.distribution(one(spark, sf), "proba", rows_per_bucket=ROWS_PER_BUCKET))
 
 
 def by_class(spark, sf):
-    return _round(S.class_distribution(one(spark, sf), "proba", "y", rows_per_bucket=SMALL))
+    return _round(S.class_distribution(one(spark, sf), "proba", "y", rows_per_bucket=ROWS_PER_BUCKET))
 
 
 def tops(spark, sf):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
 from mensula import fixtures as fx
 from mensula.operators import targets as T
@@ -66,7 +67,7 @@ def time_since(spark, sf):
 
 def deciles(spark, sf):
     df = fx.user_days(spark, sf).withColumn("half", F.col("mview") / 2.0)
-    out = W.deciles(df, P, ["n_all", "mpurchase", "half"], rows_per_bucket=500)
+    out = W.deciles(df, P, ["n_all", "mpurchase", "half"], rows_per_bucket=ROWS_PER_BUCKET)
     return out.select(*KEY, "n_all_decile", "mpurchase_decile", "half_decile")
 
 

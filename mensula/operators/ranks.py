@@ -42,6 +42,11 @@ class Ranking:
         return [(-score if self.descending else score).asc_nulls_last(),
                 *[F.col(t).asc() for t in self.ties]]
 
+    def key_order(self) -> list[Column]:
+        """The same order, from the fields of `_key`."""
+        return [F.col("_key.score").asc_nulls_last(),
+                *[F.col(f"_key.tie_{i}").asc() for i in range(len(self.ties))]]
+
 
 def sort_key(score: Column, ties: Sequence[str], descending: bool = True) -> Column:
     """A struct that compares as the ranking orders."""
@@ -106,14 +111,17 @@ def _cuts(keyed: DataFrame, ranking: Ranking) -> list[tuple]:
 def with_buckets(df: DataFrame, ranking: Ranking) -> DataFrame:
     """Add `_key` and `_bucket`; every key in bucket b sorts before every key in b+1."""
     keyed = df.select("*", ranking.key().alias("_key"))
-    cuts = _cuts(keyed, ranking)
+    return _bucketed(keyed, ranking, _cuts(keyed, ranking))
+
+
+def _bucketed(keyed: DataFrame, ranking: Ranking, cuts: list[tuple]) -> DataFrame:
     if not cuts:
         return keyed.withColumn("_bucket", F.lit(0))
     kind = keyed.schema["_key"].dataType.simpleString()
     names = [f"_g{i}" for i in range(len(ranking.group))]
-    fields = [f"{n} {df.schema[g].dataType.simpleString()}" for n, g in zip(names, ranking.group)]
+    fields = [f"{n} {keyed.schema[g].dataType.simpleString()}" for n, g in zip(names, ranking.group)]
     schema = ", ".join([*fields, f"_cuts array<{kind}>"])
-    table = df.sparkSession.createDataFrame(cuts, schema)
+    table = keyed.sparkSession.createDataFrame(cuts, schema)
     if names:
         same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(ranking.group, names)]
         joined = keyed.join(F.broadcast(table), same, "left")
@@ -200,37 +208,42 @@ def keys_at_ranks(df: DataFrame, ranking: Ranking, ranks: Column) -> DataFrame:
     """Keys that stand at the given ranks of each group: (group, rank, key, n_rows).
 
     `ranks` is an array of longs, computed from the group's row count `n_rows`. Ranks
-    outside 1..n_rows give no row. Only buckets that hold a wanted rank are sorted, and
-    equal keys are counted together before the shuffle.
+    outside 1..n_rows give no row. Only buckets that hold a wanted rank are sorted. Without
+    `ties`, equal scores are counted together before the shuffle; `ties` should make keys
+    unique.
     """
     group = list(ranking.group)
     where = [*group, "_bucket"]
-    bucketed = with_buckets(df.select(*group, ranking.score, *ranking.ties), ranking)
-    spans = _spans(bucketed, ranking)
-    inside = F.filter(
-        F.array_distinct(ranks),
-        lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")),
-    )
-    wanted = small_side(
-        spans.select(*group, "_bucket", "_before", "n_rows", inside.alias("_ranks"))
-        .where(F.size("_ranks") > 0)
-    )
-    counted = (
-        _match(bucketed, wanted, where, "left_semi")
-        .groupBy(*group, "_bucket", "_key").agg(F.count("*").alias("_copies"))
-    )
-    local = Window.partitionBy(*group, "_bucket").orderBy("_key")
-    upto = F.sum("_copies").over(local.rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.select("*", upto.alias("_upto"))
-    joined = _match(placed, wanted, where)
-    hit = F.filter(
-        "_ranks",
-        lambda r: (r <= F.col("_before") + F.col("_upto"))
-        & (r > F.col("_before") + F.col("_upto") - F.col("_copies")),
-    )
-    return joined.select(
-        *group, F.explode(hit).alias("rank"), F.col("_key").alias("key"), "n_rows"
-    )
+    keyed = df.select(*group, ranking.key().alias("_key"))
+    cuts = _cuts(keyed, ranking)
+    bucketed = _bucketed(keyed, ranking, cuts)
+    local = Window.partitionBy(*where).orderBy(*ranking.key_order())
+    upto = F.sum("_copies").over(local.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        if ranking.ties:
+            return rows.select(*where, "_key", F.lit(1).cast("long").alias("_copies"))
+        return rows.groupBy(*where, "_key").agg(F.count("*").alias("_copies"))
+
+    if not cuts:
+        # All rows together fit one bucket: its own totals are the group's.
+        everything = F.sum("_copies").over(Window.partitionBy(*where)).alias("n_rows")
+        placed = counted(bucketed).select("*", upto, everything, F.lit(0).alias("_before")).withColumn(
+            "_ranks", F.array_distinct(ranks))
+    else:
+        spans = _spans(bucketed, ranking)
+        inside = F.filter(
+            F.array_distinct(ranks),
+            lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")),
+        )
+        wanted = small_side(
+            spans.select(*where, "_before", "n_rows", inside.alias("_ranks")).where(F.size("_ranks") > 0)
+        )
+        near = counted(_match(bucketed, wanted, where, "left_semi"))
+        placed = _match(near.select("*", upto), wanted, where)
+    last = F.col("_before") + F.col("_upto")
+    hit = F.filter("_ranks", lambda r: (r <= last) & (r > last - F.col("_copies")))
+    return placed.select(*group, F.explode(hit).alias("rank"), F.col("_key").alias("key"), "n_rows")
 
 
 def top_rows(df: DataFrame, ranking: Ranking, n: int | Column) -> DataFrame:

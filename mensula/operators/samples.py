@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mensula.functions.columns import in_periods
-from mensula.operators.ranks import Ranking, top_rows
+from mensula.operators.ranks import Ranking, keys_at_ranks
 from mensula.panel import Panel
+from mensula.sizing import settle
 
 DRAWS = 1_000_000
 
@@ -94,20 +95,23 @@ def exact_undersample(
     """All positives and exactly int(positives / ratio) negatives, without replacement.
 
     With class lists, both classes come from the positive list. The negatives with the
-    smallest draw are kept, found by a boundary key rather than a global sort.
+    smallest draw are kept: the key that bounds them is found on written narrow rows, and
+    the wide rows are only filtered.
     """
     periods, _ = sampling.lists()
     y = F.col(sampling.y)
-    rows = df.where(in_periods(df, panel.period, periods) & y.isin(0, 1))
-    counts = rows.agg(F.count(F.when(y == 1, 1)).alias("n1"), F.count(F.when(y == 0, 1)).alias("n0")).first()
+    score = F.xxhash64(*panel.keys, F.lit(EXACT_SAMPLE_SEED)) if chance is None else chance
+    rows = df.where(in_periods(df, panel.period, periods) & y.isin(0, 1)).withColumn("_draw", score)
+    narrow = settle(rows.select(*panel.keys, sampling.y, "_draw"))
+    counts = narrow.agg(F.count(F.when(y == 1, 1)).alias("n1"), F.count(F.when(y == 0, 1)).alias("n0")).first()
     wanted = int(counts["n1"] / sampling.ratio)
     if wanted > counts["n0"]:
         raise ValueError(f"{wanted} negatives asked for, {counts['n0']} in the table")
-    score = F.xxhash64(*panel.keys, F.lit(EXACT_SAMPLE_SEED)) if chance is None else chance
-    negatives = rows.where(y == 0).withColumn("_draw", score)
+    if not wanted:
+        return rows.where(y == 1).drop("_draw")
     ranking = Ranking("_draw", tuple(panel.keys), descending=False, rows_per_bucket=rows_per_bucket)
-    kept = top_rows(negatives, ranking, wanted) if wanted else negatives.limit(0)
-    return rows.where(y == 1).unionByName(kept.drop("_draw"))
+    edge = keys_at_ranks(narrow.where(y == 0), ranking, F.array(F.lit(wanted).cast("long"))).select("key")
+    return rows.where((y == 1) | (ranking.key() <= edge.scalar())).drop("_draw")
 
 
 def fold_of(keys: Sequence[str], n_folds: int, seed: int) -> Column:
