@@ -108,8 +108,8 @@ def drift_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items shipped in 1997 (expected) and 1998 (actual)."""
     return (
         table(spark, sf_dir, "lineitem")
-        .where(F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp"))
-        .where(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp"))
+        .where(F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+        .where(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
         .select(
             F.when(F.year("l_shipdate") == 1997, "expected").otherwise("actual").alias("sample"),
             F.col("l_extendedprice").alias("price"),
@@ -122,12 +122,12 @@ def drift_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp"))
+    return table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz"))
 
 
 def order_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of a later file; its first month repeats rows of the base."""
-    return table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit("2000-12-01").cast("timestamp"))
+    return table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit("2000-12-01").cast("timestamp_ntz"))
 
 
 CARD_MEASURES = ("msaldototal", "mlimitecompra", "mconsumototal", "mpagado", "mpagominimo", "madelantopesos")

@@ -60,13 +60,15 @@ def fit_seed(
     train: DataFrame, features: Sequence[str], y: str, params: TreeParams, seed: int,
     stop_on: str | None = None, tolerance: float = 0.01,
 ) -> PipelineModel:
-    """One model. NULLs become the median plus an indicator.
+    """One model. NULLs become the median plus an indicator; a feature without any value is 0.
 
     With `stop_on`, a boolean column of `train`, its true rows only decide when more trees
     stop helping (by log-loss).
     """
     rows, missing = _prepared(_class_weight(train, y, params.balanced), features)
     rows = rows.withColumn(y, F.col(y).cast("double"))
+    known = rows.agg(*[F.count(F.nanvl(f, F.lit(None).cast("double"))).alias(f) for f in features]).first()
+    rows = rows.withColumns({f: F.lit(0.0) for f in features if known[f] == 0})
     filled = [f"{f}__filled" for f in features]
     share = params.feature_share
     trees = GBTClassifier(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mensula.sizing import small_side
+from mensula.sizing import BROADCAST_ROWS, small_side
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -119,10 +119,13 @@ def duplicate_keys(df: DataFrame, panel: Panel) -> DataFrame:
 def densify(df: DataFrame, panel: Panel) -> DataFrame:
     """Every entity at every observed period; measures are NULL where no row existed.
 
-    The grid comes from exploding the period list for each entity, then one left join.
+    The grid comes from exploding the period list for each entity, then one left join. An
+    entity gets a row per period, so a list past the broadcast bound is refused.
     """
-    periods = [r[0] for r in distinct_values(df, panel.period).sort(panel.period).collect()
-               if r[0] is not None]
+    found = distinct_values(df, panel.period).limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} periods: a grid would repeat each for every entity")
+    periods = sorted(r[0] for r in found if r[0] is not None)
     kind = df.schema[panel.period].dataType
     axis = F.array(*[F.lit(p).cast(kind) for p in periods])
     grid = (
