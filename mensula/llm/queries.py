@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import bpe, classifier, quality_rules, simhash
 from .common import table
 
 
@@ -47,5 +49,35 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
     f0 or f1 as base_failed, not (f0 or f1 or f2 or f3 or f4) as kept
 from failed"""
 
-QUERIES = {"op1_quality_rules": op1_quality_rules}
+def quality_model(docs: DataFrame, labels: DataFrame, config: classifier.Config = classifier.Config()) -> classifier.Model:
+    """Model of `labels.quality`, learnt from rows that are not held out."""
+    return classifier.fit(classifier.training_rows(docs, labels.where(~classifier.held_out()), config), config)
+
+
+QUALITY_CUT = 0.3
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", classifier.held_out().alias("held_out"), classifier.scorer(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_simhash": op3_simhash,
+    "op4_byte_bpe": op4_byte_bpe,
+}
 ORACLES = {"op1_quality_rules": OP1_SQL}
