@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, quality_rules, simhash
+from . import bpe, classifier, pii, quality_rules, secrets, simhash
 from .common import table
 
 
@@ -74,10 +74,22 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.learn(docs))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.learn(docs))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op7_secret_formats": op7_secret_formats,
+    "op10_pii": op10_pii,
 }
 ORACLES = {"op1_quality_rules": OP1_SQL}
