@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, pii, quality_rules, secrets, simhash
+from . import bpe, classifier, packing, pii, quality_rules, secrets, simhash
 from .common import table
 
 
@@ -74,6 +74,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
+        return packing.pack(docs, definition.read(), end_id=1, length=2_048)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op7_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.learn(docs))
@@ -89,6 +98,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_packing": op6_packing,
     "op7_secret_formats": op7_secret_formats,
     "op10_pii": op10_pii,
 }
