@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, packing, pii, quality_rules, secrets, simhash
+from . import bpe, classifier, line_dedup, packing, pii, quality_rules, secrets, simhash
 from .common import table
 
 
@@ -74,6 +74,31 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+OP5_SQL = r"""
+with docs as (select row_number() over () as r, doc_id, source, text from documents),
+parts as (select r, doc_id, source, string_split(text, chr(10)) as l from docs),
+lines as (
+    select r, doc_id, source, i, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line, raw
+    from (select r, doc_id, source, unnest(range(len(l))) as i, unnest(l) as raw from parts)),
+wide as (
+    select line, arg_min(r, (doc_id, i)) as r, arg_min(i, (doc_id, i)) as i from lines
+    where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 4
+    group by line having count(distinct source) >= 10),
+marked as (
+    select l.*, w.line is not null and not (w.r = l.r and w.i = l.i) as gone from lines l left join wide w on l.line = w.line),
+cleaned as (
+    select r, count(*) as n_lines, count(*) filter (gone) as n_removed,
+        coalesce(string_agg(raw, chr(10) order by i) filter (not gone), '') as text
+    from marked group by r)
+select doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed, md5(c.text) as text_md5
+from docs left join cleaned c using (r)"""
+
+
 def packed(docs: DataFrame) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as definition:
         return packing.pack(docs, definition.read(), end_id=1, length=2_048)
@@ -98,8 +123,9 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_secret_formats": op7_secret_formats,
     "op10_pii": op10_pii,
 }
-ORACLES = {"op1_quality_rules": OP1_SQL}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL}
