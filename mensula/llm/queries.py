@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, line_dedup, packing, pii, quality_rules, secrets, simhash
+from . import bpe, classifier, line_dedup, packing, pii, quality_rules, secrets, simhash, warc
 from .common import table
 
 
@@ -113,6 +113,20 @@ def op7_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.learn(docs))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.archive(pages).drop("payload", "target_uri")
+
+
+OP9_SQL = """
+with rows as (select page_id, coalesce(html, '') as body from pages),
+firsts as (select body, min(page_id) as first from rows where strlen(body) >= 100 group by body)
+select page_id, cast(strlen(r.body) as bigint) as payload_bytes, sha256(r.body) as payload_digest,
+    case when page_id <> first then 'revisit' else 'response' end as record_type,
+    case when page_id <> first then first end as refers_to
+from rows r left join firsts f on r.body = f.body"""
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.scan(docs, pii.learn(docs))
@@ -126,6 +140,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_secret_formats": op7_secret_formats,
+    "op9_warc": op9_warc,
     "op10_pii": op10_pii,
 }
-ORACLES = {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL, "op9_warc": OP9_SQL}
