@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, classifier, line_dedup, packing, pii, quality_rules, secrets, simhash, warc
+from . import ann, bpe, classifier, line_dedup, packing, pii, quality_rules, secrets, simhash, warc
 from .common import table
 
 
@@ -113,6 +113,10 @@ def op7_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.learn(docs))
 
 
+def op8_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.archive(pages).drop("payload", "target_uri")
@@ -140,6 +144,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_secret_formats": op7_secret_formats,
+    "op8_learned_partitions": op8_learned_partitions,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
 }
