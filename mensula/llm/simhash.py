@@ -81,8 +81,8 @@ def _bits_of(fps: np.ndarray) -> np.ndarray:
     return ((fps[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
 
 
-def _counts(fps: DataFrame, of, size: int) -> np.ndarray:
-    """Sum over all fingerprints of the `size` counters that `of(values)` gives; a fixed number of rows."""
+def _counts(fps: DataFrame, name: str, of, size: int) -> np.ndarray:
+    """Sum over all fingerprints of the `size` counters that `of(values)` gives; so many rows from each task and in the end."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
@@ -90,18 +90,22 @@ def _counts(fps: DataFrame, of, size: int) -> np.ndarray:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for i in range(0, len(values), 1 << 16):
                 total += of(values[i:i + (1 << 16)])
-        yield pa.RecordBatch.from_pydict({"i": np.arange(size), "n": total})
+        yield pa.RecordBatch.from_pydict({name: np.arange(size), "n": total})
 
-    rows = fps.select("fp").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
+    rows = fps.select("fp").mapInArrow(count, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size)
-    out[rows["i"]] = rows["n"]
+    out[rows[name]] = rows["n"]
     return out
 
 
-def correlated_order(fps: DataFrame) -> list[int]:
+def correlated_order(fps: DataFrame, n: int) -> list[int]:
     """The 64 bits in an order that puts bits which go together into the same `UNIT`, and like units side by side."""
-    together = _counts(fps, lambda v: (lambda b: (b.T @ b).astype(np.int64).ravel())(_bits_of(v).astype(np.float64)), BITS * BITS).reshape(BITS, BITS)
-    n = _counts(fps, lambda v: np.array([len(v)]), 1)[0]
+
+    def bit_pairs(values: np.ndarray) -> np.ndarray:
+        bits = _bits_of(values).astype(np.float64)
+        return (bits.T @ bits).astype(np.int64).ravel()
+
+    together = _counts(fps, "bit_pair", bit_pairs, BITS * BITS).reshape(BITS, BITS)
     p = np.diag(together) / max(n, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     link = np.abs(together / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread)
@@ -154,14 +158,14 @@ def allocate(near: list[np.ndarray], widths: list[int], n: float, distance: int)
 
 def plan(fps: DataFrame, n: int, distance: int) -> list[tuple[list[int], int]]:
     """(bits of a partition, its threshold) for all partitions that are probed."""
-    order = correlated_order(fps)
+    order = correlated_order(fps, n)
     units = [order[i:i + UNIT] for i in range(0, BITS, UNIT)]
     values = len(units) * (1 << UNIT)
 
     def histogram(v: np.ndarray) -> np.ndarray:
         return np.concatenate([np.bincount(_value(v, unit).astype(np.int64), minlength=1 << UNIT) for unit in units])
 
-    apart = [_distances(h) for h in _counts(fps, histogram, values).reshape(len(units), -1)]
+    apart = [_distances(h) for h in _counts(fps, "unit_value", histogram, values).reshape(len(units), -1)]
     found = []
     for m in range(1, min(distance + 1, len(units)) + 1):
         cuts = np.linspace(0, len(units), m + 1).round().astype(int)
