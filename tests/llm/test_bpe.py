@@ -29,6 +29,13 @@ def test_random_texts_encode_as_by_merges(both):
         assert ours.decode(ids) == text.encode()
 
 
+def test_neighbours_agree_with_merges(both):
+    ours, rng = both[0], random.Random(6)
+    for _ in range(20_000):
+        a, b = (rng.choice([rng.randrange(50_256), rng.randrange(1_500)]) for _ in range(2))
+        assert ours._may_follow(a, b) == (ours.merge(ours.bytes_of[a] + ours.bytes_of[b]) == [a, b])
+
+
 def test_long_pieces(both):
     ours, theirs = both
     for text in ("a" * 20_000, "ab" * 5_000, "ththeanderinge" * 3_000, "!" * 3_001 + "x" * 7):
