@@ -6,9 +6,10 @@ like words. The documents are range-sorted by place and laid end to end; every `
 sequence ends, wherever that falls in a document. The last tokens are cut into sequences whose
 sizes are powers of two, which need no padding.
 
-The sort splits documents at the same place (copies) by their key, so no place is too large for a
+The tokens are written to the shared folder once, 16 bits each where they fit, and only places, keys and
+lengths are sorted. The sort splits documents at the same place (copies) by key and row, so no place is too large for a
 task. Offsets are a running sum within a range plus the sums of the ranges before, one number per
-range. Tokens are written to the shared folder once, 16 bits each where they fit.
+range; they go back to the tokens by row.
 """
 
 from __future__ import annotations
@@ -26,25 +27,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mensula.sizing import scratch_path
+from mensula.sizing import scratch_path, settle
 
 DIMENSIONS, PLACES = 3, 10  # places: bits per dimension
 BUCKETS = 1 << 12
-KNOWN_WORDS = 400_000
-LONGEST_KNOWN = 64
+KNOWN_WORDS = 200_000
+LONGEST_KNOWN = 24
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-# Letters, then marks other than the apostrophe: two pieces at most.
-_PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN_TEXT = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*+")
+# The tokenizer's rule for pieces (fixed value), with its classes of letters, digits and spaces in the plain alphabet.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
 _PLAIN_SPACES = re.compile("[ \t\n\r]+")
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizer that drops white space, word by word.
+    """Ids of whole texts by a tokenizer that cuts them into pieces at fixed places and drops white space.
 
-    White space is never part of a token and joins with nothing next to it, so a text's ids are its
-    words' ids in order, and a word seen before (of a bounded number) need not be encoded again. A
-    new word of plain Latin letters with marks behind is at most two pieces to the tokenizer, which go to its model at
-    once, in lower case and in the byte alphabet; all other words take the tokenizer's whole way.
+    A text of plain Latin letters, digits and ASCII marks is cut here, by the tokenizer's own rule
+    in that alphabet; each piece goes in lower case and in the byte alphabet to the tokenizer's
+    model, and a piece seen lately is looked up. Any other text takes the tokenizer's whole way word by
+    word: white space is never part of a token and joins with nothing next to it, so a text's
+    ids are its words' ids in order.
     """
 
     def __init__(self, definition: str):
@@ -52,6 +55,7 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
         # The sign of each byte, as the byte alphabet of the library spells it.
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100)]
@@ -60,33 +64,34 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """Ids of one word, 4 bytes each."""
-        plain = _PLAIN_WORD.fullmatch(word)
-        if plain is None:
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        letters, marks = plain.groups()
-        return self.pieces[letters.lower()] + (self.pieces[marks] if marks else b"")
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def piece(self, piece: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize(piece if piece.isascii() else piece.translate(self.spelling))
+        tokens = self.model.tokenize(piece if piece.isascii() else piece.translate(self.spelling))
         return array("I", [t.id for t in tokens]).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if _PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
         # str.split() also cuts at four control characters that the tokenizer keeps.
         words = _PLAIN_SPACES.split(text) if _ODD_SPACE.search(text) else text.split()
         return b"".join(map(self.words.__getitem__, words))
 
 
 class _Known(dict):
-    """What `make` gave, for a bounded number of short strings."""
+    """What `make` gave, for the short strings asked for lately: at most twice `KNOWN_WORDS` of them."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.make(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
         if len(word) <= LONGEST_KNOWN:
             if len(self) >= KNOWN_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -141,20 +146,21 @@ def tail_cuts(left: int) -> list[int]:
 
 
 def tokenized(df: DataFrame, definition: str, end_id: int, key: str, text: str) -> DataFrame:
-    """`key`, `place`, `n`, `ids` (little-endian 32-bit) of each row, with `end_id` after its ids."""
+    """`key`, `place`, `n`, `ids` (little-endian, 16 bits if all fit, else 32) of each row, with `end_id` after its ids."""
     shared = df.sparkSession.sparkContext.broadcast(definition)
     kind, end = df.schema[key].dataType.simpleString(), np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            for s in range(0, batch.num_rows, 512):
-                part = batch.slice(s, 512)
-                ids = [encoder(t.as_py() or "") for t in part.column(1)]
-                place = places([np.frombuffer(i, "<u4") for i in ids])
+            for s in range(0, batch.num_rows, 256):
+                part = batch.slice(s, 256)
+                ids = [np.frombuffer(encoder(t.as_py() or "") + end, "<u4") for t in part.column(1)]
+                place = places([i[:-1] for i in ids])
+                small = [i.astype("<u2") if i.max() < 1 << 16 else i for i in ids]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(place, pa.int64()), pa.array([len(i) // 4 + 1 for i in ids], pa.int64()),
-                    pa.array([i + end for i in ids], pa.binary()),
+                    part.column(0), pa.array(place, pa.int64()), pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([i.tobytes() for i in small], pa.binary()),
                 ], names=["key", "place", "n", "ids"])
 
     return df.select(key, text).mapInArrow(encode, f"key {kind}, place long, n long, ids binary")
@@ -187,10 +193,11 @@ def pack(df: DataFrame, definition: str, end_id: int, length: int = 2_048, key:
     spark = df.sparkSession
     path = scratch_path(spark, "packing")
     kind = df.schema[key].dataType.simpleString()
-    rows = tokenized(df, definition, end_id, key, text)
-    in_order = rows.repartitionByRange("place", "key", "n").sortWithinPartitions("place", "key", "n", "ids")
-    in_order.mapInArrow(_laid, f"key {kind}, place long, n long, ids binary, part int, before long").write.parquet(path)
-    laid = spark.read.parquet(path)
+    # Tokenized once and written: a range sort looks at its input twice.
+    tokenized(df, definition, end_id, key, text).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    narrow = rows.select("place", "key", "row", "n").repartitionByRange("place", "key", "row").sortWithinPartitions("place", "key", "row")
+    laid = settle(narrow.select("row", "n").mapInArrow(_laid, "row long, n long, part int, before long"))
 
     # One row per range of the sort, whose number Spark bounds by its shuffle partitions.
     base, total = {}, 0
@@ -205,11 +212,12 @@ def pack(df: DataFrame, definition: str, end_id: int, length: int = 2_048, key:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, tail = shared.value
-        for batch in batches:
+        for batch in (b.slice(s, 256) for b in batches for s in range(0, b.num_rows, 256)):
             which, made = [], []
             for i, row in enumerate(batch.drop_columns(["key"]).to_pylist()):
                 first = base[row["part"]] + row["before"]
                 last, at = first + row["n"], first
+                all_ids = np.frombuffer(row["ids"], f"<u{len(row['ids']) // row['n']}").astype("<u4")
                 while at < last:
                     if at < whole:
                         number, begin = divmod(at, length)
@@ -218,7 +226,7 @@ def pack(df: DataFrame, definition: str, end_id: int, length: int = 2_048, key:
                         k = int(np.searchsorted(tail, at, "right"))
                         number, begin, end = whole // length + k - 1, at - int(tail[k - 1]), int(tail[k])
                     end = min(end, last)
-                    ids = row["ids"][4 * (at - first):4 * (end - first)]
+                    ids = all_ids[at - first:end - first].tobytes()
                     which.append(i)
                     made.append((at - first, end - at, ids, zlib.crc32(ids), row["n"], number, begin, row["place"]))
                     at = end
@@ -226,4 +234,5 @@ def pack(df: DataFrame, definition: str, end_id: int, length: int = 2_048, key:
             yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(which, pa.int64())), *columns], names=[key, *schema.names])
 
     fields = ", ".join(f"`{f.name}` {'binary' if f.name == 'ids' else 'long'}" for f in schema)
-    return laid.select("key", "place", "n", "ids", "part", "before").mapInArrow(cut, f"`{key}` {kind}, {fields}")
+    joined = rows.join(laid.select("row", "part", "before"), "row").select("key", "place", "n", "ids", "part", "before")
+    return joined.mapInArrow(cut, f"`{key}` {kind}, {fields}")
