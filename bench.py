@@ -13,7 +13,6 @@ import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
-os.environ.setdefault("MENSULA_ROWS_PER_BUCKET", "1000000")
 
 from checks import registry  # noqa: E402
 from checks.compare import session  # noqa: E402

@@ -1,10 +1,12 @@
 """Data quality and drift (D1-D7)."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
-from mensula import fixtures as fx
+from checks import fixtures as fx
 from mensula.operators import drift as D
 
 COLUMNS = ("price", "quantity", "discount", "discount_known")
@@ -20,31 +22,43 @@ def zeros(spark, sf):
     return out.select("feature", *[F.round(c, 9).alias(c) for c in out.columns[1:]])
 
 
-def edges(spark, sf):
+def edges(spark, sf, labelled=False):
     long = D.long_form(fx.drift_pair(spark, sf), COLUMNS, ["sample"]).where("sample = 'expected'")
-    out = D.quantile_edges(long, 10, rows_per_bucket=ROWS_PER_BUCKET)
+    out = D.quantile_edges(long, 10, labelled, ROWS_PER_BUCKET)
     return out.select("feature", F.posexplode("edges").alias("i", "edge")).select(
         "feature", "i", F.round("edge", 9).alias("edge"))
 
 
-def counts(spark, sf):
-    out = D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, 10, rows_per_bucket=ROWS_PER_BUCKET)
+def counts(spark, sf, labelled=False):
+    out = D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, 10, labelled, ROWS_PER_BUCKET)
     return out.select("feature", "bin", "n_expected", "n_actual")
 
 
-def stability(spark, sf):
-    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", ["price"], rows_per_bucket=ROWS_PER_BUCKET)
+FINE = (20, 60, 200)
+
+
+def fine(spark, sf):
+    pair = fx.drift_pair(spark, sf)
+    parts = [
+        D.bin_counts(pair, "sample", "expected", "actual", ["price", "quantity"], b, labelled=False, rows_per_bucket=ROWS_PER_BUCKET)
+        .select(F.lit(b).alias("buckets"), "feature", "bin", "n_expected", "n_actual") for b in FINE
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def stability(spark, sf, labelled=False):
+    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", ["price"], labelled=labelled, rows_per_bucket=ROWS_PER_BUCKET)
     return out.select("feature", F.round("psi", 9).alias("psi"))
 
 
-def ranking(spark, sf):
-    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, rows_per_bucket=ROWS_PER_BUCKET)
+def ranking(spark, sf, labelled=False):
+    out = D.psi(fx.drift_pair(spark, sf), "sample", "expected", "actual", COLUMNS, labelled=labelled, rows_per_bucket=ROWS_PER_BUCKET)
     return out.select("feature", F.round("psi", 9).alias("psi"))
 
 
-def deep(spark, sf):
+def deep(spark, sf, labelled=False):
     parts = [
-        D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", [c], b, rows_per_bucket=ROWS_PER_BUCKET)
+        D.bin_counts(fx.drift_pair(spark, sf), "sample", "expected", "actual", [c], b, labelled, ROWS_PER_BUCKET)
         .withColumn("buckets", F.lit(b))
         for c, b in (("price", 3), ("quantity", 20))
     ]
@@ -66,14 +80,25 @@ def share_sql(test):
         from ({rows}) group by feature"""
 
 
-def long_parts(columns, buckets):
+# Edges as interval labels show them: the fewest decimals from 3 on that keep them apart, the first edge one unit lower.
+LABELLED = ("""digits as (select feature, d, i, count(*) over (partition by feature, d) as n, case when e = 0 then e else
+            round_even(e * pow(10.0, p), 0) / pow(10.0, p) end as r
+        from (select *, case when trunc(e) = 0 then -floor(log10(abs(e - trunc(e)))) - 1 + d else d end as p
+            from exact, (select unnest(range(3, 20)) as d))),
+    chosen as (select feature, min(d) as d from (select feature, d from digits group by feature, d having count(distinct r) = any_value(n)) group by feature),
+    edge as (select feature, i, case when i = 0 then r - pow(10.0, -d) else r end as e from digits join chosen using (feature, d))""",)
+
+
+def long_parts(columns, buckets, labelled=False):
     rows = "\nunion all ".join(f"select sample, '{c}' as feature, {c} as value from d_pair" for c in columns)
     shares = "[" + ", ".join(f"{i}::double / {buckets}" for i in range(buckets + 1)) + "]"
+    first = "exact" if labelled else "edge"
     return (
         f"lng as ({rows})",
-        f"""edge as (select feature, cast(row_number() over (partition by feature order by e) - 1 as integer) as i, e from (
+        f"""{first} as (select feature, cast(row_number() over (partition by feature order by e) - 1 as integer) as i, e from (
             select distinct feature, unnest(quantile_cont(value, {shares})) as e from lng
             where sample = 'expected' and value is not null group by feature))""",
+        *(LABELLED if labelled else ()),
         """bins as (select a.feature, a.i as bin, a.e as lo, b.e as hi, b.i = max(b.i) over (partition by a.feature) as closed
             from edge a join edge b on a.feature = b.feature and b.i = a.i + 1)""",
         """cnt as (select b.feature, bin, lo, hi, count(*) filter (sample = 'expected') as ne, count(*) filter (sample = 'actual') as na
@@ -92,11 +117,20 @@ PSI = """select feature, round(known + nul, 9) as psi from (
         from lng group by feature) s on s.feature = c.feature group by c.feature)"""
 
 
-def deep_sql():
+def fine_sql():
+    from checks.views import VIEWS
+    parts = [
+        "select * from (" + sql("", f"select {b} as buckets, feature, bin, ne as n_expected, na as n_actual from cnt", *long_parts(["price", "quantity"], b)) + ")"
+        for b in FINE
+    ]
+    return f"with d_pair as ({VIEWS['d_pair']}) " + " union all ".join(parts)
+
+
+def deep_sql(labelled=False):
     halves = []
     for c, b in (("price", 3), ("quantity", 20)):
         halves.append("select * from (" + sql("", f"""select feature, {b} as buckets, bin, round(lo, 6) as left_edge,
-            round(hi, 6) as right_edge, ne as n_expected, na as n_actual from cnt""", *long_parts([c], b)) + ")")
+            round(hi, 6) as right_edge, ne as n_expected, na as n_actual from cnt""", *long_parts([c], b, labelled)) + ")")
     from checks.views import VIEWS
     return f"with d_pair as ({VIEWS['d_pair']}) " + " union all ".join(halves)
 
@@ -104,9 +138,14 @@ def deep_sql():
 CHECKS = {
     "D1_null_shares": (nulls, sql("d_pair", share_sql(lambda c: f"{c} is null"))),
     "D2_zero_shares": (zeros, sql("d_pair", share_sql(lambda c: "false" if c == "flag" else f"coalesce({c} = 0, false)"))),
-    "D3_quantile_edges": (edges, sql("d_pair", "select feature, i, round(e, 9) as edge from edge", *long_parts(COLUMNS, 10))),
-    "D4_histogram": (counts, sql("d_pair", "select feature, bin, ne as n_expected, na as n_actual from cnt", *long_parts(COLUMNS, 10))),
-    "D5_psi": (stability, sql("d_pair", PSI, *long_parts(["price"], 10))),
-    "D6_psi_ranking": (ranking, sql("d_pair", PSI, *long_parts(COLUMNS, 10))),
-    "D7_deep_dive": (deep, deep_sql()),
+    "D4_histogram_fine": (fine, fine_sql()),
 }
+for _end, _labelled in (("", False), ("_labelled", True)):
+    _sql = lambda select, columns: sql("d_pair", select, *long_parts(columns, 10, _labelled))
+    CHECKS |= {
+        f"D3_quantile_edges{_end}": (partial(edges, labelled=_labelled), _sql("select feature, i, round(e, 9) as edge from edge", COLUMNS)),
+        f"D4_histogram{_end}": (partial(counts, labelled=_labelled), _sql("select feature, bin, ne as n_expected, na as n_actual from cnt", COLUMNS)),
+        f"D5_psi{_end}": (partial(stability, labelled=_labelled), _sql(PSI, ["price"])),
+        f"D6_psi_ranking{_end}": (partial(ranking, labelled=_labelled), _sql(PSI, COLUMNS)),
+        f"D7_deep_dive{_end}": (partial(deep, labelled=_labelled), deep_sql(_labelled)),
+    }

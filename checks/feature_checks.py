@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.views import sql
-from mensula import fixtures as fx
+from checks import fixtures as fx
 from mensula.functions import columns as C
 from mensula.operators import windows as W
 from mensula.panel import columns_like, with_columns

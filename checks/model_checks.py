@@ -1,77 +1,65 @@
-"""Boosted-tree jobs (M1-M7). Fitted scores have no SQL form; counts around them do."""
+"""Boosted-tree jobs (M1-M7) on labels whose best trees are known.
+
+Without sampling, a label `x > t` makes one split of depth 1, scores of one tree on either side, and all
+importance on `x`; SQL can state each of these.
+"""
+
+import math
 
 from pyspark.sql import functions as F
 
+from checks import fixtures as fx
 from checks.views import sql
-from mensula import fixtures as fx
 from mensula.operators import models as M
 from mensula.operators import samples as K
-from mensula.operators import targets as T
 from mensula.operators import trials as A
-from mensula.operators import windows as W
-from mensula.panel import with_columns
 from mensula.sizing import scratch_path
 
 P = fx.PANEL
-BASE = ["n_all", "mclick", "mview", "mpurchase", "cview"]
-FEATURES = [*BASE, *[f"{c}_lag_1" for c in BASE], "mview_delta_1"]
-FEW = M.TreeParams(trees=4, max_depth=3, feature_share=0.6, row_share=0.8)
+FEATURES = ["n_all", "mclick", "mview", "mpurchase", "cview"]
+STUMP = M.TreeParams(trees=1, max_depth=1, balanced=False)
+LABEL = "cview > 1"
+GAIN, COST = 40_000, 2_000
 
 
 def rows(spark, sf):
-    """Users by day with lags and both targets, days 1-26 complete."""
-    df = fx.user_days(spark, sf)
-    featured = with_columns(df, W.lags(P, BASE, 1), W.deltas(P, ["mview"], 1))
-    return T.churn_targets(featured, P)
-
-
-def split(spark, sf):
-    return K.period_split(rows(spark, sf), P, range(20240103, 20240121), range(20240121, 20240127))
-
-
-def fitted(spark, sf, **options):
-    train, later = split(spark, sf)
-    return M.fit_seed(train, FEATURES, "target_binario", FEW, 7, **options), later
+    """All users by day; both targets are the known label."""
+    y = F.expr(LABEL).cast("int")
+    return fx.user_days(spark, sf).withColumns({"target_binario": y, "target_ternario": y})
 
 
 def one_model(spark, sf):
-    model, later = fitted(spark, sf)
-    return M.score(model, later, FEATURES, ["c", "m", "target_ternario"])
-
-
-def saved(spark, sf):
-    train, later = split(spark, sf)
-    base = scratch_path(spark, "models")
-    return train, later, base
+    df = rows(spark, sf)
+    model = M.fit_seed(df, FEATURES, "target_binario", STUMP, 7)
+    return M.score(model, df, FEATURES, ["c", "m", "target_ternario"]).withColumn("proba", F.round("proba", 9))
 
 
 def skipped(spark, sf):
     """The second call finds one seed fitted and fits the other."""
-    train, later, base = saved(spark, sf)
-    M.fit_seeds(train, FEATURES, "target_binario", FEW, [1], base, "small")
-    paths = M.fit_seeds(train, FEATURES, "target_binario", FEW, [1, 2], base, "small")
-    return M.score_study(paths, later, FEATURES, ["c", "m"], "small").groupBy("study", "seed").agg(F.count("*").alias("n"))
+    df, base = rows(spark, sf), scratch_path(spark, "models")
+    M.fit_seeds(df, FEATURES, "target_binario", STUMP, [1], base, "small")
+    paths = M.fit_seeds(df, FEATURES, "target_binario", STUMP, [1, 2], base, "small")
+    return M.score_study(paths, df, FEATURES, ["c", "m"], "small").groupBy("study", "seed").agg(F.count("*").alias("n"))
 
 
 def study_scores(spark, sf):
-    train, later, base = saved(spark, sf)
-    paths = M.fit_seeds(train, FEATURES, "target_binario", FEW, [1, 2], base, "small")
-    return M.score_study(paths, later, FEATURES, ["c", "m", "target_ternario"], "small")
+    df, base = rows(spark, sf), scratch_path(spark, "models")
+    paths = M.fit_seeds(df, FEATURES, "target_binario", STUMP, [1, 2], base, "small")
+    return M.score_study(paths, df, FEATURES, ["c", "m"], "small").withColumn("proba", F.round("proba", 9))
 
 
 def searched(spark, sf):
-    df = K.with_fold(rows(spark, sf), P, 2, 3)
-    options = [FEW, M.TreeParams(trees=2, max_depth=2)]
-    folds = M.search(df, P, FEATURES, options, 7, gain=40_000, cost=2_000)
-    ledger = M.ledger_rows(folds, options, {"n_splits": "2"})
-    return A.completed(ledger).select("trial_number", "params.trees", "value", "gain_std", "best_iteration", "state")
+    df = K.with_fold(rows(spark, sf), P, 2, 3, number=F.col("c") * 31 + F.col("m"))
+    options = [STUMP, M.TreeParams(trees=3, max_depth=1, balanced=False)]
+    return M.search(df, P, FEATURES, options, 7, gain=GAIN, cost=COST, stop_early=True)
 
 
 def searched_in_time(spark, sf):
-    days = list(range(20240103, 20240115))
-    df = K.with_period_folds(rows(spark, sf), P, K.period_splits(days, 2, min_train_size=6, val_size=2))
-    return M.search(df, P, FEATURES, [FEW], 7, gain=40_000, cost=2_000).select(
-        "trial_number", "fold", "n_rows", "gain", "n_contacts")
+    df = K.with_temporal_folds(rows(spark, sf), P, 2, min_train_size=6, val_size=2)
+    ledger = scratch_path(spark, "ledger")
+    M.search(df, P, FEATURES, [STUMP], 7, gain=GAIN, cost=COST, ledger=ledger)
+    again = M.search(df.where("false"), P, FEATURES, [STUMP], 7, gain=GAIN, cost=COST, ledger=ledger)  # from the ledger alone
+    return again.select("trial_number", "fold", "n_rows", "gain", "n_contacts")
 
 
 def search_sizes(spark, sf):
@@ -79,38 +67,45 @@ def search_sizes(spark, sf):
 
 
 def stopped(spark, sf):
-    train, later = split(spark, sf)
-    marked = train.withColumn("held_out", F.pmod("c", F.lit(4)) == 0)
-    params = M.TreeParams(trees=12, max_depth=3)
-    model = M.fit_seed(marked, FEATURES, "target_binario", params, 7, stop_on="held_out", tolerance=0.05)
-    scored = M.score(model, later, FEATURES, ["c", "m"])
-    return scored.agg(F.count("*").alias("n"), F.lit(M.used_trees(model)).alias("trees"))
+    """Held-out rows whose label has nothing to do with the features: the first tree is the last."""
+    df = rows(spark, sf).withColumn("held_out", F.pmod("c", F.lit(4)) == 0)
+    noise = F.pmod(F.col("c") * 7 + F.col("m"), F.lit(2)).cast("int")
+    df = df.withColumn("target_binario", F.when(F.col("held_out"), noise).otherwise(F.col("target_binario")))
+    model = M.fit_seed(df, FEATURES, "target_binario", M.TreeParams(trees=12, max_depth=1, balanced=False), 7, stop_on="held_out")
+    return M.score(model, df, FEATURES, ["c", "m"]).agg(F.count("*").alias("n"), F.lit(M.used_trees(model)).alias("trees"))
 
 
 def important(spark, sf):
-    model, _ = fitted(spark, sf)
-    return A.top_features(M.importances(model, spark), 10)
+    model = M.fit_seed(rows(spark, sf), FEATURES, "target_binario", STUMP, 7)
+    return A.top_features(M.importances(model, spark), 1)
 
 
 def thresholds(spark, sf):
-    train, _, base = saved(spark, sf)
-    paths = M.fit_seeds(train, FEATURES, "target_binario", FEW, [1], base, "small")
+    base = scratch_path(spark, "models")
+    paths = M.fit_seeds(rows(spark, sf), FEATURES, "target_binario", STUMP, [1], base, "small")
     return M.split_points(spark, paths[1])
 
 
-LATER = "m between 20240121 and 20240126"
+HIGH, LOW = (round(1 / (1 + math.exp(s * 2)), 9) for s in (-1, 1))
+SCORED = f"case when {LABEL} then {HIGH}::double else {LOW}::double end as proba"
+# Perfect scores: the best prefix is all positives.
+PERFECT = (f"count(*) as n_rows, cast(count(*) filter ({LABEL}) * {GAIN} as bigint) as gain, count(*) filter ({LABEL}) as n_contacts")
+LAST = ("(select *, dense_rank() over (order by m) - 1 as i from p_ud) join (select count(distinct m) as days from p_ud) on true "
+        "join (select cast(unnest([1, 2]) as integer) as fold) on i >= 6 + (fold - 1) * (days - 8) and i < 8 + (fold - 1) * (days - 8)")
 
 CHECKS = {
-    "M1_fit_and_score": (one_model, None),
-    "M2_skip_fitted": (skipped, sql("p_ud", f"""select 'small' as study, cast(unnest([1, 2]) as integer) as seed, n
-        from (select count(*) as n from p_ud where {LATER})""")),
-    "M3_study_scores": (study_scores, None),
-    "M4_search": (searched, None),
-    "M4_search_in_time": (searched_in_time, None),
-    "M4_fold_sizes": (search_sizes, sql("p_ud", """select cast(0 as integer) as trial_number, cast(fold as integer) as fold, count(*) as n_rows
-        from (select case when m in (20240109, 20240110) then 1 when m in (20240113, 20240114) then 2 end as fold from p_ud)
-        where fold is not null group by fold""")),
-    "M5_early_stop": (stopped, None),
-    "M6_importance": (important, None),
-    "M7_split_points": (thresholds, None),
+    "M1_fit_and_score": (one_model, sql("p_ud", f"select c, m, cast({LABEL} as integer) as target_ternario, {SCORED} from p_ud")),
+    "M2_skip_fitted": (skipped, sql("p_ud", """select 'small' as study, cast(unnest([1, 2]) as integer) as seed, n
+        from (select count(*) as n from p_ud)""")),
+    "M3_study_scores": (study_scores, sql("p_ud", f"""select c, m, 'small' as study, seed, {SCORED}
+        from p_ud, (select cast(unnest([1, 2]) as integer) as seed)""")),
+    "M4_search": (searched, sql("p_ud", f"""select trial_number, cast((c * 31 + m) % 2 as integer) as fold, {PERFECT},
+        count(*) filter (not ({LABEL})) as n_class_0, count(*) filter ({LABEL}) as n_class_1, cast(1 as integer) as best_iteration
+        from p_ud, (select cast(unnest([0, 1]) as integer) as trial_number) group by 1, 2""")),
+    "M4_search_in_time": (searched_in_time, sql("p_ud", f"select cast(0 as integer) as trial_number, fold, {PERFECT} from {LAST} group by fold")),
+    "M4_fold_sizes": (search_sizes, sql("p_ud", f"select cast(0 as integer) as trial_number, fold, count(*) as n_rows from {LAST} group by fold")),
+    "M5_early_stop": (stopped, sql("p_ud", "select count(*) as n, cast(1 as integer) as trees from p_ud")),
+    "M6_importance": (important, sql("p_ud", "select 'cview__filled' as feature, 1.0::double as importance")),
+    "M7_split_points": (thresholds, sql("p_ud", """select 'cview__filled' as feature, cast(0 as integer) as tree, cast(0 as integer) as node,
+        (max(cview) filter (cview <= 1) + min(cview) filter (cview > 1)) / 2.0::double as threshold from p_ud""")),
 }

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.views import sql
-from mensula import fixtures as fx
+from checks import fixtures as fx
 from mensula.functions.columns import CARD_STATUS
 from mensula.plans.recipes import BANK_PANEL, BANK_RECIPE, build_features
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
-from mensula import fixtures as fx
+from checks import fixtures as fx
 from mensula.operators import combine as B
 from mensula.operators import profile as R
 from mensula.operators import samples as K
@@ -72,9 +72,8 @@ def exact(spark, sf):
 
 
 def folds(spark, sf):
-    rows = K.with_fold(labelled(spark, sf), P, 5, 17)
-    fold = F.pmod(F.col("c") * 31 + F.col("m"), F.lit(5)).cast("int")
-    return R.class_counts(rows.withColumn("fold", fold), Y, ["fold"])
+    rows = K.with_fold(labelled(spark, sf), P, 5, 17, number=F.col("c") * 31 + F.col("m"))
+    return R.class_counts(rows, Y, ["fold"])
 
 
 def hashed_folds(spark, sf):
@@ -88,15 +87,14 @@ def hashed_folds(spark, sf):
     ).withColumn("n_outside", by_row.where("fold < 0 or fold > 4").agg(F.count("*")).scalar())
 
 
-AXIS = [199701, 199702, 199703, 199704, 199705, 199706, 199707, 199708]
+SPLITS = (("grow", "expanding"), ("roll", "rolling"))
 
 
 def temporal(spark, sf):
     df = labelled(spark, sf)
     out = []
-    for name, strategy in (("grow", "expanding"), ("roll", "rolling")):
-        splits = K.period_splits(AXIS, 3, strategy, min_train_size=2, val_size=1, gap=1)
-        rows = K.with_period_folds(df, P, splits)
+    for name, strategy in SPLITS:
+        rows = K.with_temporal_folds(df, P, 3, strategy=strategy, min_train_size=2, val_size=1, gap=1)
         out.append(rows.groupBy("fold", "role").agg(
             F.count("*").alias("n"), F.min("m").alias("first"), F.max("m").alias("last"),
         ).withColumn("strategy", F.lit(name)))
@@ -145,14 +143,14 @@ def lab(select, *more):
 
 
 def temporal_sql():
-    plan = {
-        "grow": [(1, AXIS[:2], AXIS[3:4]), (2, AXIS[:4], AXIS[5:6]), (3, AXIS[:6], AXIS[7:8])],
-        "roll": [(1, AXIS[:2], AXIS[3:4]), (2, AXIS[2:4], AXIS[5:6]), (3, AXIS[4:6], AXIS[7:8])],
-    }
-    rows = [f"select '{s}' as strategy, {f} as fold, '{r}' as role, m from lab where m in ({', '.join(map(str, ps))})"
-            for s, folds_ in plan.items() for f, tr, va in folds_ for r, ps in (("train", tr), ("validation", va))]
-    return lab("select strategy, fold, role, count(*) as n, min(m) as first, max(m) as last from ("
-               + " union all ".join(rows) + ") group by all")
+    rows = [f"""select '{name}' as strategy, fold, role, m from placed join (select unnest(['train', 'validation']) as role) on
+        case role when 'train' then i < stop {"" if name == "grow" else "and i >= stop - 2"} else i = stop + 1 end"""
+            for name, _ in SPLITS]
+    return lab("""select strategy, fold, role, count(*) as n, min(m) as first, max(m) as last from ("""
+               + " union all ".join(rows) + ") group by all",
+               "axis as (select m, row_number() over (order by m) - 1 as i, count(*) over () as n from (select distinct m from lab))",
+               """placed as (select lab.*, axis.i, fold, 2 + (fold - 1) * greatest(1, (n - 4) // 2) as stop
+                from lab join axis using (m), (select cast(unnest([1, 2, 3]) as integer) as fold))""")
 
 
 CHECKS = {

@@ -1,10 +1,13 @@
 """Sources and sinks (S1-S13), profiles (C1-C8), month append (U2), trials (O3-O5, A2-A5)."""
 
+import itertools
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks import fixtures as fx
+from checks.gain_checks import ONE, one
 from checks.views import sql
-from mensula import fixtures as fx
 from mensula.functions.columns import latest_and_earliest
 from mensula.operators import combine as B
 from mensula.operators import gain as G
@@ -60,7 +63,7 @@ def csv_sink(spark, sf):
 
 def parquet_sink(spark, sf):
     path = writers.save_parquet(fx.customer_months(spark, sf), scratch_path(spark, "panel.csv"), partition_by="m")
-    return spark.read.parquet(path).where("m >= 199701 and m < 199801")
+    return spark.read.parquet(path)
 
 
 def saved_scores(spark, sf):
@@ -78,7 +81,7 @@ def score_sink(spark, sf):
 
 def contacts(spark, sf):
     path = scratch_path(spark, "contacts.csv")
-    df = fx.scores(spark, sf).where("study = 0 and seed = 0")
+    df = one(spark, sf)
     writers.save_contacts(G.select_top(df, Ranking("proba", ("entity",)), 3000), "entity", path)
     return spark.read.csv(path, header=True, schema="entity long")
 
@@ -116,7 +119,7 @@ def ledger(spark, sf):
 def score_reload(spark, sf):
     base = scratch_path(spark, "files")
     df = fx.scores(spark, sf)
-    for study, seed in ((0, 0), (1, 1)):
+    for study, seed in itertools.product(range(3), range(2)):
         df.where((F.col("study") == study) & (F.col("seed") == seed)).select("entity", "proba", "y").coalesce(1).write.parquet(
             f"{base}/model{study}_seed{seed}_test1.parquet")
     back = readers.read_score_files(spark, f"{base}/*_test1.parquet")
@@ -254,14 +257,14 @@ CHECKS = {
         f"select '{n}' as name, count(*) as n_rows, cast({k} as integer) as n_columns from {n}"
         for n, k in (("orders", 6), ("lineitem", 11), ("events", 6), ("customer", 5)))),
     "S6_csv_sink": (csv_sink, sql("p_cm", "select * from p_cm")),
-    "S7_parquet_sink": (parquet_sink, sql("p_cm", "select * from p_cm where m >= 199701 and m < 199801")),
+    "S7_parquet_sink": (parquet_sink, sql("p_cm", "select * from p_cm")),
     "S8_score_sink": (score_sink, sql("s_long", f"""select study, seed, {SPLIT}, count(*) as n, round(sum(proba), 6) as total
         from s_long group by all""")),
-    "S9_contact_list": (contacts, sql("s_long", "select entity from s_long where study = 0 and seed = 0 order by proba desc, entity limit 3000")),
+    "S9_contact_list": (contacts, sql("s_long", "select entity from one order by proba desc, entity limit 3000", ONE)),
     "S10_summaries": (summaries, sql("s_long", f"select *, unnest(['csv', 'json']) as source from ({PEAK})")),
     "S11_ledger": (ledger, sql("", "select trial_number, value, num_leaves from trials", TRIALS)),
     "S12_score_reload": (score_reload, sql("s_long", """select 'model' || study as study, seed, 'test1' as split,
-        count(*) as n, round(sum(proba), 6) as total from s_long where study = seed group by all""")),
+        count(*) as n, round(sum(proba), 6) as total from s_long group by all""")),
     "S13_one_period": (one_period, sql("s_long", "select entity, study, seed, proba from s_long where period = 1997")),
     "C1_selected_columns": (selected_columns, sql("p_ud", "select c, m, mclick, mview, csignup from p_ud")),
     "C2_type_classes": (classes, sql("p_ud", f"""select variable, case when variable = 'kind' then 'int_categorico'

@@ -1,6 +1,6 @@
-"""The fixtures of `mensula.fixtures`, defined a second time in SQL."""
+"""The fixtures of `checks.fixtures`, defined a second time in SQL."""
 
-from mensula.fixtures import EVENT_TYPES, RETURN_FLAGS
+from checks.fixtures import EVENT_TYPES, RETURN_FLAGS
 
 
 def _per_event() -> str:
@@ -43,10 +43,10 @@ VIEWS = {
         cast(o_orderstatus = 'F' as integer) as y, cast(year(o_orderdate) as integer) as period
         from orders, (select unnest(range(3)) as study) a, (select unnest(range(2)) as seed) b""",
     "l_doc": "select l.doc_id, quality, toxic, n_chars from labels l join documents d on l.doc_id = d.doc_id",
-    "d_pair": """select case when year(l_shipdate) = 1997 then 'expected' else 'actual' end as sample,
+    "d_pair": """select case when year(l_shipdate) <= 1998 then 'expected' else 'actual' end as sample,
         l_extendedprice as price, l_quantity as quantity, l_discount as discount,
         nullif(l_discount, 0) as discount_known, l_returnflag as flag
-        from lineitem where year(l_shipdate) in (1997, 1998)""",
+        from lineitem""",
 }
 
 

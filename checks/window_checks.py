@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
-from mensula import fixtures as fx
+from checks import fixtures as fx
 from mensula.operators import targets as T
 from mensula.operators import windows as W
 from mensula.panel import numeric_columns, with_columns

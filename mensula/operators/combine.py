@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mensula.functions.columns import in_periods
 from mensula.panel import distinct_values
-from mensula.sizing import BROADCAST_ROWS
+from mensula.sizing import small_side
 
 
 def check_same_schema(base: DataFrame, new: DataFrame) -> None:
@@ -38,12 +37,11 @@ def append_period(
     check_same_schema(base, new)
     if period is None or not base_is_distinct:
         return base.unionByName(new).distinct()
-    found = distinct_values(new, period).limit(BROADCAST_ROWS + 1).collect()
-    if len(found) > BROADCAST_ROWS:
-        return base.unionByName(new).distinct()
-    periods = [r[0] for r in found if r[0] is not None]
-    shared = F.coalesce(in_periods(base, period, periods), F.lit(True))
-    return base.where(~shared).unionByName(base.where(shared).unionByName(new).distinct())
+    periods = small_side(distinct_values(new, period).where(F.col(period).isNotNull()).withColumn("_new", F.lit(True)))
+    marked = base.join(periods, period, "left")
+    shared = F.col("_new").isNotNull() | F.col(period).isNull()
+    others = marked.where(~shared).select(base.columns)
+    return others.unionByName(marked.where(shared).select(base.columns).unionByName(new).distinct())
 
 
 def studies_of(scores: DataFrame, study: str = "study") -> list:

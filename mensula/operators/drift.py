@@ -91,11 +91,12 @@ def label_edges(edges: Column) -> Column:
 
 
 def quantile_edges(
-    expected: DataFrame, buckets: int = 10, labelled: bool = False, rows_per_bucket: int = 1_000_000
+    expected: DataFrame, buckets: int = 10, labelled: bool = True, rows_per_bucket: int = 1_000_000
 ) -> DataFrame:
     """(feature, edges) of long-form rows: ascending distinct quantiles.
 
-    `labelled` gives the rounded edges of interval labels instead of the exact ones.
+    By default they are those of interval labels, rounded and the first one lowered; without
+    `labelled` they are exact.
     """
     shares = [i / buckets for i in range(buckets + 1)]
     found = quantiles(expected, "value", shares, ["feature"], rows_per_bucket)
@@ -103,14 +104,13 @@ def quantile_edges(
     return edges.select("feature", label_edges(F.col("edges")).alias("edges")) if labelled else edges
 
 
-def histogram(
-    long: DataFrame, edges: DataFrame, by: Sequence[str] = (), most_edges: int = 32
-) -> DataFrame:
+def histogram(long: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counts per (by, feature, bin) for bins [left, right), the last one closed.
 
-    Values outside the edges and NULL give no bin. `edges` is a `small_side`, and
-    `most_edges` bounds the edges of a feature.
+    Values outside the edges and NULL give no bin. A feature may have any number of edges.
+    `edges` has a row per feature and is read twice: give a `small_side`.
     """
+    most_edges = edges.agg(F.max(F.size("edges"))).first()[0] or 0
     joined = long.where(F.col("value").isNotNull()).join(edges, "feature")
     last = F.size("edges") - 1
     placed = with_place(joined, "edges", F.col("value"), "_below", most_edges)
@@ -125,13 +125,13 @@ def histogram(
 
 def bin_counts(
     df: DataFrame, sample: str, expected: str, actual: str, columns: Sequence[str],
-    buckets: int = 10, labelled: bool = False, rows_per_bucket: int = 1_000_000,
+    buckets: int = 10, labelled: bool = True, rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """Per feature and bin: its bounds and the rows of both samples, empty bins included."""
     long = long_form(df, columns, [sample])
     edges = small_side(quantile_edges(
         long.where(F.col(sample) == expected), buckets, labelled, rows_per_bucket))
-    counted = histogram(long.where(F.col(sample).isin(expected, actual)), edges, [sample], buckets + 1)
+    counted = histogram(long.where(F.col(sample).isin(expected, actual)), edges, [sample])
     side = lambda name: F.sum(F.when(F.col(sample) == name, F.col("n")))
     per_bin = counted.groupBy("feature", "bin").agg(side(expected).alias("e"), side(actual).alias("a"))
     bins = edges.where(F.size("edges") > 1).select(
@@ -157,7 +157,7 @@ def psi_term(expected: Column, actual: Column, empty: str, epsilon: float = 1e-6
 
 def psi(
     df: DataFrame, sample: str, expected: str, actual: str, columns: Sequence[str],
-    buckets: int = 10, empty: str = "reference", labelled: bool = False,
+    buckets: int = 10, empty: str = "reference", labelled: bool = True,
     rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """Population stability index per feature, largest first.

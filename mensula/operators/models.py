@@ -6,12 +6,15 @@ parameter list only.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import asdict, dataclass, replace
+from datetime import datetime
+from statistics import fmean, pstdev
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +25,7 @@ from mensula.operators.gain import CONTACT_COST, GAIN_PER_HIT, best_gain
 from mensula.operators.ranks import Ranking
 from mensula.panel import Panel
 from mensula.sizing import settle
+from mensula.sources.writers import append_records
 
 # Fixed value: bins per feature.
 BINS = 31
@@ -56,59 +60,93 @@ def _class_weight(df: DataFrame, y: str, balanced: bool) -> DataFrame:
     return df.withColumn("_weight", F.when(F.col(y) == 1, weight).otherwise(1.0))
 
 
-def fit_seed(
-    train: DataFrame, features: Sequence[str], y: str, params: TreeParams, seed: int,
-    stop_on: str | None = None, tolerance: float = 0.01,
-) -> PipelineModel:
-    """One model. NULLs become the median plus an indicator; a feature without any value is 0.
+@dataclass(frozen=True)
+class Training:
+    """Rows ready for any number of fits: `_features`, the target, `_weight` and the columns kept, written once."""
+
+    rows: DataFrame
+    steps: tuple
+    y: str
+
 
-    With `stop_on`, a boolean column of `train`, its true rows only decide when more trees
-    stop helping (by log-loss).
+def prepare(
+    train: DataFrame, features: Sequence[str], y: str, balanced: bool = True, keep: Sequence[str] = ()
+) -> Training:
+    """Class weights, medians and vectors of a training set; none of them depends on a seed.
+
+    NULLs become the median plus an indicator; a feature without any value is 0.
     """
-    rows, missing = _prepared(_class_weight(train, y, params.balanced), features)
+    rows, missing = _prepared(_class_weight(train, y, balanced), features)
     rows = rows.withColumn(y, F.col(y).cast("double"))
     known = rows.agg(*[F.count(F.nanvl(f, F.lit(None).cast("double"))).alias(f) for f in features]).first()
     rows = rows.withColumns({f: F.lit(0.0) for f in features if known[f] == 0})
     filled = [f"{f}__filled" for f in features]
+    medians = Imputer(strategy="median", inputCols=list(features), outputCols=filled).fit(rows)
+    vectors = VectorAssembler(inputCols=[*filled, *missing], outputCol="_features")
+    ready = vectors.transform(medians.transform(rows)).select("_features", y, "_weight", *keep)
+    return Training(settle(ready), (medians, vectors), y)
+
+
+def fit_prepared(
+    training: Training, params: TreeParams, seed: int, stop_on: str | None = None, tolerance: float = 0.01
+) -> PipelineModel:
+    """One model of prepared rows.
+
+    With `stop_on`, a boolean column kept in the rows, its true rows only decide when more
+    trees stop helping (by log-loss).
+    """
     share = params.feature_share
     trees = GBTClassifier(
-        labelCol=y, featuresCol="_features", weightCol="_weight", maxBins=BINS, seed=seed,
+        labelCol=training.y, featuresCol="_features", weightCol="_weight", maxBins=BINS, seed=seed,
         maxIter=params.trees, stepSize=params.learning_rate, maxDepth=params.max_depth,
         minInstancesPerNode=params.min_rows_in_leaf, subsamplingRate=params.row_share,
         featureSubsetStrategy="all" if share >= 1.0 else str(share),
     )
     if stop_on is not None:
         trees = trees.setParams(validationIndicatorCol=stop_on, validationTol=tolerance)
-    steps = [
-        Imputer(strategy="median", inputCols=list(features), outputCols=filled),
-        VectorAssembler(inputCols=[*filled, *missing], outputCol="_features"),
-        trees,
-    ]
-    return Pipeline(stages=steps).fit(rows)
+    return PipelineModel([*training.steps, trees.fit(training.rows)])
+
+
+def fit_seed(
+    train: DataFrame, features: Sequence[str], y: str, params: TreeParams, seed: int,
+    stop_on: str | None = None, tolerance: float = 0.01,
+) -> PipelineModel:
+    """`prepare` and `fit_prepared` for one model."""
+    keep = () if stop_on is None else (stop_on,)
+    return fit_prepared(prepare(train, features, y, params.balanced, keep), params, seed, stop_on, tolerance)
 
 
 def fit_seeds(
     train: DataFrame, features: Sequence[str], y: str, params: TreeParams, seeds: Sequence[int], base: str,
     study: str,
 ) -> dict[int, str]:
-    """Fit and save one model per seed under `base/study/seed=<n>`.
+    """Fit and save one model per seed under `base/study/seed=<n>`; the rows are prepared once.
 
-    A record beside the model, written after it, marks a finished one; those are skipped.
+    A record beside the model, written after it, marks a finished one and holds its settings. It is skipped when the
+    settings are the same, and fitted anew when they are not.
     """
     spark = train.sparkSession
-    paths = {}
+    settings = json.dumps({"params": asdict(params), "features": list(features), "y": y}, sort_keys=True)
+    paths, training = {}, None
     for seed in seeds:
         path = f"{base.rstrip('/')}/{study}/seed={seed}"
         finished = f"{path}-finished"
-        if not _exists(spark, finished):
-            model = fit_seed(train, features, y, params, seed)
+        if _settings_at(spark, finished) != settings:
+            training = training or prepare(train, features, y, params.balanced)
+            model = fit_prepared(training, params, seed)
             model.write().overwrite().save(path)
-            record = spark.createDataFrame([(study, seed, used_trees(model))], "study string, seed int, trees int")
+            record = spark.createDataFrame(
+                [(study, seed, used_trees(model), settings)], "study string, seed int, trees int, settings string")
             record.write.mode("overwrite").json(finished)
         paths[seed] = path
     return paths
 
 
+def _settings_at(spark: SparkSession, path: str) -> str | None:
+    """Settings in the record at the path; None when there is no record."""
+    return spark.read.json(path, schema="settings string").first()["settings"] if _exists(spark, path) else None
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a record was written at the path, on whatever storage Spark reads."""
     try:
@@ -130,16 +168,38 @@ def score_study(
     models: Mapping[int, PipelineModel | str], df: DataFrame, features: Sequence[str], keep: Sequence[str],
     study: str,
 ) -> DataFrame:
-    """Long scores of every model of a study, with `study` and `seed`."""
-    parts = []
-    for seed, model in models.items():
-        loaded = PipelineModel.load(model) if isinstance(model, str) else model
-        parts.append(score(loaded, df, features, keep).select(
-            *keep, F.lit(study).alias("study"), F.lit(seed).alias("seed"), "proba"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Long scores of every model of a study, with `study` and `seed`; the rows are read once for all models."""
+    rows, _ = _prepared(df.select(*keep, *[F.col(f).alias(f) for f in features if f not in keep]), features)
+    base, done = rows.columns, []
+    for i, model in enumerate(models.values()):
+        medians, vectors, trees = (PipelineModel.load(model) if isinstance(model, str) else model).stages
+        named = trees.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_raw{i}").setPredictionCol(f"_y{i}")
+        scored = named.transform(vectors.transform(medians.transform(rows)))
+        rows = scored.select(*base, *done, vector_to_array(f"_p{i}")[1].alias(f"_p{i}"))
+        done.append(f"_p{i}")
+    each = F.explode(F.array(*[
+        F.struct(F.lit(seed).alias("seed"), F.col(p).alias("proba")) for seed, p in zip(models, done)]))
+    return rows.select(*keep, F.lit(study).alias("study"), each.alias("_s")).select(*keep, "study", "_s.seed", "_s.proba")
+
+
+def staged_gain(
+    model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str], y: str,
+    gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST, rows_per_bucket: int = 1_000_000,
+) -> DataFrame:
+    """Best gain of every prefix of the model's trees: (trees, n_rows, gain, n_contacts). One fit stands for all tree counts."""
+    rows, _ = _prepared(df.select(*keys, y, *[F.col(f).alias(f) for f in features if f not in (*keys, y)]), features)
+    medians, vectors, boosted = model.stages
+    rows = vectors.transform(medians.transform(rows)).select(*keys, y, "_features")
+    for i, tree in enumerate(boosted.trees):
+        rows = tree.copy().setFeaturesCol("_features").setPredictionCol(f"_t{i}").transform(rows)
+    running, margins = F.lit(0.0), []
+    for i, weight in enumerate(boosted.treeWeights):
+        running = running + F.lit(float(weight)) * F.col(f"_t{i}")
+        margins.append(running)
+    staged = rows.select(*keys, y, F.posexplode(F.array(*margins)).alias("trees", "margin"))
+    scored = staged.select(*keys, y, (F.col("trees") + 1).alias("trees"), "margin")
+    ranking = Ranking("margin", tuple(keys), ("trees",), rows_per_bucket=rows_per_bucket)
+    return best_gain(settle(scored), ranking, y, gain, cost)
 
 
 def trees_of(model: PipelineModel) -> GBTClassificationModel:
@@ -161,9 +221,10 @@ def split_points(spark: SparkSession, path: str, feature: str | None = None) ->
     """(feature, tree, node, threshold) of a saved model's splits, in threshold order."""
     model = PipelineModel.load(path)
     names = model.stages[-2].getInputCols()
-    last = len(model.stages) - 1
-    width = len(str(last + 1))
-    nodes = spark.read.parquet(f"{path}/stages/{str(last).zfill(width)}_{trees_of(model).uid}/data")
+    # The folder of the last stage, as the saved pipeline itself names its stages.
+    order = json.loads(spark.read.text(f"{path}/metadata").first()[0])["paramMap"]["stageUids"]
+    width = len(str(len(order)))
+    nodes = spark.read.parquet(f"{path}/stages/{str(len(order) - 1).zfill(width)}_{order[-1]}/data")
     labels = F.array(*[F.lit(n) for n in names])
     splits = nodes.where(F.col("nodeData.leftChild") >= 0).select(
         F.get(labels, F.col("nodeData.split.featureIndex")).alias("feature"),
@@ -174,36 +235,83 @@ def split_points(spark: SparkSession, path: str, feature: str | None = None) ->
     return wanted.orderBy("feature", "threshold", "tree", "node")
 
 
+LEDGER = (
+    "trial_number int, params string, value double, gain_std double, best_iteration int, folds array<struct<fold: int, "
+    "n_rows: long, n_class_0: long, n_class_1: long, gain: long, n_contacts: long, best_iteration: int>>, "
+    "top_features array<string>, state string, datetime timestamp"
+)
+
+
 def search(
     df: DataFrame, panel: Panel, features: Sequence[str], candidates: Sequence[TreeParams], seed: int,
     fit_y: str = "target_binario", eval_y: str = "target_ternario",
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST, rows_per_bucket: int = 1_000_000,
+    stop_early: bool = False, thin: Callable[[DataFrame, int], DataFrame] | None = None, ledger: str | None = None,
 ) -> DataFrame:
     """Cross-validated gain of every candidate: one row per trial and fold.
 
     `df` holds `fold` and either `role` ('train'/'validation', temporal folds, rows
     repeated) or none (shuffled folds: each fold validates once, the others train). Models
-    fit on one target and are judged by the best gain on the other.
+    fit on one target and are judged by the best gain on the other. `stop_early` judges the best
+    prefix of the trees by gain and reports its length. `thin(train, seed + fold)` draws the rows to fit
+    on; validation rows stay whole. With `ledger`, a folder of JSON lines, each trial is recorded as soon as it is finished, and recorded
+    trials with the same parameters are not fitted again.
     """
+    spark = df.sparkSession
     temporal = "role" in df.columns
-    data = settle(df)
-    folds = sorted(r[0] for r in data.select("fold").distinct().collect())
-    scored = None
-    trees = []
+    done = _recorded(spark, ledger)
+    data = folds = None
+    rows = []
     for trial, params in enumerate(candidates):
+        settings = json.dumps(asdict(params), sort_keys=True)
+        if (trial, settings) in done:
+            rows += [(trial, *fold) for fold in done[trial, settings]]
+            continue
+        if data is None:
+            data = settle(df)
+            folds = sorted(r[0] for r in data.select("fold").distinct().collect())
+        found, weights = [], {}
         for fold in folds:
             here = F.col("fold") == fold
             train = data.where(here & (F.col("role") == "train") if temporal else ~here)
             judged = data.where(here & (F.col("role") == "validation") if temporal else here)
-            model = fit_seed(train, features, fit_y, params, seed)
-            trees.append((trial, fold, used_trees(model)))
-            part = score(model, judged, features, [*panel.keys, eval_y]).select(
-                F.lit(trial).alias("trial_number"), F.lit(fold).alias("fold"), *panel.keys, eval_y, "proba")
-            scored = part if scored is None else scored.unionByName(part)
-    ranking = Ranking("proba", tuple(panel.keys), ("trial_number", "fold"), rows_per_bucket=rows_per_bucket)
-    best = best_gain(settle(scored), ranking, eval_y, gain, cost)
-    counted = data.sparkSession.createDataFrame(trees, "trial_number int, fold int, best_iteration int")
-    return best.join(F.broadcast(counted), ["trial_number", "fold"])
+            model = fit_seed(thin(train, seed + fold) if thin else train, features, fit_y, params, seed)
+            if stop_early:
+                staged = staged_gain(model, judged, features, panel.keys, eval_y, gain, cost, rows_per_bucket)
+                best = staged.orderBy(F.desc("gain"), "trees").first()
+            else:
+                scored = settle(score(model, judged, features, [*panel.keys, eval_y]))
+                ranking = Ranking("proba", tuple(panel.keys), rows_per_bucket=rows_per_bucket)
+                best = best_gain(scored, ranking, eval_y, gain, cost).withColumn("trees", F.lit(used_trees(model))).first()
+            ones = judged.where(F.col(eval_y) == 1).count()
+            found.append((fold, best["n_rows"], best["n_rows"] - ones, ones, int(best["gain"]), best["n_contacts"], best["trees"]))
+            names = model.stages[-2].getInputCols()
+            for name, weight in zip(names, trees_of(model).featureImportances.toArray()):
+                weights[name] = weights.get(name, 0.0) + float(weight)
+        rows += [(trial, *fold) for fold in found]
+        if ledger is not None:
+            gains = [f[4] for f in found]
+            top = sorted(weights, key=lambda n: (-weights[n], n))[:10]
+            record = (trial, settings, fmean(gains), pstdev(gains), math.floor(fmean(f[6] for f in found)), found, top, "COMPLETE", datetime.now())
+            append_records(spark.createDataFrame([record], LEDGER), ledger)
+    kinds = "trial_number int, fold int, n_rows long, n_class_0 long, n_class_1 long, gain long, n_contacts long, best_iteration int"
+    return spark.createDataFrame(rows, kinds)
+
+
+def _recorded(spark: SparkSession, ledger: str | None) -> dict[tuple[int, str], list]:
+    """Fold results of the finished trials in the ledger; one record per trial, so they are few."""
+    if ledger is None or not _exists(spark, ledger):
+        return {}
+    found = spark.read.json(ledger, schema=LEDGER).where("state = 'COMPLETE'").collect()
+    return {(r["trial_number"], r["params"]): [tuple(f) for f in r["folds"]] for r in found}
+
+
+def best_params(spark: SparkSession, ledger: str) -> TreeParams:
+    """Settings of the ledger's best trial, with its mean tree count, for the last fit."""
+    best = spark.read.json(ledger, schema=LEDGER).where("state = 'COMPLETE'").orderBy(F.desc("value"), "trial_number").first()
+    if best is None:
+        raise ValueError(f"no finished trial in {ledger}")
+    return with_trees(TreeParams(**json.loads(best["params"])), best["best_iteration"])
 
 
 def ledger_rows(folds: DataFrame, candidates: Sequence[TreeParams], settings: Mapping[str, str]) -> DataFrame:

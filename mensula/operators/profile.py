@@ -14,8 +14,6 @@ from mensula.functions.columns import whole
 TYPE_CLASSES = {"string": "int_categorico", "int": "int_numerico", "float": "float", "double": "float"}
 OTHER_TYPE = "otro"
 
-PROBE_ROWS = 1_000
-
 
 def schema_table(df: DataFrame) -> DataFrame:
     """(variable, tipo_dato) by name; metadata only."""
@@ -33,31 +31,28 @@ def classify_types(df: DataFrame) -> DataFrame:
     )
 
 
-def _unsettled(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
-    """Columns that a few rows do not already show to hold `max_unique` values or more."""
-    if max_unique >= PROBE_ROWS:
-        return list(columns)
-    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    simple = [c for c in columns if not isinstance(df.schema[c].dataType, nested)]
-    rows = df.select(*simple).limit(PROBE_ROWS).collect()
-
-    def plain(value):
-        return (value + 0.0 if value == value else "nan") if isinstance(value, float) else value
-
-    wide = {
-        c for i, c in enumerate(simple)
-        if len({plain(r[i]) for r in rows if r[i] is not None}) >= max_unique
-    }
-    return [c for c in columns if c not in wide]
+def _told_apart(df: DataFrame, column: str) -> Column:
+    """The value as text that differs where values differ; NaN is one value, zero has no sign."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (F.col(column) + F.lit(0.0)).cast("string")
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.to_json(F.struct(column))
+    return F.col(column).cast("string")
 
 
 def _few(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
-    """Columns whose estimated cardinality is near the bound or below it."""
-    open_ = _unsettled(df, columns, max_unique)
-    if not open_:
-        return []
-    row = df.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(open_)]).first()
-    return [c for i, c in enumerate(open_) if row[f"n{i}"] <= 2 * max_unique]
+    """Columns that may hold fewer than `max_unique` values; none that does is left out.
+
+    A sketch keeps a short code per value and holds the codes themselves until there are more than
+    a fixed number, which is chosen above `max_unique`. Equal values have equal codes, so there are never more codes
+    than values: a count of `max_unique` codes or more proves a column wide.
+    """
+    lg_k = min(21, max(8, (2 * max_unique).bit_length() + 3))
+    row = df.agg(*[
+        F.hll_sketch_estimate(F.hll_sketch_agg(_told_apart(df, c), lg_k)).alias(f"n{i}") for i, c in enumerate(columns)
+    ]).first()
+    return [c for i, c in enumerate(columns) if row[f"n{i}"] is None or row[f"n{i}"] < max_unique]
 
 
 def _distinct(df: DataFrame, column: str) -> Column:
@@ -69,14 +64,13 @@ def _distinct(df: DataFrame, column: str) -> Column:
 
 
 def cardinality(df: DataFrame, max_unique: int = 10, columns: Iterable[str] | None = None) -> DataFrame:
-    """(variable, n_distinct) of columns with fewer than `max_unique` non-NULL values.
+    """(variable, n_distinct) of columns with fewer than `max_unique` non-NULL values, exactly.
 
-    A few rows prove most wide columns wide, a sketch over the whole table sorts out the
-    others; what is left holds few values, so the exact sets stay small in one aggregation
-    without multiplying rows.
+    A sketch over the whole table proves the wide columns wide; the others hold few values, so
+    their exact sets stay small in one aggregation without multiplying rows.
     """
     names = list(columns if columns is not None else df.columns)
-    near = _few(df, names, max_unique)
+    near = _few(df, names, max_unique) if names else []
     if not near:
         return df.sparkSession.createDataFrame([], "variable string, n_distinct long")
     exact = df.agg(*[_distinct(df, c).cast("long").alias(c) for c in near])

@@ -17,10 +17,9 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mensula.sizing import small_side
+from mensula.sizing import settle, small_side
 
 SAMPLES_PER_BUCKET = 24
-MAX_BUCKETS = 4096
 SHORT_ARRAY = 32
 
 
@@ -82,30 +81,29 @@ def with_place(
     return out
 
 
-def _cuts(keyed: DataFrame, ranking: Ranking) -> list[tuple]:
-    """(group values..., cut keys) rows; groups that need no cut are left out."""
-    n = keyed.count()
-    buckets = min(MAX_BUCKETS, -(-n // ranking.rows_per_bucket))
-    if buckets <= 1:
-        return []
-    group = list(ranking.group)
-    share = min(1.0, buckets * SAMPLES_PER_BUCKET / n)
+def _cuts(keyed: DataFrame, ranking: Ranking) -> tuple[DataFrame, int] | None:
+    """(`_g<i>` group values, `_cuts` ascending keys) of the groups that need cutting, and the longest list of cuts.
+
+    Each group gets buckets by its own size: every `rows_per_bucket` rows give some samples on
+    average, whatever the number of groups. The table is fixed before it is used: fetched when it is small, else written.
+    """
+    share = min(1.0, SAMPLES_PER_BUCKET / ranking.rows_per_bucket)
+    per_bucket = share * ranking.rows_per_bucket
+    names = [f"_g{i}" for i in range(len(ranking.group))]
     sample = (
-        keyed.select(*group, "_key").sample(share, seed=7)
-        .groupBy(*group).agg(F.sort_array(F.collect_list("_key")).alias("_keys")).collect()
+        keyed.select(*[F.col(g).alias(n) for g, n in zip(ranking.group, names)], "_key").sample(share, seed=7)
+        .groupBy(*names).agg(F.sort_array(F.collect_list("_key")).alias("_keys"))
     )
-    out = []
-    for row in sample:
-        values, keys = tuple(row[g] for g in group), row["_keys"]
-        parts = min(round(len(keys) / SAMPLES_PER_BUCKET), len(keys))
-        chosen: list = []
-        for i in range(1, parts):
-            cut = keys[i * len(keys) // parts]
-            if not chosen or cut != chosen[-1]:
-                chosen.append(cut)
-        if chosen:
-            out.append((*values, chosen))
-    return out
+    length = F.size("_keys")
+    parts = F.ceil(length / per_bucket).cast("int")
+    at = lambda i: F.get("_keys", (i.cast("long") * length / parts).cast("int"))
+    chosen = F.array_distinct(F.transform(F.sequence(F.lit(1), parts - 1), at))
+    cuts = sample.where(length > per_bucket).select(*names, chosen.alias("_cuts"))
+    table = small_side(cuts)
+    if table is cuts:
+        table = settle(cuts)
+    longest = table.agg(F.max(F.size("_cuts"))).first()[0]
+    return (table, longest) if longest else None
 
 
 def with_buckets(df: DataFrame, ranking: Ranking) -> DataFrame:
@@ -114,20 +112,16 @@ def with_buckets(df: DataFrame, ranking: Ranking) -> DataFrame:
     return _bucketed(keyed, ranking, _cuts(keyed, ranking))
 
 
-def _bucketed(keyed: DataFrame, ranking: Ranking, cuts: list[tuple]) -> DataFrame:
-    if not cuts:
+def _bucketed(keyed: DataFrame, ranking: Ranking, cuts: tuple[DataFrame, int] | None) -> DataFrame:
+    if cuts is None:
         return keyed.withColumn("_bucket", F.lit(0))
-    kind = keyed.schema["_key"].dataType.simpleString()
+    table, longest = cuts
     names = [f"_g{i}" for i in range(len(ranking.group))]
-    fields = [f"{n} {keyed.schema[g].dataType.simpleString()}" for n, g in zip(names, ranking.group)]
-    schema = ", ".join([*fields, f"_cuts array<{kind}>"])
-    table = keyed.sparkSession.createDataFrame(cuts, schema)
     if names:
         same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(ranking.group, names)]
-        joined = keyed.join(F.broadcast(table), same, "left")
+        joined = keyed.join(table, same, "left")
     else:
-        joined = keyed.select("*", table.scalar().alias("_cuts"))
-    longest = max(len(row[-1]) for row in cuts)
+        joined = keyed.select("*", table.select("_cuts").scalar().alias("_cuts"))
     return with_place(joined, "_cuts", F.col("_key"), "_bucket", longest).drop("_cuts", *names)
 
 
@@ -225,8 +219,8 @@ def keys_at_ranks(df: DataFrame, ranking: Ranking, ranks: Column) -> DataFrame:
             return rows.select(*where, "_key", F.lit(1).cast("long").alias("_copies"))
         return rows.groupBy(*where, "_key").agg(F.count("*").alias("_copies"))
 
-    if not cuts:
-        # All rows together fit one bucket: its own totals are the group's.
+    if cuts is None:
+        # No group is larger than a bucket: its own totals are the group's.
         everything = F.sum("_copies").over(Window.partitionBy(*where)).alias("n_rows")
         placed = counted(bucketed).select("*", upto, everything, F.lit(0).alias("_before")).withColumn(
             "_ranks", F.array_distinct(ranks))

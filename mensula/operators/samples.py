@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from mensula.functions.columns import in_periods
 from mensula.operators.ranks import Ranking, keys_at_ranks
-from mensula.panel import Panel
-from mensula.sizing import settle
+from mensula.panel import Panel, period_axis
+from mensula.sizing import settle, small_side
 
 DRAWS = 1_000_000
 
@@ -120,52 +120,43 @@ def fold_of(keys: Sequence[str], n_folds: int, seed: int) -> Column:
 
 
 def with_fold(
-    df: DataFrame, panel: Panel, n_folds: int, seed: int, by_entity: bool = False
+    df: DataFrame, panel: Panel, n_folds: int, seed: int, by_entity: bool = False, number: Column | None = None
 ) -> DataFrame:
+    """Add `fold`: by a hash of the key, or of a whole `number` per row that is given instead."""
     keys = [panel.entity] if by_entity else panel.keys
-    return df.withColumn("fold", fold_of(keys, n_folds, seed))
-
-
-def period_splits(
-    periods: Sequence,
-    n_splits: int,
-    strategy: str = "expanding",
-    min_train_size: int = 2,
-    val_size: int = 1,
-    gap: int = 0,
-) -> list[tuple[list, list]]:
-    """(train periods, validation periods) per temporal fold.
-
-    Training ends move forward by equal steps and leave room for the gap and the
-    validation periods; `expanding` trains from the first period, `rolling` on the last
-    `min_train_size`. Fewer folds come back when the periods do not suffice.
+    fold = fold_of(keys, n_folds, seed) if number is None else F.pmod(number, F.lit(n_folds)).cast("int")
+    return df.withColumn("fold", fold)
+
+
+def temporal_folds(
+    df: DataFrame, panel: Panel, n_splits: int, strategy: str = "expanding",
+    min_train_size: int = 2, val_size: int = 1, gap: int = 0,
+) -> DataFrame:
+    """(period, `fold` from 1, `role`) over the periods of the table itself.
+
+    Roles are conditions on a period's place in the axis: fold f trains up to the place
+    `min_train_size + (f - 1) * step` and validates `val_size` places behind the gap. Steps are
+    equal and as long as the axis allows. `expanding` trains from the first period,
+    `rolling` on the last `min_train_size`. Fewer folds come back when the periods do not suffice.
     """
     if strategy not in ("expanding", "rolling"):
         raise ValueError(f"strategy {strategy!r}: use 'expanding' or 'rolling'")
-    axis = list(periods)
-    spare = len(axis) - min_train_size - gap - val_size
-    folds = min(n_splits, spare + 1)
-    step = max(1, spare // (folds - 1)) if folds > 1 else 1
-    stops = (min_train_size + step * i for i in range(max(folds, 0)))
-    return [
-        (axis[0 if strategy == "expanding" else stop - min_train_size:stop],
-         axis[stop + gap:stop + gap + val_size])
-        for stop in stops
-        if stop + gap + val_size <= len(axis)
-    ]
-
-
-def with_period_folds(df: DataFrame, panel: Panel, splits: Sequence[tuple[list, list]]) -> DataFrame:
-    """Rows repeated for every fold they take part in, with `fold` (from 1) and `role`."""
-    kind = df.schema[panel.period].dataType.simpleString()
-    rows = [
-        (p, i, role)
-        for i, (train, validation) in enumerate(splits, 1)
-        for role, chosen in (("train", train), ("validation", validation))
-        for p in chosen
-    ]
-    table = df.sparkSession.createDataFrame(rows, f"{panel.period} {kind}, fold int, role string")
-    return df.join(F.broadcast(table), panel.period).select(*df.columns, "fold", "role")
+    axis = period_axis(df, panel).withColumn("_free", F.col("last_idx") + 1 - (min_train_size + gap + val_size))
+    folds = F.least(F.lit(n_splits), F.col("_free") + 1)
+    step = F.when(folds > 1, F.greatest(F.lit(1), F.expr("_free div greatest(1, least(%d, _free + 1) - 1)" % n_splits))).otherwise(1)
+    per_fold = axis.where(F.col("_free") >= 0).select(
+        panel.period, "period_idx", "_free", (step * 1).alias("_step"), F.explode(F.sequence(F.lit(1), folds.cast("int"))).alias("fold"))
+    ahead = F.col("period_idx") - (min_train_size + (F.col("fold") - 1) * F.col("_step"))
+    trains = (ahead < 0) if strategy == "expanding" else (ahead < 0) & (ahead >= -min_train_size)
+    role = F.when(trains, "train").when((ahead >= gap) & (ahead < gap + val_size), "validation")
+    fits = (F.col("fold") - 1) * F.col("_step") <= F.col("_free")
+    return per_fold.where(fits).select(panel.period, "fold", role.alias("role")).where("role is not null")
+
+
+def with_temporal_folds(df: DataFrame, panel: Panel, n_splits: int, **sizes) -> DataFrame:
+    """Rows repeated for every temporal fold they take part in, with `fold` (from 1) and `role`."""
+    table = small_side(temporal_folds(df, panel, n_splits, **sizes))
+    return df.join(table, panel.period).select(*df.columns, "fold", "role")
 
 
 def feature_columns(

@@ -19,7 +19,7 @@ from mensula.operators.ranks import Ranking, keys_at_ranks, sort_key, with_place
 from mensula.panel import Panel
 from mensula.sizing import small_side
 
-AGGREGATES = {"max": F.max, "min": F.min, "avg": F.avg}
+AGGREGATES = {"max": F.max, "min": F.min, "avg": lambda c: F.avg(F.col(c).cast("double"))}
 
 
 def lags(panel: Panel, columns: Iterable[str], n: int = 1) -> list[Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mensula.sizing import BROADCAST_ROWS, small_side
+from mensula.sizing import small_side
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -52,13 +52,13 @@ def with_columns(df: DataFrame, *groups: Column | Iterable[Column]) -> DataFrame
 def numeric_columns(
     df: DataFrame, exclude: Iterable[str] = (), integers: bool = True
 ) -> list[str]:
-    """Non-string columns that are not excluded; `integers=False` leaves whole numbers out."""
+    """Number columns that are not excluded; `integers=False` leaves whole numbers out. Flags, dates and nested columns are no numbers."""
     skipped = set(exclude)
     return [
         f.name
         for f in df.schema.fields
         if f.name not in skipped
-        and not isinstance(f.dataType, T.StringType)
+        and isinstance(f.dataType, T.NumericType)
         and (integers or not isinstance(f.dataType, INTEGRAL))
     ]
 
@@ -119,15 +119,11 @@ def duplicate_keys(df: DataFrame, panel: Panel) -> DataFrame:
 def densify(df: DataFrame, panel: Panel) -> DataFrame:
     """Every entity at every observed period; measures are NULL where no row existed.
 
-    The grid comes from exploding the period list for each entity, then one left join. An
-    entity gets a row per period, so a list past the broadcast bound is refused.
+    The grid comes from exploding the list of periods, computed inside the same plan, for each
+    entity, then one left join. An entity gets a row per period: the result itself is entities
+    times periods, and nothing else in the library builds on it. NULL entities and periods have no place in it.
     """
-    found = distinct_values(df, panel.period).limit(BROADCAST_ROWS + 1).collect()
-    if len(found) > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} periods: a grid would repeat each for every entity")
-    periods = sorted(r[0] for r in found if r[0] is not None)
-    kind = df.schema[panel.period].dataType
-    axis = F.array(*[F.lit(p).cast(kind) for p in periods])
+    axis = distinct_values(df, panel.period).agg(F.array_sort(F.collect_set(panel.period)).alias("periods")).scalar()
     grid = (
         distinct_values(df, panel.entity)
         .where(F.col(panel.entity).isNotNull())

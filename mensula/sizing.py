@@ -9,17 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
+FIRST_ROWS = 4_096
 
 
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """A broadcast copy of `df` when it has at most `max_rows` rows, else `df` itself.
+def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast copy of `df` when it has at most `max_rows` rows and about `max_bytes` bytes, else `df` itself.
 
-    The rows are computed once. A table above the bound stays an ordinary join side that
-    Spark shuffles, so the result is the same either way.
+    A first few rows tell how wide rows are; more are fetched only as far as the bytes allow. A
+    table above the bounds stays an ordinary join side that Spark shuffles, so the
+    result is the same either way.
     """
     bound = BROADCAST_ROWS if max_rows is None else max_rows
-    rows = df.limit(bound + 1).toArrow()
-    if rows.num_rows > bound:
+    step = min(bound, FIRST_ROWS)
+    rows = df.limit(step + 1).toArrow()
+    if rows.num_rows > step and step < bound:
+        bound = min(bound, int(max_bytes / max(rows.nbytes / rows.num_rows, 1)))
+        if bound < rows.num_rows:
+            return df
+        rows = df.limit(bound + 1).toArrow()
+    if rows.num_rows > bound or rows.nbytes > max_bytes:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 

@@ -10,22 +10,22 @@ from pyspark.sql import types as T
 
 
 def csv_schema(
-    spark: SparkSession, path: str, wide_integers_kept: Iterable[str] = (), sampling: float = 1.0
+    spark: SparkSession, path: str, wide_integers_as_doubles: Iterable[str] = (), sampling: float = 1.0
 ) -> T.StructType:
     """Header and types of a CSV: integer, double or string for every column.
 
-    Integers too large for 32 bits become doubles, except in the columns named; whatever
-    else Spark infers (dates, booleans) stays text. Inference is a pass over the file:
+    Integers too large for 32 bits stay whole numbers of 64 bits, except in the columns named, which become
+    doubles, so that keys keep their digits; whatever else Spark infers (dates, booleans) stays text. Inference is a pass over the file:
     give `read_csv` a schema where one is known.
     """
-    kept = set(wide_integers_kept)
+    as_doubles = set(wide_integers_as_doubles)
     inferred = spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling).schema
 
     def narrowed(field: T.StructField) -> T.DataType:
         kind = field.dataType
         if isinstance(kind, (T.IntegerType, T.DoubleType)):
             return kind
-        if isinstance(kind, T.LongType) and field.name in kept:
+        if isinstance(kind, T.LongType) and field.name not in as_doubles:
             return kind
         if isinstance(kind, (T.LongType, T.DecimalType)):
             return T.DoubleType()
@@ -38,11 +38,11 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
-    wide_integers_kept: Iterable[str] = (),
+    wide_integers_as_doubles: Iterable[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
     """CSV with a header. A compressed file is read by one task: set `partitions` to spread it."""
-    known = schema if schema is not None else csv_schema(spark, path, wide_integers_kept)
+    known = schema if schema is not None else csv_schema(spark, path, wide_integers_as_doubles)
     df = spark.read.csv(path, header=True, schema=known, mode="FAILFAST")
     return df.repartition(partitions) if partitions else df
 

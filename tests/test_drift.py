@@ -71,7 +71,7 @@ def test_empty_bins(spark):
 
 def test_bins_close_only_the_last_edge(spark):
     df = frame(spark, [0.0, 1.0, 2.0], [-1.0, 0.0, 0.5, 1.0, 2.0, 3.0, None])
-    rows = D.bin_counts(df, "s", "e", "a", ["v"], buckets=2).orderBy("bin").collect()
+    rows = D.bin_counts(df, "s", "e", "a", ["v"], buckets=2, labelled=False).orderBy("bin").collect()
     assert [(r["left_edge"], r["right_edge"], r["n_expected"], r["n_actual"]) for r in rows] == [
         (0.0, 1.0, 1, 2), (1.0, 2.0, 2, 2)]
 
@@ -86,3 +86,11 @@ def test_nan_counts_as_null(spark):
     assert D.null_shares(df, "s", "e", "a").first()["expected_pct"] == 50.0
     zero = D.zero_shares(df.withColumn("t", F.lit("0")), "s", "e", "a").collect()
     assert [(r["feature"], r["actual_pct"]) for r in zero] == [("v", 50.0), ("t", 0.0)]
+
+
+def test_histogram_of_many_edges(spark):
+    values = spark.range(1000).select(F.lit("v").alias("feature"), F.col("id").cast("double").alias("value"))
+    edges = spark.createDataFrame([("v", [float(x) for x in range(0, 1001, 20)])], "feature string, edges array<double>")
+    rows = D.histogram(values, edges).collect()
+    assert sorted((r["bin"], r["n"]) for r in rows) == [(i, 20) for i in range(50)]
+    assert D.histogram(values, edges.limit(0)).count() == 0

@@ -151,7 +151,7 @@ def test_accelerations_need_deltas(spark):
 
 
 def test_column_choice(spark):
-    df = spark.createDataFrame([(1, 2.0, "x", 3)], "a int, b double, c string, d long")
+    df = spark.createDataFrame([(1, 2.0, "x", 3, True, [1])], "a int, b double, c string, d long, e boolean, f array<int>")
     assert numeric_columns(df, ["a"]) == ["b", "d"]
     assert numeric_columns(df, integers=False) == ["b"]
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from mensula import fixtures as fx
+from checks import fixtures as fx
 from mensula.operators import gain, targets, windows
 from mensula.operators.combine import append_period
 from mensula.operators.ranks import Ranking, keys_at_ranks, top_rows, with_rank

@@ -126,3 +126,17 @@ def test_long_search_equals_short_compare(spark, monkeypatch):
     monkeypatch.setattr(ranks, "SHORT_ARRAY", 100)
     short = ranks.with_place(keys, "a", F.col("k"), "n", 67, closed=False)
     assert {r["k"]: r["n"] for r in short.collect()} == {k: sum(v < k for v in range(0, 200, 3)) for k in range(-2, 206)}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_buckets_follow_the_size_of_each_group(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr(ranks, "small_side", lambda df: df)
+    rows = spark.range(110_000).select(
+        F.when(F.col("id") < 100_000, F.lit(0)).otherwise(F.col("id")).alias("g"), F.xxhash64("id").alias("v"), "id")
+    ranking = ranks.Ranking("v", ("id",), ("g",), rows_per_bucket=500)
+    sizes = ranks.with_buckets(rows, ranking).groupBy("g", "_bucket").count()
+    found = sizes.agg(F.max("count"), F.count("*")).first()
+    assert found[0] <= 1_000 and found[1] >= 10_000 + 150
+    top = ranks.with_rank(rows, ranking).where("g = 0").agg(F.max("rank"), F.count_distinct("rank")).first()
+    assert tuple(top) == (100_000, 100_000)

@@ -1,8 +1,6 @@
 """Training sets: counts, repeatability, temporal order."""
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from mensula import Panel
@@ -60,23 +58,31 @@ def test_feature_columns(panel):
     assert K.feature_columns(df, P, keep_entity=True) == ["e", "x"]
 
 
-def test_temporal_folds_by_hand():
-    months = list(range(1, 9))
-    assert K.period_splits(months, 3, "expanding", 2, 1, 1) == [
-        ([1, 2], [4]), ([1, 2, 3, 4], [6]), ([1, 2, 3, 4, 5, 6], [8])]
-    assert K.period_splits(months, 3, "rolling", 2, 1, 1)[1] == ([3, 4], [6])
-    assert K.period_splits(months, 1, min_train_size=3) == [([1, 2, 3], [4])]
-    assert K.period_splits([1, 2, 3], 5) == [([1, 2], [3])]
-    assert K.period_splits([1, 2], 2) == []
+def plan_of(spark, n, folds, **sizes):
+    """[(train places, validation places)] of an axis of `n` periods."""
+    axis = spark.range(n).select(F.lit(1).alias("c"), F.col("id").cast("int").alias("m"))
+    out = {}
+    for r in K.temporal_folds(axis, Panel("c", "m"), folds, **sizes).orderBy("fold", "m").collect():
+        out.setdefault(r["fold"], {"train": [], "validation": []})[r["role"]].append(r["m"])
+    assert sorted(out) == list(range(1, len(out) + 1))
+    return [(out[f]["train"], out[f]["validation"]) for f in sorted(out)]
+
+
+def test_temporal_folds_by_hand(spark):
+    three = {"min_train_size": 2, "val_size": 1, "gap": 1}
+    assert plan_of(spark, 8, 3, **three) == [([0, 1], [3]), ([0, 1, 2, 3], [5]), ([0, 1, 2, 3, 4, 5], [7])]
+    assert plan_of(spark, 8, 3, strategy="rolling", **three)[1] == ([2, 3], [5])
+    assert plan_of(spark, 8, 1, min_train_size=3) == [([0, 1, 2], [3])]
+    assert plan_of(spark, 3, 5) == [([0, 1], [2])]
+    assert plan_of(spark, 2, 2) == []
     with pytest.raises(ValueError):
-        K.period_splits(months, 2, "sideways")
+        plan_of(spark, 8, 2, strategy="sideways")
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.integers(1, 30), st.integers(1, 8), st.sampled_from(["expanding", "rolling"]),
-       st.integers(1, 5), st.integers(1, 3), st.integers(0, 3))
-def test_training_precedes_validation(n, folds, strategy, train, validation, gap):
-    splits = K.period_splits(list(range(n)), folds, strategy, train, validation, gap)
-    assert len(splits) <= folds
+@pytest.mark.parametrize("n,folds,strategy,train,validation,gap", [
+    (30, 8, "expanding", 5, 3, 3), (30, 8, "rolling", 5, 3, 3), (7, 3, "expanding", 1, 1, 0), (12, 4, "rolling", 2, 2, 1), (9, 9, "rolling", 1, 1, 2)])
+def test_training_precedes_validation(spark, n, folds, strategy, train, validation, gap):
+    splits = plan_of(spark, n, folds, strategy=strategy, min_train_size=train, val_size=validation, gap=gap)
+    assert 0 < len(splits) <= folds
     for before, after in splits:
         assert max(before) + gap + 1 == min(after) and len(after) == validation and len(before) >= train

@@ -15,11 +15,11 @@ def test_csv_types(spark, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text("id,big,text,day,flag,amount\n1,9000000000,x,2024-01-01,true,1.5\n2,5,,2024-01-02,false,\n")
     df = readers.read_csv(spark, str(path))
-    assert dict(df.dtypes) == {"id": "int", "big": "double", "text": "string", "day": "string", "flag": "string",
+    assert dict(df.dtypes) == {"id": "int", "big": "bigint", "text": "string", "day": "string", "flag": "string",
                                "amount": "double"}
     assert df.where("id = 2").first()["text"] is None
     assert df.first()["day"] == "2024-01-01"
-    assert dict(readers.read_csv(spark, str(path), wide_integers_kept=["big"]).dtypes)["big"] == "bigint"
+    assert dict(readers.read_csv(spark, str(path), wide_integers_as_doubles=["big"]).dtypes)["big"] == "double"
 
 
 def test_unknown_suffix(spark):
@@ -77,6 +77,12 @@ def test_small_side_bound(spark):
     assert small_side(df, 9) is df
 
 
+def test_small_side_counts_bytes(spark):
+    wide = spark.range(5_000).select("id", F.sequence(F.lit(0), F.lit(99)).alias("a"))
+    assert small_side(wide, max_bytes=1 << 20) is wide
+    assert small_side(wide, max_bytes=64 << 20).count() == 5_000
+
+
 def test_settled_rows_are_written(spark):
     df = settle(spark.range(5).withColumn("r", F.rand()))
     assert df.collect() == df.collect()
