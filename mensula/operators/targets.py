@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mensula.panel import Panel, with_period_index
+from mensula.panel import Panel, guarded, with_period_index
 
 # Class names of the ternary label.
 LEAVES_FIRST, LEAVES_SECOND, STAYS = "baja+1", "baja+2", "continua"
@@ -18,10 +18,9 @@ LEAVES_FIRST, LEAVES_SECOND, STAYS = "baja+1", "baja+2", "continua"
 def _absences(df: DataFrame, panel: Panel) -> DataFrame:
     """Adds `_gone_1`, `_gone_2`: absent one and two observed periods later.
 
-    Past the last observed period nothing counts as absence. A repeated key raises.
+    Past the last observed period nothing counts as absence. A repeated or NULL key raises.
     """
-    known = df.where(F.col(panel.entity).isNotNull())
-    indexed = with_period_index(known, panel)
+    indexed = with_period_index(df, panel)
     at = F.col("period_idx")
     first = F.lead(at, 1).over(panel.history)
     second = F.lead(at, 2).over(panel.history)
@@ -36,7 +35,8 @@ def _absences(df: DataFrame, panel: Panel) -> DataFrame:
         return (at + k <= F.col("last_idx")) & ~seen
 
     checked = F.when(repeated, F.raise_error(message).cast("boolean"))
-    return indexed.select("*", checked.otherwise(gone(1)).alias("_gone_1"), gone(2).alias("_gone_2"))
+    return indexed.select(
+        "*", guarded(checked.otherwise(gone(1)), panel).alias("_gone_1"), guarded(gone(2), panel).alias("_gone_2"))
 
 
 def _labelled(df: DataFrame, panel: Panel, labels: list[Column], complete: bool) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from mensula.functions.columns import flag
 from mensula.operators.ranks import Ranking, keys_at_ranks, sort_key, with_place
-from mensula.panel import Panel
+from mensula.panel import Panel, guarded
 from mensula.sizing import small_side
 
 AGGREGATES = {"max": F.max, "min": F.min, "avg": lambda c: F.avg(F.col(c).cast("double"))}
@@ -67,13 +67,13 @@ def expand(
 
     Each earlier value is fetched once; deltas and short rolling aggregates are arithmetic
     on the fetched values, compiled, instead of a moving frame per aggregate. `also` joins
-    further window Columns to the same step.
+    further window Columns to the same step. A NULL key raises.
     """
     short = window <= LONGEST_LAG_WINDOW
     depth = max(lags_n, deltas_n, window if short else 0)
     history = panel.history
     fetched = [
-        F.lag(c, i).over(history).alias(f"{c}_lag_{i}" if i <= lags_n else f"_{c}_lag_{i}")
+        guarded(F.lag(c, i).over(history), panel).alias(f"{c}_lag_{i}" if i <= lags_n else f"_{c}_lag_{i}")
         for c in columns for i in range(1, depth + 1)
     ]
     framed = [] if short else rolling(panel, columns, window)

@@ -87,6 +87,21 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"columns not in the table: {missing}")
 
 
+def unkeyed(df: DataFrame, panel: Panel) -> DataFrame:
+    """Rows whose entity or period is NULL. They belong to no history; take them apart before history operators."""
+    return df.where(F.col(panel.entity).isNull() | F.col(panel.period).isNull())
+
+
+def guarded(value: Column, panel: Panel) -> Column:
+    """`value`, which raises on rows with a NULL entity or period when it is read.
+
+    Otherwise all rows with a NULL entity would pass for one entity, with one another's history and in one task.
+    """
+    missing = F.col(panel.entity).isNull() | F.col(panel.period).isNull()
+    message = F.lit(f"NULL in key column {panel.entity} or {panel.period}: take `unkeyed` rows apart first")
+    return F.when(missing, F.raise_error(message)).otherwise(value)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct periods or entities."""
     return df.select(column).distinct()
@@ -107,8 +122,8 @@ def period_axis(df: DataFrame, panel: Panel) -> DataFrame:
 
 
 def with_period_index(df: DataFrame, panel: Panel) -> DataFrame:
-    """Attach `period_idx` and `last_idx`; the axis is broadcast when its size is checked."""
-    return df.join(small_side(period_axis(df, panel)), panel.period)
+    """Attach `period_idx` and `last_idx`, NULL for a NULL period; the axis is broadcast when its size is checked."""
+    return df.join(small_side(period_axis(df, panel)), panel.period, "left")
 
 
 def duplicate_keys(df: DataFrame, panel: Panel) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from mensula import Panel
 from mensula.functions import columns as C
 from mensula.operators import profile, targets, windows
-from mensula.panel import columns_like, duplicate_keys, numeric_columns, require_columns, with_columns
+from mensula.panel import columns_like, duplicate_keys, numeric_columns, require_columns, unkeyed, with_columns
 
 P = Panel("e", "t")
 
@@ -51,11 +51,6 @@ def test_repeated_key_raises(spark):
         targets.binary_target(df, P).collect()
 
 
-def test_rows_without_entity_have_no_target(spark):
-    df = spark.createDataFrame([(None, 1), (1, 1), (None, 1)], "e int, t int")
-    assert targets.binary_target(df, P).count() == 1
-
-
 def test_single_row_windows_are_null(spark):
     df = spark.createDataFrame([(1, 1, 5.0)], "e int, t int, v double")
     out = with_columns(df, windows.lags(P, ["v"]), windows.momentum(P, ["v"]), windows.volatility(P, ["v"]))
@@ -163,3 +158,25 @@ def test_cardinality_counts_values_not_nulls(spark):
     assert {r["variable"]: r["n_distinct"] for r in profile.cardinality(df, 10).collect()} == {
         "nine": 9, "none": 0, "nan": 1}
     assert profile.low_cardinality_columns(df, 11) == ["nine", "ten", "none", "late", "nan"]
+
+
+def test_null_keys_are_refused_and_can_be_taken_apart(spark):
+    df = spark.createDataFrame([(1, 1, 5.0), (None, 1, 6.0), (None, 2, 7.0), (2, None, 8.0)], "e int, t int, v double")
+    panel = Panel("e", "t")
+    for build in (lambda d: windows.expand(d, panel, ["v"]), lambda d: targets.churn_targets(d, panel)):
+        with pytest.raises(Exception, match="NULL in key column"):
+            build(df).collect()
+    assert unkeyed(df, panel).count() == 3
+    assert windows.expand(df.exceptAll(unkeyed(df, panel)), panel, ["v"]).count() == 1
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "float", "double", "decimal(10,2)"])
+def test_types_do_not_depend_on_the_window(spark, kind):
+    df = spark.range(20).select(F.lit(1).alias("e"), F.col("id").alias("t"), F.col("id").cast(kind).alias("v"))
+    panel, found = Panel("e", "t"), []
+    for window in (12, 13):
+        out = windows.expand(df, panel, ["v"], window=window)
+        found.append([dict(out.dtypes)[f"v_{k}_{window}"] for k in ("max", "min", "avg")])
+        mean = out.where("t = 15").first()[f"v_avg_{window}"]
+        assert mean == pytest.approx(sum(range(15 - window, 15)) / window)
+    assert found[0] == found[1] and found[0][2] == "double"
