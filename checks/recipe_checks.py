@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.views import sql
 from checks import fixtures as fx
-from mensula.functions.columns import CARD_STATUS
+from mensula.functions.columns import CARD_STATUS, amount_count_pairs
 from mensula.plans.recipes import BANK_PANEL, BANK_RECIPE, build_features
 
 R = BANK_RECIPE
@@ -27,16 +27,24 @@ def late_features(spark, sf):
                       *[F.round(c, 6).alias(c) for c in ROUNDED[1]])
 
 
+_cards = {f"{brand}_{m}" for m in fx.CARD_MEASURES for brand in ("Visa", "Master")}
+_dates = {c for a, b, _ in R.date_triples for c in (a, b)}
+MEASURES = [c for c in fx.bank_columns(R) if c not in _cards | _dates | set(R.not_expanded)] + [f"{m}_tc" for m in fx.CARD_MEASURES]
+PAIRS = amount_count_pairs(MEASURES)
+EXPANDED = [*MEASURES, *[f"ratio_{m}_{c}" for m, c in PAIRS], *[n for _, spec in R.steps for n in spec]]
+FAMILIES = ("", "_lag_1", "_lag_2", "_delta_1", "_delta_2", "_max_3", "_min_3", "_avg_3")
+EVERY = [f"{c}{family}" for c in EXPANDED for family in FAMILIES]
+
+
 def all_features(spark, sf):
-    """Every column of the build, condensed: filled cells per family of columns."""
+    """Filled cells and total of every measure and of everything expanded from it."""
     out = build_features(fx.bank_months(spark, sf, R), BANK_PANEL, R)
-    families = {s: [c for c in out.columns if c.endswith(s)]
-                for s in ("_lag_1", "_lag_2", "_delta_1", "_delta_2", "_max_3", "_min_3", "_avg_3")}
-    cells = [sum((F.col(c).isNotNull().cast("long") for c in names), F.lit(0)) for names in families.values()]
-    per_row = out.select(*[c.alias(n) for n, c in zip(families, cells)])
-    filled = per_row.agg(*[F.sum(n).alias(n) for n in families])
-    return filled.unpivot([], list(families), "family", "n_filled").withColumn(
-        "n_columns", F.element_at(F.create_map(*[F.lit(x) for n, cs in families.items() for x in (n, len(cs))]), F.col("family")))
+    families = [c for c in out.columns if c.endswith(FAMILIES[1:])]
+    assert set(families) <= set(EVERY), sorted(set(families) - set(EVERY))
+    cells = out.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in EVERY])).alias("i", "v"))
+    names = F.array(*[F.lit(c) for c in EVERY])
+    return cells.groupBy("i").agg(F.count("v").alias("n_filled"), F.round(F.sum("v"), 4).alias("total")).select(
+        F.get(names, F.col("i")).alias("feature"), "n_filled", "total")
 
 
 def _raw():
@@ -76,11 +84,33 @@ FLAG_SQL = {
 }
 
 
-def late_sql():
+def _steps():
+    """CTEs up to all row-wise columns, and the name of the last one."""
     parts = [_raw(), _card()]
     for i, (kind, spec) in enumerate(R.steps):
         parts.append(f"s{i + 1} as (select *, {', '.join(_step(kind, spec))} from s{i})")
-    last = f"s{len(R.steps)}"
+    return parts, f"s{len(R.steps)}"
+
+
+def all_sql():
+    parts, last = _steps()
+    key, time = BANK_PANEL.keys
+    shares = [f"{m} / (c0 + 0.01::double) as ratio_{m}_{c}".replace("c0", c) for m, c in PAIRS]
+    parts.append(f"base as (select {key}, {time}, {', '.join(f'cast({c} as double) as {c}' for c in EXPANDED if not c.startswith('ratio_m'))}, "
+                 f"{', '.join(shares)} from {last})")
+    cells = []
+    for c in EXPANDED:
+        cells += [c, f"lag({c}, 1) over w", f"lag({c}, 2) over w", f"{c} - lag({c}, 1) over w", f"{c} - lag({c}, 2) over w",
+                  f"max({c}) over p3", f"min({c}) over p3", f"avg({c}) over p3"]
+    part = f"partition by {key} order by {time}"
+    parts.append(f"cells as (select {', '.join(f'{cell} as v{i}' for i, cell in enumerate(cells))} from base window w as ({part}), "
+                 f"p3 as ({part} rows between 3 preceding and 1 preceding))")
+    rows = ", ".join(f"struct_pack(f := '{name}', n := count(v{i}), t := round(sum(v{i}), 4))" for i, name in enumerate(EVERY))
+    return sql("p_ud", f"select r.f as feature, r.n as n_filled, r.t as total from (select unnest([{rows}]) as r from cells)", *parts)
+
+
+def late_sql():
+    parts, last = _steps()
     key, time = BANK_PANEL.keys
     flags = [f"case when {FLAG_SQL[k].format(c)} then 1 else 0 end as {n}" for n, (k, c) in R.behaviour.items()]
     parts.append(f"fl as (select *, {', '.join(flags)}, row_number() over w as ri from {last} "
@@ -114,5 +144,5 @@ def late_sql():
 
 CHECKS = {
     "recipe_late_features": (late_features, late_sql()),
-    "recipe_all_features": (all_features, None),
+    "recipe_all_features": (all_features, all_sql()),
 }
