@@ -5,9 +5,8 @@ A line whose estimate is clearly at or above the threshold is boilerplate, one c
 not, and the lines near the threshold get an exact distinct count. Boilerplate stays where it
 stands first (smallest key, then place) and goes everywhere else.
 
-All built-in functions, no Python. Sketches are small and merge map-side, so a line that a third of the
-documents carry is some partial sketches to its reducer. Lines seen once or at one site only can
-not be boilerplate and get no sketch. Texts are not exploded for the removal: only documents that lose lines
+All built-in functions, no Python. Lines are first summed up per site, map-side, so a line that a third of the
+documents carry is a row per site and its sketches merge from few rows. Texts are not exploded for the removal: only documents that lose lines
 get the list of their places, by a join on the document's own hash.
 """
 
@@ -58,31 +57,25 @@ def _lines(df: DataFrame, key: str, text: str, site: str, config: Config) -> Dat
 
 
 def boilerplate(lines: DataFrame, config: Config = Config()) -> DataFrame:
-    """`line` of all lines at `min_sites` or more distinct sites. A NULL site counts for none."""
+    """`line` of all lines at `min_sites` or more distinct sites, and `first`, where each stands first. A NULL site counts for none."""
     low, high = config.band
-    many = lines.groupBy("line").agg(F.min("site").alias("a"), F.max("site").alias("b")).where("a < b").select("line")
-    spread = (
-        lines.join(many, "line", "left_semi").groupBy("line")
-        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", config.lg_k)).alias("sites"))
-        .where(F.col("sites") >= low)
-    )
-    spread = settle(spread)
-    near = spread.where(F.col("sites") <= high).select("line")
-    exact = (
-        lines.join(near, "line", "left_semi").where("site is not null").groupBy("line", "site").agg(F.lit(1).alias("one"))
-        .groupBy("line").agg(F.count("*").alias("sites")).where(F.col("sites") >= config.min_sites).select("line")
+    order = F.struct(F.col("k").isNull().alias("no_key"), "k", "doc", "place")
+    # Summed up per site before anything else, so that a line in very many documents is a few rows from here on.
+    pairs = settle(lines.groupBy("line", "site").agg(F.min(order).alias("first")))
+    spread = settle(
+        pairs.groupBy("line").agg(F.hll_sketch_agg("site", config.lg_k).alias("sketch"), F.min("first").alias("first"))
+        .select("line", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= low)
     )
-    return spread.where(F.col("sites") > high).select("line").unionByName(exact)
+    near = spread.where(F.col("sites") <= high).select("line", "first")
+    exact = pairs.where("site is not null").groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= config.min_sites)
+    return spread.where(F.col("sites") > high).select("line", "first").unionByName(near.join(exact.select("line"), "line"))
 
 
 def removals(df: DataFrame, config: Config = Config(), key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """`doc`, `k`, `places`: which lines each document loses (from 0); documents that lose none are left out."""
     lines = settle(_lines(df, key, text, site, config))
-    found = settle(boilerplate(lines, config))
-    hits = lines.join(found, "line", "left_semi")
-    order = F.struct(F.col("k").isNull().alias("no_key"), "k", "doc", "place")
-    first = hits.groupBy("line").agg(F.min(order).alias("first"))
-    gone = hits.join(first, "line").where((F.col("doc") != F.col("first.doc")) | (F.col("place") != F.col("first.place")))
+    gone = lines.join(settle(boilerplate(lines, config)), "line").where(
+        (F.col("doc") != F.col("first.doc")) | (F.col("place") != F.col("first.place")))
     return gone.groupBy("doc", "k").agg(F.collect_set("place").alias("places"))
 
 
