@@ -222,7 +222,7 @@ def folds(spark, sf):
 
 
 def distinct_counts(spark, sf):
-    return R.cardinality(fx.label_docs(spark, sf).drop("doc_id"), 5000)
+    return R.distinct_counts(fx.table(spark, sf, "lineitem"), LI)
 
 
 def count_rows(table, names):
@@ -289,7 +289,7 @@ CHECKS = {
     "O4_top_trials": (best_trials, sql("", """select trial_number, value, num_leaves from trials where value is not null
         order by value desc, trial_number limit 5""", TRIALS)),
     "O5_A4_best_trial": (best_trial, sql("", "select * from trials where value is not null order by value desc, trial_number limit 1", TRIALS)),
-    "A1_distinct_counts": (distinct_counts, sql("l_doc", few_sql("l_doc", ("quality", "toxic", "n_chars"), 5000))),
+    "A1_distinct_counts": (distinct_counts, few_sql("lineitem", LI, 10**12)),
     "A2_mean_by_study": (study_means, sql("s_long", """select study, count(*) as n_models, avg(g1) as gain_test1_mean, avg(g2) as gain_test2_mean
         from (select study, seed, sum(y) as g1, count(*) as g2 from s_long group by all) group by 1""")),
     "A3_fold_summary": (folds, sql("s_long", """select study, round(avg(g), 6) as gain_mean, round(stddev_pop(g), 6) as gain_std,

@@ -37,7 +37,7 @@ def _told_apart(df: DataFrame, column: str) -> Column:
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return (F.col(column) + F.lit(0.0)).cast("string")
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-        return F.to_json(F.struct(column))
+        return F.when(F.col(column).isNotNull(), F.to_json(F.struct(column)))
     return F.col(column).cast("string")
 
 
@@ -80,6 +80,20 @@ def cardinality(df: DataFrame, max_unique: int = 10, columns: Iterable[str] | No
     )
 
 
+def distinct_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """(variable, n_distinct) of every column, exactly; NULL is not counted, NaN counts once, zero has no sign.
+
+    Equal values meet map-side first and are spread over tasks by column and value together, so
+    neither a wide column nor a very common value lands in one task. A column without values counts 0.
+    """
+    names = list(columns if columns is not None else df.columns)
+    cells = F.array(*[_told_apart(df, c) for c in names])
+    values = df.select(F.posexplode(cells).alias("i", "v")).where("v is not null").groupBy("i", "v").agg(F.lit(1).alias("one"))
+    counts = values.groupBy("i").agg(F.count("*").alias("n"))
+    every = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, variable string")
+    return every.join(counts, "i", "left").select("variable", F.coalesce("n", F.lit(0)).alias("n_distinct"))
+
+
 def low_cardinality_columns(
     df: DataFrame, max_unique: int = 10, columns: Iterable[str] | None = None
 ) -> list[str]:

@@ -180,3 +180,11 @@ def test_types_do_not_depend_on_the_window(spark, kind):
         mean = out.where("t = 15").first()[f"v_avg_{window}"]
         assert mean == pytest.approx(sum(range(15 - window, 15)) / window)
     assert found[0] == found[1] and found[0][2] == "double"
+
+
+def test_distinct_counts_of_every_column(spark):
+    df = spark.range(3000).select(
+        "id", (F.col("id") % 7).cast("double").alias("seven"), F.lit(None).cast("string").alias("none"),
+        F.when(F.col("id") % 2 == 0, float("nan")).otherwise(-0.0).alias("two"), F.array(F.col("id") % 3).alias("nested"))
+    got = {r["variable"]: r["n_distinct"] for r in profile.distinct_counts(df).collect()}
+    assert got == {"id": 3000, "seven": 7, "none": 0, "two": 2, "nested": 3}
