@@ -117,8 +117,12 @@ def ensembles(spark, sf):
 
 
 def seed_test(spark, sf):
-    df = fx.scores(spark, sf).where("study = 1")
-    return rounded(G.seed_report(df, gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET), 6, "pct_contacted")
+    """A report per study: it takes the scores of one ensemble."""
+    reports = [
+        G.seed_report(fx.scores(spark, sf).where(F.col("study") == study), gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET)
+        .withColumn("study", F.lit(study)) for study in range(3)
+    ]
+    return rounded(B.stack(*reports), 6, "pct_contacted")
 
 
 def results(spark, sf):
@@ -146,8 +150,8 @@ def semi(spark, sf):
 
 
 def agreement(spark, sf):
-    df = uneven(spark, sf).where("seed = 0")
-    return B.key_agreement(df.where("study = 0"), df.where("study = 1"), ["entity"])
+    df = uneven(spark, sf)
+    return B.key_agreement(df.where("study <= 1"), df.where("study >= 1"), ["entity", "seed"])
 
 
 def ranked(spark, sf):
@@ -245,11 +249,11 @@ CHECKS = {
                + sum(case when study = 2 then proba end)) / 3, max(y) from per_study group by 1, 2
            union all select split, entity, 'study_' || study, proba, y from per_study)""",
         running("split, strategy", "ens"), f"peaks as ({peak('split, strategy')})")),
-    "E13_seed_report": (seed_test, sql("s_long", "select model, n_rows, gain, n_contacts, "
+    "E13_seed_report": (seed_test, sql("s_long", "select study, model, n_rows, gain, n_contacts, "
         "round(n_contacts * 100.0::double / n_rows, 6) as pct_contacted from peaks",
-        """models as (select cast(seed as varchar) as model, entity, y, proba from s_long where study = 1
-           union all select 'mean', entity, max(y), avg(proba) from s_long where study = 1 group by entity)""",
-        running("model", "models"), f"peaks as ({peak('model')})")),
+        """models as (select study, cast(seed as varchar) as model, entity, y, proba from s_long
+           union all select study, 'mean', entity, max(y), avg(proba) from s_long group by study, entity)""",
+        running("study, model", "models"), f"peaks as ({peak('study, model')})")),
     "E14_model_results": (results, sql("s_long", """select study, seed, n_rows, n_class_0, n_class_1,
         gain_test1, n_contacts_test1, gain_test2, n_contacts_test2 from
         (select study, seed, count(*) as n_rows, count(*) filter (y = 0) as n_class_0, count(*) filter (y = 1) as n_class_1
@@ -274,8 +278,8 @@ CHECKS = {
         where o_custkey in (select c_custkey from customer where c_acctbal > 5000)"""),
     "J6_key_agreement": (agreement, sql("s_long", """select count(*) filter (a.entity is not null and b.entity is not null) as n_both,
         count(*) filter (b.entity is null) as n_only_left, count(*) filter (a.entity is null) as n_only_right
-        from (select entity from s_long where study = 0 and seed = 0 and entity % 7 != 0) a
-        full join (select entity from s_long where study = 1 and seed = 0 and (entity + 1) % 7 != 0) b using (entity)""")),
+        from (select distinct entity, seed from s_long where study <= 1 and (entity + study) % 7 != 0) a
+        full join (select distinct entity, seed from s_long where study >= 1 and (entity + study) % 7 != 0) b using (entity, seed)""")),
     "O1_rank_by_score": (ranked, sql("s_long", """select entity, study, seed,
         row_number() over (partition by study, seed order by proba desc, entity) as rank,
         count(*) over (partition by study, seed) as n_rows from s_long""")),
