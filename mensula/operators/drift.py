@@ -104,43 +104,60 @@ def quantile_edges(
     return edges.select("feature", label_edges(F.col("edges")).alias("edges")) if labelled else edges
 
 
+# Bins of values that no bin takes.
+NULL_BIN, OUTSIDE = -1, -2
+
+
+def _binned(long: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows per (by, feature, bin), NULL values and values outside the edges in bins of their own."""
+    most_edges = edges.agg(F.max(F.size("edges"))).first()[0] or 0
+    placed = with_place(long.join(edges, "feature", "left"), "edges", F.col("value"), "_below", most_edges)
+    last = F.coalesce(F.size("edges"), F.lit(0)) - 1
+    bin_ = F.when(F.col("value") == F.get("edges", last), last - 1).otherwise(F.col("_below") - 1)
+    rows = placed.select(*by, "feature", "value", bin_.alias("_bin"), last.alias("_last"))
+    inside = (F.col("_bin") >= 0) & (F.col("_bin") < F.col("_last"))
+    return rows.select(
+        *by, "feature", F.when(F.col("value").isNull(), NULL_BIN).when(inside, F.col("_bin")).otherwise(OUTSIDE).alias("bin"),
+    ).groupBy(*by, "feature", "bin").agg(F.count("*").alias("n"))
+
+
 def histogram(long: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counts per (by, feature, bin) for bins [left, right), the last one closed.
 
     Values outside the edges and NULL give no bin. A feature may have any number of edges.
     `edges` has a row per feature and is read twice: give a `small_side`.
     """
-    most_edges = edges.agg(F.max(F.size("edges"))).first()[0] or 0
-    joined = long.where(F.col("value").isNotNull()).join(edges, "feature")
-    last = F.size("edges") - 1
-    placed = with_place(joined, "edges", F.col("value"), "_below", most_edges)
-    below = F.col("_below") - 1
-    bin_ = F.when(F.col("value") == F.get("edges", last), last - 1).otherwise(below)
-    return (
-        placed.select(*by, "feature", bin_.alias("bin"), last.alias("_last"))
-        .where((F.col("bin") >= 0) & (F.col("bin") < F.col("_last")))
-        .groupBy(*by, "feature", "bin").agg(F.count("*").alias("n"))
-    )
+    return _binned(long, edges, by).where(F.col("bin") >= 0)
 
 
-def bin_counts(
+def _counted(
     df: DataFrame, sample: str, expected: str, actual: str, columns: Sequence[str],
-    buckets: int = 10, labelled: bool = True, rows_per_bucket: int = 1_000_000,
-) -> DataFrame:
-    """Per feature and bin: its bounds and the rows of both samples, empty bins included."""
-    long = long_form(df, columns, [sample])
-    edges = small_side(quantile_edges(
-        long.where(F.col(sample) == expected), buckets, labelled, rows_per_bucket))
-    counted = histogram(long.where(F.col(sample).isin(expected, actual)), edges, [sample])
-    side = lambda name: F.sum(F.when(F.col(sample) == name, F.col("n")))
-    per_bin = counted.groupBy("feature", "bin").agg(side(expected).alias("e"), side(actual).alias("a"))
+    buckets: int, labelled: bool, rows_per_bucket: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Edges, and rows of both samples per feature and bin (`e`, `a`), NULL and outside included; one pass each."""
+    long = long_form(df.where(F.col(sample).isin(expected, actual)), columns, [sample])
+    edges = small_side(quantile_edges(long.where(F.col(sample) == expected), buckets, labelled, rows_per_bucket))
+    side = lambda name: F.coalesce(F.sum(F.when(F.col(sample) == name, F.col("n"))), F.lit(0))
+    both = _binned(long, edges, [sample]).groupBy("feature", "bin").agg(side(expected).alias("e"), side(actual).alias("a"))
+    return edges, small_side(both)
+
+
+def _all_bins(edges: DataFrame, counted: DataFrame) -> DataFrame:
     bins = edges.where(F.size("edges") > 1).select(
         "feature", "edges", F.posexplode(F.slice("edges", 1, F.size("edges") - 1)).alias("bin", "left_edge"))
-    return bins.join(per_bin, ["feature", "bin"], "left").select(
+    return bins.join(counted, ["feature", "bin"], "left").select(
         "feature", "bin", "left_edge", F.get("edges", F.col("bin") + 1).alias("right_edge"),
         F.coalesce("e", F.lit(0)).alias("n_expected"), F.coalesce("a", F.lit(0)).alias("n_actual"))
 
 
+def bin_counts(
+    df: DataFrame, sample: str, expected: str, actual: str, columns: Sequence[str],
+    buckets: int = 10, labelled: bool = True, rows_per_bucket: int = 1_000_000,
+) -> DataFrame:
+    """Per feature and bin: its bounds and the rows of both samples, empty bins included."""
+    return _all_bins(*_counted(df, sample, expected, actual, columns, buckets, labelled, rows_per_bucket))
+
+
 def psi_term(expected: Column, actual: Column, empty: str, epsilon: float = 1e-6) -> Column:
     """(a - e) ln(a / e). A zero share gives infinity, two give NaN; `epsilon` replaces zeros."""
     if empty == "epsilon":
@@ -165,19 +182,13 @@ def psi(
     Shares are of each sample's non-NULL rows; a NULL term is added when both samples have
     NULLs.
     """
-    bins = bin_counts(df, sample, expected, actual, columns, buckets, labelled, rows_per_bucket)
-    long = long_form(df, columns, [sample])
-
-    def count(name: str, null: bool) -> Column:
-        here = (F.col(sample) == name) & (F.col("value").isNull() if null else F.col("value").isNotNull())
-        return F.count(F.when(here, 1))
-
-    sizes = long.groupBy("feature").agg(
-        count(expected, False).alias("_e"), count(actual, False).alias("_a"),
-        count(expected, True).alias("_e_null"), count(actual, True).alias("_a_null"),
-    )
+    edges, counted = _counted(df, sample, expected, actual, columns, buckets, labelled, rows_per_bucket)
+    null = F.col("bin") == NULL_BIN
+    total = lambda side, rows, name: F.coalesce(F.sum(F.when(rows, F.col(side))), F.lit(0)).alias(name)
+    sizes = counted.groupBy("feature").agg(
+        total("e", ~null, "_e"), total("a", ~null, "_a"), total("e", null, "_e_null"), total("a", null, "_a_null"))
     share = lambda n, total: F.try_divide(F.col(n).cast("double"), F.col(total))
-    per_bin = bins.join(small_side(sizes), "feature").select(
+    per_bin = _all_bins(edges, counted).join(sizes, "feature").select(
         "feature", psi_term(share("n_expected", "_e"), share("n_actual", "_a"), empty).alias("_term"))
     known = per_bin.groupBy("feature").agg(F.sum("_term").alias("_known"))
     all_null = F.try_divide(F.col("_e_null").cast("double"), F.col("_e_null") + F.col("_e"))
