@@ -5,7 +5,7 @@ of the vocabulary finds in one pass the longest token that starts at each byte.
 longest match to longest match. A token may follow another only if merging their joined bytes by
 rank gives just these two; when it may not, the next shorter token is tried, and when none is
 left, the last token is taken back and its end is marked as closed. The answers on neighbours are
-kept. Each byte position is closed at most once and tokens have bounded length, so the work is
+kept (each asks only for the merges along the border). Each byte position is closed at most once and tokens have bounded length, so the work is
 linear in the bytes, and what is found is exactly what the merges by rank give.
 
 Texts are first cut by the pattern that belongs to the ranks. Pieces already seen are looked up;
@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,9 +27,26 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_PIECES = 300_000
-KNOWN_PAIRS = 1_000_000
-LONGEST_KNOWN = 64
+from .common import Known
+
+KNOWN_PIECES, LONGEST_KNOWN = 300_000, 24
+KNOWN_PAIRS = 300_000
+# Letters and digits of the plain alphabet, in which the built-in patterns do for the Unicode classes.
+PLAIN_LETTERS, PLAIN_DIGITS = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
+_PLAIN_TEXT = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*+")
+
+
+def plain_pattern(pattern: str) -> str:
+    """The pattern with `\\p{L}` and `\\p{N}` spelt out for the plain alphabet, inside and outside of brackets."""
+    out, inside = [], False
+    for part in re.split(r"(\\p\{[LN]\}|\\.|[\[\]])", pattern):
+        if part in (r"\p{L}", r"\p{N}"):
+            range_ = PLAIN_LETTERS if part == r"\p{L}" else PLAIN_DIGITS
+            part = range_ if inside else f"[{range_}]"
+        elif part in "[]" and part:
+            inside = part == "["
+        out.append(part)
+    return "".join(out)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,15 +59,17 @@ class Bpe:
     """Encoder and decoder of one vocabulary. All 256 single bytes must have a rank."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.cut = ranks, regex.compile(pattern).findall
+        self.ranks = ranks
+        self._cut, self._cut_plain = regex.compile(pattern).findall, re.compile(plain_pattern(pattern)).findall
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            self.automaton.add_word(token.decode("latin-1"), len(token) << 32 | rank)
         self.automaton.make_automaton()
         self._shorter: dict[int, int] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, tuple[int, ...]] = {}
+        self._split: dict[int, tuple[int, int]] = {}
+        self._pairs: dict[int, bool] = {}
+        self._pieces = Known(self._ids_of, KNOWN_PIECES, LONGEST_KNOWN)
 
     def merge(self, data: bytes) -> list[int]:
         """Merges by rank as they are defined, for a few tokens' worth of bytes."""
@@ -60,13 +81,43 @@ class Bpe:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _halves(self, token: int) -> tuple[int, int]:
+        """The two tokens whose merge made this one."""
+        known = self._split.get(token)
+        if known is None:
+            data = self.bytes_of[token]
+            parts = [data[i:i + 1] for i in range(len(data))]
+            while len(parts) > 2:
+                _, i = min((self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            known = self._split[token] = (self.ranks[parts[0]], self.ranks[parts[1]])
+        return known
+
     def _may_follow(self, left: int, right: int) -> bool:
-        pair = (left, right)
+        """Whether merging the bytes of both gives just these two.
+
+        Going back in time from the two tokens, the later merge of the two at the border is undone
+        each time; at no time may the pieces at the border have merged before the merge just undone.
+        """
+        pair = left << 32 | right
         known = self._pairs.get(pair)
-        if known is None:
-            if len(self._pairs) >= KNOWN_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[pair] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        if known is not None:
+            return known
+        size, ranks = self.bytes_of, self.ranks
+        limit, known = 1 << 62, True
+        while known:
+            merged = ranks.get(size[left] + size[right])
+            if merged is not None and merged < limit:
+                known = False
+            elif len(size[left]) > 1 and (left > right or len(size[right]) == 1):
+                limit, left = left, self._halves(left)[1]
+            elif len(size[right]) > 1:
+                limit, right = right + 1, self._halves(right)[0]  # of equal merges the left one comes first
+            else:
+                break
+        if len(self._pairs) >= KNOWN_PAIRS:
+            self._pairs.clear()
+        self._pairs[pair] = known
         return known
 
     def _next_shorter(self, token: int) -> int:
@@ -84,14 +135,14 @@ class Bpe:
         if whole is not None:
             return [whole]
         n = len(data)
-        longest = [(0, -1)] * n
+        longest = [0] * n
         for end, found in self.automaton.iter(data.decode("latin-1")):
-            start = end + 1 - found[0]
+            start = end + 1 - (found >> 32)
             if found > longest[start]:
                 longest[start] = found
         size, open_end = self.bytes_of, bytearray(b"\x01") * (n + 1)
         out: list[int] = []
-        at, token = 0, longest[0][1]
+        at, token = 0, longest[0] & 0xFFFFFFFF
         while True:
             while token >= 0:
                 end = at + len(size[token])
@@ -103,28 +154,18 @@ class Bpe:
                 at = end
                 if at == n:
                     return out
-                token = longest[at][1]
+                token = longest[at] & 0xFFFFFFFF
             else:
                 open_end[at] = 0
                 token = out.pop()
                 at -= len(size[token])
 
-    def _ids_of(self, piece: str) -> tuple[int, ...]:
-        known = self._pieces.get(piece)
-        if known is None:
-            known = tuple(self.encode_piece(piece.encode("utf-8", "replace")))
-            if len(piece) <= LONGEST_KNOWN:
-                if len(self._pieces) >= KNOWN_PIECES:
-                    self._pieces.clear()
-                self._pieces[piece] = known
-        return known
+    def _ids_of(self, piece: str) -> bytes:
+        return array("I", self.encode_piece(piece.encode("utf-8", "replace"))).tobytes()
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        get, extend, make = self._pieces.get, ids.extend, self._ids_of
-        for piece in self.cut(text):
-            extend(get(piece) or make(piece))
-        return ids
+        cut = self._cut_plain if _PLAIN_TEXT.fullmatch(text) else self._cut
+        return array("I", b"".join(map(self._pieces.__getitem__, cut(text)))).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))

@@ -25,3 +25,25 @@ def words_of(text: Column) -> Column:
     """Array of the words of a text; empty for NULL and for texts of spaces only."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN, -1))
+
+
+class Known(dict):
+    """What `make` gave, for the short strings asked for lately: at most twice `most` of them.
+
+    A full generation is kept as the older one, so that common strings survive and rare ones go.
+    """
+
+    def __init__(self, make: Callable, most: int, longest: int):
+        super().__init__()
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
+
+    def __missing__(self, word):
+        found = self.older.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from mensula.sizing import scratch_path, settle
 
+from .common import Known
+
 DIMENSIONS, PLACES = 3, 10  # places: bits per dimension
 BUCKETS = 1 << 12
 KNOWN_WORDS = 200_000
@@ -60,7 +62,7 @@ class Encoder:
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100)]
         self.spelling = str.maketrans({c: spell.pre_tokenize_str(c)[0][0] for c in letters})
-        self.words, self.pieces = _Known(self.word), _Known(self.piece)
+        self.words, self.pieces = (Known(make, KNOWN_WORDS, LONGEST_KNOWN) for make in (self.word, self.piece))
 
     def word(self, word: str) -> bytes:
         """Ids of one word, 4 bytes each."""
@@ -78,25 +80,6 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, words))
 
 
-class _Known(dict):
-    """What `make` gave, for the short strings asked for lately: at most twice `KNOWN_WORDS` of them."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.older = make, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = self.make(word)
-        if len(word) <= LONGEST_KNOWN:
-            if len(self) >= KNOWN_WORDS:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 @lru_cache(1)
 def _projection() -> np.ndarray:
     return np.random.default_rng(29).choice(np.array([-1.0, 1.0]), (BUCKETS, DIMENSIONS))
