@@ -24,8 +24,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mensula.sizing import settle
+
+from .common import Known
+
 BUCKET_OF_REPEATS = 0
-KNOWN_WORDS = 400_000
+KNOWN_WORDS, LONGEST_KNOWN = 150_000, 24
 
 
 @dataclass(frozen=True)
@@ -62,19 +66,13 @@ def _shape(word: str) -> str:
     return "".join(out)
 
 
-class _Known(dict):
-    """Word -> (hash of the lower-cased word, hash of its shape), kept for a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        text = word.decode("utf-8", "replace")
-        pair = (xxhash.xxh64_intdigest(text.lower().encode(), 1) >> 1, xxhash.xxh64_intdigest(_shape(text).encode(), 2) >> 1)
-        self[word] = pair
-        return pair
+def _hashes(word: bytes) -> bytes:
+    """Hash of the lower-cased word and hash of its shape, 8 bytes each."""
+    text = word.decode("utf-8", "replace")
+    return xxhash.xxh64_digest(text.lower().encode(), 1) + xxhash.xxh64_digest(_shape(text).encode(), 2)
 
 
-_KNOWN = _Known()
+_KNOWN = Known(_hashes, KNOWN_WORDS, LONGEST_KNOWN)
 
 
 def features(text: str | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +81,7 @@ def features(text: str | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(words)
     if n == 0:
         return np.empty(0, np.int64), np.empty(0)
-    pairs = np.array(list(map(_KNOWN.__getitem__, words)), dtype=np.uint64)
+    pairs = np.frombuffer(b"".join(map(_KNOWN.__getitem__, words)), np.uint64).reshape(n, 2)
     top = np.uint64(64 - bits)
     k1, k2, k3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
     word, shape = pairs[:, 0], pairs[:, 1]
@@ -147,8 +145,9 @@ def fit(rows: DataFrame, config: Config = Config()) -> Model:
     size = (1 << config.bits) + 1
     start = np.zeros(size)
     shard = F.pmod(F.xxhash64("text", F.lit(config.seed)), F.lit(config.shards))
+    # The sample is written once; rounds then read it alone.
     placed = (
-        rows.where("label is not null").withColumn("shard", shard)
+        settle(rows.where("label is not null").select("text", "label")).withColumn("shard", shard)
         .repartition(config.shards, "shard").sortWithinPartitions("shard", F.xxhash64("text", F.lit(config.seed + 1)), "text", "label")
     )
 
