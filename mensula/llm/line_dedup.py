@@ -1,6 +1,6 @@
 """Cross-site boilerplate lines, found by the spread of a line over distinct sites.
 
-Lines are spaces-trimmed and hashed. HyperLogLog sketches of the sites of each line hash merge by aggregation.
+Lines are spaces-trimmed and hashed. Exact distinct pairs of line and site come first; HyperLogLog sketches of the sites are built from them.
 A line whose estimate is clearly at or above the threshold is boilerplate, one clearly below is
 not, and the lines near the threshold get an exact distinct count. Boilerplate stays where it
 stands first (smallest key, then place) and goes everywhere else.
