@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, classifier, line_dedup, packing, pii, quality_rules, secrets, simhash, warc
+from . import ann, bpe, centroids, classifier, line_dedup, mixing, packing, pii, quality_rules, secrets, simhash, spelling, warc
 from .common import table
 
 
@@ -136,6 +136,48 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(docs, pii.learn(docs))
 
 
+def op11_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op12_bit_plane_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(rounds: int = 3) -> str:
+    """The rounds one after the other, with plain squares of differences."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+far{i} as (select q.r, c, sum((q.x - m.x) * (q.x - m.x)) as d from q join mid{i} m using (i) group by q.r, c),
+near{i} as (select r, cast(min(c) as integer) as c, cast(min(d) as bigint) as d from far{i}
+    join (select r, min(d) as least from far{i} group by r) using (r) where d = least group by r)""")
+        if i < rounds:
+            steps.append(f"""
+sum{i} as (select c, i, sum(x) as s, count(*) as n from near{i} join q using (r) group by c, i),
+mid{i + 1} as (select m.c, m.i, cast(case when n is null then m.x else (s - ((s % n) + n) % n) // n end as bigint) as x
+    from mid{i} m left join sum{i} using (c, i))""")
+    return f"""
+with kept as (
+    select row_number() over () as r, vec_id, embedding as e from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+q as (select r, i, cast(floor(64 * cast(e[i] as double)) as bigint) as x from kept, (select unnest(range(1, 65)) as i)),
+first as (select r, row_number() over (order by sha256('1:' || vec_id), vec_id) - 1 as c from kept qualify c < 16),
+mid0 as (select c, i, x from first join q using (r)),{",".join(steps)},
+told as (select c, sha256(string_agg(cast(x as varchar), ',' order by i)) as h from mid{rounds} group by c)
+select vec_id, c as cluster, d as distance, cast(sum(d) over (partition by c) as bigint) as cluster_inertia,
+    cast(sum(d) over () as bigint) as inertia, h as centroid_sha256
+from near{rounds} join kept using (r) join told using (c)"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -147,5 +189,8 @@ QUERIES = {
     "op8_learned_partitions": op8_learned_partitions,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
+    "op11_cube_mixing": op11_cube_mixing,
+    "op12_bit_plane_centroids": op12_bit_plane_centroids,
+    "op13_spelling_variants": op13_spelling_variants,
 }
-ORACLES = {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL, "op9_warc": OP9_SQL}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op5_line_dedup": OP5_SQL, "op9_warc": OP9_SQL, "op12_bit_plane_centroids": OP12_SQL}
