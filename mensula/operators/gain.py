@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mensula.functions.columns import PROBABILITY_CUT
 from mensula.operators.combine import studies_of
-from mensula.operators.ranks import Ranking, best_prefix, keys_at_ranks, top_rows, value_of, with_place, with_rank
+from mensula.operators.ranks import Ranking, best_prefix, find, match, top_rows, value_of, with_place, with_rank
 from mensula.sizing import settle, small_side
 
 # Gain per hit, cost per contact, contacts to select, and the sweeps.
@@ -138,19 +138,30 @@ def hits_within(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int]) -
     """
     by = list(ranking.group)
     wanted = F.array(*[F.lit(int(n)).cast("long") for n in sorted(set(sizes))])
-    edges = keys_at_ranks(df, ranking, wanted).groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct("rank", "key"))).alias("_edges"),
-        F.max("n_rows").alias("n_rows"),
+    found = find(df, ranking, wanted, {"hits": (F.col(y) == 1).cast("long")})
+    if found.summed:
+        opened = found.rows.select(*by, F.explode("found").alias("_edge"), "n_rows", F.coalesce("total_hits", F.lit(0)).alias("n_positive"))
+        hits = F.col("_edge.upto_hits")
+    else:
+        opened, hits = _counted_between(df, ranking, y, found.rows, len(set(sizes)))
+    return opened.select(
+        *by, F.col("_edge.rank").alias("n_contacts"),
+        value_of(F.col("_edge.key"), ranking.descending).alias("threshold"),
+        hits.alias("TP"), "n_rows", "n_positive",
     )
+
+
+def _counted_between(df: DataFrame, ranking: Ranking, y: str, found: DataFrame, most: int) -> tuple[DataFrame, Column]:
+    """Found keys, one a row as `_edge`, and the hits up to each, counted between the keys in a pass of their own."""
+    by = list(ranking.group)
+    edges = found.select(*by, F.col("found").alias("_edges"), "n_rows")
     if by:
-        small = small_side(edges.withColumnsRenamed({g: f"_e_{g}" for g in by}))
-        rows = df.join(small, [F.col(g).eqNullSafe(F.col(f"_e_{g}")) for g in by]).drop(
-            *[f"_e_{g}" for g in by])
+        rows = match(df, small_side(edges), by)
     else:
         whole = edges.select(F.struct("_edges", "n_rows").alias("e")).scalar()
         rows = df.select("*", whole.alias("_e")).select("*", "_e._edges", "_e.n_rows").drop("_e")
     keyed = rows.select(*by, y, "_edges", "n_rows", F.col("_edges.key").alias("_bounds"), ranking.key().alias("_key"))
-    placed = with_place(keyed, "_bounds", F.col("_key"), "_place", len(set(sizes)), closed=False)
+    placed = with_place(keyed, "_bounds", F.col("_key"), "_place", most, closed=False)
     counted = placed.groupBy(*by, "_place").agg(
         F.count(F.when(F.col(y) == 1, 1)).alias("_hits"),
         F.first("_edges").alias("_edges"), F.first("n_rows").alias("n_rows"),
@@ -159,15 +170,10 @@ def hits_within(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int]) -
         F.collect_list(F.struct("_place", "_hits")).alias("_parts"), F.sum("_hits").alias("n_positive"),
         F.first("_edges").alias("_edges"), F.first("n_rows").alias("n_rows"),
     )
-    opened = gathered.select("*", F.posexplode("_edges").alias("_at", "_edge"))
     hits = F.aggregate(
         F.filter("_parts", lambda p: p["_place"] <= F.col("_at")), F.lit(0).cast("long"),
         lambda total, p: total + p["_hits"])
-    return opened.select(
-        *by, F.col("_edge.rank").alias("n_contacts"),
-        value_of(F.col("_edge.key"), ranking.descending).alias("threshold"),
-        hits.alias("TP"), "n_rows", "n_positive",
-    )
+    return gathered.select("*", F.posexplode("_edges").alias("_at", "_edge")), hits
 
 
 def top_n_sweep(
@@ -204,7 +210,7 @@ def month_report(
         F.max_by(F.when(listed, row), F.when(listed, F.struct("gain", -F.col("n_contacts")))).alias("best_size"),
         F.max(F.when(F.col("n_contacts") == fixed_size, row)).alias("fixed_size"),
     )
-    return sizes_.join(by_cut, by).join(by_size, by, "left")
+    return match(match(sizes_, by_cut, by, "left"), by_size, by, "left")
 
 
 # Selecting whom to contact.
@@ -324,7 +330,7 @@ def ensemble_report(
     best = small_side(best_gain(long, ranking, y, gain, cost))
     plain = best.where(F.col("strategy") == "simple").select(*split, F.col("gain").alias("_plain"))
     if split:
-        joined = best.join(plain, list(split), "left")
+        joined = match(best, plain, list(split), "left")
     else:
         joined = best.withColumn("_plain", plain.select("_plain").scalar())
     return joined.select(
@@ -361,4 +367,4 @@ def model_results(
         F.count(F.when(F.col(y) == 0, 1)).alias("n_class_0"),
         F.count(F.when(F.col(y) == 1, 1)).alias("n_class_1"),
     )
-    return counts.join(per_split, [study, seed])
+    return match(counts, per_split, [study, seed], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,15 @@ def _told_apart(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("string")
 
 
+# Fixed value: the largest size of a sketch.
+LG_K_MOST = 21
+
+
+def _sketch_size(max_unique: int) -> int:
+    """Size (log2) of a sketch that still holds the codes themselves at `max_unique` values."""
+    return (2 * max_unique).bit_length() + 3
+
+
 def _few(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
     """Columns that may hold fewer than `max_unique` values; none that does is left out.
 
@@ -48,7 +57,7 @@ def _few(df: DataFrame, columns: Sequence[str], max_unique: int) -> list[str]:
     a fixed number, which is chosen above `max_unique`. Equal values have equal codes, so there are never more codes
     than values: a count of `max_unique` codes or more proves a column wide.
     """
-    lg_k = min(21, max(8, (2 * max_unique).bit_length() + 3))
+    lg_k = max(8, _sketch_size(max_unique))
     row = df.agg(*[
         F.hll_sketch_estimate(F.hll_sketch_agg(_told_apart(df, c), lg_k)).alias(f"n{i}") for i, c in enumerate(columns)
     ]).first()
@@ -67,9 +76,12 @@ def cardinality(df: DataFrame, max_unique: int = 10, columns: Iterable[str] | No
     """(variable, n_distinct) of columns with fewer than `max_unique` non-NULL values, exactly.
 
     A sketch over the whole table proves the wide columns wide; the others hold few values, so
-    their exact sets stay small in one aggregation without multiplying rows.
+    their exact sets stay small in one aggregation without multiplying rows. A `max_unique` that no sketch holds codes for
+    is compared with the exact counts of all columns.
     """
     names = list(columns if columns is not None else df.columns)
+    if _sketch_size(max_unique) > LG_K_MOST:
+        return distinct_counts(df, names).where(F.col("n_distinct") < max_unique)
     near = _few(df, names, max_unique) if names else []
     if not near:
         return df.sparkSession.createDataFrame([], "variable string, n_distinct long")
@@ -127,8 +139,6 @@ def label_counts(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame
     if not by:
         whole_table: Column = per_value.agg(F.sum("n_rows")).scalar()
         return per_value.withColumn("share", F.col("n_rows") / whole_table)
-    per_group = per_value.groupBy(*by).agg(F.sum("n_rows").alias("_all"))
-    return (
-        per_value.join(per_group, list(by))
-        .select(*by, label, "n_rows", (F.col("n_rows") / F.col("_all")).alias("share"))
-    )
+    # One row per group and label value: few, so a window over a group's values is small. A NULL group is a group.
+    everything = F.sum("n_rows").over(Window.partitionBy(*by))
+    return per_value.select(*by, label, "n_rows", (F.col("n_rows") / everything).alias("share"))

@@ -10,14 +10,15 @@ are on (score, tie-break) together, so a score shared by a third of all rows is
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mensula.sizing import settle, small_side
+from mensula.sizing import fetched, settle, side_of, small_side
 
 SAMPLES_PER_BUCKET = 24
 SHORT_ARRAY = 32
@@ -141,8 +142,14 @@ def _spans(bucketed: DataFrame, ranking: Ranking, sums: Sequence[str] = ()) -> D
     )
 
 
-def _match(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
-    """NULL-safe equi-join that keeps the left copy of the key columns."""
+def match(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """NULL-safe equi-join that keeps the left copy of the key columns.
+
+    Without columns `right` has one row at most, which is put beside every row of `left`; its columns are NULL when it has none.
+    """
+    if not columns:
+        only = right.select(F.struct(*right.columns)).scalar()
+        return left.select("*", only.alias("_only")).select(*left.columns, "_only.*")
     renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in columns})
     same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in columns]
     return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in columns])
@@ -158,7 +165,7 @@ def with_rank(df: DataFrame, ranking: Ranking, running: Sequence[str] = ()) -> D
         "*", F.row_number().over(local).alias("_place"),
         *[F.sum(c).over(upto).alias(f"_local_{c}") for c in running],
     )
-    joined = _match(rows, spans.drop("_n"), [*ranking.group, "_bucket"])
+    joined = match(rows, spans.drop("_n"), [*ranking.group, "_bucket"])
     return joined.select(
         *df.columns,
         (F.col("_before") + F.col("_place")).alias("rank"),
@@ -198,17 +205,182 @@ def best_prefix(df: DataFrame, ranking: Ranking, value: str) -> DataFrame:
     ).select(*group, "n_rows", "best", (-F.col("_top.r")).alias("at_rank"))
 
 
-def keys_at_ranks(df: DataFrame, ranking: Ranking, ranks: Column) -> DataFrame:
-    """Keys that stand at the given ranks of each group: (group, rank, key, n_rows).
+# Size of a quantile sketch and how many of its quantiles are read off; the rank error is three times that which
+# a sketch of this size exceeds in one case of a hundred. A wrong bracket is noticed, and the ranks are then found without brackets.
+SKETCH_K, GRID, RANK_ERROR = 4_096, 1_024, 0.004
+
+
+@dataclass(frozen=True)
+class Found:
+    """What stands at the wanted ranks, one row per group, written or fetched.
+
+    `rows` has the group, `n_rows`, `total_<name>`, and `found`, an array of (rank, key, `upto_<name>`) in rank order.
+    `upto_` is the sum over all rows up to that key, or is missing when `summed` is false.
+    """
+
+    rows: DataFrame
+    summed: bool
+
+
+def _as_double(key: Column) -> Column:
+    """The score of a key as a double that never falls where keys rise; missing ones and NaN are infinite."""
+    number = key["score"].cast("double")
+    return F.when((key["missing"] == 1) | F.isnan(number), float("inf")).otherwise(number)
 
-    `ranks` is an array of longs, computed from the group's row count `n_rows`. Ranks
-    outside 1..n_rows give no row. Only buckets that hold a wanted rank are sorted. Without
-    `ties`, equal scores are counted together before the shuffle; `ties` should make keys
-    unique.
+
+def _brackets(keyed: DataFrame, ranking: Ranking, ranks: Column, sums: dict[str, Column], error: float) -> DataFrame:
+    """Per group: `n_rows`, totals, the wanted `_ranks`, and for each the scores `_los` and `_his` between which it lies.
+
+    `_near` tells about how many rows a bracket holds at most. One pass, with a mergeable sketch per group.
+    """
+    parts = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
+    sketched = keyed.groupBy(*ranking.group).agg(
+        F.count("*").alias("n_rows"), F.kll_sketch_agg_double("_at", F.lit(SKETCH_K)).alias("_sketch"),
+        *[F.sum(c).alias(f"total_{name}") for name, c in sums.items()],
+    )
+    n = F.col("n_rows")
+    grid = F.when(n > 0, F.kll_sketch_get_quantile_double("_sketch", F.expr(f"array({parts})")))
+    wanted = F.array_sort(F.array_distinct(F.filter(ranks.cast("array<long>"), lambda r: (r >= 1) & (r <= n))))
+    table = sketched.select(*ranking.group, "n_rows", *[f"total_{name}" for name in sums], grid.alias("_grid"), wanted.alias("_ranks"))
+    below = lambda r: F.floor(((r - 2) / n - error) * GRID).cast("int")
+    above = lambda r: F.ceil(((r + 1) / n + error) * GRID).cast("int")
+    los = F.transform("_ranks", lambda r: F.when(below(r) >= 0, F.get("_grid", below(r))).otherwise(float("-inf")))
+    his = F.transform("_ranks", lambda r: F.when(above(r) <= GRID, F.get("_grid", above(r))).otherwise(float("inf")))
+    table = table.where(F.size("_ranks") > 0).withColumns({"_los": los, "_his": his})
+    if ranking.ties:
+        # Rows that share a score are not counted together, so a common score makes its bracket large.
+        held = F.transform(F.arrays_zip("_los", "_his"), lambda b: F.size(
+            F.filter("_grid", lambda g: (g >= b["_los"]) & (g <= b["_his"]))))
+        share = (F.array_max(held) + 2) / GRID
+    else:
+        share = F.lit(2 * (error + 2 / GRID))
+    return table.withColumn("_near", F.least(n, F.ceil(n * share) + 4)).drop("_grid")
+
+
+def find(
+    df: DataFrame, ranking: Ranking, ranks: Column, sums: dict[str, Column] | None = None, error: float = RANK_ERROR
+) -> Found:
+    """What stands at the given ranks of each group, and what rows up to there sum to.
+
+    `ranks` is an array of longs, computed from the group's row count `n_rows`; ranks outside 1..n_rows are left
+    out. A first pass sketches each group's scores, which puts every wanted rank between two scores, by a
+    known error. A second pass counts the rows between the brackets and sorts only those inside. A
+    bracket with more rows than a bucket is cut into buckets first. Without `ties`, equal scores are counted
+    together before the shuffle; `ties` should make keys unique. Scores that are no numbers are cut into buckets at once.
+    """
+    sums = sums or {}
+    group = list(ranking.group)
+    keyed = df.select(*group, ranking.key().alias("_key"), *[c.alias(f"_s_{name}") for name, c in sums.items()])
+    if not isinstance(df.schema[ranking.score].dataType, T.NumericType):
+        return _found_in_buckets(keyed, ranking, ranks)
+    keyed = keyed.withColumn("_at", _as_double(F.col("_key")))
+    named = {name: F.col(f"_s_{name}") for name in sums}
+    table = _brackets(keyed, ranking, ranks, named, error)
+    rows = fetched(table)
+    if rows is None:
+        table = settle(table)
+        near, longest = table.agg(F.max("_near"), F.max(F.size("_ranks"))).first()
+    else:
+        table = side_of(rows, table)
+        near = max(rows["_near"].to_pylist(), default=0)
+        longest = max((len(r) for r in rows["_ranks"].to_pylist()), default=0)
+    if not longest:
+        return Found(table.select(*group, "n_rows", *[f"total_{name}" for name in sums], F.array().cast(
+            _found_type(keyed, sums)).alias("found")).where("false"), True)
+
+    placed = _bracketed(keyed, table, group, longest)
+    if near > ranking.rows_per_bucket:
+        out = _found_in_large_brackets(placed, table, ranking)
+    else:
+        out = Found(_found_in_brackets(placed, table, group, sums), True)
+    got = fetched(out.rows)
+    written = settle(out.rows) if got is None else side_of(got, out.rows)
+    whole = F.forall("found", lambda f: f["key"].isNotNull()) & (F.size("found") == F.size("_ranks"))
+    missed = written.where(~F.coalesce(whole, F.lit(False)))
+    if not missed.isEmpty():
+        return _found_in_buckets(keyed, ranking, ranks)
+    return Found(written.drop("_ranks"), out.summed)
+
+
+def _found_type(keyed: DataFrame, sums: dict[str, Column]) -> str:
+    more = "".join(f", upto_{name}: long" for name in sums)
+    return f"array<struct<rank: long, key: {keyed.schema['_key'].dataType.simpleString()}{more}>>"
+
+
+def _bracketed(keyed: DataFrame, table: DataFrame, group: list[str], longest: int) -> DataFrame:
+    """Rows with `_place`, ascending over the brackets and the gaps between them, and the key of those inside a bracket."""
+    joined = match(keyed, table.select(*group, "_los", "_his"), group)
+    begun = with_place(joined, "_los", F.col("_at"), "_begun", longest)
+    passed = with_place(begun, "_his", F.col("_at"), "_passed", longest, closed=False)
+    # Both counts rise with the score, so their sum tells every stretch apart.
+    return passed.select(
+        *group, (F.col("_begun") + F.col("_passed")).alias("_place"), (F.col("_begun") > F.col("_passed")).alias("_inside"),
+        F.when(F.col("_begun") > F.col("_passed"), F.col("_key")).alias("_key"),
+        *[c for c in keyed.columns if c.startswith("_s_")],
+    )
+
+
+def _found_in_brackets(placed: DataFrame, table: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Keys at the wanted ranks, from one running count per group over gaps and rows inside brackets."""
+    counted = placed.groupBy(*group, "_place", "_key").agg(
+        F.count("*").alias("_copies"), *[F.sum(f"_s_{name}").alias(f"_s_{name}") for name in sums])
+    upto = Window.partitionBy(*group).orderBy("_place", "_key").rowsBetween(Window.unboundedPreceding, 0)
+    running = counted.select(
+        *group, "_key", "_copies", F.sum("_copies").over(upto).alias("_upto"),
+        *[F.coalesce(F.sum(f"_s_{name}").over(upto), F.lit(0)).alias(f"upto_{name}") for name in sums],
+    )
+    totals = [f"total_{name}" for name in sums]
+    wanted = match(running, table.select(*group, "n_rows", "_ranks", *totals), group)
+    hit = F.filter("_ranks", lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_copies")))
+    hits = wanted.where(F.size(hit) > 0).select(
+        *group, "n_rows", "_ranks", *totals, F.explode(hit).alias("rank"), F.col("_key").alias("key"), *[f"upto_{name}" for name in sums])
+    entry = F.struct("rank", "key", *[f"upto_{name}" for name in sums])
+    return hits.groupBy(*group).agg(
+        *[F.first(c).alias(c) for c in ("n_rows", "_ranks", *totals)], F.array_sort(F.collect_list(entry)).alias("found"))
+
+
+def _found_in_large_brackets(placed: DataFrame, table: DataFrame, ranking: Ranking) -> Found:
+    """The same for brackets that hold more rows than a task should sort: each is a group that is cut into buckets."""
+    group = list(ranking.group)
+    before = Window.partitionBy(*group).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    spans = match(
+        placed.groupBy(*group, "_place", "_inside").agg(F.count("*").alias("_n")).select(
+            "*", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
+        table, group)
+    own = F.filter("_ranks", lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")))
+    wanted = spans.withColumn("_own", own).where("_inside and size(_own) > 0").select(
+        *group, "_place", "_before", F.transform("_own", lambda r: r - F.col("_before")).alias("_within"))
+    rows = fetched(wanted)
+    wanted = settle(wanted) if rows is None else side_of(rows, wanted)
+    within = [*group, "_place"]
+    near = settle(match(placed, wanted.select(*within), within, "left_semi").select(*within, "_key"))
+    narrow = replace(ranking, group=tuple(within))
+    keys = match(_keys_in_buckets(near, narrow, wanted.select(*within, "_within")), wanted, within).select(
+        *group, (F.col("_before") + F.col("rank")).alias("rank"), "key")
+    found = keys.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("rank", "key"))).alias("found"))
+    totals = [c for c in table.columns if c.startswith("total_")]
+    return Found(match(table.select(*group, "n_rows", "_ranks", *totals), found, group, "left"), False)
+
+
+def _found_in_buckets(keyed: DataFrame, ranking: Ranking, ranks: Column) -> Found:
+    keys = _keys_in_buckets(keyed.select(*ranking.group, "_key"), ranking, ranks)
+    sums = [c for c in keyed.columns if c.startswith("_s_")]
+    found = keys.groupBy(*ranking.group).agg(
+        F.max("n_rows").alias("n_rows"), F.array_sort(F.collect_list(F.struct("rank", "key"))).alias("found"))
+    if sums:
+        totals = keyed.groupBy(*ranking.group).agg(*[F.sum(c).alias(f"total_{c.removeprefix('_s_')}") for c in sums])
+        found = match(found, totals, ranking.group)
+    return Found(settle(found), False)
+
+
+def _keys_in_buckets(keyed: DataFrame, ranking: Ranking, ranks: Column | DataFrame) -> DataFrame:
+    """Keys at the given ranks (group, rank, key, n_rows), with every group cut into buckets at sampled keys.
+
+    `ranks` is an array computed from `n_rows`, or a table of the group and an array `_within`. Only buckets that hold a
+    wanted rank are sorted.
     """
     group = list(ranking.group)
     where = [*group, "_bucket"]
-    keyed = df.select(*group, ranking.key().alias("_key"))
     cuts = _cuts(keyed, ranking)
     bucketed = _bucketed(keyed, ranking, cuts)
     local = Window.partitionBy(*where).orderBy(*ranking.key_order())
@@ -219,27 +391,36 @@ def keys_at_ranks(df: DataFrame, ranking: Ranking, ranks: Column) -> DataFrame:
             return rows.select(*where, "_key", F.lit(1).cast("long").alias("_copies"))
         return rows.groupBy(*where, "_key").agg(F.count("*").alias("_copies"))
 
+    def asked(rows: DataFrame) -> tuple[DataFrame, Column]:
+        if isinstance(ranks, Column):
+            return rows, F.array_distinct(ranks)
+        return match(rows, ranks, group), F.col("_within")
+
     if cuts is None:
         # No group is larger than a bucket: its own totals are the group's.
         everything = F.sum("_copies").over(Window.partitionBy(*where)).alias("n_rows")
-        placed = counted(bucketed).select("*", upto, everything, F.lit(0).alias("_before")).withColumn(
-            "_ranks", F.array_distinct(ranks))
+        rows, wanted = asked(counted(bucketed).select("*", upto, everything, F.lit(0).alias("_before")))
+        placed = rows.withColumn("_ranks", wanted)
     else:
-        spans = _spans(bucketed, ranking)
-        inside = F.filter(
-            F.array_distinct(ranks),
-            lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")),
-        )
-        wanted = small_side(
+        spans, wanted = asked(_spans(bucketed, ranking))
+        inside = F.filter(wanted, lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")))
+        needed = small_side(
             spans.select(*where, "_before", "n_rows", inside.alias("_ranks")).where(F.size("_ranks") > 0)
         )
-        near = counted(_match(bucketed, wanted, where, "left_semi"))
-        placed = _match(near.select("*", upto), wanted, where)
+        near = counted(match(bucketed, needed, where, "left_semi"))
+        placed = match(near.select("*", upto), needed, where)
     last = F.col("_before") + F.col("_upto")
     hit = F.filter("_ranks", lambda r: (r <= last) & (r > last - F.col("_copies")))
     return placed.select(*group, F.explode(hit).alias("rank"), F.col("_key").alias("key"), "n_rows")
 
 
+def keys_at_ranks(df: DataFrame, ranking: Ranking, ranks: Column) -> DataFrame:
+    """Keys that stand at the given ranks of each group: (group, rank, key, n_rows); see `find`."""
+    found = find(df, ranking, ranks).rows
+    return found.select(*ranking.group, F.explode("found").alias("f"), "n_rows").select(
+        *ranking.group, "f.rank", "f.key", "n_rows")
+
+
 def top_rows(df: DataFrame, ranking: Ranking, n: int | Column) -> DataFrame:
     """The first `n` rows of each group (all of a smaller group).
 
@@ -248,12 +429,10 @@ def top_rows(df: DataFrame, ranking: Ranking, n: int | Column) -> DataFrame:
     """
     count = F.lit(n) if isinstance(n, int) else n
     last = F.least(count.cast("long"), F.col("n_rows"))
-    edges = keys_at_ranks(df, ranking, F.array(last))
+    edges = find(df, ranking, F.array(last)).rows.withColumn("_edge", F.get("found", F.lit(0))["key"])
     if not ranking.group:
-        return df.where(ranking.key() <= edges.select("key").scalar())
-    edge = small_side(edges.select(
-        *[F.col(g).alias(f"_edge_{g}") for g in ranking.group], F.col("key").alias("_edge")
-    ))
+        return df.where(ranking.key() <= edges.select("_edge").scalar())
+    edge = small_side(edges.select(*[F.col(g).alias(f"_edge_{g}") for g in ranking.group], "_edge"))
     same = [F.col(g).eqNullSafe(F.col(f"_edge_{g}")) for g in ranking.group]
     return df.join(edge, [*same, ranking.key() <= F.col("_edge")], "left_semi")
 
@@ -263,27 +442,41 @@ def value_of(key: Column, descending: bool = True) -> Column:
     return -key["score"] if descending else key["score"]
 
 
-def quantiles(
-    df: DataFrame, score: str, shares: Sequence[float], group: Sequence[str] = (),
-    rows_per_bucket: int = 1_000_000,
-) -> DataFrame:
-    """Exact quantiles, interpolated linearly: (group, share, value, n_rows), NULL ignored."""
+def _quantiles(df: DataFrame, score: str, shares: Sequence[float], group: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    """(group, n_rows, `_at`: a map from rank to value) with the ranks on both sides of every share."""
     ranking = Ranking(score, (), tuple(group), descending=False, rows_per_bucket=rows_per_bucket)
     present = df.where(F.col(score).isNotNull()).withColumn(score, F.col(score).cast("double"))
     wanted = F.array(*[F.lit(float(s)) for s in shares])
     place = lambda s: s * (F.col("n_rows") - 1)
     lower = F.transform(wanted, lambda s: F.floor(place(s)) + 1)
     upper = F.transform(wanted, lambda s: F.ceil(place(s)) + 1)
-    found = keys_at_ranks(present, ranking, F.concat(lower, upper)).select(
-        *group, "n_rows", F.col("rank"), F.col("key.score").alias("value")
-    )
-    by_rank = found.groupBy(*group, "n_rows").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at")
-    )
-    exploded = by_rank.select("*", F.explode(wanted).alias("share"))
-    spot = place(F.col("share"))
+    found = find(present, ranking, F.concat(lower, upper)).rows
+    return found.select(*group, "n_rows", F.map_from_entries(
+        F.transform("found", lambda f: F.struct(f["rank"], f["key"]["score"]))).alias("_at"))
+
+
+def _between(share: Column) -> Column:
+    """The interpolated value at a share, from `_at` and `n_rows`."""
+    spot = share * (F.col("n_rows") - 1)
     low = F.col("_at")[F.floor(spot) + 1]
     high = F.col("_at")[F.ceil(spot) + 1]
-    return exploded.select(
-        *group, "share", (low + (high - low) * (spot - F.floor(spot))).alias("value"), "n_rows"
-    )
+    return low + (high - low) * (spot - F.floor(spot))
+
+
+def quantiles(
+    df: DataFrame, score: str, shares: Sequence[float], group: Sequence[str] = (),
+    rows_per_bucket: int = 1_000_000,
+) -> DataFrame:
+    """Exact quantiles, interpolated linearly: (group, share, value, n_rows), NULL ignored."""
+    found = _quantiles(df, score, shares, group, rows_per_bucket)
+    wanted = F.array(*[F.lit(float(s)) for s in shares])
+    return found.select("*", F.explode(wanted).alias("share")).select(
+        *group, "share", _between(F.col("share")).alias("value"), "n_rows")
+
+
+def named_quantiles(
+    df: DataFrame, score: str, named: dict[str, float], group: Sequence[str] = (), rows_per_bucket: int = 1_000_000
+) -> DataFrame:
+    """The same with a column per named share: (group, names)."""
+    found = _quantiles(df, score, list(named.values()), group, rows_per_bucket)
+    return found.select(*group, *[_between(F.lit(float(share))).alias(name) for name, share in named.items()])

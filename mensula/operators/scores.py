@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mensula.operators.gain import hits_within
-from mensula.operators.ranks import Ranking, quantiles
+from mensula.operators.ranks import Ranking, match, named_quantiles
 
 # Reported percentiles and top sizes.
 PERCENTILES = {"q01": 0.01, "q05": 0.05, "q10": 0.10, "q25": 0.25, "median": 0.50,
@@ -17,23 +17,18 @@ CLASS_PERCENTILES = {"q25": 0.25, "median": 0.50, "q75": 0.75}
 STATISTIC_SIZES = (1000, 5000, 11000, 15000, 20000)
 
 
-def _wide_quantiles(df: DataFrame, score: str, named: dict[str, float], by: list[str], rows_per_bucket: int):
-    found = quantiles(df, score, list(named.values()), by, rows_per_bucket)
-    return found.groupBy(*by).agg(*[
-        F.max(F.when(F.abs(F.col("share") - share) < 1e-9, F.col("value"))).alias(name)
-        for name, share in named.items()
-    ])
-
-
 def distribution(
     df: DataFrame, score: str, period: str = "period", rows_per_bucket: int = 1_000_000
 ) -> DataFrame:
-    """Per period: count, mean, population deviation, extremes and exact percentiles."""
+    """Per period: count, mean, population deviation, extremes and exact percentiles.
+
+    A NULL period is a period; one without any score has NULL statistics.
+    """
     basic = df.groupBy(period).agg(
         F.count("*").alias("n_rows"), F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"),
         F.min(score).alias("min"), F.max(score).alias("max"),
     )
-    return basic.join(_wide_quantiles(df, score, PERCENTILES, [period], rows_per_bucket), period)
+    return match(basic, named_quantiles(df, score, PERCENTILES, [period], rows_per_bucket), [period], "left")
 
 
 def top_scores(
@@ -60,13 +55,13 @@ def class_distribution(
             F.stddev_pop(F.when(F.col(y) == label, F.col(score))).alias(f"std_{name}"),
         )],
     )
-    spread = _wide_quantiles(df.where(F.col(y).isin(0, 1)), score, CLASS_PERCENTILES, [period, y], rows_per_bucket)
+    spread = named_quantiles(df.where(F.col(y).isin(0, 1)), score, CLASS_PERCENTILES, [period, y], rows_per_bucket)
     per_class = spread.groupBy(period).agg(*[
         F.max(F.when(F.col(y) == label, F.col(q))).alias(f"{q}_{name}")
         for name, label in sides.items() for q in CLASS_PERCENTILES
     ])
     has_base = F.col("mean_no_churners") > 0
-    return basic.join(per_class, period, "left").select(
+    return match(basic, per_class, [period], "left").select(
         "*", (F.col("n_churners") / F.col("_n")).alias("churn_rate"),
         F.when(has_base, F.try_divide("mean_churners", "mean_no_churners")).alias("mean_ratio"),
         F.when(has_base, F.try_divide("median_churners", "median_no_churners")).alias("median_ratio"),

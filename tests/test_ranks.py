@@ -140,3 +140,64 @@ def test_buckets_follow_the_size_of_each_group(spark, broadcast, monkeypatch):
     assert found[0] <= 1_000 and found[1] >= 10_000 + 150
     top = ranks.with_rank(rows, ranking).where("g = 0").agg(F.max("rank"), F.count_distinct("rank")).first()
     assert tuple(top) == (100_000, 100_000)
+
+
+def stored(found, names=()):
+    return {r["g"]: [(f["rank"], f["key"]["score"], *(f[n] for n in names)) for f in r["found"]] for r in found.rows.collect()}
+
+
+@pytest.mark.parametrize("limit", [40, 150, 10_000])
+@pytest.mark.parametrize("wanted", [[1, 2, 333, 334, 500, 980, 1000, 1001], list(range(1, 1000, 9))])
+def test_keys_from_brackets(rows, limit, wanted):
+    df, data = rows
+    at = F.array(*[F.lit(w) for w in wanted])
+    for ties in (("e",), ()):
+        ranking = Ranking("p", ties, ("g",), rows_per_bucket=limit)
+        found = ranks.find(df, ranking, at, {"y": F.col("y")})
+        # Ranks that share a key are one entry each, in rank order, wherever they were found.
+        got = stored(found)
+        for g in range(3):
+            order = ordered(data, g)
+            assert got[g] == [(w, -order[w - 1][2] if order[w - 1][2] is not None else None) for w in wanted if w <= 1000]
+        if found.summed and ties:
+            sums = stored(found, ["upto_y"])
+            for g in range(3):
+                order = ordered(data, g)
+                assert [s[2] for s in sums[g]] == [sum(r[3] for r in order[:w]) for w in wanted if w <= 1000]
+        assert found.summed == (limit == 10_000 or found.summed)
+    assert not ranks.find(df, Ranking("p", ("e",), ("g",), rows_per_bucket=40), at).summed
+
+
+def test_a_bracket_that_missed_is_noticed(rows):
+    df, data = rows
+    found = ranks.find(df, GROUPED, F.array(F.lit(200), F.lit(700)), error=-0.2)
+    assert not found.summed
+    assert stored(found) == {g: [(w, -ordered(data, g)[w - 1][2]) for w in (200, 700)] for g in range(3)}
+
+
+@pytest.mark.parametrize("kind", ["long", "decimal(38,2)", "float", "string"])
+def test_scores_of_any_type(spark, kind):
+    values = [2**53 + i for i in range(200)] + [-5, 0, 7] if kind == "long" else list(range(-100, 101))
+    df = spark.createDataFrame([(v,) for v in values], "v long").select(F.col("v").cast(kind).alias("v"))
+    ranking = Ranking("v", descending=False, rows_per_bucket=20)
+    got = [r["key"]["score"] for r in ranks.keys_at_ranks(df, ranking, F.array(F.lit(1), F.lit(57), F.lit(201))).orderBy("rank").collect()]
+    order = [r["v"] for r in df.orderBy("v").collect()]
+    assert got == [order[0], order[56], order[200]]
+
+
+def test_nan_infinity_and_missing_scores_come_last_in_that_order(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(None, 1), (nan, 2), (inf, 3), (1.0, 4), (-inf, 5), (None, 6)], "p double, e int")
+    ranking = Ranking("p", ("e",), descending=False)
+    got = ranks.keys_at_ranks(df, ranking, F.sequence(F.lit(1), F.lit(9))).orderBy("rank").collect()
+    assert [r["key"]["tie_0"] for r in got] == [5, 4, 3, 2, 1, 6]
+
+
+def test_skewed_and_constant_columns_have_exact_quantiles(spark):
+    rng = np.random.default_rng(4)
+    columns = {"skewed": rng.lognormal(0, 4, 20_000), "constant": np.full(20_000, 3.5), "mostly": np.where(rng.random(20_000) < 0.9, 0, rng.random(20_000))}
+    df = spark.createDataFrame([(c, float(v)) for c, vs in columns.items() for v in vs], "c string, v double")
+    for limit in (100, 1_000_000):
+        for r in ranks.quantiles(df, "v", [0.001, 0.1, 0.5, 0.999], ["c"], limit).collect():
+            assert r["value"] == np.percentile(columns[r["c"]], 100 * r["share"]) or r["value"] == pytest.approx(
+                np.percentile(columns[r["c"]], 100 * r["share"]), rel=1e-13)
