@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def assign(p: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _unpacked(column: pa.Array, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places, planes) of a column of packed rows, together for rows with equally many planes."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    length = pa.compute.binary_length(column).to_numpy(zero_copy_only=False)
+    length = pc.binary_length(column).to_numpy(zero_copy_only=False)
     for size in np.unique(length):
         at = np.flatnonzero(length == size)
         data = b"".join(column.take(pa.array(at)).to_pylist())
