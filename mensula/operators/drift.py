@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mensula.operators.ranks import quantiles, with_place
+from mensula.operators.ranks import quantile_arrays, with_place
 from mensula.sizing import small_side
 
 # Decimals of rounded edges, and the finest rounding tried.
@@ -99,18 +99,17 @@ def quantile_edges(
     `labelled` they are exact.
     """
     shares = [i / buckets for i in range(buckets + 1)]
-    found = quantiles(expected, "value", shares, ["feature"], rows_per_bucket)
-    edges = found.groupBy("feature").agg(F.array_sort(F.collect_set("value")).alias("edges"))
-    return edges.select("feature", label_edges(F.col("edges")).alias("edges")) if labelled else edges
+    found = quantile_arrays(expected, "value", shares, ["feature"], rows_per_bucket)
+    edges = F.array_sort(F.array_distinct("values"))
+    return found.select("feature", (label_edges(edges) if labelled else edges).alias("edges"))
 
 
 # Bins of values that no bin takes.
 NULL_BIN, OUTSIDE = -1, -2
 
 
-def _binned(long: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
+def _binned(long: DataFrame, edges: DataFrame, by: Sequence[str], most_edges: int) -> DataFrame:
     """Rows per (by, feature, bin), NULL values and values outside the edges in bins of their own."""
-    most_edges = edges.agg(F.max(F.size("edges"))).first()[0] or 0
     placed = with_place(long.join(edges, "feature", "left"), "edges", F.col("value"), "_below", most_edges)
     last = F.coalesce(F.size("edges"), F.lit(0)) - 1
     bin_ = F.when(F.col("value") == F.get("edges", last), last - 1).otherwise(F.col("_below") - 1)
@@ -127,7 +126,8 @@ def histogram(long: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> Data
     Values outside the edges and NULL give no bin. A feature may have any number of edges.
     `edges` has a row per feature and is read twice: give a `small_side`.
     """
-    return _binned(long, edges, by).where(F.col("bin") >= 0)
+    most_edges = edges.agg(F.max(F.size("edges"))).first()[0] or 0
+    return _binned(long, edges, by, most_edges).where(F.col("bin") >= 0)
 
 
 def _counted(
@@ -136,9 +136,9 @@ def _counted(
 ) -> tuple[DataFrame, DataFrame]:
     """Edges, and rows of both samples per feature and bin (`e`, `a`), NULL and outside included; one pass each."""
     long = long_form(df.where(F.col(sample).isin(expected, actual)), columns, [sample])
-    edges = small_side(quantile_edges(long.where(F.col(sample) == expected), buckets, labelled, rows_per_bucket))
+    edges = small_side(quantile_edges(long.where(F.col(sample) == expected), buckets, labelled, rows_per_bucket))  # a row per feature
     side = lambda name: F.coalesce(F.sum(F.when(F.col(sample) == name, F.col("n"))), F.lit(0))
-    both = _binned(long, edges, [sample]).groupBy("feature", "bin").agg(side(expected).alias("e"), side(actual).alias("a"))
+    both = _binned(long, edges, [sample], buckets + 1).groupBy("feature", "bin").agg(side(expected).alias("e"), side(actual).alias("a"))
     return edges, small_side(both)
 
 
@@ -183,20 +183,19 @@ def psi(
     NULLs.
     """
     edges, counted = _counted(df, sample, expected, actual, columns, buckets, labelled, rows_per_bucket)
-    null = F.col("bin") == NULL_BIN
-    total = lambda side, rows, name: F.coalesce(F.sum(F.when(rows, F.col(side))), F.lit(0)).alias(name)
-    sizes = counted.groupBy("feature").agg(
-        total("e", ~null, "_e"), total("a", ~null, "_a"), total("e", null, "_e_null"), total("a", null, "_a_null"))
-    share = lambda n, total: F.try_divide(F.col(n).cast("double"), F.col(total))
-    per_bin = _all_bins(edges, counted).join(sizes, "feature").select(
-        "feature", psi_term(share("n_expected", "_e"), share("n_actual", "_a"), empty).alias("_term"))
-    known = per_bin.groupBy("feature").agg(F.sum("_term").alias("_known"))
-    all_null = F.try_divide(F.col("_e_null").cast("double"), F.col("_e_null") + F.col("_e"))
-    all_null_a = F.try_divide(F.col("_a_null").cast("double"), F.col("_a_null") + F.col("_a"))
-    both = (F.col("_e_null") > 0) & (F.col("_a_null") > 0)
-    null_term = F.when(both, psi_term(all_null, all_null_a, empty)).otherwise(0.0)
-    return (
-        sizes.join(known, "feature", "left")
-        .select("feature", (F.coalesce("_known", F.lit(0.0)) + null_term).alias("psi"))
-        .orderBy(F.desc("psi"), "feature")
-    )
+    # A row per feature from here on: its counts as a map from bins.
+    per = counted.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("e", "a")))).alias("_n"))
+    none = F.struct(F.lit(0).cast("long").alias("e"), F.lit(0).cast("long").alias("a"))
+    at = lambda b: F.coalesce(F.try_element_at("_n", b), none)
+    known = F.map_values(F.map_filter("_n", lambda b, _: b != NULL_BIN))
+    total = lambda side: F.aggregate(known, F.lit(0).cast("long"), lambda t, n: t + n[side])
+    share = lambda n, of: F.try_divide(n.cast("double"), of)
+    rows = per.join(edges, "feature", "left").select("feature", "_n", "edges", total("e").alias("_e"), total("a").alias("_a"))
+    bins = F.when(F.size("edges") > 1, F.sequence(F.lit(0), F.size("edges") - 2)).otherwise(F.array().cast("array<int>"))
+    terms = F.transform(bins, lambda b: psi_term(share(at(b)["e"], F.col("_e")), share(at(b)["a"], F.col("_a")), empty))
+    binned = F.aggregate(terms, F.lit(0.0), lambda t, x: t + F.coalesce(x, F.lit(0.0)))
+    missing = at(F.lit(NULL_BIN))
+    all_null = share(missing["e"], missing["e"] + F.col("_e"))
+    all_null_a = share(missing["a"], missing["a"] + F.col("_a"))
+    null_term = F.when((missing["e"] > 0) & (missing["a"] > 0), psi_term(all_null, all_null_a, empty)).otherwise(0.0)
+    return rows.select("feature", (binned + null_term).alias("psi")).orderBy(F.desc("psi"), "feature")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mensula.functions.columns import PROBABILITY_CUT
 from mensula.operators.combine import studies_of
-from mensula.operators.ranks import Ranking, best_prefix, find, match, top_rows, value_of, with_place, with_rank
+from mensula.operators.ranks import Ranking, best_prefix, find, match, top_rows, value_of, with_rank
 from mensula.sizing import settle, small_side
 
 # Gain per hit, cost per contact, contacts to select, and the sweeps.
@@ -134,46 +134,24 @@ def hits_within(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int]) -
     """Per group and size n (of those not above the group's rows): `TP` among the first n rows,
     the score at rank n as `threshold`, and the group's `n_rows` and `n_positive`.
 
-    Only the rows near the wanted ranks are sorted; the rest are counted between them.
+    Only the rows near the wanted ranks are sorted; the rest are counted between them, with their hits.
     """
-    by = list(ranking.group)
+    return _opened(_at_sizes(df, ranking, y, sizes), ranking)
+
+
+def _at_sizes(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int], extra: dict[str, Column] | None = None) -> DataFrame:
     wanted = F.array(*[F.lit(int(n)).cast("long") for n in sorted(set(sizes))])
-    found = find(df, ranking, wanted, {"hits": (F.col(y) == 1).cast("long")})
-    if found.summed:
-        opened = found.rows.select(*by, F.explode("found").alias("_edge"), "n_rows", F.coalesce("total_hits", F.lit(0)).alias("n_positive"))
-        hits = F.col("_edge.upto_hits")
-    else:
-        opened, hits = _counted_between(df, ranking, y, found.rows, len(set(sizes)))
-    return opened.select(
-        *by, F.col("_edge.rank").alias("n_contacts"),
-        value_of(F.col("_edge.key"), ranking.descending).alias("threshold"),
-        hits.alias("TP"), "n_rows", "n_positive",
-    )
+    return find(df, ranking, wanted, {"hits": (F.col(y) == 1).cast("long")}, extra)
 
 
-def _counted_between(df: DataFrame, ranking: Ranking, y: str, found: DataFrame, most: int) -> tuple[DataFrame, Column]:
-    """Found keys, one a row as `_edge`, and the hits up to each, counted between the keys in a pass of their own."""
+def _opened(found: DataFrame, ranking: Ranking) -> DataFrame:
     by = list(ranking.group)
-    edges = found.select(*by, F.col("found").alias("_edges"), "n_rows")
-    if by:
-        rows = match(df, small_side(edges), by)
-    else:
-        whole = edges.select(F.struct("_edges", "n_rows").alias("e")).scalar()
-        rows = df.select("*", whole.alias("_e")).select("*", "_e._edges", "_e.n_rows").drop("_e")
-    keyed = rows.select(*by, y, "_edges", "n_rows", F.col("_edges.key").alias("_bounds"), ranking.key().alias("_key"))
-    placed = with_place(keyed, "_bounds", F.col("_key"), "_place", most, closed=False)
-    counted = placed.groupBy(*by, "_place").agg(
-        F.count(F.when(F.col(y) == 1, 1)).alias("_hits"),
-        F.first("_edges").alias("_edges"), F.first("n_rows").alias("n_rows"),
-    )
-    gathered = counted.groupBy(*by).agg(
-        F.collect_list(F.struct("_place", "_hits")).alias("_parts"), F.sum("_hits").alias("n_positive"),
-        F.first("_edges").alias("_edges"), F.first("n_rows").alias("n_rows"),
+    opened = found.select(*by, F.explode("found").alias("_edge"), "n_rows", F.col("total_hits").alias("n_positive"))
+    return opened.select(
+        *by, F.col("_edge.rank").alias("n_contacts"),
+        value_of(F.col("_edge.key"), ranking.descending).alias("threshold"),
+        F.col("_edge.upto_hits").alias("TP"), "n_rows", "n_positive",
     )
-    hits = F.aggregate(
-        F.filter("_parts", lambda p: p["_place"] <= F.col("_at")), F.lit(0).cast("long"),
-        lambda total, p: total + p["_hits"])
-    return gathered.select("*", F.posexplode("_edges").alias("_at", "_edge")), hits
 
 
 def top_n_sweep(
@@ -181,9 +159,13 @@ def top_n_sweep(
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST,
 ) -> DataFrame:
     """One row per contact count: hits, misses, cut score, gain, precision."""
+    return _sized_gain(hits_within(df, ranking, y, sizes), ranking, gain, cost)
+
+
+def _sized_gain(hits: DataFrame, ranking: Ranking, gain: int, cost: int) -> DataFrame:
     n, tp = F.col("n_contacts"), F.col("TP")
     money = tp * gain - n * cost
-    return hits_within(df, ranking, y, sizes).select(
+    return hits.select(
         *ranking.group, "n_contacts", "threshold", "TP", (n - tp).alias("FP"), money.alias("gain"),
         (money.cast("double") / n).alias("gain_per_contact"), (tp.cast("double") / n).alias("precision"),
     )
@@ -196,21 +178,19 @@ def month_report(
 ) -> DataFrame:
     """Per group (period): size, churn, best threshold, best contact count and the fixed count."""
     by = list(ranking.group)
-    sizes_ = df.groupBy(*by).agg(
-        F.count("*").alias("n_rows"), F.sum(y).cast("long").alias("n_positive"),
-        F.avg(y).alias("churn_rate"),
-    )
     by_cut = threshold_sweep(df, ranking.score, y, cuts, by, gain, cost).groupBy(*by).agg(
         F.max_by(F.struct("threshold", "gain", "n_contacts", "TP", "FP"),
                  F.struct("gain", -F.col("threshold"))).alias("best_threshold"))
-    sweep = top_n_sweep(df, ranking, y, sorted({*sizes, fixed_size}), gain, cost)
+    about = {"n_positive": F.sum(y).cast("long"), "churn_rate": F.avg(y)}
+    found = _at_sizes(df, ranking, y, sorted({*sizes, fixed_size}), about)
+    sweep = _sized_gain(_opened(found, ranking), ranking, gain, cost)
     row = F.struct("n_contacts", "gain", "TP", "threshold", "precision")
     listed = F.col("n_contacts").isin(*[int(s) for s in sizes])
     by_size = sweep.groupBy(*by).agg(
         F.max_by(F.when(listed, row), F.when(listed, F.struct("gain", -F.col("n_contacts")))).alias("best_size"),
         F.max(F.when(F.col("n_contacts") == fixed_size, row)).alias("fixed_size"),
     )
-    return match(match(sizes_, by_cut, by, "left"), by_size, by, "left")
+    return match(match(found.select(*by, "n_rows", *about), by_cut, by, "left"), by_size, by, "left")
 
 
 # Selecting whom to contact.

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from mensula.sizing import fetched, settle, side_of, small_side
 
 SAMPLES_PER_BUCKET = 24
-SHORT_ARRAY = 32
+SHORT_ARRAY = 8
 
 
 @dataclass(frozen=True)
@@ -138,6 +138,7 @@ def _spans(bucketed: DataFrame, ranking: Ranking, sums: Sequence[str] = ()) -> D
         *group, "_bucket", "_n",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_n").over(everything).alias("n_rows"),
+        *[F.col(f"_sum_{c}") for c in sums],
         *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums],
     )
 
@@ -207,19 +208,7 @@ def best_prefix(df: DataFrame, ranking: Ranking, value: str) -> DataFrame:
 
 # Size of a quantile sketch and how many of its quantiles are read off; the rank error is three times that which
 # a sketch of this size exceeds in one case of a hundred. A wrong bracket is noticed, and the ranks are then found without brackets.
-SKETCH_K, GRID, RANK_ERROR = 4_096, 1_024, 0.004
-
-
-@dataclass(frozen=True)
-class Found:
-    """What stands at the wanted ranks, one row per group, written or fetched.
-
-    `rows` has the group, `n_rows`, `total_<name>`, and `found`, an array of (rank, key, `upto_<name>`) in rank order.
-    `upto_` is the sum over all rows up to that key, or is missing when `summed` is false.
-    """
-
-    rows: DataFrame
-    summed: bool
+SKETCH_K, GRID, RANK_ERROR = 16_384, 4_096, 0.0011
 
 
 def _as_double(key: Column) -> Column:
@@ -228,54 +217,67 @@ def _as_double(key: Column) -> Column:
     return F.when((key["missing"] == 1) | F.isnan(number), float("inf")).otherwise(number)
 
 
-def _brackets(keyed: DataFrame, ranking: Ranking, ranks: Column, sums: dict[str, Column], error: float) -> DataFrame:
-    """Per group: `n_rows`, totals, the wanted `_ranks`, and for each the scores `_los` and `_his` between which it lies.
+def _brackets(
+    keyed: DataFrame, ranking: Ranking, ranks: Column, sums: list[str], extra: dict[str, Column], error: float
+) -> DataFrame:
+    """Per group: `n_rows`, totals, `extra`, the wanted `_ranks`, and for each the scores `_los` and `_his` between which it lies.
 
     `_near` tells about how many rows a bracket holds at most. One pass, with a mergeable sketch per group.
     """
-    parts = ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1))
-    sketched = keyed.groupBy(*ranking.group).agg(
-        F.count("*").alias("n_rows"), F.kll_sketch_agg_double("_at", F.lit(SKETCH_K)).alias("_sketch"),
-        *[F.sum(c).alias(f"total_{name}") for name, c in sums.items()],
-    )
+    # One text instead of thousands of literals, which every rule of the optimizer would visit.
+    parts = F.split(F.lit(" ".join(repr(i / GRID) for i in range(GRID + 1))), " ").cast("array<double>")
+    sketched = _totals(keyed, ranking.group, sums, extra, F.kll_sketch_agg_double("_at", F.lit(SKETCH_K)).alias("_sketch"))
     n = F.col("n_rows")
-    grid = F.when(n > 0, F.kll_sketch_get_quantile_double("_sketch", F.expr(f"array({parts})")))
-    wanted = F.array_sort(F.array_distinct(F.filter(ranks.cast("array<long>"), lambda r: (r >= 1) & (r <= n))))
-    table = sketched.select(*ranking.group, "n_rows", *[f"total_{name}" for name in sums], grid.alias("_grid"), wanted.alias("_ranks"))
+    grid = F.when(n > 0, F.kll_sketch_get_quantile_double("_sketch", parts))
+    table = sketched.select(*[c for c in sketched.columns if c != "_sketch"], grid.alias("_grid"), _wanted(ranks).alias("_ranks"))
     below = lambda r: F.floor(((r - 2) / n - error) * GRID).cast("int")
     above = lambda r: F.ceil(((r + 1) / n + error) * GRID).cast("int")
     los = F.transform("_ranks", lambda r: F.when(below(r) >= 0, F.get("_grid", below(r))).otherwise(float("-inf")))
     his = F.transform("_ranks", lambda r: F.when(above(r) <= GRID, F.get("_grid", above(r))).otherwise(float("inf")))
-    table = table.where(F.size("_ranks") > 0).withColumns({"_los": los, "_his": his})
+    table = table.withColumns({"_los": los, "_his": his})
     if ranking.ties:
         # Rows that share a score are not counted together, so a common score makes its bracket large.
-        held = F.transform(F.arrays_zip("_los", "_his"), lambda b: F.size(
-            F.filter("_grid", lambda g: (g >= b["_los"]) & (g <= b["_his"]))))
-        share = (F.array_max(held) + 2) / GRID
+        table = table.withColumn("_down", F.reverse("_grid"))
+        first = lambda b: F.greatest(F.array_position("_grid", b["_los"]), F.lit(1))
+        last = lambda b: F.lit(GRID + 2) - F.greatest(F.array_position("_down", b["_his"]), F.lit(1))
+        held = F.transform(F.arrays_zip("_los", "_his"), lambda b: last(b) - first(b))
+        share = (F.coalesce(F.array_max(held), F.lit(0)) + 2) / GRID
     else:
         share = F.lit(2 * (error + 2 / GRID))
-    return table.withColumn("_near", F.least(n, F.ceil(n * share) + 4)).drop("_grid")
+    return table.withColumn("_near", F.least(n, F.ceil(n * share) + 4)).drop("_grid", "_down")
+
+
+def _totals(keyed: DataFrame, group: Sequence[str], sums: list[str], extra: dict[str, Column], *more: Column) -> DataFrame:
+    return keyed.groupBy(*group).agg(
+        F.count("*").alias("n_rows"), *[F.coalesce(F.sum(f"_s_{name}"), F.lit(0)).alias(f"total_{name}") for name in sums],
+        *[c.alias(name) for name, c in extra.items()], *more)
+
+
+def _wanted(ranks: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(ranks.cast("array<long>"), lambda r: (r >= 1) & (r <= F.col("n_rows")))))
 
 
 def find(
-    df: DataFrame, ranking: Ranking, ranks: Column, sums: dict[str, Column] | None = None, error: float = RANK_ERROR
-) -> Found:
-    """What stands at the given ranks of each group, and what rows up to there sum to.
+    df: DataFrame, ranking: Ranking, ranks: Column, sums: dict[str, Column] | None = None,
+    extra: dict[str, Column] | None = None, error: float = RANK_ERROR,
+) -> DataFrame:
+    """What stands at the given ranks of each group, and what rows up to there sum to; one row per group, written or fetched.
+
+    The result has the group, `n_rows`, `total_<name>` of all rows, and `found`, an array of (rank, key, `upto_<name>`) in rank
+    order, where `upto_` is the sum over all rows up to that key. `extra` names aggregates of the whole group that are
+    taken along. `ranks` is an array of longs, computed from `n_rows` and `extra`; ranks outside 1..n_rows are left out.
 
-    `ranks` is an array of longs, computed from the group's row count `n_rows`; ranks outside 1..n_rows are left
-    out. A first pass sketches each group's scores, which puts every wanted rank between two scores, by a
+    A first pass sketches each group's scores, which puts every wanted rank between two scores, by a
     known error. A second pass counts the rows between the brackets and sorts only those inside. A
     bracket with more rows than a bucket is cut into buckets first. Without `ties`, equal scores are counted
     together before the shuffle; `ties` should make keys unique. Scores that are no numbers are cut into buckets at once.
     """
-    sums = sums or {}
-    group = list(ranking.group)
-    keyed = df.select(*group, ranking.key().alias("_key"), *[c.alias(f"_s_{name}") for name, c in sums.items()])
+    sums, extra, group = sums or {}, extra or {}, list(ranking.group)
+    keyed = df.select("*", ranking.key().alias("_key"), *[c.cast("long").alias(f"_s_{name}") for name, c in sums.items()])
     if not isinstance(df.schema[ranking.score].dataType, T.NumericType):
-        return _found_in_buckets(keyed, ranking, ranks)
+        return settle(_found_in_buckets(keyed, ranking, ranks, list(sums), extra))
     keyed = keyed.withColumn("_at", _as_double(F.col("_key")))
-    named = {name: F.col(f"_s_{name}") for name in sums}
-    table = _brackets(keyed, ranking, ranks, named, error)
+    table = _brackets(keyed, ranking, ranks, list(sums), extra, error)
     rows = fetched(table)
     if rows is None:
         table = settle(table)
@@ -284,139 +286,129 @@ def find(
         table = side_of(rows, table)
         near = max(rows["_near"].to_pylist(), default=0)
         longest = max((len(r) for r in rows["_ranks"].to_pylist()), default=0)
+    told = ["n_rows", *[f"total_{name}" for name in sums], *extra]
     if not longest:
-        return Found(table.select(*group, "n_rows", *[f"total_{name}" for name in sums], F.array().cast(
-            _found_type(keyed, sums)).alias("found")).where("false"), True)
+        return table.select(*group, *told, F.array().cast(_found_type(keyed, list(sums))).alias("found"))
 
-    placed = _bracketed(keyed, table, group, longest)
+    counted = _counted(keyed, table, group, longest, list(sums))
     if near > ranking.rows_per_bucket:
-        out = _found_in_large_brackets(placed, table, ranking)
+        out = _found_in_large_brackets(settle(counted), table, ranking, list(sums), told)
     else:
-        out = Found(_found_in_brackets(placed, table, group, sums), True)
-    got = fetched(out.rows)
-    written = settle(out.rows) if got is None else side_of(got, out.rows)
+        out = _found_in_brackets(counted, table, group, list(sums), told)
+    got = fetched(out)
+    written = settle(out) if got is None else side_of(got, out)
     whole = F.forall("found", lambda f: f["key"].isNotNull()) & (F.size("found") == F.size("_ranks"))
-    missed = written.where(~F.coalesce(whole, F.lit(False)))
-    if not missed.isEmpty():
-        return _found_in_buckets(keyed, ranking, ranks)
-    return Found(written.drop("_ranks"), out.summed)
+    if not written.where(~F.coalesce(whole, F.lit(False))).isEmpty():
+        return settle(_found_in_buckets(keyed, ranking, ranks, list(sums), extra))
+    return written.drop("_ranks")
 
 
-def _found_type(keyed: DataFrame, sums: dict[str, Column]) -> str:
+def _found_type(keyed: DataFrame, sums: list[str]) -> str:
     more = "".join(f", upto_{name}: long" for name in sums)
     return f"array<struct<rank: long, key: {keyed.schema['_key'].dataType.simpleString()}{more}>>"
 
 
-def _bracketed(keyed: DataFrame, table: DataFrame, group: list[str], longest: int) -> DataFrame:
-    """Rows with `_place`, ascending over the brackets and the gaps between them, and the key of those inside a bracket."""
+def _counted(keyed: DataFrame, table: DataFrame, group: list[str], longest: int, sums: list[str]) -> DataFrame:
+    """`_copies` (rows) and sums per `_place`, ascending over the brackets and the gaps between them, and inside a bracket per key."""
     joined = match(keyed, table.select(*group, "_los", "_his"), group)
     begun = with_place(joined, "_los", F.col("_at"), "_begun", longest)
     passed = with_place(begun, "_his", F.col("_at"), "_passed", longest, closed=False)
     # Both counts rise with the score, so their sum tells every stretch apart.
-    return passed.select(
-        *group, (F.col("_begun") + F.col("_passed")).alias("_place"), (F.col("_begun") > F.col("_passed")).alias("_inside"),
-        F.when(F.col("_begun") > F.col("_passed"), F.col("_key")).alias("_key"),
-        *[c for c in keyed.columns if c.startswith("_s_")],
-    )
+    placed = passed.select(
+        *group, (F.col("_begun") + F.col("_passed")).alias("_place"),
+        F.when(F.col("_begun") > F.col("_passed"), F.col("_key")).alias("_key"), *[f"_s_{name}" for name in sums])
+    return placed.groupBy(*group, "_place", "_key").agg(
+        F.count("*").alias("_copies"), *[F.coalesce(F.sum(f"_s_{name}"), F.lit(0)).alias(f"_s_{name}") for name in sums])
+
+
+def _listed(hits: DataFrame, group: list[str], others: list[str], sums: list[str]) -> DataFrame:
+    """(rank, key, sums) rows as one array per group; rows without a rank give none."""
+    entry = F.when(F.col("rank").isNotNull(), F.struct("rank", "key", *[f"upto_{name}" for name in sums]))
+    return hits.groupBy(*group).agg(*[F.first(c).alias(c) for c in others], F.array_sort(F.collect_list(entry)).alias("found"))
 
 
-def _found_in_brackets(placed: DataFrame, table: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
+def _found_in_brackets(counted: DataFrame, table: DataFrame, group: list[str], sums: list[str], told: list[str]) -> DataFrame:
     """Keys at the wanted ranks, from one running count per group over gaps and rows inside brackets."""
-    counted = placed.groupBy(*group, "_place", "_key").agg(
-        F.count("*").alias("_copies"), *[F.sum(f"_s_{name}").alias(f"_s_{name}") for name in sums])
     upto = Window.partitionBy(*group).orderBy("_place", "_key").rowsBetween(Window.unboundedPreceding, 0)
     running = counted.select(
         *group, "_key", "_copies", F.sum("_copies").over(upto).alias("_upto"),
-        *[F.coalesce(F.sum(f"_s_{name}").over(upto), F.lit(0)).alias(f"upto_{name}") for name in sums],
+        *[F.sum(f"_s_{name}").over(upto).alias(f"upto_{name}") for name in sums],
     )
-    totals = [f"total_{name}" for name in sums]
-    wanted = match(running, table.select(*group, "n_rows", "_ranks", *totals), group)
+    others = [*told, "_ranks"]
+    wanted = match(running, table.select(*group, *others), group)
     hit = F.filter("_ranks", lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_copies")))
-    hits = wanted.where(F.size(hit) > 0).select(
-        *group, "n_rows", "_ranks", *totals, F.explode(hit).alias("rank"), F.col("_key").alias("key"), *[f"upto_{name}" for name in sums])
-    entry = F.struct("rank", "key", *[f"upto_{name}" for name in sums])
-    return hits.groupBy(*group).agg(
-        *[F.first(c).alias(c) for c in ("n_rows", "_ranks", *totals)], F.array_sort(F.collect_list(entry)).alias("found"))
+    # The first row of a group stays in any case, so that a group without wanted ranks is told of too.
+    hits = wanted.where((F.size(hit) > 0) | (F.col("_upto") == F.col("_copies"))).select(
+        *group, *others, F.explode_outer(hit).alias("rank"), F.col("_key").alias("key"), *[f"upto_{name}" for name in sums])
+    return _listed(hits, group, others, sums)
 
 
-def _found_in_large_brackets(placed: DataFrame, table: DataFrame, ranking: Ranking) -> Found:
+def _found_in_large_brackets(
+    counted: DataFrame, table: DataFrame, ranking: Ranking, sums: list[str], told: list[str]
+) -> DataFrame:
     """The same for brackets that hold more rows than a task should sort: each is a group that is cut into buckets."""
-    group = list(ranking.group)
+    group, within = list(ranking.group), [*ranking.group, "_place"]
     before = Window.partitionBy(*group).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    spans = match(
-        placed.groupBy(*group, "_place", "_inside").agg(F.count("*").alias("_n")).select(
-            "*", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")),
-        table, group)
-    own = F.filter("_ranks", lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")))
-    wanted = spans.withColumn("_own", own).where("_inside and size(_own) > 0").select(
-        *group, "_place", "_before", F.transform("_own", lambda r: r - F.col("_before")).alias("_within"))
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    spans = counted.groupBy(*within, F.col("_key").isNotNull().alias("_inside")).agg(
+        *[F.sum(c).alias(c) for c in ("_copies", *[f"_s_{name}" for name in sums])])
+    spans = spans.select("*", earlier("_copies").alias("_first"), *[earlier(f"_s_{name}").alias(f"_b_{name}") for name in sums])
+    own = F.filter("_ranks", lambda r: (r > F.col("_first")) & (r <= F.col("_first") + F.col("_copies")))
+    wanted = match(spans, table.select(*group, "_ranks"), group).withColumn("_own", own).where("_inside and size(_own) > 0").select(
+        *within, "_first", F.transform("_own", lambda r: r - F.col("_first")).alias("_within"), *[f"_b_{name}" for name in sums])
     rows = fetched(wanted)
     wanted = settle(wanted) if rows is None else side_of(rows, wanted)
-    within = [*group, "_place"]
-    near = settle(match(placed, wanted.select(*within), within, "left_semi").select(*within, "_key"))
-    narrow = replace(ranking, group=tuple(within))
-    keys = match(_keys_in_buckets(near, narrow, wanted.select(*within, "_within")), wanted, within).select(
-        *group, (F.col("_before") + F.col("rank")).alias("rank"), "key")
-    found = keys.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("rank", "key"))).alias("found"))
-    totals = [c for c in table.columns if c.startswith("total_")]
-    return Found(match(table.select(*group, "n_rows", "_ranks", *totals), found, group, "left"), False)
-
-
-def _found_in_buckets(keyed: DataFrame, ranking: Ranking, ranks: Column) -> Found:
-    keys = _keys_in_buckets(keyed.select(*ranking.group, "_key"), ranking, ranks)
-    sums = [c for c in keyed.columns if c.startswith("_s_")]
-    found = keys.groupBy(*ranking.group).agg(
-        F.max("n_rows").alias("n_rows"), F.array_sort(F.collect_list(F.struct("rank", "key"))).alias("found"))
-    if sums:
-        totals = keyed.groupBy(*ranking.group).agg(*[F.sum(c).alias(f"total_{c.removeprefix('_s_')}") for c in sums])
-        found = match(found, totals, ranking.group)
-    return Found(settle(found), False)
-
-
-def _keys_in_buckets(keyed: DataFrame, ranking: Ranking, ranks: Column | DataFrame) -> DataFrame:
-    """Keys at the given ranks (group, rank, key, n_rows), with every group cut into buckets at sampled keys.
-
-    `ranks` is an array computed from `n_rows`, or a table of the group and an array `_within`. Only buckets that hold a
-    wanted rank are sorted.
-    """
+    near = match(counted, wanted.select(*within), within, "left_semi")
+    keys = match(_keys_in_buckets(near, replace(ranking, group=tuple(within)), wanted.select(*within, "_within"), sums), wanted, within)
+    hits = keys.select(
+        *group, (F.col("_first") + F.col("rank")).alias("rank"), "key",
+        *[(F.col(f"_b_{name}") + F.col(f"upto_{name}")).alias(f"upto_{name}") for name in sums])
+    return _with_found(table.select(*group, *told, "_ranks"), _listed(hits, group, [], sums), group)
+
+
+def _with_found(table: DataFrame, found: DataFrame, group: list[str]) -> DataFrame:
+    kind = found.schema["found"].dataType
+    both = match(table, found, group, "left")
+    return both.withColumn("found", F.coalesce("found", F.array().cast(kind)))
+
+
+def _found_in_buckets(keyed: DataFrame, ranking: Ranking, ranks: Column, sums: list[str], extra: dict[str, Column]) -> DataFrame:
+    """The same without brackets."""
     group = list(ranking.group)
-    where = [*group, "_bucket"]
-    cuts = _cuts(keyed, ranking)
-    bucketed = _bucketed(keyed, ranking, cuts)
-    local = Window.partitionBy(*where).orderBy(*ranking.key_order())
-    upto = F.sum("_copies").over(local.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto")
-
-    def counted(rows: DataFrame) -> DataFrame:
-        if ranking.ties:
-            return rows.select(*where, "_key", F.lit(1).cast("long").alias("_copies"))
-        return rows.groupBy(*where, "_key").agg(F.count("*").alias("_copies"))
-
-    def asked(rows: DataFrame) -> tuple[DataFrame, Column]:
-        if isinstance(ranks, Column):
-            return rows, F.array_distinct(ranks)
-        return match(rows, ranks, group), F.col("_within")
+    table = small_side(_totals(keyed, group, sums, extra).withColumn("_within", _wanted(ranks)))
+    rows = keyed.select(*group, "_key", F.lit(1).cast("long").alias("_copies"), *[f"_s_{name}" for name in sums])
+    keys = _keys_in_buckets(rows, ranking, table.select(*group, "_within"), sums)
+    return _with_found(table.drop("_within"), _listed(keys, group, [], sums), group)
 
-    if cuts is None:
-        # No group is larger than a bucket: its own totals are the group's.
-        everything = F.sum("_copies").over(Window.partitionBy(*where)).alias("n_rows")
-        rows, wanted = asked(counted(bucketed).select("*", upto, everything, F.lit(0).alias("_before")))
-        placed = rows.withColumn("_ranks", wanted)
-    else:
-        spans, wanted = asked(_spans(bucketed, ranking))
-        inside = F.filter(wanted, lambda r: (r > F.col("_before")) & (r <= F.col("_before") + F.col("_n")))
-        needed = small_side(
-            spans.select(*where, "_before", "n_rows", inside.alias("_ranks")).where(F.size("_ranks") > 0)
-        )
-        near = counted(match(bucketed, needed, where, "left_semi"))
-        placed = match(near.select("*", upto), needed, where)
-    last = F.col("_before") + F.col("_upto")
+
+def _keys_in_buckets(counted: DataFrame, ranking: Ranking, wanted: DataFrame, sums: list[str]) -> DataFrame:
+    """Keys at wanted ranks (group, rank, key, `upto_<name>`), with every group cut into buckets at sampled keys.
+
+    `counted` has the group, `_key`, `_copies` (how many rows a row stands for) and sums, `wanted` the group and ranks as an
+    array `_within`. Only buckets that hold a wanted rank are sorted.
+    """
+    group = list(ranking.group)
+    where, weights = [*group, "_bucket"], ["_copies", *[f"_s_{name}" for name in sums]]
+    bucketed = _bucketed(counted, ranking, _cuts(counted, ranking))
+    spans = match(_spans(bucketed, ranking, weights), wanted, group)
+    inside = F.filter("_within", lambda r: (r > F.col("_before__copies")) & (r <= F.col("_before__copies") + F.col("_sum__copies")))
+    needed = small_side(
+        spans.select(*where, *[f"_before_{c}" for c in weights], inside.alias("_ranks")).where(F.size("_ranks") > 0))
+    near = match(bucketed, needed.select(*where), where, "left_semi").groupBy(*where, "_key").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in weights])
+    local = Window.partitionBy(*where).orderBy(*ranking.key_order()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = [F.sum(c).over(local).alias(f"_upto_{c}") for c in weights]
+    placed = match(near.select(*where, "_key", "_copies", *upto), needed, where)
+    last = F.col("_before__copies") + F.col("_upto__copies")
     hit = F.filter("_ranks", lambda r: (r <= last) & (r > last - F.col("_copies")))
-    return placed.select(*group, F.explode(hit).alias("rank"), F.col("_key").alias("key"), "n_rows")
+    return placed.select(
+        *group, F.explode(hit).alias("rank"), F.col("_key").alias("key"),
+        *[(F.col(f"_before_{c}") + F.col(f"_upto_{c}")).alias(f"upto_{name}") for name, c in zip(sums, weights[1:])])
 
 
 def keys_at_ranks(df: DataFrame, ranking: Ranking, ranks: Column) -> DataFrame:
     """Keys that stand at the given ranks of each group: (group, rank, key, n_rows); see `find`."""
-    found = find(df, ranking, ranks).rows
+    found = find(df, ranking, ranks)
     return found.select(*ranking.group, F.explode("found").alias("f"), "n_rows").select(
         *ranking.group, "f.rank", "f.key", "n_rows")
 
@@ -429,7 +421,7 @@ def top_rows(df: DataFrame, ranking: Ranking, n: int | Column) -> DataFrame:
     """
     count = F.lit(n) if isinstance(n, int) else n
     last = F.least(count.cast("long"), F.col("n_rows"))
-    edges = find(df, ranking, F.array(last)).rows.withColumn("_edge", F.get("found", F.lit(0))["key"])
+    edges = find(df, ranking, F.array(last)).withColumn("_edge", F.get("found", F.lit(0))["key"])
     if not ranking.group:
         return df.where(ranking.key() <= edges.select("_edge").scalar())
     edge = small_side(edges.select(*[F.col(g).alias(f"_edge_{g}") for g in ranking.group], "_edge"))
@@ -442,24 +434,27 @@ def value_of(key: Column, descending: bool = True) -> Column:
     return -key["score"] if descending else key["score"]
 
 
-def _quantiles(df: DataFrame, score: str, shares: Sequence[float], group: Sequence[str], rows_per_bucket: int) -> DataFrame:
-    """(group, n_rows, `_at`: a map from rank to value) with the ranks on both sides of every share."""
+def _quantiles(
+    df: DataFrame, score: str, shares: Sequence[float], group: Sequence[str], rows_per_bucket: int, extra: dict[str, Column],
+) -> DataFrame:
+    """(group, n_rows, `extra`, `n_known`, `_at`: a map from rank to value) with the ranks on both sides of every share."""
     ranking = Ranking(score, (), tuple(group), descending=False, rows_per_bucket=rows_per_bucket)
-    present = df.where(F.col(score).isNotNull()).withColumn(score, F.col(score).cast("double"))
     wanted = F.array(*[F.lit(float(s)) for s in shares])
-    place = lambda s: s * (F.col("n_rows") - 1)
+    place = lambda s: s * (F.col("n_known") - 1)
     lower = F.transform(wanted, lambda s: F.floor(place(s)) + 1)
     upper = F.transform(wanted, lambda s: F.ceil(place(s)) + 1)
-    found = find(present, ranking, F.concat(lower, upper)).rows
-    return found.select(*group, "n_rows", F.map_from_entries(
-        F.transform("found", lambda f: F.struct(f["rank"], f["key"]["score"]))).alias("_at"))
+    # NULL ranks last, so the known values have the ranks 1..n_known.
+    known = F.filter(F.concat(lower, upper), lambda r: r <= F.col("n_known"))
+    found = find(df.withColumn(score, F.col(score).cast("double")), ranking, known, extra={**extra, "n_known": F.count(score)})
+    return found.withColumn("_at", F.map_from_entries(
+        F.transform("found", lambda f: F.struct(f["rank"], f["key"]["score"])))).drop("found")
 
 
 def _between(share: Column) -> Column:
-    """The interpolated value at a share, from `_at` and `n_rows`."""
-    spot = share * (F.col("n_rows") - 1)
-    low = F.col("_at")[F.floor(spot) + 1]
-    high = F.col("_at")[F.ceil(spot) + 1]
+    """The interpolated value at a share, from `_at` and `n_known`."""
+    spot = share * (F.col("n_known") - 1)
+    low = F.try_element_at("_at", F.floor(spot) + 1)
+    high = F.try_element_at("_at", F.ceil(spot) + 1)
     return low + (high - low) * (spot - F.floor(spot))
 
 
@@ -468,15 +463,25 @@ def quantiles(
     rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """Exact quantiles, interpolated linearly: (group, share, value, n_rows), NULL ignored."""
-    found = _quantiles(df, score, shares, group, rows_per_bucket)
+    found = _quantiles(df, score, shares, group, rows_per_bucket, {}).where("n_known > 0")
     wanted = F.array(*[F.lit(float(s)) for s in shares])
     return found.select("*", F.explode(wanted).alias("share")).select(
-        *group, "share", _between(F.col("share")).alias("value"), "n_rows")
+        *group, "share", _between(F.col("share")).alias("value"), F.col("n_known").alias("n_rows"))
+
+
+def quantile_arrays(
+    df: DataFrame, score: str, shares: Sequence[float], group: Sequence[str] = (), rows_per_bucket: int = 1_000_000
+) -> DataFrame:
+    """The same as one array `values` per group with any value, in the order of the shares."""
+    found = _quantiles(df, score, shares, group, rows_per_bucket, {}).where("n_known > 0")
+    return found.select(*group, F.transform(F.array(*[F.lit(float(s)) for s in shares]), _between).alias("values"))
 
 
 def named_quantiles(
-    df: DataFrame, score: str, named: dict[str, float], group: Sequence[str] = (), rows_per_bucket: int = 1_000_000
+    df: DataFrame, score: str, named: dict[str, float], group: Sequence[str] = (), rows_per_bucket: int = 1_000_000,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """The same with a column per named share: (group, names)."""
-    found = _quantiles(df, score, list(named.values()), group, rows_per_bucket)
-    return found.select(*group, *[_between(F.lit(float(share))).alias(name) for name, share in named.items()])
+    """`n_rows` (NULL scores included), a column per named share, NULL in a group without values, and `extra` aggregates of
+    the group, in the same passes."""
+    found = _quantiles(df, score, list(named.values()), group, rows_per_bucket, extra or {})
+    return found.select(*group, "n_rows", *(extra or {}), *[_between(F.lit(float(share))).alias(name) for name, share in named.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mensula.operators.gain import hits_within
-from mensula.operators.ranks import Ranking, match, named_quantiles
+from mensula.operators.ranks import Ranking, named_quantiles
 
 # Reported percentiles and top sizes.
 PERCENTILES = {"q01": 0.01, "q05": 0.05, "q10": 0.10, "q25": 0.25, "median": 0.50,
@@ -24,11 +24,8 @@ def distribution(
 
     A NULL period is a period; one without any score has NULL statistics.
     """
-    basic = df.groupBy(period).agg(
-        F.count("*").alias("n_rows"), F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"),
-        F.min(score).alias("min"), F.max(score).alias("max"),
-    )
-    return match(basic, named_quantiles(df, score, PERCENTILES, [period], rows_per_bucket), [period], "left")
+    basic = {"mean": F.avg(score), "std": F.stddev_pop(score), "min": F.min(score), "max": F.max(score)}
+    return named_quantiles(df, score, PERCENTILES, [period], rows_per_bucket, basic)
 
 
 def top_scores(
@@ -47,21 +44,15 @@ def class_distribution(
 ) -> DataFrame:
     """Per period: counts, churn rate and score statistics of each class, and their ratios."""
     sides = {"churners": 1, "no_churners": 0}
-    basic = df.groupBy(period).agg(
-        F.count("*").alias("_n"),
-        *[a for name, label in sides.items() for a in (
-            F.count(F.when(F.col(y) == label, 1)).alias(f"n_{name}"),
-            F.avg(F.when(F.col(y) == label, F.col(score))).alias(f"mean_{name}"),
-            F.stddev_pop(F.when(F.col(y) == label, F.col(score))).alias(f"std_{name}"),
-        )],
-    )
-    spread = named_quantiles(df.where(F.col(y).isin(0, 1)), score, CLASS_PERCENTILES, [period, y], rows_per_bucket)
-    per_class = spread.groupBy(period).agg(*[
-        F.max(F.when(F.col(y) == label, F.col(q))).alias(f"{q}_{name}")
-        for name, label in sides.items() for q in CLASS_PERCENTILES
-    ])
+    basic = {"mean": F.avg(score), "std": F.stddev_pop(score)}
+    per_class = named_quantiles(df, score, CLASS_PERCENTILES, [period, y], rows_per_bucket, basic).withColumnRenamed("n_rows", "n")
+    # A row per period and class by now.
+    wide = per_class.groupBy(period).agg(F.sum("n").alias("_n"), *[
+        F.max(F.when(F.col(y) == label, F.col(c))).alias(f"{c}_{name}")
+        for name, label in sides.items() for c in ("n", "mean", "std", *CLASS_PERCENTILES)
+    ]).fillna(0, [f"n_{name}" for name in sides])
     has_base = F.col("mean_no_churners") > 0
-    return match(basic, per_class, [period], "left").select(
+    return wide.select(
         "*", (F.col("n_churners") / F.col("_n")).alias("churn_rate"),
         F.when(has_base, F.try_divide("mean_churners", "mean_no_churners")).alias("mean_ratio"),
         F.when(has_base, F.try_divide("median_churners", "median_no_churners")).alias("median_ratio"),

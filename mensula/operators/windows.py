@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mensula.functions.columns import flag
-from mensula.operators.ranks import Ranking, keys_at_ranks, sort_key, with_place
+from mensula.operators.ranks import Ranking, find, match, with_place
 from mensula.panel import Panel, guarded
 from mensula.sizing import small_side
 
@@ -263,41 +263,30 @@ def deciles(
     """
     if not columns:
         return df
-    kinds: dict[str, list[str]] = {}
-    for c in columns:
-        kind = df.schema[c].dataType.typeName()
-        whole_number = kind in ("byte", "short", "integer", "long", "boolean")
-        kinds.setdefault("long" if whole_number else "double", []).append(c)
-    out = df
-    for kind, names in kinds.items():
-        out = _with_tiles(out, df, panel, names, kind, tiles, rows_per_bucket)
-    return out.select(*df.columns, *[f"{c}_decile" for c in columns])
-
-
-def _with_tiles(out, df, panel, names, kind, tiles, rows_per_bucket):
-    long = (
-        df.select(*panel.keys, *[F.col(c).cast(kind).alias(c) for c in names])
-        .unpivot(panel.keys, names, "_feature", "_value")
-    )
+    names = list(columns)
+
+    def score(c: str) -> tuple[Column, Column]:
+        """The value as a double, and as it is where a double cannot tell whole numbers apart."""
+        whole = df.schema[c].dataType.typeName() in ("byte", "short", "integer", "long", "boolean")
+        return F.col(c).cast("double"), F.col(c).cast("long") if whole else F.lit(None).cast("long")
+
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_feature"), score(c)[0].alias("_value"), score(c)[1].alias("_exact")) for i, c in enumerate(names)]))
+    long = df.select(*panel.keys, cells.alias("_cell")).select(*panel.keys, "_cell.*")
     ranking = Ranking(
-        "_value", (panel.entity,), (panel.period, "_feature"), descending=False,
-        rows_per_bucket=rows_per_bucket,
-    )
+        "_value", ("_exact", panel.entity), (panel.period, "_feature"), descending=False, rows_per_bucket=rows_per_bucket)
     ends = F.transform(
         F.sequence(F.lit(1), F.lit(tiles - 1)),
-        lambda t: (t * F.floor(F.col("n_rows") / tiles)
-                   + F.least(t, (F.col("n_rows") % tiles))).cast("long"),
-    )
-    closing = keys_at_ranks(long, ranking, ends)
-    bounds = small_side(
-        closing.groupBy(panel.period)
-        .pivot("_feature", list(names))
-        .agg(F.collect_list("key"))
-        .toDF(panel.period, *[f"_bounds_{i}" for i in range(len(names))])
+        lambda t: (t * F.floor(F.col("n_rows") / tiles) + F.least(t, (F.col("n_rows") % tiles))).cast("long"),
     )
-    placed = out.join(bounds, panel.period, "left")
+    closing = find(long, ranking, ends).select(panel.period, "_feature", F.col("found.key").alias("_keys"))
+    bounds = small_side(closing.groupBy(panel.period).agg(
+        F.map_from_entries(F.collect_list(F.struct("_feature", "_keys"))).alias("_bounds")))
+    placed = match(df, bounds, [panel.period], "left").select(
+        *df.columns, *[F.col("_bounds")[i].alias(f"_bounds_{i}") for i in range(len(names))])
     for i, c in enumerate(names):
-        mine = sort_key(F.col(c).cast(kind), [panel.entity], descending=False)
+        value, exact = score(c)
+        mine = F.struct(
+            value.isNull().cast("int").alias("missing"), value.alias("score"), exact.alias("tie_0"), F.col(panel.entity).alias("tie_1"))
         placed = with_place(placed, f"_bounds_{i}", mine, f"_place_{i}", tiles - 1, closed=False)
-    return placed.select(*out.columns, *[
-        (F.col(f"_place_{i}") + 1).alias(f"{c}_decile") for i, c in enumerate(names)])
+    return placed.select(*df.columns, *[(F.col(f"_place_{i}") + 1).alias(f"{c}_decile") for i, c in enumerate(names)])

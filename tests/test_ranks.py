@@ -143,7 +143,7 @@ def test_buckets_follow_the_size_of_each_group(spark, broadcast, monkeypatch):
 
 
 def stored(found, names=()):
-    return {r["g"]: [(f["rank"], f["key"]["score"], *(f[n] for n in names)) for f in r["found"]] for r in found.rows.collect()}
+    return {r["g"]: [(f["rank"], f["key"]["score"], *(f[n] for n in names)) for f in r["found"]] for r in found.collect()}
 
 
 @pytest.mark.parametrize("limit", [40, 150, 10_000])
@@ -154,25 +154,24 @@ def test_keys_from_brackets(rows, limit, wanted):
     for ties in (("e",), ()):
         ranking = Ranking("p", ties, ("g",), rows_per_bucket=limit)
         found = ranks.find(df, ranking, at, {"y": F.col("y")})
-        # Ranks that share a key are one entry each, in rank order, wherever they were found.
-        got = stored(found)
+        got = stored(found, ["upto_y"])
         for g in range(3):
             order = ordered(data, g)
-            assert got[g] == [(w, -order[w - 1][2] if order[w - 1][2] is not None else None) for w in wanted if w <= 1000]
-        if found.summed and ties:
-            sums = stored(found, ["upto_y"])
-            for g in range(3):
-                order = ordered(data, g)
-                assert [s[2] for s in sums[g]] == [sum(r[3] for r in order[:w]) for w in wanted if w <= 1000]
-        assert found.summed == (limit == 10_000 or found.summed)
-    assert not ranks.find(df, Ranking("p", ("e",), ("g",), rows_per_bucket=40), at).summed
+            here = [w for w in wanted if w <= 1000]
+            assert [f[:2] for f in got[g]] == [(w, -order[w - 1][2] if order[w - 1][2] is not None else None) for w in here]
+            # Without ties, rows of one score have one key and are summed up together.
+            last = {r[2]: i for i, r in enumerate(order, 1)}
+            upto = [w if ties else last[order[w - 1][2]] for w in here]
+            assert [f[2] for f in got[g]] == [sum(r[3] for r in order[:u]) for u in upto]
+        assert {r["g"]: r["total_y"] for r in found.collect()} == {g: sum(r[3] for r in ordered(data, g)) for g in range(3)}
 
 
-def test_a_bracket_that_missed_is_noticed(rows):
+def test_a_bracket_that_missed_is_noticed(rows, monkeypatch):
     df, data = rows
+    plain, calls = ranks._found_in_buckets, []
+    monkeypatch.setattr(ranks, "_found_in_buckets", lambda *a: calls.append(1) or plain(*a))
     found = ranks.find(df, GROUPED, F.array(F.lit(200), F.lit(700)), error=-0.2)
-    assert not found.summed
-    assert stored(found) == {g: [(w, -ordered(data, g)[w - 1][2]) for w in (200, 700)] for g in range(3)}
+    assert stored(found) == {g: [(w, -ordered(data, g)[w - 1][2]) for w in (200, 700)] for g in range(3)} and calls
 
 
 @pytest.mark.parametrize("kind", ["long", "decimal(38,2)", "float", "string"])
