@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mensula.sizing import fetched, side_of
+
 # What separates words, as a set of characters and as a pattern.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -27,6 +29,33 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN, -1))
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, with as many `_` after it as keep it apart from the names taken (in any case of letters)."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+# A key with more than one row in this many is hot, so there are fewer than this many of them.
+HOT_SHARE = 1_000
+
+
+def join_by(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+    """Inner join with a table that has a row per `key`, of which `copies` says how many rows hold it, of `total` in all.
+
+    A small table is broadcast. Of a large one only the hot keys are, and the others are shuffled: no
+    key that is shuffled holds more than a thousandth of the rows.
+    """
+    small = fetched(table)
+    if small is not None:
+        return rows.join(side_of(small, table), key)
+    is_hot = F.col(copies) * HOT_SHARE > total
+    hot = F.broadcast(table.where(is_hot))
+    cold = rows.join(hot.select(key), key, "left_anti").join(table.where(~is_hot), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
 class Known(dict):
     """What `make` gave, for the short strings asked for lately: at most twice `most` of them.
 

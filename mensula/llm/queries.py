@@ -87,8 +87,7 @@ lines as (
     from (select r, doc_id, source, unnest(range(len(l))) as i, unnest(l) as raw from parts)),
 wide as (
     select line, arg_min(r, (doc_id, i)) as r, arg_min(i, (doc_id, i)) as i from lines
-    where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 4
-    group by line having count(distinct source) >= 10),
+    where line <> '' group by line having count(distinct source) * least(length(line), 20) >= 10 * 20),
 marked as (
     select l.*, w.line is not null and not (w.r = l.r and w.i = l.i) as gone from lines l left join wide w on l.line = w.line),
 cleaned as (
