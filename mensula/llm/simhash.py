@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from mensula.sizing import settle, small_side
 
+from .common import join_by
 from .components import components
 
 BITS = 64
@@ -336,6 +337,16 @@ def linked(fps: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
     return sorted_rows.mapInArrow(_verify(distance), "a long, b long")
 
 
+def _members(df: DataFrame, shingle: int, distance: int, text: str) -> DataFrame:
+    """`df` without its text, with `text_hash`, `fp` and `root`, the fingerprint that stands for the group."""
+    kept = [c for c in df.columns if c != text]
+    rows = settle(fingerprints(df, shingle, text, "fp").select(*kept, F.xxhash64(text).alias("text_hash"), "fp"))
+    copies = settle(rows.groupBy("fp").agg(F.count("*").alias("n")))
+    roots = components(linked(copies.select("fp"), distance))
+    rooted = copies.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return join_by(rows, rooted, "fp", "n", rows.count()).select(*rows.columns, "root")
+
+
 def groups(df: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, `text_hash`, `fp` and `component_id` (the smallest key reachable) for every row of `df`.
 
@@ -343,24 +354,24 @@ def groups(df: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_i
     what is near. Repeated rows share their group. A NULL key is a member like any other, but never names a group;
     a group of NULL keys only has a NULL id. Other columns are not read.
     """
-    rows = settle(
-        fingerprints(df.select(F.col(key).alias("_k"), F.col(text).alias("_t")), shingle, "_t", "fp")
-        .select("_k", F.xxhash64("_t").alias("text_hash"), "fp")
-    )
-    lowest = settle(rows.groupBy("fp").agg(F.min("_k").alias("low")))
-    roots = components(linked(lowest.select("fp"), distance))
-    rooted = lowest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low")
-    named = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "root", "component_id")
-    return rows.join(by_fp, "fp").select(F.col("_k").alias(key), "text_hash", "fp", "component_id", F.col("root").alias("component_fp"))
+    members = settle(_members(df.select(F.col(key).alias("k"), F.col(text).alias("t")), shingle, distance, "t"))
+    named = settle(members.groupBy("root").agg(F.min("k").alias("component_id"), F.count("*").alias("n")))
+    joined = join_by(members, named, "root", "n", members.count())
+    return joined.select(F.col("k").alias(key), "text_hash", "fp", "component_id", F.col("root").alias("component_fp"))
 
 
 def deduplicate(df: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`df` with one document of each group: that of the smallest key (NULL last), its columns unchanged."""
-    members = groups(df, shingle, distance, key, text)
-    best = F.min(F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("k"), F.col("text_hash").alias("h"))).alias("best")
-    chosen = members.groupBy("component_fp").agg(best).select(F.col("best.k").alias("_k"), F.col("best.h").alias("_h"))
-    kept = df.withColumn("_th", F.xxhash64(text)).join(
-        chosen, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_th") == F.col("_h")), "left_semi")
-    # Rows that repeat the chosen one in key and text are the same document.
-    return kept.dropDuplicates([key, "_th"]).drop("_th")
+    """`df` with one document of each group: that of the smallest key (NULL last), its columns unchanged whatever their names.
+
+    Of rows with one key, the smallest by the hashes of the text and of the whole row stays, so that a rerun keeps the same. Rows that
+    are alike in all columns are one. An empty table stays empty; NULL and empty texts as in `groups`.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    # Two hashes name a row: 128 bits in all.
+    told = df.select(row.alias("row"), F.xxhash64(row).alias("h1"), F.xxhash64(F.lit(1), row).alias("h2"))
+    narrow = told.select(F.col("row")[key].alias("k"), F.col("row")[text].alias("t"), "h1", "h2")
+    order = F.struct(F.col("k").isNull().alias("no_key"), "k", "text_hash", "h1", "h2")
+    chosen = _members(narrow, shingle, distance, "t").groupBy("root").agg(F.min(order).alias("best")).select(
+        F.col("best.h1").alias("a"), F.col("best.h2").alias("b"))
+    kept = told.join(small_side(settle(chosen)), (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left_semi")
+    return kept.dropDuplicates(["h1", "h2"]).select("row.*")

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from mensula import sizing
 from mensula.llm import simhash
 from mensula.llm.common import table
 from mensula.llm.components import components
@@ -83,6 +84,19 @@ def test_edges(spark):
     assert simhash.groups(df.limit(0)).count() == 0
 
 
+def test_the_kept_row_does_not_depend_on_order_names_or_joins(spark, monkeypatch):
+    names = ["_k", "_h", "_th", "h1", "H2", "row", "root", "fp", "n", "t"]
+    rows = [(i // 4, f"the same words for group {i // 8} of all {'x' * (i // 8)}", f"lang{i % 3}", *[f"{n}{i}" for n in names]) for i in range(40)]
+    rows += rows[:5] + [(None, "alone here with some words", None, *names), (None, None, "a", *names), (None, "", "b", *names)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "lang", *names])
+    kept = sorted((tuple(r) for r in simhash.deduplicate(df).collect()), key=key)
+    assert simhash.deduplicate(df).columns == df.columns
+    assert [r[0] for r in kept].count(0) == 1 and set(kept) <= set(rows) and len(kept) < 10
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    again = simhash.deduplicate(spark.createDataFrame(rows[::-1], df.schema).repartition(6))
+    assert sorted((tuple(r) for r in again.collect()), key=key) == kept
+
+
 @pytest.mark.parametrize("block", [8, 2_048])
 @pytest.mark.parametrize("distance", [1, 4, 6])
 def test_links_have_the_components_of_all_pairs(spark, block, distance):
