@@ -1,13 +1,14 @@
 """Secrets by fixed formats and by automata learnt from examples.
 
-Base formats are patterns. Beyond them, every long run of credential characters is a candidate
-and is scored by its format: a prefix tree of labelled credentials, as strings of character
+Base formats are patterns. Beyond them, every long run of credential characters that does not lie inside a base span is a candidate
+(it may hold a base span: then it is reported beside it) and is scored by its format: a prefix tree of labelled credentials, as strings of character
 classes, is generalised by merging states whose continuations are statistically compatible
 (Hoeffding bounds), which gives a probabilistic automaton. The same is done with ordinary runs. A candidate
 is a secret when its likelihood under the automaton of credentials exceeds that under the automaton of ordinary runs by a margin
 per character.
 
-Training reads bounded samples of labelled runs, drawn by hash over the whole corpus. Scanning reads each text once, within its row, without
+Training reads bounded samples of labelled runs, drawn by hash over the whole corpus, each run whole; in the prefix tree a
+chain that one string alone passes is one edge until something has to be compared with it. Scanning reads each text once, within its row, without
 a shuffle, and takes time linear in the text.
 """
 
@@ -18,8 +19,10 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ _ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*
 _KEYWORD = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -58,7 +61,6 @@ _SIGNS = {**dict.fromkeys("0123456789", "9"), **dict.fromkeys("abcdef", "a"), **
           **dict.fromkeys("+/", "+"), **dict.fromkeys("_-", "-"), **dict.fromkeys("=.", "=")}
 _WIDTH = {"9": 10, "a": 6, "g": 20, "A": 6, "G": 20, "+": 2, "-": 2, "=": 2}
 END = "$"
-LONGEST_TREE = 48
 
 
 def signs(run: str) -> str:
@@ -66,12 +68,24 @@ def signs(run: str) -> str:
     return "".join(_SIGNS.get(c, "?") for c in run)
 
 
+def shortened(word: str) -> str:
+    """Signs with a number behind each, which tells how often it stands there in a row."""
+    return " ".join(f"{sign}{len(list(same))}" for sign, same in groupby(word))
+
+
+def restored(short: str) -> str:
+    return "".join(part[0] * int(part[1:]) for part in short.split())
+
+
 @dataclass
 class State:
+    """`rest`: a string and a place in it, when nothing but the rest of that string follows; it is not spelt out yet."""
+
     count: int = 0
     ends: int = 0
     hits: Counter = field(default_factory=Counter)
     to: dict[str, int] = field(default_factory=dict)
+    rest: tuple[str, int] | None = None
 
 
 @dataclass(frozen=True)
@@ -93,25 +107,40 @@ class Automaton:
 def infer(words: list[str], alpha: float = 0.05) -> Automaton:
     """Automaton of the examples: their prefix tree with compatible states merged, lowest first.
 
-    Strings are cut after `LONGEST_TREE` signs for the tree only, without an end there; longer strings are scored whole.
-    The result does not depend on the order of the examples. No example gives an automaton to which all is unseen.
+    Whole strings count, however long. The result does not depend on the order of the examples. No example gives an automaton to which all is unseen.
     """
+    if not words:
+        return Automaton(({},), math.log(1e-3))
     states = [State()]
+
+    def spelt(i: int) -> State:
+        """The state, with the next step of its chain made."""
+        state = states[i]
+        if state.rest is not None:
+            (word, at), state.rest = state.rest, None
+            if at == len(word):
+                state.ends = state.count
+            else:
+                state.hits[word[at]] = state.count
+                state.to[word[at]] = len(states)
+                states.append(State(state.count, rest=(word, at + 1)))
+        return state
+
     for word, n in sorted(Counter(words).items()):
         at = 0
-        states[at].count += n
-        for sign in word[:LONGEST_TREE]:
-            state = states[at]
+        for place, sign in enumerate(word):
+            state = spelt(at)
+            state.count += n
             state.hits[sign] += n
             if sign not in state.to:
                 state.to[sign] = len(states)
-                states.append(State())
+                states.append(State(n, rest=(word, place + 1)))
+                break
             at = state.to[sign]
-            states[at].count += n
-        if len(word) <= LONGEST_TREE:
-            states[at].ends += n
-    if not words:
-        return Automaton(({},), math.log(1e-3))
+        else:
+            state = spelt(at)
+            state.count += n
+            state.ends += n
 
     far = math.sqrt(0.5 * math.log(2 / alpha))
 
@@ -122,9 +151,10 @@ def infer(words: list[str], alpha: float = 0.05) -> Automaton:
         todo = [(a, b)]
         while todo:
             x, y = todo.pop()
-            if x == y:
+            # A state that one string passed differs from none, nor does anything below it.
+            if x == y or min(states[x].count, states[y].count) < 2:
                 continue
-            x, y = states[x], states[y]
+            x, y = spelt(x), spelt(y)
             if differ(x.ends, x.count, y.ends, y.count):
                 return False
             for sign in x.hits.keys() | y.hits.keys():
@@ -139,7 +169,7 @@ def infer(words: list[str], alpha: float = 0.05) -> Automaton:
         todo = [(a, b)]
         while todo:
             x, y = todo.pop()
-            into, tree = states[x], states[y]
+            into, tree = spelt(x), spelt(y)
             into.count += tree.count
             into.ends += tree.ends
             into.hits.update(tree.hits)
@@ -150,7 +180,7 @@ def infer(words: list[str], alpha: float = 0.05) -> Automaton:
                     into.to[sign] = child
 
     kept = [0]
-    while edge := next(((r, s) for r in kept for s in sorted(states[r].to) if states[r].to[s] not in kept), None):
+    while edge := next(((r, s) for r in kept for s in sorted(spelt(r).to) if states[r].to[s] not in kept), None):
         parent, sign = edge
         blue = states[parent].to[sign]
         for red in kept:
@@ -185,28 +215,32 @@ class Formats:
 
 @dataclass(frozen=True)
 class Config:
-    """`examples`: runs of either label to learn from at most; `margin`: log-likelihood per character that a secret must gain."""
+    """`examples`: runs of either label to learn from, and `characters`: how many these have together, both at most about;
+    `margin`: log-likelihood per character that a secret must gain."""
 
     examples: int = 4_000
+    characters: int = 4_000_000
     margin: float = 0.25
     alpha: float = 0.05
 
 
-def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """All long runs of credential characters that no base span overlaps."""
+def candidates(text: str, base: list[Span], alone: bool = False) -> list[tuple[int, int]]:
+    """All long runs of credential characters that do not lie inside a base span; with `alone`, those that touch none."""
     taken = sorted((s, e) for _, s, e in base)
-    out, k = [], 0
+    out, k, reach = [], 0, 0  # `reach`: where the base spans end that start early enough to matter
     for m in _RUN.finditer(text):
-        while k < len(taken) and taken[k][1] <= m.start():
+        start, end = m.span()
+        while k < len(taken) and (taken[k][0] < end if alone else taken[k][0] <= start):
+            reach = max(reach, taken[k][1])
             k += 1
-        if k == len(taken) or taken[k][0] >= m.end():
-            out.append(m.span())
+        if reach <= start if alone else reach < end:
+            out.append((start, end))
     return out
 
 
 def examples(df: DataFrame, text: str = "text") -> DataFrame:
-    """`label`, `run` of all distinct labelled runs: values in base spans are credentials (1), long runs outside
-    without a digit are ordinary (0)."""
+    """`label`, `h` (a hash), `word` (shortened signs) and `length` of all distinct labelled runs: values in base spans are
+    credentials (1), long runs without a digit that touch no base span are ordinary (0)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,27 +250,32 @@ def examples(df: DataFrame, text: str = "text") -> DataFrame:
                 base = base_spans(t)
                 for kind, start, end in base:
                     seen.add((1, _ASSIGN.fullmatch(t, start, end)[2] if kind == "assign" else t[start:end]))
-                for start, end in candidates(t, base):
+                for start, end in candidates(t, base, alone=True):
                     run = t[start:end]
                     if not any(c.isdigit() for c in run):
                         seen.add((0, run))
             rows = sorted(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string())], names=["label", "run"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r[0] for r in rows], pa.int32()), pa.array([xxhash.xxh64_intdigest(r[1], 7) >> 1 for r in rows], pa.int64()),
+                pa.array([shortened(signs(r[1])) for r in rows], pa.string()), pa.array([len(r[1]) for r in rows], pa.int64()),
+            ], names=["label", "h", "word", "length"])
 
-    return df.select(text).mapInArrow(find, "label int, run string").distinct()
+    return df.select(text).mapInArrow(find, "label int, h long, word string, length long").distinct()
 
 
 def learn(df: DataFrame, config: Config = Config(), text: str = "text") -> Formats:
-    """Formats of the corpus, from about `config.examples` runs of each label at most.
+    """Formats of the corpus, from about `config.examples` whole runs of each label at most.
 
-    All distinct labelled runs are counted; the sample takes each of a label with the same chance, by a hash of the run.
+    All distinct labelled runs are counted; the sample takes each of a label with the same chance, by a hash of the run,
+    which keeps to `config.characters` as well.
     """
     runs = settle(examples(df, text))
-    share = {r["label"]: config.examples / r["n"] for r in runs.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    place = F.pmod(F.xxhash64("run", F.lit(7)), F.lit(1 << 30))
-    limit = F.when(F.col("label") == 1, F.lit(int(share.get(1, 1) * (1 << 30)))).otherwise(F.lit(int(share.get(0, 1) * (1 << 30))))
-    chosen = runs.where(place < limit).collect()
-    words = {label: sorted(signs(r["run"]) for r in chosen if r["label"] == label) for label in (0, 1)}
+    sizes = runs.groupBy("label").agg(F.count("*").alias("n"), F.sum("length").alias("length")).collect()
+    share = {r["label"]: min(config.examples / r["n"], config.characters / r["length"]) for r in sizes}
+    limit = lambda label: F.lit(int(min(1.0, share.get(label, 1.0)) * (1 << 30)))
+    place = F.pmod(F.col("h"), F.lit(1 << 30))
+    chosen = runs.where(place < F.when(F.col("label") == 1, limit(1)).otherwise(limit(0))).collect()
+    words = {label: sorted(restored(r["word"]) for r in chosen if r["label"] == label) for label in (0, 1)}
     return Formats(infer(words[1], config.alpha), infer(words[0], config.alpha), config.margin)
 
 
