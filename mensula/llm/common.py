@@ -41,13 +41,13 @@ def free_name(name: str, taken: list[str]) -> str:
 HOT_SHARE = 1_000
 
 
-def join_by(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int) -> DataFrame:
+def join_by(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int, few: bool = False) -> DataFrame:
     """Inner join with a table that has a row per `key`, of which `copies` says how many rows hold it, of `total` in all.
 
-    A small table is broadcast. Of a large one only the hot keys are, and the others are shuffled: no
-    key that is shuffled holds more than a thousandth of the rows.
+    The hot keys are broadcast and the others are shuffled: no key that is shuffled holds more than a thousandth of the rows. With
+    `few`, for tables that grow slower than the rows, the whole table is broadcast when its size allows.
     """
-    small = fetched(table)
+    small = fetched(table) if few else None
     if small is not None:
         return rows.join(side_of(small, table), key)
     is_hot = F.col(copies) * HOT_SHARE > total

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mensula.sizing import settle, small_side
+from mensula.sizing import settle
 
 from .common import SPACES, free_name, join_by
 
@@ -78,7 +78,7 @@ def boilerplate(lines: DataFrame, config: Config = Config(), total: int | None =
     near = spread.where(F.col("sites") <= high)
     total = lines.count() if total is None else total
     exact = (
-        join_by(lines.where("site is not null").select("line", "site"), near.select("line", "need", "n"), "line", "n", total)
+        join_by(lines.where("site is not null").select("line", "site"), near.select("line", "need", "n"), "line", "n", total, few=True)
         .groupBy("line", "need", "site").agg(F.lit(1).alias("one")).groupBy("line", "need").agg(F.count("*").alias("exact"))
         .where(F.col("exact") >= F.col("need"))
     )
@@ -90,7 +90,7 @@ def removals(df: DataFrame, config: Config = Config(), key: str = "doc_id", text
     """`doc`, `k`, `places`: which lines each document loses (from 0); documents that lose none are left out."""
     lines = settle(_lines(df, key, text, site, config))
     total = lines.count()
-    gone = join_by(lines, settle(boilerplate(lines, config, total)), "line", "n", total).where(
+    gone = join_by(lines, settle(boilerplate(lines, config, total)), "line", "n", total, few=True).where(
         (F.col("doc") != F.col("first.doc")) | (F.col("place") != F.col("first.place")))
     return gone.groupBy("doc", "k").agg(F.collect_set("place").alias("places"))
 
@@ -104,7 +104,7 @@ def clean(df: DataFrame, config: Config = Config(), key: str = "doc_id", text: s
     whatever their names; where `df` has an `n_lines` or `n_removed`, the added column gets a `_` behind its name. An empty table
     stays empty.
     """
-    gone = small_side(settle(removals(df, config, key, text, site)))
+    gone = settle(removals(df, config, key, text, site))
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     own = df.select(row.alias("row"), F.xxhash64(key, text).alias("own"))
     marked = own.join(gone, (F.col("own") == F.col("doc")) & F.col("row")[key].eqNullSafe(F.col("k")), "left")
