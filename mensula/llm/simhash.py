@@ -373,5 +373,5 @@ def deduplicate(df: DataFrame, shingle: int = 4, distance: int = 4, key: str = "
     order = F.struct(F.col("k").isNull().alias("no_key"), "k", "text_hash", "h1", "h2")
     chosen = _members(narrow, shingle, distance, "t").groupBy("root").agg(F.min(order).alias("best")).select(
         F.col("best.h1").alias("a"), F.col("best.h2").alias("b"))
-    kept = told.join(small_side(settle(chosen)), (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left_semi")
+    kept = told.join(settle(chosen), (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left_semi")
     return kept.dropDuplicates(["h1", "h2"]).select("row.*")
