@@ -7,7 +7,9 @@ from checks.views import sql
 from checks import fixtures as fx
 from mensula.operators import combine as B
 from mensula.operators import gain as G
+from mensula.operators.rank_index import build
 from mensula.operators.ranks import Ranking, top_rows, with_rank
+from mensula.sizing import scratch_path
 
 HIT, COST = 40_000, 20_000
 SIZES = (50, 500, 2000, 5000)
@@ -24,6 +26,17 @@ def one(spark, sf):
     return fx.scores(spark, sf).groupBy("entity", "period", "y").agg((whole / F.lit(60_042.0)).alias("proba"))
 
 
+_INDEXES = {}
+
+
+def index(spark, sf):
+    """Index of `one` by period, built once for all reports of a session."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _INDEXES:
+        _INDEXES[at] = build(one(spark, sf), rank("period"), scratch_path(spark, "rank-index"), ["y"])
+    return _INDEXES[at]
+
+
 def rounded(df, digits, *names):
     return df.withColumns({n: F.round(n, digits) for n in names})
 
@@ -62,7 +75,19 @@ def size_sweep_whole(spark, sf):
 
 
 def months(spark, sf):
-    out = G.month_report(one(spark, sf), rank("period"), "y", sizes=(100, 300, 500), fixed_size=300)
+    return _months(one(spark, sf))
+
+
+def months_indexed(spark, sf):
+    return _months(index(spark, sf))
+
+
+def sizes_indexed(spark, sf):
+    return rounded(G.top_n_sweep(index(spark, sf), rank("period"), "y", (100, 300, 500)), 9, "gain_per_contact", "precision")
+
+
+def _months(source):
+    out = G.month_report(source, rank("period"), "y", sizes=(100, 300, 500), fixed_size=300)
     return out.select(
         "period", "n_rows", "n_positive", F.round("churn_rate", 9).alias("churn_rate"),
         *[F.col(f"best_threshold.{f}").alias(f"cut_{f}") for f in ("threshold", "gain", "n_contacts", "TP", "FP")],
@@ -216,6 +241,7 @@ CHECKS = {
     "E5_top_n_sweep": (size_sweep, sql("s_long", top_sql("study, seed", "s_long", SIZES, "proba desc, entity"))),
     "E5_top_n_sweep_whole": (size_sweep_whole, sql("s_long", top_sql(
         "", "s_long", (5000, 7000, 9000, 11000), "proba desc, entity, study, seed"))),
+    "E5_top_n_indexed": (sizes_indexed, sql("s_long", top_sql("period", "one", (100, 300, 500), "proba desc, entity"), ONE)),
     "E6_month_report": (months, sql("s_long", """select b.period, b.n_rows, b.n_positive, b.churn_rate,
         t.threshold as cut_threshold, t.gain as cut_gain, t.n_contacts as cut_n_contacts, t.TP as cut_TP, t.FP as cut_FP,
         z.n_contacts as size_n_contacts, z.gain as size_gain, z.TP as size_TP, z.threshold as size_threshold,
@@ -285,3 +311,4 @@ CHECKS = {
         count(*) over (partition by study, seed) as n_rows from s_long""")),
     "O2_top_rows": (top_few, sql("s_long", "select * from s_long order by proba desc, entity, study, seed limit 100")),
 }
+CHECKS["E6_month_report_indexed"] = (months_indexed, CHECKS["E6_month_report"][1])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.gain_checks import ONE, one, rank
+from checks.gain_checks import ONE, index, one, rank
 from checks.settings import ROWS_PER_BUCKET
 from checks.views import sql
 from mensula.operators import scores as S
@@ -26,6 +26,14 @@ def tops(spark, sf):
     return _round(S.top_scores(one(spark, sf), rank("period"), "y", SIZES))
 
 
+def stats_indexed(spark, sf):
+    return _round(S.distribution(index(spark, sf), "proba"))
+
+
+def tops_indexed(spark, sf):
+    return _round(S.top_scores(index(spark, sf), rank("period"), "y", SIZES))
+
+
 def full(spark, sf):
     df = one(spark, sf)
     return S.distribution(df, "proba").join(S.class_distribution(df, "proba", "y"), "period")
@@ -82,3 +90,5 @@ CHECKS = {
         f"""select '{m}' as metric, {', '.join(f'round(max(case when period = {p} then {m} end)::double, 9) as "{p}"' for p in PERIODS)} from joined"""
         for m in METRICS), ONE, BASE, CLASSES, "joined as (select * from base join classes using (period))")),
 }
+CHECKS["E15_distribution_indexed"] = (stats_indexed, CHECKS["E15_distribution"][1])
+CHECKS["E17_top_scores_indexed"] = (tops_indexed, CHECKS["E17_top_scores"][1])

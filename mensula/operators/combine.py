@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mensula.panel import distinct_values
@@ -26,6 +26,33 @@ def stack(first: DataFrame, *others: DataFrame) -> DataFrame:
     return out
 
 
+def append_distinct(base: DataFrame, new: DataFrame) -> DataFrame:
+    """Distinct rows of both tables, where `base` has no row twice.
+
+    Only digests of the rows, 128 bits each, are grouped. Rows whose digest stands once go through as they are;
+    the others, which are alike or happen to share a digest, are compared whole. So wide rows are exchanged only
+    as far as both tables share them.
+    """
+    check_same_schema(base, new)
+    both = _digested(base).unionByName(_digested(new))
+    again = both.groupBy("_a", "_b").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("_a").alias("_x"), F.col("_b").alias("_y"))
+    shared = small_side(again)
+    same = (F.col("_a") == F.col("_x")) & (F.col("_b") == F.col("_y"))
+    alone = both.join(shared, same, "left_anti")
+    alike = both.join(shared, same, "left_semi")
+    return alone.select(*base.columns).unionByName(alike.select(*base.columns).distinct())
+
+
+def _digested(df: DataFrame) -> DataFrame:
+    row = F.struct(*sorted(df.columns))
+    return df.select("*", digest(row, 0).alias("_a"), digest(row, 1).alias("_b"))
+
+
+def digest(row: Column, number: int) -> Column:
+    """One of two independent hashes of a row."""
+    return F.xxhash64(F.lit(number), row)
+
+
 def append_period(
     base: DataFrame, new: DataFrame, period: str | None = None, base_is_distinct: bool = False
 ) -> DataFrame:
@@ -41,7 +68,7 @@ def append_period(
     marked = base.join(periods, period, "left")
     shared = F.col("_new").isNotNull() | F.col(period).isNull()
     others = marked.where(~shared).select(base.columns)
-    return others.unionByName(marked.where(shared).select(base.columns).unionByName(new).distinct())
+    return others.unionByName(append_distinct(marked.where(shared).select(base.columns), new))
 
 
 def studies_of(scores: DataFrame, study: str = "study") -> list:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mensula.functions.columns import PROBABILITY_CUT
 from mensula.operators.combine import studies_of
+from mensula.operators.rank_index import RankIndex
 from mensula.operators.ranks import Ranking, best_prefix, find, match, top_rows, value_of, with_rank
 from mensula.sizing import settle, small_side
 
@@ -130,17 +131,24 @@ def threshold_sweep(
     )
 
 
-def hits_within(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int]) -> DataFrame:
+def hits_within(df: DataFrame | RankIndex, ranking: Ranking, y: str, sizes: Sequence[int]) -> DataFrame:
     """Per group and size n (of those not above the group's rows): `TP` among the first n rows,
     the score at rank n as `threshold`, and the group's `n_rows` and `n_positive`.
 
-    Only the rows near the wanted ranks are sorted; the rest are counted between them, with their hits.
+    Only the rows near the wanted ranks are sorted; the rest are counted between them, with their hits. An index of the scores, with `y`
+    (0, 1) as a value, is looked up instead.
     """
     return _opened(_at_sizes(df, ranking, y, sizes), ranking)
 
 
-def _at_sizes(df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int], extra: dict[str, Column] | None = None) -> DataFrame:
+def _at_sizes(
+    df: DataFrame | RankIndex, ranking: Ranking, y: str, sizes: Sequence[int], extra: dict[str, Column] | None = None
+) -> DataFrame:
     wanted = F.array(*[F.lit(int(n)).cast("long") for n in sorted(set(sizes))])
+    if isinstance(df, RankIndex):
+        found = df.at_ranks(wanted).withColumnRenamed(f"total_{y}", "total_hits")
+        return found.withColumn("found", F.transform("found", lambda f: F.struct(
+            f["rank"].alias("rank"), f["key"].alias("key"), f[f"upto_{y}"].alias("upto_hits"))))
     return find(df, ranking, wanted, {"hits": (F.col(y) == 1).cast("long")}, extra)
 
 
@@ -155,7 +163,7 @@ def _opened(found: DataFrame, ranking: Ranking) -> DataFrame:
 
 
 def top_n_sweep(
-    df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int] = TOP_SIZES,
+    df: DataFrame | RankIndex, ranking: Ranking, y: str, sizes: Sequence[int] = TOP_SIZES,
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST,
 ) -> DataFrame:
     """One row per contact count: hits, misses, cut score, gain, precision."""
@@ -172,17 +180,20 @@ def _sized_gain(hits: DataFrame, ranking: Ranking, gain: int, cost: int) -> Data
 
 
 def month_report(
-    df: DataFrame, ranking: Ranking, y: str, cuts: Sequence[float] | None = None,
+    df: DataFrame | RankIndex, ranking: Ranking, y: str, cuts: Sequence[float] | None = None,
     sizes: Sequence[int] = TOP_SIZES, fixed_size: int = CONTACTS,
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST,
 ) -> DataFrame:
     """Per group (period): size, churn, best threshold, best contact count and the fixed count."""
     by = list(ranking.group)
-    by_cut = threshold_sweep(df, ranking.score, y, cuts, by, gain, cost).groupBy(*by).agg(
+    indexed = isinstance(df, RankIndex)
+    by_cut = threshold_sweep(df.rows if indexed else df, ranking.score, y, cuts, by, gain, cost).groupBy(*by).agg(
         F.max_by(F.struct("threshold", "gain", "n_contacts", "TP", "FP"),
                  F.struct("gain", -F.col("threshold"))).alias("best_threshold"))
     about = {"n_positive": F.sum(y).cast("long"), "churn_rate": F.avg(y)}
     found = _at_sizes(df, ranking, y, sorted({*sizes, fixed_size}), about)
+    if indexed:
+        found = found.withColumns({"n_positive": F.col("total_hits"), "churn_rate": F.try_divide(F.col("total_hits").cast("double"), F.col("n_rows"))})
     sweep = _sized_gain(_opened(found, ranking), ranking, gain, cost)
     row = F.struct("n_contacts", "gain", "TP", "threshold", "precision")
     listed = F.col("n_contacts").isin(*[int(s) for s in sizes])

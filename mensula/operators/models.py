@@ -1,16 +1,18 @@
 """Boosted-tree models with Spark ML: fit per seed, score, search, inspect.
 
 Fitting, scoring and evaluation are Spark jobs; the driver sees models, metrics and the
-parameter list only.
+parameter list only. Independent fits run several at a time.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime
+from functools import partial
 from statistics import fmean, pstdev
 
 from pyspark.errors import AnalysisException
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mensula.operators.gain import CONTACT_COST, GAIN_PER_HIT, best_gain
+from mensula.operators.parallel import AT_ONCE, at_once
 from mensula.operators.ranks import Ranking
 from mensula.panel import Panel
 from mensula.sizing import settle
@@ -118,33 +121,38 @@ def fit_seed(
 
 def fit_seeds(
     train: DataFrame, features: Sequence[str], y: str, params: TreeParams, seeds: Sequence[int], base: str,
-    study: str,
+    study: str, most: int = AT_ONCE,
 ) -> dict[int, str]:
-    """Fit and save one model per seed under `base/study/seed=<n>`; the rows are prepared once.
+    """Fit and save one model per seed under `base/study/seed=<n>`, `most` at a time; the rows are prepared once.
 
     A record beside the model, written after it, marks a finished one and holds its settings. It is skipped when the
-    settings are the same, and fitted anew when they are not.
+    settings are the same, and fitted anew when they are not. When a fit fails, the others are cancelled; finished models stay.
     """
     spark = train.sparkSession
     settings = json.dumps({"params": asdict(params), "features": list(features), "y": y}, sort_keys=True)
-    paths, training = {}, None
-    for seed in seeds:
-        path = f"{base.rstrip('/')}/{study}/seed={seed}"
-        finished = f"{path}-finished"
-        if _settings_at(spark, finished) != settings:
-            training = training or prepare(train, features, y, params.balanced)
-            model = fit_prepared(training, params, seed)
-            model.write().overwrite().save(path)
-            record = spark.createDataFrame(
-                [(study, seed, used_trees(model), settings)], "study string, seed int, trees int, settings string")
-            record.write.mode("overwrite").json(finished)
-        paths[seed] = path
+    paths = {seed: f"{base.rstrip('/')}/{study}/seed={seed}" for seed in seeds}
+    done = _finished(spark, f"{base.rstrip('/')}/{study}/seed=*-finished")
+    todo = [seed for seed in paths if done.get(seed) != settings]
+    if not todo:
+        return paths
+    training = prepare(train, features, y, params.balanced)
+
+    def fit(seed: int) -> None:
+        model = fit_prepared(training, params, seed)
+        model.write().overwrite().save(paths[seed])
+        record = spark.createDataFrame(
+            [(study, seed, used_trees(model), settings)], "study string, seed int, trees int, settings string")
+        record.coalesce(1).write.mode("overwrite").json(f"{paths[seed]}-finished")
+
+    at_once(spark, {seed: partial(fit, seed) for seed in todo}, most)
     return paths
 
 
-def _settings_at(spark: SparkSession, path: str) -> str | None:
-    """Settings in the record at the path; None when there is no record."""
-    return spark.read.json(path, schema="settings string").first()["settings"] if _exists(spark, path) else None
+def _finished(spark: SparkSession, paths: str) -> dict[int, str]:
+    """Settings of every finished seed; a record each."""
+    if not _exists(spark, paths):
+        return {}
+    return {r["seed"]: r["settings"] for r in spark.read.json(paths, schema="seed int, settings string").collect()}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -157,6 +165,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def prepared_rows(training: Training, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """`keep` columns and `_features` of other rows, filled as the training rows were."""
+    rows, _ = _prepared(df.select(*keep, *[F.col(f).alias(f) for f in features if f not in keep]), features)
+    medians, vectors = training.steps
+    return vectors.transform(medians.transform(rows)).select(*keep, "_features")
+
+
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """`keep` columns and the probability of class 1 as `proba`."""
     rows, _ = _prepared(df.select(*keep, *[F.col(f).alias(f) for f in features if f not in keep]), features)
@@ -185,23 +200,57 @@ def score_study(
 def staged_gain(
     model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str], y: str,
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST, rows_per_bucket: int = 1_000_000,
+    prefixes: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Best gain of every prefix of the model's trees: (trees, n_rows, gain, n_contacts). One fit stands for all tree counts."""
+    """Best gain of prefixes of the model's trees, of all by default: (trees, n_rows, gain, n_contacts). One fit stands for
+    all tree counts. A row is written per validation row and prefix; `best_staged` needs few prefixes."""
+    wanted = sorted(set(prefixes)) if prefixes is not None else list(range(1, used_trees(model) + 1))
     rows, _ = _prepared(df.select(*keys, y, *[F.col(f).alias(f) for f in features if f not in (*keys, y)]), features)
     medians, vectors, boosted = model.stages
     rows = vectors.transform(medians.transform(rows)).select(*keys, y, "_features")
     for i, tree in enumerate(boosted.trees):
         rows = tree.copy().setFeaturesCol("_features").setPredictionCol(f"_t{i}").transform(rows)
-    running, margins = F.lit(0.0), []
-    for i, weight in enumerate(boosted.treeWeights):
-        running = running + F.lit(float(weight)) * F.col(f"_t{i}")
-        margins.append(running)
-    staged = rows.select(*keys, y, F.posexplode(F.array(*margins)).alias("trees", "margin"))
-    scored = staged.select(*keys, y, (F.col("trees") + 1).alias("trees"), "margin")
+    # One array of what each tree adds, summed up from one prefix to the next: as many terms as trees, not their square.
+    parts = F.array(*[F.lit(float(weight)) * F.col(f"_t{i}") for i, weight in enumerate(boosted.treeWeights)])
+    steps = F.array(*[F.struct(F.lit(a + 1).alias("first"), F.lit(b - a).alias("n"), F.lit(b).alias("trees")) for a, b in zip([0, *wanted], wanted)])
+    empty = F.array().cast("array<struct<trees: int, margin: double>>")
+    running = F.aggregate(steps, empty, lambda done, s: F.concat(done, F.array(F.struct(
+        s["trees"].alias("trees"),
+        F.aggregate(F.slice("_parts", s["first"], s["n"]), F.coalesce(F.get(done, F.size(done) - 1)["margin"], F.lit(0.0)), lambda t, p: t + p).alias("margin")))))
+    staged = rows.select(*keys, y, parts.alias("_parts")).select(*keys, y, F.explode(running).alias("_s"))
+    scored = staged.select(*keys, y, "_s.trees", "_s.margin")
     ranking = Ranking("margin", tuple(keys), ("trees",), rows_per_bucket=rows_per_bucket)
     return best_gain(settle(scored), ranking, y, gain, cost)
 
 
+LADDER = 12
+
+
+def best_staged(
+    model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str], y: str,
+    gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST, rows_per_bucket: int = 1_000_000, ladder: int = LADDER,
+):
+    """The prefix of the trees with the largest gain, the shortest of equal ones, as a row of `staged_gain`.
+
+    Evenly spaced prefixes are judged first, `ladder` of them, then as many between the neighbours of the best one, until there
+    is none left between: the gain of the result is the largest of all that were judged.
+    """
+    low, high = 1, used_trees(model)
+    judged: dict[int, object] = {}
+    while True:
+        open_ = [n for n in range(low, high + 1) if n not in judged]
+        count = min(ladder, len(open_))
+        steps = {open_[(len(open_) - 1) * i // max(count - 1, 1)] for i in range(count)}
+        for row in staged_gain(model, df, features, keys, y, gain, cost, rows_per_bucket, sorted(steps)).collect():
+            judged[row["trees"]] = row
+        best = max(judged.values(), key=lambda r: (r["gain"], -r["trees"]))
+        known = sorted(judged)
+        at = known.index(best["trees"])
+        low, high = known[max(at - 1, 0)], known[min(at + 1, len(known) - 1)]
+        if all(n in judged for n in range(low, high + 1)):
+            return best
+
+
 def trees_of(model: PipelineModel) -> GBTClassificationModel:
     return model.stages[-1]
 
@@ -247,21 +296,51 @@ def search(
     fit_y: str = "target_binario", eval_y: str = "target_ternario",
     gain: int = GAIN_PER_HIT, cost: int = CONTACT_COST, rows_per_bucket: int = 1_000_000,
     stop_early: bool = False, thin: Callable[[DataFrame, int], DataFrame] | None = None, ledger: str | None = None,
+    most: int = AT_ONCE,
 ) -> DataFrame:
     """Cross-validated gain of every candidate: one row per trial and fold.
 
     `df` holds `fold` and either `role` ('train'/'validation', temporal folds, rows
     repeated) or none (shuffled folds: each fold validates once, the others train). Models
-    fit on one target and are judged by the best gain on the other. `stop_early` judges the best
-    prefix of the trees by gain and reports its length. `thin(train, seed + fold)` draws the rows to fit
-    on; validation rows stay whole. With `ledger`, a folder of JSON lines, each trial is recorded as soon as it is finished, and recorded
+    fit on one target and are judged by the best gain on the other. `stop_early` judges prefixes of the trees
+    by gain and reports the length of the best (`best_staged`). `thin(train, seed + fold)` draws the rows to fit
+    on; validation rows stay whole. A fold's rows are prepared once for all candidates of one class weighting, and the folds
+    of a candidate are fitted `most` at a time. With `ledger`, a folder of JSON lines, each trial is recorded as soon as it is finished, and recorded
     trials with the same parameters are not fitted again.
     """
     spark = df.sparkSession
     temporal = "role" in df.columns
     done = _recorded(spark, ledger)
     data = folds = None
-    rows = []
+    rows, ready, sizes = [], {}, {}
+
+    def parts(fold: int) -> tuple[DataFrame, DataFrame]:
+        here = F.col("fold") == fold
+        return (data.where(here & (F.col("role") == "train") if temporal else ~here),
+                data.where(here & (F.col("role") == "validation") if temporal else here))
+
+    def prepared(fold: int, balanced: bool) -> Training:
+        if (fold, balanced) not in ready:
+            train = parts(fold)[0]
+            ready[fold, balanced] = prepare(thin(train, seed + fold) if thin else train, features, fit_y, balanced)
+        return ready[fold, balanced]
+
+    def judge(fold: int, params: TreeParams) -> tuple[tuple, dict[str, float]]:
+        judged = parts(fold)[1]
+        model = fit_prepared(prepared(fold, params.balanced), params, seed)
+        if stop_early:
+            best = best_staged(model, judged, features, panel.keys, eval_y, gain, cost, rows_per_bucket)
+            trees = best["trees"]
+        else:
+            scored = settle(score(model, judged, features, [*panel.keys, eval_y]))
+            best = best_gain(scored, Ranking("proba", tuple(panel.keys), rows_per_bucket=rows_per_bucket), eval_y, gain, cost).first()
+            trees = used_trees(model)
+        if fold not in sizes:
+            sizes[fold] = judged.where(F.col(eval_y) == 1).count()
+        ones, n = sizes[fold], best["n_rows"]
+        weights = dict(zip(model.stages[-2].getInputCols(), trees_of(model).featureImportances.toArray().tolist()))
+        return (fold, n, n - ones, ones, int(best["gain"]), best["n_contacts"], trees), weights
+
     for trial, params in enumerate(candidates):
         settings = json.dumps(asdict(params), sort_keys=True)
         if (trial, settings) in done:
@@ -270,24 +349,10 @@ def search(
         if data is None:
             data = settle(df)
             folds = sorted(r[0] for r in data.select("fold").distinct().collect())
-        found, weights = [], {}
+        results = at_once(spark, {fold: partial(judge, fold, params) for fold in folds}, most)
+        found, weights = [results[fold][0] for fold in folds], Counter()
         for fold in folds:
-            here = F.col("fold") == fold
-            train = data.where(here & (F.col("role") == "train") if temporal else ~here)
-            judged = data.where(here & (F.col("role") == "validation") if temporal else here)
-            model = fit_seed(thin(train, seed + fold) if thin else train, features, fit_y, params, seed)
-            if stop_early:
-                staged = staged_gain(model, judged, features, panel.keys, eval_y, gain, cost, rows_per_bucket)
-                best = staged.orderBy(F.desc("gain"), "trees").first()
-            else:
-                scored = settle(score(model, judged, features, [*panel.keys, eval_y]))
-                ranking = Ranking("proba", tuple(panel.keys), rows_per_bucket=rows_per_bucket)
-                best = best_gain(scored, ranking, eval_y, gain, cost).withColumn("trees", F.lit(used_trees(model))).first()
-            ones = judged.where(F.col(eval_y) == 1).count()
-            found.append((fold, best["n_rows"], best["n_rows"] - ones, ones, int(best["gain"]), best["n_contacts"], best["trees"]))
-            names = model.stages[-2].getInputCols()
-            for name, weight in zip(names, trees_of(model).featureImportances.toArray()):
-                weights[name] = weights.get(name, 0.0) + float(weight)
+            weights.update(results[fold][1])
         rows += [(trial, *fold) for fold in found]
         if ledger is not None:
             gains = [f[4] for f in found]

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mensula.operators.gain import hits_within
-from mensula.operators.ranks import Ranking, named_quantiles
+from mensula.operators.rank_index import RankIndex
+from mensula.operators.ranks import Ranking, named_quantiles, value_of
 
 # Reported percentiles and top sizes.
 PERCENTILES = {"q01": 0.01, "q05": 0.05, "q10": 0.10, "q25": 0.25, "median": 0.50,
@@ -18,18 +19,33 @@ STATISTIC_SIZES = (1000, 5000, 11000, 15000, 20000)
 
 
 def distribution(
-    df: DataFrame, score: str, period: str = "period", rows_per_bucket: int = 1_000_000
+    df: DataFrame | RankIndex, score: str, period: str = "period", rows_per_bucket: int = 1_000_000
 ) -> DataFrame:
     """Per period: count, mean, population deviation, extremes and exact percentiles.
 
-    A NULL period is a period; one without any score has NULL statistics.
+    A NULL period is a period; one without any score has NULL statistics. An index of the scores by period, best first, is looked up.
     """
+    if isinstance(df, RankIndex):
+        return _distribution_of(df, period)
     basic = {"mean": F.avg(score), "std": F.stddev_pop(score), "min": F.min(score), "max": F.max(score)}
     return named_quantiles(df, score, PERCENTILES, [period], rows_per_bucket, basic)
 
 
+def _distribution_of(index: RankIndex, period: str) -> DataFrame:
+    """The same from an index: the k-th smallest of n known scores has rank n - k + 1 from the best."""
+    spot = {name: F.lit(share) * (F.col("n_known") - 1) for name, share in PERCENTILES.items()}
+    rank = lambda place: F.col("n_known") - place
+    wanted = F.filter(F.array(*[rank(end(s)) for s in spot.values() for end in (F.floor, F.ceil)]), lambda r: r <= F.col("n_known"))
+    found = index.at_ranks(wanted).withColumn("_at", F.map_from_entries(F.transform("found", lambda f: F.struct(
+        f["rank"], value_of(f["key"], index.ranking.descending)))))
+    low = lambda s: F.try_element_at("_at", rank(F.floor(s)))
+    high = lambda s: F.try_element_at("_at", rank(F.ceil(s)))
+    return found.select(period, "n_rows", "mean", "std", "min", "max", *[
+        (low(s) + (high(s) - low(s)) * (s - F.floor(s))).alias(name) for name, s in spot.items()])
+
+
 def top_scores(
-    df: DataFrame, ranking: Ranking, y: str, sizes: Sequence[int] = STATISTIC_SIZES
+    df: DataFrame | RankIndex, ranking: Ranking, y: str, sizes: Sequence[int] = STATISTIC_SIZES
 ) -> DataFrame:
     """Per group and size: score at that rank, recall and precision of the rows up to it."""
     return hits_within(df, ranking, y, sizes).select(

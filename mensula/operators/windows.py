@@ -7,7 +7,7 @@ of the entity, not calendar periods.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from operator import add
 
@@ -57,42 +57,82 @@ def rolling(
 
 
 LONGEST_LAG_WINDOW = 12
+# Rows of the recent average of momentum, and the stretch of rows before that it is held against.
+RECENT, PAST_START, PAST_END = 2, 2, 5
 
 
 def expand(
     df: DataFrame, panel: Panel, columns: Sequence[str], lags_n: int = 2, deltas_n: int = 2, window: int = 3,
-    also: Iterable[Column] = (),
+    also: Iterable[Column] = (), trends: Sequence[str] = (), trend_window: int = 4, momenta: Sequence[str] = (),
+    include_current: bool = False,
 ) -> DataFrame:
-    """`lags`, `deltas` and `rolling` (without the current row) of the columns together.
+    """`lags`, `deltas` and `rolling` of the columns together, and `slopes` of `trends` and `momentum` of `momenta`.
 
-    Each earlier value is fetched once; deltas and short rolling aggregates are arithmetic
-    on the fetched values, compiled, instead of a moving frame per aggregate. `also` joins
-    further window Columns to the same step. A NULL key raises.
+    Each earlier value is fetched once; everything else is arithmetic
+    on the fetched values, compiled, instead of a moving frame per aggregate (frames remain for long windows). `also` joins
+    further window Columns to the same step. `include_current` as in `rolling`. A NULL key raises.
     """
-    short = window <= LONGEST_LAG_WINDOW
-    depth = max(lags_n, deltas_n, window if short else 0)
+    short, short_trend = window <= LONGEST_LAG_WINDOW, trend_window <= LONGEST_LAG_WINDOW
+    shown = set(columns)
+    depth = dict.fromkeys(columns, max(lags_n, deltas_n, window if short else 0))
+    for c in trends if short_trend else ():
+        depth[c] = max(depth.get(c, 0), trend_window)
+    for c in momenta:
+        depth[c] = max(depth.get(c, 0), PAST_END)
     history = panel.history
+
+    def name(c: str, i: int) -> str:
+        return f"{c}_lag_{i}" if c in shown and i <= lags_n else f"_{c}_lag_{i}"
+
     fetched = [
-        guarded(F.lag(c, i).over(history), panel).alias(f"{c}_lag_{i}" if i <= lags_n else f"_{c}_lag_{i}")
-        for c in columns for i in range(1, depth + 1)
-    ]
-    framed = [] if short else rolling(panel, columns, window)
+        guarded(F.lag(c, i).over(history), panel).alias(name(c, i)) for c, most in depth.items() for i in range(1, most + 1)]
+    framed = [] if short else rolling(panel, columns, window, include_current=include_current)
     wide = df.select("*", *fetched, *also, *framed)
 
     def earlier(c: str, i: int) -> Column:
-        return F.col(f"{c}_lag_{i}" if i <= lags_n else f"_{c}_lag_{i}")
+        return F.col(name(c, i) if i else c)
 
-    derived = [(F.col(c) - earlier(c, i)).alias(f"{c}_delta_{i}") for c in columns for i in range(1, deltas_n + 1)]
+    derived = differences(columns, earlier, deltas_n)
     if short:
-        for c in columns:
-            values = [earlier(c, i) for i in range(window, 0, -1)]
-            derived += [
-                _widest(F.greatest, values).alias(f"{c}_max_{window}"),
-                _widest(F.least, values).alias(f"{c}_min_{window}"),
-                _mean(values).alias(f"{c}_avg_{window}"),
-            ]
-    hidden = {f"_{c}_lag_{i}" for c in columns for i in range(lags_n + 1, depth + 1)}
-    return wide.select(*[c for c in wide.columns if c not in hidden], *derived)
+        derived += extremes(columns, earlier, window, include_current)
+    if short_trend:
+        derived += trend_slopes(trends, earlier, trend_window)
+    derived += momentum_ratios(momenta, earlier)
+    hidden = {name(c, i) for c, most in depth.items() for i in range(1, most + 1) if name(c, i).startswith("_")}
+    out = wide.select(*[c for c in wide.columns if c not in hidden], *derived)
+    return out if short_trend or not trends else add_slopes(out, panel, trends, trend_window)
+
+
+# Arithmetic on earlier values, wherever they come from: `earlier(column, i)` is the value `i` rows before, 0 this row.
+Earlier = Callable[[str, int], Column]
+
+
+def differences(columns: Iterable[str], earlier: Earlier, n: int) -> list[Column]:
+    return [(F.col(c) - earlier(c, i)).alias(f"{c}_delta_{i}") for c in columns for i in range(1, n + 1)]
+
+
+def extremes(columns: Iterable[str], earlier: Earlier, window: int, include_current: bool = False) -> list[Column]:
+    """Largest, smallest and mean value of the `window` rows before this one, with or without this one."""
+    out = []
+    for c in columns:
+        values = [earlier(c, i) for i in range(window, -1 if include_current else 0, -1)]
+        out += [
+            _widest(F.greatest, values).alias(f"{c}_max_{window}"),
+            _widest(F.least, values).alias(f"{c}_min_{window}"),
+            _mean(values).alias(f"{c}_avg_{window}"),
+        ]
+    return out
+
+
+def trend_slopes(columns: Iterable[str], earlier: Earlier, window: int) -> list[Column]:
+    """Least-squares slope over the `window` rows before this one."""
+    return [_slope([earlier(c, i) for i in range(window, 0, -1)]).alias(f"{c}_trend_{window}") for c in columns]
+
+
+def momentum_ratios(columns: Iterable[str], earlier: Earlier) -> list[Column]:
+    """Recent average over the average of an earlier stretch."""
+    mean = lambda c, first, last: _mean([earlier(c, i) for i in range(last, first - 1, -1)])
+    return [F.try_divide(mean(c, 0, RECENT - 1), mean(c, PAST_START, PAST_END)).alias(f"{c}_momentum") for c in columns]
 
 
 def _widest(kind, values: Sequence[Column]) -> Column:
@@ -105,6 +145,20 @@ def _mean(values: Sequence[Column]) -> Column:
     return F.try_divide(summed, reduce(add, [v.isNotNull().cast("int") for v in values]))
 
 
+def _slope(values: Sequence[Column]) -> Column:
+    """Least-squares slope of values one place apart, the oldest first; NULL ones are left out, and below two there is no slope.
+
+    Sums run over distances from the oldest known value, so that large values of like size do not cancel.
+    """
+    first = F.coalesce(*values).cast("double")
+    known = [v.isNotNull().cast("int") for v in values]
+    far = [F.coalesce(v.cast("double") - first, F.lit(0.0)) for v in values]
+    total = lambda terms: reduce(add, terms)
+    n, x, xx = total(known), total([k * i for i, k in enumerate(known)]), total([k * (i * i) for i, k in enumerate(known)])
+    y, xy = total(far), total([f * float(i) for i, f in enumerate(far)])
+    return F.try_divide(n * xy - x * y, n * xx - x * x)
+
+
 def mean_steps(panel: Panel, columns: Iterable[str], window: int = 3) -> list[Column]:
     """Average change per row over `window` rows: last minus first by their distance."""
     steps, history = window - 1, panel.history
@@ -122,7 +176,7 @@ def row_index(panel: Panel, name: str = "row_idx") -> Column:
 def slopes(
     panel: Panel, columns: Iterable[str], window: int = 3, index: str = "row_idx"
 ) -> list[Column]:
-    """Least-squares slope over the `window` rows before this one; NULL below two points.
+    """Least-squares slope over the `window` rows before this one; NULL below two points. A moving frame, for windows of any length.
 
     The table must hold `row_index(panel, index)`.
     """
@@ -134,6 +188,8 @@ def slopes(
 
 
 def add_slopes(df: DataFrame, panel: Panel, columns: Sequence[str], window: int = 3) -> DataFrame:
+    if window <= LONGEST_LAG_WINDOW:
+        return expand(df, panel, [], trends=columns, trend_window=window)
     indexed = df.select("*", row_index(panel, "_row_idx"))
     return indexed.select("*", *slopes(panel, columns, window, "_row_idx")).drop("_row_idx")
 
@@ -148,7 +204,7 @@ def volatility(panel: Panel, columns: Iterable[str], window: int = 3) -> list[Co
 
 
 def momentum(
-    panel: Panel, columns: Iterable[str], recent: int = 2, past_start: int = 2, past_end: int = 5
+    panel: Panel, columns: Iterable[str], recent: int = RECENT, past_start: int = PAST_START, past_end: int = PAST_END
 ) -> list[Column]:
     """Recent average over the average of an earlier stretch."""
     now = panel.rows(-(recent - 1), 0)

@@ -19,7 +19,7 @@ BUILDERS = {TOTALS: C.totals, DIFFERENCES: C.differences, FLAGS: C.flags, RATIOS
 
 @dataclass(frozen=True)
 class Recipe:
-    """What to derive, in order. Later steps may use columns of earlier ones."""
+    """What to derive, in order. Later steps may use columns of earlier ones. `include_current`: rolling values of this row too."""
 
     status_columns: Sequence[str] = ()
     date_triples: Sequence[tuple[str, str, str]] = ()
@@ -30,6 +30,7 @@ class Recipe:
     lags: int = 2
     deltas: int = 2
     window: int = 3
+    include_current: bool = False
     behaviour: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     inactive_flag: str | None = None
     trends: Sequence[str] = ()
@@ -79,18 +80,16 @@ def history_features(
     expanded = numeric_columns(df, not_expanded)
     require_columns(df, [*recipe.trends, *recipe.momenta])
     behaviour = [_behaviour(panel, kind, c).alias(name) for name, (kind, c) in recipe.behaviour.items()]
-    momenta = W.momentum(panel, recipe.momenta)
-    first = W.expand(df, panel, expanded, recipe.lags, recipe.deltas, recipe.window,
-                     also=[*behaviour, *momenta, W.row_index(panel, "_row_idx")])
-    second = with_columns(
+    first = W.expand(
+        df, panel, expanded, recipe.lags, recipe.deltas, recipe.window, also=behaviour, trends=recipe.trends,
+        trend_window=recipe.trend_window, momenta=recipe.momenta, include_current=recipe.include_current)
+    return with_columns(
         first,
         W.active_quarter(panel, recipe.inactive_flag) if recipe.inactive_flag else [],
-        W.slopes(panel, recipe.trends, recipe.trend_window, "_row_idx"),
         C.accelerations(first, recipe.accelerations),
         W.counted(panel, recipe.streaks, recipe.streak_window),
         W.time_since(panel, recipe.times_since),
     )
-    return second.drop("_row_idx")
 
 
 def build_features(df: DataFrame, panel: Panel, recipe: Recipe) -> DataFrame:
