@@ -11,12 +11,14 @@ from checks.views import sql
 from mensula.functions.columns import latest_and_earliest
 from mensula.operators import combine as B
 from mensula.operators import gain as G
+from mensula.operators import history as H
 from mensula.operators import profile as R
 from mensula.operators import trials as A
 from mensula.operators.ranks import Ranking
 from mensula.panel import columns_like, numeric_columns
-from mensula.sizing import scratch_path
+from mensula.sizing import scratch_path, settle
 from mensula.sources import readers, writers
+from mensula.sources.months import append_month, read_months
 
 KEY = ["c", "m"]
 
@@ -248,6 +250,41 @@ PEAK = """select study, seed, count(*) as n_rows, cast(max(cum) as bigint) as ga
     (select study, seed, row_number() over w as pos, sum(case when y = 1 then 40000 else -20000 end) over (w rows unbounded preceding) as cum
      from s_long window w as (partition by study, seed order by proba desc, entity))) group by 1, 2"""
 
+HISTORY = H.History(
+    columns=("n_all", "mview"), trends=("mview",), momenta=("n_all",), peaks=("n_all",), counted={"busy": "cview > 1"}, events={"sold": "cpurchase > 0"})
+
+
+def _last_day(spark, sf):
+    days = settle(fx.user_days(spark, sf).select("c", "m", "n_all", "mview", "cview", "cpurchase"))
+    return days, days.agg(F.max("m")).first()[0]
+
+
+def month_from_state(spark, sf):
+    """The last day's features from the state after all days before it."""
+    days, last = _last_day(spark, sf)
+    state = settle(H.state_of(days.where(F.col("m") < last), fx.PANEL, HISTORY))
+    features = H.advance(state, days.where(F.col("m") == last), fx.PANEL, HISTORY)[0]
+    return features.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in features.dtypes])
+
+
+def labels_from_state(spark, sf):
+    """Labels that the last day bears on."""
+    days, last = _last_day(spark, sf)
+    state = settle(H.state_of(days.where(F.col("m") < last), fx.PANEL, HISTORY))
+    return H.advance(state, days.where(F.col("m") == last), fx.PANEL, HISTORY)[1]
+
+
+def month_appended_twice(spark, sf):
+    """Orders by month; a file with one month that is there and later ones comes twice."""
+    orders = fx.table(spark, sf, "orders").withColumn("m", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
+    path, log = scratch_path(spark, "months"), scratch_path(spark, "months-log")
+    new = orders.where("o_orderdate >= '2000-12-01'")
+    append_month(orders.where("o_orderdate < '2001-01-01'"), path, "m", log)
+    for _ in range(2):
+        append_month(new, path, "m", log)
+    return read_months(spark, path, new)
+
+
 CHECKS = {
     "S1_csv_scan": (csv_scan, """select cast(o_orderkey as integer) as o_orderkey, o_totalprice, o_orderstatus,
         strftime(o_orderdate, '%Y-%m-%d') as o_orderdate from orders"""),
@@ -284,6 +321,33 @@ CHECKS = {
         union select * from orders where o_orderdate >= '2000-12-01'"""),
     "U2_append_month_by_period": (appended_by_period, """select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as integer) as m from
         (select * from orders where o_orderdate < '2001-01-01' union select * from orders where o_orderdate >= '2000-12-01')"""),
+    "U2_append_month_twice": (month_appended_twice, """select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as integer) as m from
+        (select * from orders where o_orderdate < '2001-01-01' union select * from orders where o_orderdate >= '2000-12-01')"""),
+    "U2_month_from_state": (month_from_state, sql("p_ud", """select * from (select c, m, n_all, mview, cview, cpurchase,
+        lag(n_all, 1) over w as n_all_lag_1, lag(n_all, 2) over w as n_all_lag_2, lag(mview, 1) over w as mview_lag_1, lag(mview, 2) over w as mview_lag_2,
+        n_all - lag(n_all, 1) over w as n_all_delta_1, n_all - lag(n_all, 2) over w as n_all_delta_2,
+        mview - lag(mview, 1) over w as mview_delta_1, mview - lag(mview, 2) over w as mview_delta_2,
+        max(n_all) over p3 as n_all_max_3, min(n_all) over p3 as n_all_min_3, round(avg(n_all) over p3, 6) as n_all_avg_3,
+        max(mview) over p3 as mview_max_3, min(mview) over p3 as mview_min_3, round(avg(mview) over p3, 6) as mview_avg_3,
+        round(case when isnan(regr_slope(mview, ri) over p4) then null else regr_slope(mview, ri) over p4 end, 6) as mview_trend_4,
+        round(avg(n_all) over c2 / nullif(avg(n_all) over past, 0), 6) as n_all_momentum,
+        round(n_all::double / max(n_all) over w, 6) as ratio_n_all_vs_max_historico,
+        cast(count(case when cview > 1 then 1 end) over c3 as bigint) as busy,
+        m - max(case when cpurchase > 0 then m end) over w as sold, cast(ri as integer) as row_idx
+        from (select *, row_number() over (partition by c order by m) as ri from p_ud)
+        window w as (partition by c order by m), p3 as (partition by c order by m rows between 3 preceding and 1 preceding),
+        p4 as (partition by c order by m rows between 4 preceding and 1 preceding), c2 as (partition by c order by m rows between 1 preceding and current row),
+        c3 as (partition by c order by m rows between 2 preceding and current row), past as (partition by c order by m rows between 5 preceding and 2 preceding))
+        where m = (select max(m) from p_ud)""")),
+    "T4_labels_from_state": (labels_from_state, sql("p_ud", """select c, m, cast(case when i = 0 then 0 when i = 1 then not h1 else not (h1 and h2) end as integer) as target_binario,
+        cast(i = 2 and h1 and not h2 as integer) as target_ternario, cast(i = 2 as integer) as settled
+        from (select p.c, p.m, d.i, n1.c is not null as h1, n2.c is not null as h2 from p_ud p
+            join (select m, row_number() over (order by m desc) - 1 as i from (select distinct m from p_ud)) d using (m)
+            left join (select distinct c, i from p_ud join (select m, row_number() over (order by m desc) - 1 as i from (select distinct m from p_ud)) using (m)) n1
+                on n1.c = p.c and n1.i = d.i - 1
+            left join (select distinct c, i from p_ud join (select m, row_number() over (order by m desc) - 1 as i from (select distinct m from p_ud)) using (m)) n2
+                on n2.c = p.c and n2.i = d.i - 2)
+        where i <= 2""")),
     "O3_top_features": (top_parts, """select p_brand as feature, cast(sum(cast(round(p_retailprice * 100) as bigint)) as bigint) as importance
         from part group by 1 order by importance desc, feature limit 10"""),
     "O4_top_trials": (best_trials, sql("", """select trial_number, value, num_leaves from trials where value is not null

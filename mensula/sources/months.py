@@ -24,7 +24,8 @@ LISTED = 1_000
 
 
 def read_months(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame | None:
-    """The stored table, in the column order of `like`; None where there is none yet."""
+    """The stored table, in the column order of `like` and with its type of the period, which folder names do not tell; None where
+    there is none yet. Columns that are not those of `like` raise."""
     try:
         stored = spark.read.parquet(path)
     except AnalysisException as error:
@@ -33,7 +34,10 @@ def read_months(spark: SparkSession, path: str, like: DataFrame | None = None) -
         raise
     if like is None:
         return stored
-    return stored.select(*[F.col(c).cast(like.schema[c].dataType).alias(c) for c in like.columns])
+    if set(stored.columns) != set(like.columns):
+        raise ValueError(f"columns that differ: {sorted(set(stored.columns) ^ set(like.columns))}")
+    period = stored.columns[-1]
+    return stored.withColumn(period, F.col(period).cast(like.schema[period].dataType)).select(*like.columns)
 
 
 def batch_of(new: DataFrame) -> tuple[str, int]:
