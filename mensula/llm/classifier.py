@@ -125,7 +125,8 @@ class Ftrl:
 def training_rows(docs: DataFrame, labels: DataFrame, config: Config, key: str = "doc_id", label: str = "quality") -> DataFrame:
     """`text` and `label` of a bounded sample of the labelled rows, spread by hash over all of them.
 
-    Only the key and the label leave `labels`; rows whose key or label is NULL teach nothing. The
+    Only the key and the label leave `labels`; rows whose key or label is NULL teach nothing. A key that stands twice in `labels`, or
+    in `docs`, teaches twice. Other columns are not read, whatever their names. The
     sample has about `config.sample` rows at most, which bounds the broadcast of its keys.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(
@@ -138,9 +139,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, config: Config, key: str =
 
 
 def fit(rows: DataFrame, config: Config = Config()) -> Model:
-    """A model of `text` and `label` (0 or 1) rows, a bounded sample. Without rows every score is 0.5.
+    """A model of `text` and `label` (0 or 1) rows, a bounded sample. Without rows every score is 0.5. Repeated rows count as often as
+    they stand; a NULL or empty text teaches the bias alone.
 
-    Rows of a shard are taken in an order fixed by their text, so a recomputed shard learns the same.
+    Rows of a shard are taken in an order fixed by their text, so a recomputed shard learns the same. Shards that are dealt to one task
+    learn one after the other and count as one in the mean.
     """
     size = (1 << config.bits) + 1
     start = np.zeros(size)
@@ -181,7 +184,8 @@ def fit(rows: DataFrame, config: Config = Config()) -> Model:
 
 
 def scorer(df: DataFrame, model: Model, text: str = "text") -> Column:
-    """Column with the probability of label 1 of each whole text; NULL and empty texts get that of the bias."""
+    """Column with the probability of label 1 of each whole text; NULL and empty texts get that of the bias. Repeated rows get one
+    score each, and only `text` is read."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
