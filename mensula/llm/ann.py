@@ -6,6 +6,9 @@ a vector, how its neighbours spread over the parts. Every row is stored in its l
 a query goes to several of its most probable parts and is ranked by exact distance there. How many parts
 that takes is read off held-back sample rows.
 
+A router has a bounded number of parts. Parts that stay large get a router of their own, fitted on a bounded sample of their rows in
+a task each, so that the number of parts grows with the rows: a query then visits the likeliest parts of the likeliest parts.
+
 Parts with many rows (copies of one vector always share a part) are cut into blocks by a hash of the id; a query visits
 all blocks of its parts. A task holds one block and a stretch of queries, and returns the nearest few of each
 query. No row is left out for the size of its part.
@@ -13,30 +16,32 @@ query. No row is left out for the size of its part.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mensula.sizing import settle
 
-from .common import let
-
 
 @dataclass(frozen=True)
 class Config:
-    """`sample`: rows the partitions are learnt from, at most about; `part_rows`: rows a part should have;
-    `recall`: share of neighbours of held-back rows that the visited parts must hold."""
+    """`sample`: rows a router is learnt from, at most about; `part_rows`: rows a part should have; `most_parts`: parts of one router;
+    `split_rows`: rows from which on a part gets a router of its own; `recall`: share of neighbours of held-back rows that the visited
+    parts must hold."""
 
     neighbours: int = 10
     sample: int = 8_192
     part_rows: int = 512
     most_parts: int = 256
+    split_rows: int = 65_536
     least_sampled: int = 32
-    recall: float = 0.97
+    recall: float = 0.92
     block: int = 4_096
     hidden: int = 128
     epochs: int = 15
@@ -171,6 +176,36 @@ def learn(sample: np.ndarray, rows: int, c: Config = Config()) -> Router:
     return Router(mean, scale, layers, parts, min(probes, parts))
 
 
+@dataclass(frozen=True)
+class Levels:
+    """A router, and routers of its large parts by number; a part without one is a single part."""
+
+    top: Router
+    below: dict[int, Router]
+    most_parts: int
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """The part that stores each row: the number above times `most_parts`, plus the number below."""
+        out = self.top.home(x) * self.most_parts
+        for part, router in self.below.items():
+            rows = np.flatnonzero(out == part * self.most_parts)
+            if len(rows):
+                out[rows] += router.home(x[rows])
+        return out
+
+    def visits(self, x: np.ndarray) -> list[list[int]]:
+        """The parts that each row visits as a query."""
+        out: list[list[int]] = [[] for _ in x]
+        above = self.top.visits(x)
+        for part in np.unique(above):
+            rows = np.flatnonzero((above == part).any(1))
+            router = self.below.get(int(part))
+            inside = router.visits(x[rows]) if router else np.zeros((len(rows), 1), np.int64)
+            for i, found in zip(rows.tolist(), inside.tolist()):
+                out[i] += [int(part) * self.most_parts + p for p in found]
+        return out
+
+
 def _usable(vector: str) -> Column:
     """Vectors without NULL and non-finite components that are not zero."""
     v = F.col(vector)
@@ -227,6 +262,44 @@ def _search(k: int, kind: pa.DataType):
     return run
 
 
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
+def _levels(usable: DataFrame, sample: np.ndarray, rows: int, dim: int, config: Config) -> Levels:
+    """A router for all rows and, when its parts would hold more than `split_rows`, routers for the large ones."""
+    parts = min(config.most_parts, max(1, rows // config.part_rows), max(1, len(sample) // config.least_sampled))
+    if rows // parts <= config.split_rows:
+        return Levels(learn(sample, rows, config), {}, config.most_parts)
+    each = replace(config, recall=config.recall ** 0.5)  # two levels must both find a neighbour
+    top = learn(sample, rows, each)
+    shared = usable.sparkSession.sparkContext.broadcast(top)
+
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            home = shared.value.home(_matrix(batch.column(1), dim)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(home)], names=["id", "v", "home"])
+
+    kinds = {c: usable.schema[c].dataType.simpleString() for c in ("id", "v")}
+    homed = settle(usable.select("id", "v").mapInArrow(at_home, f"id {kinds['id']}, v {kinds['v']}, home int"))
+    counts = {r["home"]: r["n"] for r in homed.groupBy("home").agg(F.count("*").alias("n")).collect()}  # `most_parts` rows at most
+    large = {home: n for home, n in counts.items() if n > config.split_rows}
+    if not large:
+        return Levels(top, {}, config.most_parts)
+    share = F.create_map(*[F.lit(x) for home, n in large.items() for x in (home, int(min(1.0, config.sample / n) * (1 << 30)))])
+    place = F.pmod(F.xxhash64("id", F.lit(config.seed + 1)), F.lit(1 << 30))
+    drawn = homed.where(place < F.coalesce(F.try_element_at(share, F.col("home")), F.lit(0)))
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        home = int(group["home"].iloc[0])
+        x = np.array(group.sort_values("id")["v"].tolist(), float)
+        return pd.DataFrame({"home": [home], "router": [pickle.dumps(learn(x, large[home], each))]})
+
+    # A router per large part, fitted on a bounded sample each: their number and size are bounded by the configuration.
+    fitted = drawn.groupBy("home").applyInPandas(fit, "home int, router binary").collect()
+    return Levels(top, {r["home"]: pickle.loads(bytes(r["router"])) for r in fitted}, config.most_parts)
+
+
 def search(df: DataFrame, is_query: Column, config: Config = Config(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """`query_id`, `rank` (from 1), `vec_id`, `score` (Euclidean distance): the nearest found for each query row.
 
@@ -254,31 +327,25 @@ def search(df: DataFrame, is_query: Column, config: Config = Config(), key: str
     flat = drawn["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(sample), dim)
     if not len(sample):  # a few rows, none drawn
         flat, order = np.ones((1, dim)), np.array([0])
-    router = learn(flat[order], rows, config)
-    shared = df.sparkSession.sparkContext.broadcast(router)
+    levels = _levels(usable, flat[order], rows, dim, config)
+    shared = df.sparkSession.sparkContext.broadcast(levels)
     vector_type = usable.schema["v"].dataType.simpleString()
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = shared.value
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, dim)
-            logits_order = r.visits(x)
-            home = pa.array(logits_order[:, 0].astype(np.int32))
-            visits = pa.array([row if q else [] for row, q in zip(logits_order.tolist(), batch.column(2).to_pylist())], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, home, visits], names=["id", "v", "query", "home", "visits"])
-
-    routed = settle(usable.mapInArrow(route, f"id {kind.simpleString()}, v {vector_type}, query boolean, home int, visits array<int>"))
-    counts = {r["home"]: r["n"] for r in routed.groupBy("home").agg(F.count("*").alias("n")).collect()}  # a row per part
-    blocks = F.array(*(F.lit(-(-counts.get(p, 0) // config.block)) for p in range(router.parts)))
-    stored = routed.select(
-        F.col("home").alias("part"), F.pmod(F.xxhash64("id"), F.get(blocks, F.col("home"))).cast("int").alias("block"),
-        F.lit(False).alias("query"), "id", "v",
-    )
-    asked = (
-        routed.where("query").select(F.explode("visits").alias("part"), "id", "v")
-        .select("part", F.explode(let(F.get(blocks, F.col("part")), lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)))).alias("block"),
-                F.lit(True).alias("query"), "id", "v")
-    )
+            x, query = _matrix(batch.column(1), dim), np.array(batch.column(2).to_pylist(), bool)
+            home, visits = shared.value.home(x), iter(shared.value.visits(x[query]))
+            told = pa.array([next(visits) if q else [] for q in query.tolist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32)), told], names=["id", "v", "query", "part", "visits"])
+
+    routed = settle(usable.mapInArrow(route, f"id {kind.simpleString()}, v {vector_type}, query boolean, part int, visits array<int>"))
+    # A row per part: `most_parts` squared at most.
+    sized = routed.groupBy("part").agg(F.ceil(F.count("*") / config.block).cast("int").alias("blocks")).collect()
+    blocks = F.broadcast(df.sparkSession.createDataFrame(sized, "part int, blocks int"))
+    stored = routed.join(blocks, "part").select(
+        "part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("query"), "id", "v")
+    asked = routed.where("query").select(F.explode("visits").alias("part"), "id", "v").join(blocks, "part").select(
+        "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("query"), "id", "v")
     entries = stored.unionByName(asked).repartition("part", "block").sortWithinPartitions("part", "block", "query")
     plain = kind.simpleString()
     found = entries.mapInArrow(_search(config.neighbours, arrow_kind), f"query_id {plain}, vec_id {plain}, score double")

@@ -44,6 +44,39 @@ def test_recall_over_all_rows(spark, config):
             assert score == pytest.approx(math.dist(vectors[q], vectors[i]), rel=1e-12)
 
 
+def clustered(rows=6_000, clusters=60, dim=24, seed=7):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(clusters, dim))[rng.integers(0, clusters, rows)] * 5 + rng.normal(size=(rows, dim))
+
+
+def recall(spark, x, config):
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got, want = lists(ann.search(df, F.col("vec_id") % 100 == 0, config)), brute(rows, range(0, len(rows), 100))
+    assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
+    return np.mean([i in {j for _, j in got[q]} for q in want for _, i in want[q]])
+
+
+def test_clustered_vectors_need_a_quarter_of_the_parts_at_most(spark):
+    x, config = clustered(), ann.Config(part_rows=150)
+    router = ann.learn(x, len(x), config)
+    assert router.parts >= 32 and router.probes <= router.parts / 4
+    assert recall(spark, x, config) >= 0.9
+
+
+def test_two_levels_of_routers(spark):
+    x = clustered(8_000, 80)
+    config = ann.Config(part_rows=120, most_parts=8, split_rows=500, sample=3_000, block=64)
+    order = np.random.default_rng(1).permutation(len(x))[:3_000]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id long, v array<double>")
+    levels = ann._levels(df, x[order], len(x), 24, config)
+    home = levels.home(x)
+    assert len(levels.below) >= 6 and len(np.unique(home)) >= 40 and np.bincount(home).max() < 500
+    visits = levels.visits(x[:200])
+    assert np.mean([len(v) for v in visits]) <= len(np.unique(home)) / 4 and all(len(set(v)) == len(v) for v in visits)
+    assert recall(spark, x, config) >= 0.9
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
