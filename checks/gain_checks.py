@@ -7,6 +7,7 @@ from checks.views import sql
 from checks import fixtures as fx
 from mensula.operators import combine as B
 from mensula.operators import gain as G
+from mensula.operators import trials as A
 from mensula.operators.rank_index import build
 from mensula.operators.ranks import Ranking, top_rows, with_rank
 from mensula.sizing import scratch_path
@@ -141,6 +142,17 @@ def ensembles(spark, sf):
     return G.ensemble_report(df, split=["split"], gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET)
 
 
+def test_records(spark, sf):
+    """Two tests of one study, recorded one after the other with what they were fitted with."""
+    ledger, params = scratch_path(spark, "tests"), {"max_depth": 3, "learning_rate": 0.1}
+    for study, years in ((0, [1996, 1997]), (1, [1998])):
+        rows = fx.scores(spark, sf).where((F.col("study") == study) & F.col("period").isin(years))
+        report = G.seed_report(rows, gain=HIT, cost=COST, rows_per_bucket=ROWS_PER_BUCKET)
+        A.record_tests(report, ledger, f"study{study}", params, 40, [1995], years, 0.1)
+    return rounded(A.read_tests(spark, ledger), 6, "pct_contacted").withColumn(
+        "test_periods", F.array_join("test_periods", "+")).withColumn("train_periods", F.array_join("train_periods", "+")).drop("at")
+
+
 def seed_test(spark, sf):
     """A report per study: it takes the scores of one ensemble."""
     reports = [
@@ -280,6 +292,14 @@ CHECKS = {
         """models as (select study, cast(seed as varchar) as model, entity, y, proba from s_long
            union all select study, 'mean', entity, max(y), avg(proba) from s_long group by study, entity)""",
         running("study, model", "models"), f"peaks as ({peak('study, model')})")),
+    "E13_test_record": (test_records, sql("s_long", """select 'study' || study as study, model, n_rows, gain, n_contacts,
+        round(n_contacts * 100.0::double / n_rows, 6) as pct_contacted, cast(40 as integer) as trees,
+        '{"learning_rate": 0.1, "max_depth": 3}' as params, '1995' as train_periods,
+        case when study = 0 then '1996+1997' else '1998' end as test_periods, 0.1::double as ratio from peaks""",
+        """tested as (select * from s_long where study = 0 and period in (1996, 1997) or study = 1 and period = 1998)""",
+        """models as (select study, cast(seed as varchar) as model, entity, y, proba from tested
+           union all select study, 'mean', entity, max(y), avg(proba) from tested group by study, entity)""",
+        running("study, model", "models"), f"peaks as ({peak('study, model')})")),
     "E14_model_results": (results, sql("s_long", """select study, seed, n_rows, n_class_0, n_class_1,
         gain_test1, n_contacts_test1, gain_test2, n_contacts_test2 from
         (select study, seed, count(*) as n_rows, count(*) filter (y = 0) as n_class_0, count(*) filter (y = 1) as n_class_1

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.views import sql
 from mensula.operators import models as M
+from mensula.operators.boosting import fit_on_gain
 from mensula.operators import samples as K
 from mensula.operators import trials as A
 from mensula.sizing import scratch_path
@@ -62,6 +63,37 @@ def searched_in_time(spark, sf):
     return again.select("trial_number", "fold", "n_rows", "gain", "n_contacts")
 
 
+def searched_undersampled(spark, sf):
+    """Temporal folds whose training rows keep exactly as many negatives as positives; validation rows stay whole."""
+    df = K.with_temporal_folds(rows(spark, sf), P, 2, min_train_size=6, val_size=2)
+
+    def thin(train, number):
+        days = [r[0] for r in train.select("m").distinct().collect()]
+        return K.exact_undersample(train, P, K.Sampling(ratio=1.0, periods=tuple(days)), chance=F.xxhash64("c", "m", F.lit(number)))
+
+    out = M.search(df, P, FEATURES, [STUMP], 7, gain=GAIN, cost=COST, thin=thin)
+    return out.select("trial_number", "fold", "n_rows", "gain", "n_contacts")
+
+
+def stopped_on_gain(spark, sf):
+    """A label that needs three flags, as bits of the order number: three stumps rank perfectly and two do not."""
+    bit = lambda i: F.floor(F.col("o_orderkey") / 2**i) % 2
+    df = fx.table(spark, sf, "orders").select("o_orderkey", bit(0).alias("a"), bit(1).alias("b"), bit(2).alias("c"))
+    df = df.withColumn("y", (F.col("a") + F.col("b") + F.col("c") == 3).cast("int"))
+    held = F.floor(F.col("o_orderkey") / 8) % 3 == 0
+    params = M.TreeParams(trees=50, learning_rate=0.5, max_depth=1, balanced=False)
+    model = fit_on_gain(df.where(~held), df.where(held), ["a", "b", "c"], params, 4, ["o_orderkey"], "y", "y", 4, GAIN, COST)
+    best = model.history[len(model.steps) - 1]
+    return spark.createDataFrame([(len(model.steps), len(model.history), best[1], best[2])], "best_round int, rounds int, gain long, n_contacts long")
+
+
+def filled_and_weighted(spark, sf):
+    """A label by a column with NULLs, which count as the median; positives weigh as all negatives together."""
+    df = rows(spark, sf).withColumn("target_binario", (F.coalesce("mpurchase", F.lit(-1)) > 0).cast("int"))
+    model = M.fit_seed(df, ["mpurchase"], "target_binario", M.TreeParams(trees=1, max_depth=1), 7)
+    return M.score(model, df, ["mpurchase"], ["c", "m"]).withColumn("proba", F.round("proba", 9))
+
+
 def search_sizes(spark, sf):
     return searched_in_time(spark, sf).select("trial_number", "fold", "n_rows")
 
@@ -103,6 +135,11 @@ CHECKS = {
         count(*) filter (not ({LABEL})) as n_class_0, count(*) filter ({LABEL}) as n_class_1, cast(1 as integer) as best_iteration
         from p_ud, (select cast(unnest([0, 1]) as integer) as trial_number) group by 1, 2""")),
     "M4_search_in_time": (searched_in_time, sql("p_ud", f"select cast(0 as integer) as trial_number, fold, {PERFECT} from {LAST} group by fold")),
+    "M4_search_undersampled": (searched_undersampled, sql("p_ud", f"select cast(0 as integer) as trial_number, fold, {PERFECT} from {LAST} group by fold")),
+    "M1_fit_nulls_and_weights": (filled_and_weighted, sql("p_ud", f"""select c, m, case when mpurchase > 0 then {HIGH}::double else {LOW}::double end as proba
+        from p_ud""")),
+    "M5_stop_on_gain": (stopped_on_gain, f"""select cast(3 as integer) as best_round, cast(7 as integer) as rounds,
+        cast(count(*) * {GAIN} as bigint) as gain, count(*) as n_contacts from orders where o_orderkey % 8 = 7 and o_orderkey // 8 % 3 = 0"""),
     "M4_fold_sizes": (search_sizes, sql("p_ud", f"select cast(0 as integer) as trial_number, fold, count(*) as n_rows from {LAST} group by fold")),
     "M5_early_stop": (stopped, sql("p_ud", "select count(*) as n, cast(1 as integer) as trees from p_ud")),
     "M6_importance": (important, sql("p_ud", "select 'cview__filled' as feature, 1.0::double as importance")),
