@@ -1,6 +1,7 @@
 """Sources and sinks (S1-S13), profiles (C1-C8), month append (U2), trials (O3-O5, A2-A5)."""
 
 import itertools
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,9 +14,10 @@ from mensula.operators import combine as B
 from mensula.operators import gain as G
 from mensula.operators import history as H
 from mensula.operators import profile as R
+from mensula.operators import targets, windows
 from mensula.operators import trials as A
 from mensula.operators.ranks import Ranking
-from mensula.panel import columns_like, numeric_columns
+from mensula.panel import attach, columns_like, numeric_columns
 from mensula.sizing import scratch_path, settle
 from mensula.sources import readers, writers
 from mensula.sources.months import append_month, read_months
@@ -274,6 +276,16 @@ def labels_from_state(spark, sf):
     return H.advance(state, days.where(F.col("m") == last), fx.PANEL, HISTORY)[1]
 
 
+def panel_by_entity(spark, sf):
+    """History features, labels and an attached table, all from tables stored by entity."""
+    name, days = f"days_{uuid.uuid4().hex}", fx.user_days(spark, sf)
+    stored = writers.save_by_entity(days, fx.PANEL, name, 4, scratch_path(spark, "by-entity"))
+    other = writers.save_by_entity(days.select("c", "m", F.col("cview").alias("seen")), fx.PANEL, f"{name}_more", 4, scratch_path(spark, "by-entity"))
+    wide = windows.expand(targets.churn_targets(stored, fx.PANEL), fx.PANEL, ["n_all"], 1, 1, 3)
+    return attach(wide, other, ["c", "m"]).select(
+        "c", "m", "n_all", "seen", "target_binario", "target_ternario", "n_all_lag_1", "n_all_delta_1", "n_all_max_3")
+
+
 def month_appended_twice(spark, sf):
     """Orders by month; a file with one month that is there and later ones comes twice."""
     orders = fx.table(spark, sf, "orders").withColumn("m", (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("int"))
@@ -321,6 +333,16 @@ CHECKS = {
         union select * from orders where o_orderdate >= '2000-12-01'"""),
     "U2_append_month_by_period": (appended_by_period, """select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as integer) as m from
         (select * from orders where o_orderdate < '2001-01-01' union select * from orders where o_orderdate >= '2000-12-01')"""),
+    "S7_panel_by_entity": (panel_by_entity, sql("p_ud", """select c, m, n_all, cview as seen,
+        cast(case when i + 1 <= last and not h1 or i + 2 <= last and not h2 then 1 else 0 end as integer) as target_binario,
+        cast(case when h1 and i + 2 <= last and not h2 then 1 else 0 end as integer) as target_ternario,
+        lag(n_all, 1) over w as n_all_lag_1, n_all - lag(n_all, 1) over w as n_all_delta_1,
+        max(n_all) over (partition by c order by m rows between 3 preceding and 1 preceding) as n_all_max_3
+        from (select p.*, d.i, d.last, coalesce(lead(i, 1) over v = i + 1, false) as h1,
+                coalesce(lead(i, 1) over v = i + 2, false) or coalesce(lead(i, 2) over v = i + 2, false) as h2
+            from p_ud p join (select m, row_number() over (order by m) as i, count(*) over () as last from (select distinct m from p_ud)) d using (m)
+            window v as (partition by c order by m))
+        window w as (partition by c order by m)""")),
     "U2_append_month_twice": (month_appended_twice, """select *, cast(year(o_orderdate) * 100 + month(o_orderdate) as integer) as m from
         (select * from orders where o_orderdate < '2001-01-01' union select * from orders where o_orderdate >= '2000-12-01')"""),
     "U2_month_from_state": (month_from_state, sql("p_ud", """select * from (select c, m, n_all, mview, cview, cpurchase,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from mensula.panel import Panel
+
 # Fixed value: rows per row group of saved tables.
 ROWS_PER_GROUP = 100_000
 
@@ -38,6 +40,22 @@ def save_parquet(
     return target
 
 
+def save_by_entity(
+    df: DataFrame, panel: Panel, table: str, buckets: int, path: str | None = None, mode: str = "errorifexists"
+) -> DataFrame:
+    """A table of the session's catalog, bucketed by entity and sorted by entity and period, and read back.
+
+    Rows of an entity share a bucket, so windows over its history, and joins by entity with a table of as many buckets, need no
+    shuffle. A join by entity and period needs none either where `spark.sql.requireAllClusterKeysForCoPartition` is false. Give
+    `path` to keep the files in a folder of your own. Choose `buckets` so that a bucket fits a task; there is a file per bucket.
+    """
+    writer = df.repartition(buckets, panel.entity).write.mode(mode).format("parquet").option("compression", "zstd")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, panel.entity).sortBy(panel.entity, panel.period).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def save_scores(df: DataFrame, base: str, mode: str = "append") -> None:
     """Scores with columns `study`, `seed` and `split`, one folder each."""
     df.hint("rebalance", "study", "seed", "split").write.mode(mode).option(

@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from mensula.operators import gain, targets, windows
+from mensula.operators import gain, ranks, targets, windows
 from mensula.operators.combine import append_period
 from mensula.operators.ranks import Ranking, keys_at_ranks, top_rows, with_rank
 from mensula.operators.samples import class_period_rows
 from mensula.operators.scores import distribution
-from mensula.panel import with_columns
-from mensula.plans.recipes import BANK_PANEL, BANK_RECIPE, history_features
+from mensula.panel import attach, with_columns
+from mensula.plans.recipes import BANK_PANEL, BANK_RECIPE, build_features, history_features
+from mensula.sources.writers import save_by_entity
 
 P = fx.PANEL
 
@@ -74,7 +75,17 @@ def test_ranked_rows_are_never_in_one_window(scored, build):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     for match in re.finditer(r"Window \[row_number\(\) windowspecdefinition\(([^,]*),", text):
         assert "_bucket" in match.group(0) or "study" in match.group(1)
-    assert "_bucket" in text or "subquery" in text.lower()
+    # Keys at ranks are found before the plan is made, from few rows (next test), and stand in it as values.
+    assert "_bucket" in text or "subquery" in text.lower() or "LocalTableScan" in text
+
+
+def test_windows_over_brackets_see_few_rows(scored, monkeypatch):
+    seen, original = [], ranks._found_in_brackets
+    monkeypatch.setattr(ranks, "_found_in_brackets", lambda counted, *a: seen.append(counted.count()) or original(counted, *a))
+    total = scored.count()
+    for ranking in (Ranking("proba", ("entity", "study", "seed")), Ranking("proba", ("entity",), ("study",))):
+        keys_at_ranks(scored, ranking, F.array(F.lit(5), F.lit(700)))
+    assert len(seen) == 2 and max(seen) < total / 20, (seen, total)
 
 
 def test_sweep_does_not_shuffle_rows(scored):
@@ -103,4 +114,26 @@ def test_append_leaves_old_periods_unshuffled(spark, tmp_path):
     out = append_period(base, df.where("m = 3"), "m", base_is_distinct=True)
     assert out.count() == 100
     text = plan(out)
-    assert text.count("FileScan") == 2 and len(hash_shuffles(text)) == 1
+    # Old periods once; the new file's period for rows that stand alone and for those compared whole, which alone are shuffled.
+    assert text.count("FileScan") == 3 and len(hash_shuffles(text)) == 1 and text.count("Filter isnull(_new") == 1
+
+
+def test_tables_stored_by_entity_need_no_shuffle(spark, tmp_path):
+    """The recipe, its labels and an attached table from bucketed storage: no exchange by entity."""
+    df = fx.bank_months(spark, "/root/testdata/sf0.001", BANK_RECIPE)
+    stored = save_by_entity(df, BANK_PANEL, "bank_by_entity", 3, str(tmp_path / "bank"))
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(build_features(stored, BANK_PANEL, BANK_RECIPE))
+        assert "Exchange hashpartitioning(numero_de_cliente" not in text and "Bucketed: true" in text
+        more = save_by_entity(df.select(*BANK_PANEL.keys, df.mrentabilidad.alias("again")), BANK_PANEL, "more_by_entity", 3, str(tmp_path / "more"))
+        joined = attach(stored, more, BANK_PANEL.keys)
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert joined.count() == df.count()
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bank_by_entity", "more_by_entity"):
+            spark.sql(f"drop table if exists {name}")
