@@ -176,11 +176,12 @@ class Reader(DataSourceReader):
         found = {i.path: i.size for i in store.get_file_info(fs.FileSelector(root, recursive=True)) if i.is_file}
         listed = [p for p in found if posixpath.basename(p).startswith(MANIFEST)]
         if listed:
-            names = []
+            # A manifest names files of its own folder, which may lie below the one that is read.
+            paths = []
             for p in listed:
                 with store.open_input_stream(p) as manifest:
-                    names += json.loads(manifest.read())["files"]
-            files = [(f"{root}/{n}", found[f"{root}/{n}"]) for n in names]
+                    paths += [posixpath.join(posixpath.dirname(p), n) for n in json.loads(manifest.read())["files"]]
+            files = [(path, found[path]) for path in paths]
         else:
             files = [(p, n) for p, n in found.items() if p.endswith((".warc", ".warc.gz"))]
         plan, held, size = [], [], 0

@@ -86,6 +86,19 @@ def test_files_outside_the_manifest_are_not_read(spark):
     assert spark.read.format("warc").load(path).count() == 2
 
 
+def test_archives_in_nested_folders(spark, tmp_path):
+    warc.register(spark)
+    schema = "page_id long, url string, html string"
+    for i, folder in enumerate(("", "/below", "/below/deeper")):
+        df = spark.createDataFrame([(i, f"http://x/{i}", f"page {i}")], schema)
+        warc.page_records(df).write.format("warc").mode("append").save(f"{tmp_path}/a{folder}")
+    os.makedirs(f"{tmp_path}/a/other")
+    with open(f"{tmp_path}/a/other/lost.warc", "wb") as lost:
+        lost.write(b"not listed")
+    read = lambda folder: spark.read.format("warc").load(f"{tmp_path}/a{folder}").count()
+    assert [read(f) for f in ("", "/below", "/below/deeper")] == [3, 2, 1]
+
+
 def test_archives_of_others(spark, tmp_path):
     block = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nhello"
     info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
