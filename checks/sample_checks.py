@@ -76,6 +76,13 @@ def folds(spark, sf):
     return R.class_counts(rows, Y, ["fold"])
 
 
+def even_folds(spark, sf):
+    """Rows counted off in the order of a number."""
+    df = labelled(spark, sf)
+    number = F.col("c") * 31 + F.col("m")
+    return K.with_fold(df, P, 5, 1, number=number, even=True, rows_per_bucket=ROWS_PER_BUCKET).select("c", "m", "fold")
+
+
 def hashed_folds(spark, sf):
     """Every row in one fold; by entity, an entity's rows share it."""
     df = labelled(spark, sf)
@@ -178,6 +185,7 @@ CHECKS = {
         count(*) filter ({Y} = 0) as n_class_0, count(*) filter ({Y} = 1) as n_class_1,
         count(*) filter ({Y} = 1)::double / nullif(count(*) filter ({Y} = 0), 0) as ratio,
         count(*) filter ({Y} = 1)::double / count(*) as share_class_1 from lab group by 1""")),
+    "K8_even_folds": (even_folds, lab("""select c, m, cast((row_number() over (order by c * 31 + m, c, m) - 1) % 5 as integer) as fold from lab""")),
     "K8_hashed_folds": (hashed_folds, lab("""select cast(1 as integer) as most_folds_of_entity, count(*) as n_rows,
         cast(0 as bigint) as n_outside from lab""")),
     "K9_period_folds": (temporal, temporal_sql()),

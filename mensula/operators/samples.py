@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mensula.functions.columns import in_periods
-from mensula.operators.ranks import Ranking, keys_at_ranks
+from mensula.operators.ranks import Ranking, keys_at_ranks, with_rank
 from mensula.panel import Panel, period_axis
 from mensula.sizing import settle, small_side
 
@@ -120,9 +120,23 @@ def fold_of(keys: Sequence[str], n_folds: int, seed: int) -> Column:
 
 
 def with_fold(
-    df: DataFrame, panel: Panel, n_folds: int, seed: int, by_entity: bool = False, number: Column | None = None
+    df: DataFrame, panel: Panel, n_folds: int, seed: int, by_entity: bool = False, number: Column | None = None,
+    even: bool = False, rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
-    """Add `fold`: by a hash of the key, or of a whole `number` per row that is given instead."""
+    """Add `fold`: by a hash of the key, or of a whole `number` per row that is given instead.
+
+    Folds are of equal size on average. With `even` rows are counted off in the order of that hash, so that sizes differ by one row at
+    most; rows are then ranked, which shuffles them once.
+    """
+    if even and by_entity:
+        raise ValueError("folds that keep an entity together cannot be even")
+    if even:
+        score = F.xxhash64(*panel.keys, F.lit(seed)) if number is None else number
+        ties = [f"_key_{i}" for i in range(len(panel.keys))]
+        # The row in one column, so that its names clash with none of the ranking.
+        drawn = df.select(F.struct(*df.columns).alias("_row"), score.alias("_draw"), *[F.col(k).alias(t) for k, t in zip(panel.keys, ties)])
+        ranked = with_rank(drawn, Ranking("_draw", tuple(ties), descending=False, rows_per_bucket=rows_per_bucket))
+        return ranked.select("_row.*", ((F.col("rank") - 1) % n_folds).cast("int").alias("fold"))
     keys = [panel.entity] if by_entity else panel.keys
     fold = fold_of(keys, n_folds, seed) if number is None else F.pmod(number, F.lit(n_folds)).cast("int")
     return df.withColumn("fold", fold)

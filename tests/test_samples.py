@@ -58,6 +58,17 @@ def test_feature_columns(panel):
     assert K.feature_columns(df, P, keep_entity=True) == ["e", "x"]
 
 
+@pytest.mark.parametrize("limit", [7, 1_000_000])
+def test_even_folds_differ_by_one_row_at_most(spark, limit):
+    df = spark.range(103).select((F.col("id") % 9).alias("e"), F.floor(F.col("id") / 9).alias("t"), F.lit(1).alias("rank"))
+    out = K.with_fold(df, P, 5, 3, even=True, rows_per_bucket=limit)
+    sizes = sorted(r["count"] for r in out.groupBy("fold").count().collect())
+    assert sizes == [20, 20, 21, 21, 21] and out.columns == ["e", "t", "rank", "fold"]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, K.with_fold(df.repartition(3), P, 5, 3, even=True).collect()))
+    with pytest.raises(ValueError):
+        K.with_fold(df, P, 5, 3, by_entity=True, even=True)
+
+
 def plan_of(spark, n, folds, **sizes):
     """[(train places, validation places)] of an axis of `n` periods."""
     axis = spark.range(n).select(F.lit(1).alias("c"), F.col("id").cast("int").alias("m"))
