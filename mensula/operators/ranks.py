@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mensula import sizing
 from mensula.sizing import fetched, settle, side_of, small_side
 
 SAMPLES_PER_BUCKET = 24
 SHORT_ARRAY = 8
+# Spans are a few numbers and group values each, so as many more of them are broadcast than of other small sides.
+SPANS_TO_BROADCAST = 5
 
 
 @dataclass(frozen=True)
@@ -64,8 +67,9 @@ def with_place(
     not `closed`), for arrays of at most `longest` elements.
 
     A short array is compared element by element in one expression. A long one is searched
-    by halving, one projection per bit; do not filter on that result, because a filter
-    pushed below the projections would write the whole search out again.
+    by halving, one projection per bit. Each names the one before three times, so written out the search would have
+    3^bits terms, and the optimizer writes it out for a filter or a join on the result. It does
+    not look through an explode, here of an array of the one result.
     """
     def passed(at: Column) -> Column:
         probe = F.get(array, at)
@@ -79,7 +83,7 @@ def with_place(
         step = 1 << bit
         found = F.col(name)
         out = out.withColumn(name, F.when(passed(found + (step - 1)), found + step).otherwise(found))
-    return out
+    return out.withColumn(name, F.explode(F.array(name)))
 
 
 def _cuts(keyed: DataFrame, ranking: Ranking) -> tuple[DataFrame, int] | None:
@@ -98,8 +102,10 @@ def _cuts(keyed: DataFrame, ranking: Ranking) -> tuple[DataFrame, int] | None:
     length = F.size("_keys")
     parts = F.ceil(length / per_bucket).cast("int")
     at = lambda i: F.get("_keys", (i.cast("long") * length / parts).cast("int"))
-    chosen = F.array_distinct(F.transform(F.sequence(F.lit(1), parts - 1), at))
-    cuts = sample.where(length > per_bucket).select(*names, chosen.alias("_cuts"))
+    chosen = F.transform(F.sequence(F.lit(1), parts - 1), at)
+    # Ascending, so that equal ones are neighbours: array_distinct would compare all pairs of structs.
+    new = lambda key, i: (i == 0) | ~key.eqNullSafe(F.get("_at", i - 1))
+    cuts = sample.where(length > per_bucket).select(*names, chosen.alias("_at")).select(*names, F.filter("_at", new).alias("_cuts"))
     table = small_side(cuts)
     if table is cuts:
         table = settle(cuts)
@@ -122,7 +128,8 @@ def _bucketed(keyed: DataFrame, ranking: Ranking, cuts: tuple[DataFrame, int] |
         same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(ranking.group, names)]
         joined = keyed.join(table, same, "left")
     else:
-        joined = keyed.select("*", table.select("_cuts").scalar().alias("_cuts"))
+        # One row beside every row. A scalar would be a literal of all cuts in every step of the search, which fills the driver.
+        joined = keyed.crossJoin(F.broadcast(table.select("_cuts")))
     return with_place(joined, "_cuts", F.col("_key"), "_bucket", longest).drop("_cuts", *names)
 
 
@@ -159,7 +166,11 @@ def match(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str =
 def with_rank(df: DataFrame, ranking: Ranking, running: Sequence[str] = ()) -> DataFrame:
     """Add `rank` (from 1), the group's `n_rows`, and `running_<column>` sums in rank order."""
     bucketed = with_buckets(df, ranking)
-    spans = small_side(_spans(bucketed, ranking, running))
+    # Written, because all rows are read to count them; there is a span per bucket, so their number grows with the rows.
+    spans = settle(_spans(bucketed, ranking, running))
+    most = SPANS_TO_BROADCAST * sizing.BROADCAST_ROWS
+    if spans.limit(most + 1).count() <= most:
+        spans = F.broadcast(spans)
     local = Window.partitionBy(*ranking.group, "_bucket").orderBy(*ranking.order())
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
     rows = bucketed.select(

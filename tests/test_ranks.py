@@ -1,5 +1,7 @@
 """Rank selection and running sums against brute force, with heavy ties and tiny buckets."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +202,21 @@ def test_skewed_and_constant_columns_have_exact_quantiles(spark):
         for r in ranks.quantiles(df, "v", [0.001, 0.1, 0.5, 0.999], ["c"], limit).collect():
             assert r["value"] == np.percentile(columns[r["c"]], 100 * r["share"]) or r["value"] == pytest.approx(
                 np.percentile(columns[r["c"]], 100 * r["share"]), rel=1e-13)
+
+
+@pytest.mark.parametrize("group", [(), ("g",)])
+def test_plans_stay_small_however_many_buckets(spark, group):
+    """The search for a bucket is never written out, and the cuts are no literals of the plan."""
+    df = spark.range(60_000).select((F.col("id") * 7919 % 10_007).alias("p"), F.col("id").alias("e"), F.lit(1).alias("g"))
+    sizes = {}
+    for limit in (3_000, 40):
+        out = ranks.with_rank(df, Ranking("p", ("e",), group, rows_per_bucket=limit), running=["e"])
+        start = time.time()
+        sizes[limit] = len(out._jdf.queryExecution().optimizedPlan().toString())
+        assert time.time() - start < 1.0
+        far = out.agg(F.max("rank"), F.count_distinct("rank"), F.max("running_e")).first()
+        assert tuple(far) == (60_000, 60_000, 60_000 * 59_999 // 2)
+    assert sizes[40] < 3 * sizes[3_000]
+    # A filter on the result does not write the search out either.
+    bucketed = ranks.with_buckets(df, Ranking("p", ("e",), group, rows_per_bucket=40))
+    assert len(bucketed.where("_bucket = 7")._jdf.queryExecution().optimizedPlan().toString()) < 3 * sizes[3_000]
