@@ -124,7 +124,7 @@ def score_reload(spark, sf):
     base = scratch_path(spark, "files")
     df = fx.scores(spark, sf)
     for study, seed in itertools.product(range(3), range(2)):
-        df.where((F.col("study") == study) & (F.col("seed") == seed)).select("entity", "proba", "y").coalesce(1).write.parquet(
+        df.where((F.col("study") == study) & (F.col("seed") == seed)).select("entity", "proba", "y").write.parquet(
             f"{base}/model{study}_seed{seed}_test1.parquet")
     back = readers.read_score_files(spark, f"{base}/*_test1.parquet")
     return back.groupBy("study", "seed", "split").agg(F.count("*").alias("n"), F.round(F.sum("proba"), 6).alias("total"))

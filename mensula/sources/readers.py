@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,16 +70,29 @@ def read_scores(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(base)
 
 
+_SCORE_FILE = re.compile(r".*?([^/]*)_seed([0-9]+)_([^/]*)\.parquet")
+_GLOB_SIGN = re.compile(r"([\\\[\]{}*?,])")
+
+
 def read_score_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Score files named `<study>_seed<number>_<split>.parquet`; the name gives the columns."""
-    path = F.col("_metadata.file_path")
-    parts = r"([^/]*)_seed(\d+)_([^/]*)\.parquet"
-    return spark.read.parquet(pattern).select(
-        "*",
-        F.regexp_extract(path, parts, 1).alias("study"),
-        F.regexp_extract(path, parts, 2).cast("int").alias("seed"),
-        F.regexp_extract(path, parts, 3).alias("split"),
-    )
+    """Score files, or folders of parts, named `<study>_seed<number>_<split>.parquet`; the name gives the columns.
+
+    Each name is taken apart once, not in every row, and its columns are constants of its rows.
+    """
+    every = spark.read.parquet(pattern)
+    names = {}
+    for path in map(unquote, every.inputFiles()):
+        found = _SCORE_FILE.match(path)
+        if found is None:
+            raise ValueError(f"not named <study>_seed<number>_<split>.parquet: {path}")
+        names[found[0]] = found.groups()
+    if not names:
+        return every.select("*", F.lit("").alias("study"), F.lit(0).alias("seed"), F.lit("").alias("split")).limit(0)
+    return reduce(DataFrame.unionByName, [
+        spark.read.schema(every.schema).parquet(_GLOB_SIGN.sub(r"\\\1", path)).select(
+            "*", F.lit(study).alias("study"), F.lit(int(seed)).alias("seed"), F.lit(split).alias("split"))
+        for path, (study, seed, split) in sorted(names.items())
+    ])
 
 
 def read_period(spark: SparkSession, base: str, period, column: str = "period") -> DataFrame:

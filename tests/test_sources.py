@@ -87,3 +87,17 @@ def test_settled_rows_are_written(spark):
     df = settle(spark.range(5).withColumn("r", F.rand()))
     assert df.collect() == df.collect()
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_score_files_are_read_by_name_without_a_search_per_row(spark, tmp_path):
+    base = f"{tmp_path}/a b[1]%20"
+    for study, seed, n in (("m_1", 0, 40), ("m_1", 11, 70), ("x", 3, 5)):
+        spark.range(n).repartition(3).write.parquet(f"{base}/{study}_seed{seed}_test_2.parquet")
+    found = readers.read_score_files(spark, str(tmp_path) + "/a b?1?%20/*_test_2.parquet")
+    counts = {(r["study"], r["seed"], r["split"]): r["count"] for r in found.groupBy("study", "seed", "split").count().collect()}
+    assert counts == {("m_1", 0, "test_2"): 40, ("m_1", 11, "test_2"): 70, ("x", 3, "test_2"): 5}
+    assert dict(found.dtypes) == {"id": "bigint", "study": "string", "seed": "int", "split": "string"}
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+    spark.range(3).write.parquet(f"{base}/other.parquet")
+    with pytest.raises(ValueError, match="other.parquet"):
+        readers.read_score_files(spark, str(tmp_path) + "/a b?1?%20/*.parquet")
