@@ -8,8 +8,8 @@ corpus, picks spans, and of overlapping ones those stay that together hold the m
 is personal, what has their form and misses a check (Luhn, ranges, lengths, domains) is not, and other spellings, which no
 format judges, are left to the trees. Accepted telephones are learnt in their national spellings too.
 
-Training reads a bounded sample of candidates, drawn by hash over the whole corpus. Scanning reads each text
-once, within its row, without a shuffle, in time linear in the text.
+Training counts every candidate of the corpus that has a label, in Spark: trees and thresholds come from all of them. Scanning reads each
+text once, within its row, without a shuffle, in time linear in the text.
 """
 
 from __future__ import annotations
@@ -240,10 +240,9 @@ def _labelled(text: str) -> Iterator[tuple[int, list[float]]]:
 
 @dataclass(frozen=True)
 class Config:
-    """`examples`: candidates of either label to learn from at most, about; `precision`: share of right spans that the threshold of
-    each kind has to reach; `judged`: candidates of a kind that its own threshold takes, of either label."""
+    """`precision`: share of right spans that the threshold of each kind has to reach; `judged`: candidates of a kind that its own
+    threshold takes, of either label."""
 
-    examples: int = 8_000
     precision: float = 0.9
     judged: int = 20
 
@@ -262,6 +261,12 @@ def thresholds(model: trees.Boosted, x: np.ndarray, label: np.ndarray, n: np.nda
     It is the share at that score, not of all rows above it: rows that are surely right do not pay for doubtful ones. The rows are held out from the trees and weigh as often as they stand in the corpus. A kind with too few rows of
     either label takes the score at which the calibration over all kinds reaches that precision.
     """
+    score = model.logit(x) if model.trees else np.zeros(len(x))
+    return _cuts(model, pd.DataFrame({"group": x[:, 0], "score": score, "ones": label, "zeros": 1 - label, "right": n * label, "wrong": n * (1 - label)}), config)
+
+
+def _cuts(model: trees.Boosted, judged: pd.DataFrame, config: Config) -> tuple[float, ...]:
+    """`thresholds` from rows counted by kind and score."""
 
     def least(knots: np.ndarray, shares: np.ndarray) -> float:
         enough = shares >= config.precision
@@ -270,19 +275,20 @@ def thresholds(model: trees.Boosted, x: np.ndarray, label: np.ndarray, n: np.nda
     common = least(model.knots, model.shares)
     if not model.trees:
         return (-math.inf if common < math.inf else math.inf,) * len(LEARNT)
-    score, cuts = model.logit(x), []
+    cuts = []
     for kind in range(len(LEARNT)):
-        mine = x[:, 0] == kind
-        if min((label[mine] == 1).sum(), (label[mine] == 0).sum()) < config.judged:
+        mine = judged[judged["group"] == kind]
+        if min(mine["ones"].sum(), mine["zeros"].sum()) < config.judged:
             cuts.append(common)
             continue
-        cuts.append(least(*trees.isotonic(score[mine], label[mine].astype(float), n[mine])))
+        right, n = mine["right"].to_numpy(float), (mine["right"] + mine["wrong"]).to_numpy(float)
+        cuts.append(least(*trees.isotonic(mine["score"].to_numpy(), right / n, n)))
     return tuple(cuts)
 
 
 def learn(df: DataFrame, config: Config = Config(), text: str = "text") -> Detector:
-    """Detector of the corpus. All candidates are counted; equal feature rows are one row with their number, and the sample takes each
-    row of a label with the same chance. The trees learn from one half of the sample, the thresholds from the other."""
+    """Detector of the corpus, from all labelled candidates: equal feature rows are one row with their number. The trees learn from one half
+    of these rows, the thresholds from the other, as often as they stand in the corpus."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,14 +300,8 @@ def learn(df: DataFrame, config: Config = Config(), text: str = "text") -> Detec
             ], names=["label", "x", "n"])
 
     found = settle(df.select(text).mapInArrow(find, "label int, x array<double>, n long").groupBy("label", "x").agg(F.sum("n").alias("n")))
-    share = {r["label"]: config.examples / r["n"] for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    place = F.pmod(F.xxhash64("x", F.lit(11)), F.lit(1 << 30))
-    limit = F.when(F.col("label") == 1, F.lit(int(share.get(1, 1) * (1 << 30)))).otherwise(F.lit(int(share.get(0, 1) * (1 << 30))))
-    rows = sorted(found.where(place < limit).withColumn("h", F.xxhash64("x")).collect(), key=lambda r: (r["h"], r["label"]))
-    x = np.array([r["x"] for r in rows], float) if rows else np.empty((0, 1))
-    label, n = np.array([r["label"] for r in rows], int), np.array([r["n"] for r in rows], float)
-    model, held = trees.boost(x, label), trees.held_out(label)
-    return Detector(model, thresholds(model, x[held], label[held], n[held], config))
+    model, judged = trees.boost_rows(found, F.get("x", F.lit(0)))
+    return Detector(model, _cuts(model, judged, config))
 
 
 def _choose(scored: list[tuple[Candidate, float]], text: str) -> list[Candidate]:

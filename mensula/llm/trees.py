@@ -1,10 +1,26 @@
-"""Gradient-boosted trees for a bounded sample, with scores mapped to frequencies."""
+"""Gradient-boosted trees, with scores mapped to frequencies: over arrays, or over all rows of a DataFrame.
+
+Over a DataFrame, values become numbers of bins once. A level of a tree is one pass: each task sums gradients by node, feature and bin, and
+the driver picks the splits from these sums, whose size depends on neither rows nor keys. Sums are of integers, so they do not
+depend on how rows are dealt.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from mensula.sizing import settle
+
+ROWS_PER_TASK = 50_000
+UNIT = 1 << 24  # gradients are summed as integers of so many parts
+SCORE_BITS = 10
 
 
 @dataclass(frozen=True)
@@ -108,3 +124,120 @@ def boost(x: np.ndarray, label: np.ndarray, rounds: int = 30, depth: int = 3, ra
         total = total + trees[-1](xa)
     raw = Boosted(start, tuple(trees), np.array([0.0]), np.array([0.5]))
     return Boosted(start, tuple(trees), *isotonic(raw.logit(x[b]), label[b].astype(float)))
+
+
+# --- all rows of a DataFrame -----------------------------------------------------------------------
+
+
+def coarse(score: np.ndarray) -> np.ndarray:
+    """Scores on a grid: the next one below with ten bits behind the point, or ten significant bits above 1, so that there are some ten thousand.
+
+    A score reaches a value of the grid exactly when its place on the grid does.
+    """
+    step = np.exp2(np.maximum(np.frexp(score)[1], 0) - SCORE_BITS)
+    return np.floor(score / step) * step
+
+
+def is_held_out(x: str = "x") -> Column:
+    """Whether the trees do not see a row: half of all, by a hash of its values."""
+    return F.pmod(F.xxhash64(x, F.lit(13)), F.lit(2)) == 1
+
+
+def _numbers(batch: pa.RecordBatch, column: str, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(column).to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _sums(rows: DataFrame, width: int, size: int, start: float, trees: list[Tree], feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """Gradients and their slopes, in `UNIT`s, by node of the level, feature and bin."""
+    nodes = 1 << level
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((2, width, nodes * size), np.int64)
+        for batch in batches:
+            x, y = _numbers(batch, "bins", width), batch.column("label").to_numpy()
+            p = 1 / (1 + np.exp(-sum((t(x) for t in trees), np.full(len(x), start))))
+            node, at = np.zeros(len(x), np.int64), np.arange(len(x))
+            for _ in range(level):
+                node = 2 * node + 1 + (x[at, feature[node]] > cut[node])
+            place = (node - (nodes - 1)) * size
+            for i, values in enumerate((p - y, p * (1 - p))):
+                values = np.rint(values * UNIT)
+                for f in range(width):
+                    out[i, f] += np.bincount(place + x[:, f], values, nodes * size).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+
+    found = rows.mapInArrow(add, "sums binary").collect()
+    total = sum((np.frombuffer(r["sums"], np.int64) for r in found), np.zeros(2 * width * nodes * size, np.int64))
+    return total.reshape(2, width, nodes, size)
+
+
+def _grow_on(rows: DataFrame, counts: list[int], start: float, trees: list[Tree], depth: int, rate: float, l2: float) -> Tree:
+    """A tree over numbers of bins; feature `f` has `counts[f]` cuts, and a row is below the `k`-th if its bin is at most `k`."""
+    inner, width, size = (1 << depth) - 1, len(counts), max(counts) + 1
+    feature, cut, leaf = np.zeros(inner, np.int64), np.full(inner, np.inf), np.zeros(inner + 1)
+    allowed = np.arange(size) < np.array(counts)[:, None]
+    for level in range(depth):
+        below = np.cumsum(_sums(rows, width, size, start, trees, feature, cut, level) / UNIT, axis=3)
+        for i in range(1 << level):
+            place, (gl, hl) = (1 << level) - 1 + i, below[:, :, i]
+            g, h = gl[0, -1], hl[0, -1]
+            gain = np.where(allowed, gl**2 / (hl + l2) + (g - gl) ** 2 / (h - hl + l2) - g**2 / (h + l2), -np.inf)
+            f, k = np.unravel_index(int(gain.argmax()), gain.shape)
+            split = gain[f, k] > 1e-9
+            if split:
+                feature[place], cut[place] = f, k
+            if level == depth - 1:
+                left = (gl[f, k], hl[f, k]) if split else (g, h)
+                leaf[2 * i], leaf[2 * i + 1] = left[0] / (left[1] + l2), (g - left[0]) / (h - left[1] + l2)
+    return Tree(feature, cut, -rate * leaf)
+
+
+def boost_rows(
+    rows: DataFrame, group: Column, rounds: int = 30, depth: int = 3, rate: float = 0.3, l2: float = 1.0, bins: int = 16,
+) -> tuple[Boosted, pd.DataFrame]:
+    """Trees and calibration from all rows of `label` (0 or 1), `x` and `n`, and the scores of the held-out rows.
+
+    The trees see one half of the rows, the calibration the other; every row counts once in both. Without both labels, or without rows in
+    either half, every probability is the share of label 1. The scores are a row per `group` (a whole number) and `coarse` score: rows
+    of label 1 and 0 (`ones`, `zeros`), and their sums of `n` (`right`, `wrong`). `rows` is read more than once.
+    """
+    held = F.col("held")
+    told = rows.withColumn("held", is_held_out()).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones"), F.count_if(held).alias("judged"),
+        F.coalesce(F.sum(F.when(~held, F.col("label"))), F.lit(0)).alias("seen"), F.max(F.size("x")).alias("width")).first()
+    none = pd.DataFrame({c: np.empty(0) for c in ("group", "score", "ones", "zeros", "right", "wrong")})
+    if told["rows"] < 4 or told["ones"] in (0, told["rows"]) or told["judged"] in (0, told["rows"]):
+        return Boosted(0.0, (), np.array([0.0]), np.array([(told["ones"] + 0.5) / (told["rows"] + 1)])), none
+    width, shares = told["width"], np.linspace(0, 1, bins + 1)[:-1].tolist()
+    cuts = [np.unique(q) for q in rows.where(~is_held_out()).agg(*[F.percentile(F.get("x", F.lit(f)), shares) for f in range(width)]).first()]
+
+    def bin_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy().reshape(-1, width)
+            numbers = np.stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)], 1).astype(np.uint8)
+            columns = [batch.column(c) for c in ("label", "n", "group", "held")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([r.tobytes() for r in numbers], pa.binary())], names=["label", "n", "group", "held", "bins"])
+
+    dealt = rows.select("label", "n", group.cast("int").alias("group"), is_held_out().alias("held"), "x").repartition(-(-told["rows"] // ROWS_PER_TASK))
+    binned = settle(dealt.mapInArrow(bin_of, "label int, n long, group int, held boolean, bins binary"))
+    seen = binned.where(~held).select("label", "bins")
+    mean = (told["seen"] + 0.5) / (told["rows"] - told["judged"] + 1)
+    start, trees = float(np.log(mean / (1 - mean))), []
+    for _ in range(rounds):
+        trees.append(_grow_on(seen, [len(c) for c in cuts], start, trees, depth, rate, l2))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _numbers(batch, "bins", width)
+            s = coarse(sum((t(x) for t in trees), np.full(len(x), start)))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("label", "n", "group")] + [pa.array(s, pa.float64())], names=["label", "n", "group", "score"])
+
+    one = F.col("label") == 1
+    scored = binned.where(held).mapInArrow(score, "label int, n long, group int, score double").groupBy("group", "score").agg(
+        F.count_if(one).alias("ones"), F.count_if(~one).alias("zeros"),
+        F.sum(F.when(one, F.col("n")).otherwise(0)).alias("right"), F.sum(F.when(one, 0).otherwise(F.col("n"))).alias("wrong"))
+    judged = scored.toPandas().sort_values(["group", "score"], ignore_index=True)
+    whole = judged.groupby("score")[["ones", "zeros"]].sum()
+    count = whole["ones"].to_numpy() + whole["zeros"].to_numpy()
+    known = tuple(Tree(t.feature, np.array([np.inf if k == np.inf else cuts[f][int(k)] for f, k in zip(t.feature, t.cut)]), t.leaf) for t in trees)
+    return Boosted(start, known, *isotonic(whole.index.to_numpy(), whole["ones"].to_numpy() / count, count.astype(float))), judged

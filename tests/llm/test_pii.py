@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -187,6 +188,41 @@ def test_thresholds_per_kind():
     assert pii.thresholds(empty, x[:0], label[:0], n[:0], config) == (np.inf,) * 4
 
 
+def test_trees_and_thresholds_come_from_all_candidates(spark):
+    rng = random.Random(9)
+    number = lambda n: str(rng.randint(10 ** (n - 1), 10**n - 1))
+    texts = [f"{rng.choice(['call', 'tel', 'to', 'x'])} +{number(rng.randint(1, 3))}{rng.choice(' -.')}" + rng.choice(" -.").join(
+        number(rng.randint(1, 5)) for _ in range(rng.randint(2, 6))) + rng.choice(["", " now", "x"]) for _ in range(9_000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    detector = pii.learn(df)
+    seen = Counter((y, tuple(map(float, x))) for t in texts for y, x in pii._labelled(t))
+    assert max(Counter(y for y, _ in seen).values()) > 8_000
+    rows = spark.createDataFrame([(y, list(x), n) for (y, x), n in seen.items()], "label int, x array<double>, n long").withColumn("held", trees.is_held_out()).collect()
+    x, label, n, held = (np.array([r[c] for r in rows], float) for c in ("x", "label", "n", "held"))
+    a, b = np.flatnonzero(held == 0), np.flatnonzero(held == 1)
+    cuts = [np.unique(np.quantile(x[a, f], np.linspace(0, 1, 17)[:-1])) for f in range(x.shape[1])]
+    mean = (label[a].sum() + 0.5) / (len(a) + 1)
+    total = np.full(len(a), np.log(mean / (1 - mean)))
+    for tree in detector.model.trees:
+        p = 1 / (1 + np.exp(-total))
+        plain = trees._grow(x[a], p - label[a], p * (1 - p), 3, 0.3, 1.0, cuts)
+        assert np.allclose(tree(x[a]), plain(x[a]), atol=1e-4)
+        total += tree(x[a])
+    score = trees.coarse(detector.model.logit(x[b]))
+    sums = [[sum(w[(score == s) & (label[b] == y)]) for s in np.unique(score)] for w in (np.ones(len(b)), n[b]) for y in (1, 0)]
+    ones, zeros, right, wrong = map(np.array, sums)
+    knots, shares = trees.isotonic(np.unique(score), ones / (ones + zeros), ones + zeros)
+    assert len(detector.model.trees) == 30 and np.allclose(detector.model.knots, knots) and np.allclose(detector.model.shares, shares)
+
+
+def test_coarse_scores_decide_as_the_scores_do():
+    s = np.random.default_rng(4).normal(size=2_000) * np.repeat([0.1, 1, 30, 200], 500)
+    grid = trees.coarse(s)
+    assert (grid <= s).all() and (np.abs(s - grid) <= np.maximum(np.abs(s), 0.5) / 500).all()
+    for c in grid[::50]:
+        assert ((s >= c) == (grid >= c)).all()
+
+
 def test_spelt_addresses_of_any_length():
     local, host = "a" * 90, ".".join(["part"] * 12)
     text = f"write to {local} [at] {host} now"
