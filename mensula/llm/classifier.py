@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mensula.sizing import settle
 
-from .common import Known
+from .common import Known, in_small_batches
 
 BUCKET_OF_REPEATS = 0
 KNOWN_WORDS, LONGEST_KNOWN = 150_000, 24
@@ -186,7 +186,7 @@ def fit(rows: DataFrame, config: Config = Config()) -> Model:
 def scorer(df: DataFrame, model: Model, text: str = "text") -> Column:
     """Column with the probability of label 1 of each whole text; NULL and empty texts get that of the bias. Repeated rows get one
     score each, and only `text` is read."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = in_small_batches(df).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -18,6 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Whole texts go to Python workers in batches of about so many bytes; both sides hold some copies of a batch per core.
+TEXT_BATCH = "4m"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, whose session from now on sends at most about `TEXT_BATCH` at once to Python workers, if it has no setting of its own.
+
+    Spark's default is 64 MB a batch. It changes no result.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_BYTES, None) is None:
+        conf.set(_BATCH_BYTES, TEXT_BATCH)
+    return df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` evaluated once per row, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

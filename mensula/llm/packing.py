@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from mensula.sizing import scratch_path, settle
 
-from .common import Known
+from .common import Known, in_small_batches
 
 DIMENSIONS, PLACES = 3, 10  # places: bits per dimension
 BUCKETS = 1 << 12
@@ -173,7 +173,7 @@ def pack(df: DataFrame, definition: str, end_id: int, length: int = 2_048, key:
     exactly one piece. NULL and empty texts are `end_id` alone. Repeated rows and NULL keys are
     documents of their own; an empty table gives no piece. Other columns are not read.
     """
-    spark = df.sparkSession
+    spark = in_small_batches(df).sparkSession
     path = scratch_path(spark, "packing")
     kind = df.schema[key].dataType.simpleString()
     # Tokenized once and written: a range sort looks at its input twice.

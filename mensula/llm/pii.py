@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from mensula.sizing import settle
 
 from . import spans, trees
+from .common import in_small_batches
 from .spans import Span
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -299,7 +300,7 @@ def learn(df: DataFrame, config: Config = Config(), text: str = "text") -> Detec
                 pa.array([seen[r] for r in rows], pa.int64()),
             ], names=["label", "x", "n"])
 
-    found = settle(df.select(text).mapInArrow(find, "label int, x array<double>, n long").groupBy("label", "x").agg(F.sum("n").alias("n")))
+    found = settle(in_small_batches(df).select(text).mapInArrow(find, "label int, x array<double>, n long").groupBy("label", "x").agg(F.sum("n").alias("n")))
     model, judged = trees.boost_rows(found, F.get("x", F.lit(0)))
     return Detector(model, _cuts(model, judged, config))
 
@@ -357,7 +358,7 @@ def scan(df: DataFrame, detector: Detector, key: str = "doc_id", text: str = "te
 
     NULL and empty texts have no span. Repeated rows and NULL keys give a row each; other columns are not read.
     """
-    shared = df.sparkSession.sparkContext.broadcast(detector)
+    shared = in_small_batches(df).sparkSession.sparkContext.broadcast(detector)
     names = [*(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,7 +378,7 @@ def scan(df: DataFrame, detector: Detector, key: str = "doc_id", text: str = "te
 
 def redacted(df: DataFrame, detector: Detector, text: str = "text") -> Column:
     """Column with the text whose spans are replaced by their kind; NULL stays NULL."""
-    shared = df.sparkSession.sparkContext.broadcast(detector)
+    shared = in_small_batches(df).sparkSession.sparkContext.broadcast(detector)
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

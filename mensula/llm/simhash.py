@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from mensula.sizing import settle, small_side
 
-from .common import join_by
+from .common import in_small_batches, join_by
 from .components import components
 
 BITS = 64
@@ -72,7 +72,7 @@ def fingerprints(df: DataFrame, shingle: int, text: str = "text", name: str = "f
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return df.withColumn(name, of(F.col(text)))
+    return in_small_batches(df).withColumn(name, of(F.col(text)))
 
 
 # --- choice of partitions and thresholds -----------------------------------------------------

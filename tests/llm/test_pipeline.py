@@ -1,10 +1,11 @@
 import public_tokenizers
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from mensula.llm import classifier, pii, queries, spans
+from mensula.llm import classifier, pii, queries, simhash, spans
 from mensula.llm.common import table
 from mensula.llm.line_dedup import Config
 
@@ -77,3 +78,26 @@ def test_run_keeps_clean_documents(spark):
     assert good.join(kept, "doc_id").count() >= 0.97 * good.count()
     packed = corpus_pipeline.run(spark, sf)
     assert packed.agg(F.sum("length")).first()[0] > 0 and packed.select("doc_id").distinct().count() <= kept.count()
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def largest(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], names=["n"]) for b in batches)
+
+    df = spark.range(0, 1_500, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 4_000).alias("text"))
+    model = classifier.Model(4, np.zeros(16, np.float32), 0.0)
+    detector = pii.learn(df.limit(0))
+    for use in (
+        lambda: classifier.scorer(df, model), lambda: simhash.fingerprints(df, 4), lambda: pii.scan(df, detector),
+        lambda: pii.redacted(df, detector), lambda: pii.learn(df.limit(0)), lambda: queries.packed(df.limit(0)),
+    ):
+        spark.conf.unset(size)
+        use()
+        found = df.select("text").mapInArrow(largest, "n long").agg(F.max("n"), F.sum("n")).first()
+        assert found[0] < 5 << 20 and found[1] >= 30_000_000
+    spark.conf.set(size, "8m")
+    classifier.scorer(df, model)
+    assert spark.conf.get(size) == "8m"
+    spark.conf.unset(size)
