@@ -3,12 +3,13 @@
 Base formats are patterns with checks. Beyond them, generators of high recall propose spans that
 may overlap: addresses written with "at" and "dot", every run of neighbouring groups of digits with any separators
 that has as many digits as a kind allows, dotted numbers. Trees see the
-format of a span and its context; a threshold per kind, calibrated on held-out candidates weighted by how often they stand in the
-corpus, picks spans, and of overlapping ones those stay that together hold the most digits or letters, weighted by probability. Trees learn from the base formats themselves: what they accept
+format of a span and its context; a threshold per kind, calibrated on all candidates weighted by how often they stand in the
+corpus, each scored by trees that have not seen it, picks spans, and of overlapping ones those stay that together hold the most digits or letters, weighted by probability. Trees learn from the base formats themselves: what they accept
 is personal, what has their form and misses a check (Luhn, ranges, lengths, domains) is not, and other spellings, which no
 format judges, are left to the trees. Accepted telephones are learnt in their national spellings too.
 
-Training counts every candidate of the corpus that has a label, in Spark: trees and thresholds come from all of them. Scanning reads each
+Training counts every candidate of the corpus that has a label, in Spark: trees and thresholds come from all of them. There are trees of either
+half of the candidates, a span is scored by the mean of both, and thresholds come from the scores of each half by the trees of the other. Scanning reads each
 text once, within its row, without a shuffle, in time linear in the text.
 """
 
@@ -250,16 +251,19 @@ class Config:
 
 @dataclass(frozen=True)
 class Detector:
-    """`cuts`: the least score (logit) of a learnt span of each kind, in the order of `LEARNT`."""
+    """`model`: trees of one half of the candidates, calibrated on the other; `cuts`: the least score (logit) of a learnt span of each kind, in the
+    order of `LEARNT`; `whole`: the mean of `model` and of the trees of the other half, calibrated on all, which scores spans."""
 
     model: trees.Boosted
     cuts: tuple[float, ...]
+    whole: trees.Boosted
 
 
 def thresholds(model: trees.Boosted, x: np.ndarray, label: np.ndarray, n: np.ndarray, config: Config = Config()) -> tuple[float, ...]:
     """The smallest score of each kind at which the share of label 1 reaches the wanted precision; infinite if none does.
 
-    It is the share at that score, not of all rows above it: rows that are surely right do not pay for doubtful ones. The rows are held out from the trees and weigh as often as they stand in the corpus. A kind with too few rows of
+    It is the share at that score, not of all rows above it: rows that are surely right do not pay for doubtful ones. The trees have not seen the
+    rows, which weigh as often as they stand in the corpus; `learn` takes all candidates, each half scored by the trees of the other. A kind with too few rows of
     either label takes the score at which the calibration over all kinds reaches that precision.
     """
     score = model.logit(x) if model.trees else np.zeros(len(x))
@@ -288,8 +292,8 @@ def _cuts(model: trees.Boosted, judged: pd.DataFrame, config: Config) -> tuple[f
 
 
 def learn(df: DataFrame, config: Config = Config(), text: str = "text") -> Detector:
-    """Detector of the corpus, from all labelled candidates: equal feature rows are one row with their number. The trees learn from one half
-    of these rows, the thresholds from the other, as often as they stand in the corpus."""
+    """Detector of the corpus, from all labelled candidates: equal feature rows are one row with their number. Every row teaches the trees of
+    its half, and counts for the thresholds by its score from the trees of the other half, as often as it stands in the corpus."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,8 +305,8 @@ def learn(df: DataFrame, config: Config = Config(), text: str = "text") -> Detec
             ], names=["label", "x", "n"])
 
     found = settle(in_small_batches(df).select(text).mapInArrow(find, "label int, x array<double>, n long").groupBy("label", "x").agg(F.sum("n").alias("n")))
-    model, judged = trees.boost_rows(found, F.get("x", F.lit(0)))
-    return Detector(model, _cuts(model, judged, config))
+    model, whole, judged = trees.boost_rows(found, F.get("x", F.lit(0)))
+    return Detector(model, _cuts(whole, judged, config), whole)
 
 
 def _choose(scored: list[tuple[Candidate, float]], text: str) -> list[Candidate]:
@@ -347,9 +351,9 @@ def all_spans(text: str | None, detector: Detector) -> tuple[list[Span], list[Sp
     if not free:
         return base, base
     x = np.array([features(text, c) for c in free], float)
-    logit = detector.model.logit(x)
+    logit = detector.whole.logit(x)
     sure = np.flatnonzero(logit >= np.array(detector.cuts)[x[:, 0].astype(int)])
-    chosen = _choose([(free[i], p) for i, p in zip(sure.tolist(), detector.model.calibrated(logit[sure]).tolist())], text)
+    chosen = _choose([(free[i], p) for i, p in zip(sure.tolist(), detector.whole.calibrated(logit[sure]).tolist())], text)
     return base, spans.in_order([*base, *((c.kind, c.start, c.end) for c in chosen)], KINDS)
 
 

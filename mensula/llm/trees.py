@@ -139,7 +139,7 @@ def coarse(score: np.ndarray) -> np.ndarray:
 
 
 def is_held_out(x: str = "x") -> Column:
-    """Whether the trees do not see a row: half of all, by a hash of its values."""
+    """The half of a row, by a hash of its values: trees of the other half do not see it."""
     return F.pmod(F.xxhash64(x, F.lit(13)), F.lit(2)) == 1
 
 
@@ -147,57 +147,88 @@ def _numbers(batch: pa.RecordBatch, column: str, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column(column).to_pylist()), np.uint8).reshape(-1, width)
 
 
-def _sums(rows: DataFrame, width: int, size: int, start: float, trees: list[Tree], feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
-    """Gradients and their slopes, in `UNIT`s, by node of the level, feature and bin."""
-    nodes = 1 << level
+@dataclass
+class _Half:
+    """What is known of the trees of a half while they grow: cuts of each feature, and the nodes of the newest tree."""
+
+    cuts: list[np.ndarray]
+    start: float
+    trees: list[Tree]
+    feature: np.ndarray
+    cut: np.ndarray
+
+    def known(self) -> tuple[Tree, ...]:
+        """The trees over values instead of numbers of bins."""
+        return tuple(Tree(t.feature, np.array([np.inf if k == np.inf else self.cuts[f][int(k)] for f, k in zip(t.feature, t.cut)]), t.leaf) for t in self.trees)
+
+
+def _sums(rows: DataFrame, halves: list[_Half], size: int, level: int) -> np.ndarray:
+    """Gradients and their slopes, in `UNIT`s, by half, node of the level, feature and bin."""
+    nodes, width = 1 << level, len(halves[0].cuts)
+    known = [(h.start, h.trees, h.feature, h.cut) for h in halves]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((2, width, nodes * size), np.int64)
+        out = np.zeros((len(known), 2, width, nodes * size), np.int64)
         for batch in batches:
-            x, y = _numbers(batch, "bins", width), batch.column("label").to_numpy()
-            p = 1 / (1 + np.exp(-sum((t(x) for t in trees), np.full(len(x), start))))
-            node, at = np.zeros(len(x), np.int64), np.arange(len(x))
-            for _ in range(level):
-                node = 2 * node + 1 + (x[at, feature[node]] > cut[node])
-            place = (node - (nodes - 1)) * size
-            for i, values in enumerate((p - y, p * (1 - p))):
-                values = np.rint(values * UNIT)
-                for f in range(width):
-                    out[i, f] += np.bincount(place + x[:, f], values, nodes * size).astype(np.int64)
+            bins, labels, held = _numbers(batch, "bins", width), batch.column("label").to_numpy(), batch.column("held").to_numpy(zero_copy_only=False)
+            for side, (start, trees, feature, cut) in enumerate(known):
+                x, y = bins[held == side], labels[held == side]
+                p = 1 / (1 + np.exp(-sum((t(x) for t in trees), np.full(len(x), start))))
+                node, at = np.zeros(len(x), np.int64), np.arange(len(x))
+                for _ in range(level):
+                    node = 2 * node + 1 + (x[at, feature[node]] > cut[node])
+                place = (node - (nodes - 1)) * size
+                for i, values in enumerate((p - y, p * (1 - p))):
+                    values = np.rint(values * UNIT)
+                    for f in range(width):
+                        out[side, i, f] += np.bincount(place + x[:, f], values, nodes * size).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
 
     found = rows.mapInArrow(add, "sums binary").collect()
-    total = sum((np.frombuffer(r["sums"], np.int64) for r in found), np.zeros(2 * width * nodes * size, np.int64))
-    return total.reshape(2, width, nodes, size)
+    total = sum((np.frombuffer(r["sums"], np.int64) for r in found), np.zeros(len(known) * 2 * width * nodes * size, np.int64))
+    return total.reshape(len(known), 2, width, nodes, size)
 
 
-def _grow_on(rows: DataFrame, counts: list[int], start: float, trees: list[Tree], depth: int, rate: float, l2: float) -> Tree:
-    """A tree over numbers of bins; feature `f` has `counts[f]` cuts, and a row is below the `k`-th if its bin is at most `k`."""
-    inner, width, size = (1 << depth) - 1, len(counts), max(counts) + 1
-    feature, cut, leaf = np.zeros(inner, np.int64), np.full(inner, np.inf), np.zeros(inner + 1)
-    allowed = np.arange(size) < np.array(counts)[:, None]
+def _grow_on(rows: DataFrame, halves: list[_Half], depth: int, rate: float, l2: float) -> None:
+    """A tree more for each half, over numbers of bins; a row is below the `k`-th cut of a feature if its bin is at most `k`."""
+    inner, size = (1 << depth) - 1, 1 + max(len(c) for h in halves for c in h.cuts)
+    leaf = np.zeros((len(halves), inner + 1))
+    for h in halves:
+        h.feature, h.cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
     for level in range(depth):
-        below = np.cumsum(_sums(rows, width, size, start, trees, feature, cut, level) / UNIT, axis=3)
-        for i in range(1 << level):
-            place, (gl, hl) = (1 << level) - 1 + i, below[:, :, i]
-            g, h = gl[0, -1], hl[0, -1]
-            gain = np.where(allowed, gl**2 / (hl + l2) + (g - gl) ** 2 / (h - hl + l2) - g**2 / (h + l2), -np.inf)
-            f, k = np.unravel_index(int(gain.argmax()), gain.shape)
-            split = gain[f, k] > 1e-9
-            if split:
-                feature[place], cut[place] = f, k
-            if level == depth - 1:
-                left = (gl[f, k], hl[f, k]) if split else (g, h)
-                leaf[2 * i], leaf[2 * i + 1] = left[0] / (left[1] + l2), (g - left[0]) / (h - left[1] + l2)
-    return Tree(feature, cut, -rate * leaf)
+        sums = np.cumsum(_sums(rows, halves, size, level) / UNIT, axis=4)
+        for h, below, leaves in zip(halves, sums, leaf):
+            allowed = np.arange(size) < np.array([len(c) for c in h.cuts])[:, None]
+            for i in range(1 << level):
+                place, (gl, hl) = (1 << level) - 1 + i, below[:, :, i]
+                g, s = gl[0, -1], hl[0, -1]
+                gain = np.where(allowed, gl**2 / (hl + l2) + (g - gl) ** 2 / (s - hl + l2) - g**2 / (s + l2), -np.inf)
+                f, k = np.unravel_index(int(gain.argmax()), gain.shape)
+                split = gain[f, k] > 1e-9
+                if split:
+                    h.feature[place], h.cut[place] = f, k
+                if level == depth - 1:
+                    left = (gl[f, k], hl[f, k]) if split else (g, s)
+                    leaves[2 * i], leaves[2 * i + 1] = left[0] / (left[1] + l2), (g - left[0]) / (s - left[1] + l2)
+    for h, leaves in zip(halves, leaf):
+        h.trees.append(Tree(h.feature, h.cut, -rate * leaves))
+
+
+def _calibrated(start: float, trees: tuple[Tree, ...], judged: pd.DataFrame) -> Boosted:
+    """Trees with the calibration over rows counted by score."""
+    whole = judged.groupby("score")[["ones", "zeros"]].sum()
+    count = whole["ones"].to_numpy() + whole["zeros"].to_numpy()
+    return Boosted(start, trees, *isotonic(whole.index.to_numpy(), whole["ones"].to_numpy() / count, count.astype(float)))
 
 
 def boost_rows(
     rows: DataFrame, group: Column, rounds: int = 30, depth: int = 3, rate: float = 0.3, l2: float = 1.0, bins: int = 16,
-) -> tuple[Boosted, pd.DataFrame]:
-    """Trees and calibration from all rows of `label` (0 or 1), `x` and `n`, and the scores of the held-out rows.
+) -> tuple[Boosted, Boosted, pd.DataFrame]:
+    """Trees and calibration from all rows of `label` (0 or 1), `x` and `n`: of one half, of all, and the scores of all rows.
 
-    The trees see one half of the rows, the calibration the other; every row counts once in both. Without both labels, or without rows in
+    Each half of the rows has its trees, which grow in the same passes, and every row is scored by the trees of the half that it is not in; every
+    row counts once. The first model has the trees of the rows that `is_held_out` leaves, calibrated on the others. The second is the mean of
+    the trees of both halves, calibrated on the scores of all rows. Without both labels, or without rows in
     either half, every probability is the share of label 1. The scores are a row per `group` (a whole number) and `coarse` score: rows
     of label 1 and 0 (`ones`, `zeros`), and their sums of `n` (`right`, `wrong`). `rows` is read more than once.
     """
@@ -205,39 +236,51 @@ def boost_rows(
     told = rows.withColumn("held", is_held_out()).agg(
         F.count("*").alias("rows"), F.coalesce(F.sum("label"), F.lit(0)).alias("ones"), F.count_if(held).alias("judged"),
         F.coalesce(F.sum(F.when(~held, F.col("label"))), F.lit(0)).alias("seen"), F.max(F.size("x")).alias("width")).first()
-    none = pd.DataFrame({c: np.empty(0) for c in ("group", "score", "ones", "zeros", "right", "wrong")})
+    counts = ["ones", "zeros", "right", "wrong"]
     if told["rows"] < 4 or told["ones"] in (0, told["rows"]) or told["judged"] in (0, told["rows"]):
-        return Boosted(0.0, (), np.array([0.0]), np.array([(told["ones"] + 0.5) / (told["rows"] + 1)])), none
+        flat = Boosted(0.0, (), np.array([0.0]), np.array([(told["ones"] + 0.5) / (told["rows"] + 1)]))
+        return flat, flat, pd.DataFrame({c: np.empty(0) for c in ("group", "score", *counts)})
     width, shares = told["width"], np.linspace(0, 1, bins + 1)[:-1].tolist()
-    cuts = [np.unique(q) for q in rows.where(~is_held_out()).agg(*[F.percentile(F.get("x", F.lit(f)), shares) for f in range(width)]).first()]
+    quantiles = rows.groupBy(is_held_out().alias("held")).agg(*[F.percentile(F.get("x", F.lit(f)), shares) for f in range(width)]).collect()
+    halves = []
+    for _, *found in sorted(quantiles, key=lambda r: r["held"]):
+        ones, n = (told["seen"], told["rows"] - told["judged"]) if not halves else (told["ones"] - told["seen"], told["judged"])
+        mean = (ones + 0.5) / (n + 1)
+        halves.append(_Half([np.unique(q) for q in found], float(np.log(mean / (1 - mean))), [], np.empty(0), np.empty(0)))
+    cuts = [h.cuts for h in halves]
 
     def bin_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy().reshape(-1, width)
-            numbers = np.stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)], 1).astype(np.uint8)
+            numbers = [np.stack([np.searchsorted(c, x[:, f]) for f, c in enumerate(own)], 1).astype(np.uint8) for own in cuts]
             columns = [batch.column(c) for c in ("label", "n", "group", "held")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([r.tobytes() for r in numbers], pa.binary())], names=["label", "n", "group", "held", "bins"])
+            sides = np.where(batch.column("held").to_numpy(zero_copy_only=False)[:, None], numbers[::-1], numbers)
+            bins = [pa.array([r.tobytes() for r in side], pa.binary()) for side in sides]
+            yield pa.RecordBatch.from_arrays([*columns, *bins], names=["label", "n", "group", "held", "bins", "other"])
 
     dealt = rows.select("label", "n", group.cast("int").alias("group"), is_held_out().alias("held"), "x").repartition(-(-told["rows"] // ROWS_PER_TASK))
-    binned = settle(dealt.mapInArrow(bin_of, "label int, n long, group int, held boolean, bins binary"))
-    seen = binned.where(~held).select("label", "bins")
-    mean = (told["seen"] + 0.5) / (told["rows"] - told["judged"] + 1)
-    start, trees = float(np.log(mean / (1 - mean))), []
+    # `bins` by the cuts of the half of the row, `other` by those of the half whose trees score it.
+    binned = settle(dealt.mapInArrow(bin_of, "label int, n long, group int, held boolean, bins binary, other binary"))
+    seen = binned.select("label", "held", "bins")
     for _ in range(rounds):
-        trees.append(_grow_on(seen, [len(c) for c in cuts], start, trees, depth, rate, l2))
+        _grow_on(seen, halves, depth, rate, l2)
+    grown = [(h.start, h.trees) for h in halves]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _numbers(batch, "bins", width)
-            s = coarse(sum((t(x) for t in trees), np.full(len(x), start)))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("label", "n", "group")] + [pa.array(s, pa.float64())], names=["label", "n", "group", "score"])
+            x, side = _numbers(batch, "other", width), batch.column("held").to_numpy(zero_copy_only=False)
+            s = np.zeros(len(x))
+            for half, (start, trees) in enumerate(grown):
+                mine = side != half
+                s[mine] = coarse(sum((t(x[mine]) for t in trees), np.full(mine.sum(), start)))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("label", "n", "group", "held")] + [pa.array(s, pa.float64())], names=["label", "n", "group", "held", "score"])
 
     one = F.col("label") == 1
-    scored = binned.where(held).mapInArrow(score, "label int, n long, group int, score double").groupBy("group", "score").agg(
+    scored = binned.mapInArrow(score, "label int, n long, group int, held boolean, score double").groupBy("held", "group", "score").agg(
         F.count_if(one).alias("ones"), F.count_if(~one).alias("zeros"),
         F.sum(F.when(one, F.col("n")).otherwise(0)).alias("right"), F.sum(F.when(one, 0).otherwise(F.col("n"))).alias("wrong"))
-    judged = scored.toPandas().sort_values(["group", "score"], ignore_index=True)
-    whole = judged.groupby("score")[["ones", "zeros"]].sum()
-    count = whole["ones"].to_numpy() + whole["zeros"].to_numpy()
-    known = tuple(Tree(t.feature, np.array([np.inf if k == np.inf else cuts[f][int(k)] for f, k in zip(t.feature, t.cut)]), t.leaf) for t in trees)
-    return Boosted(start, known, *isotonic(whole.index.to_numpy(), whole["ones"].to_numpy() / count, count.astype(float))), judged
+    judged = scored.toPandas()
+    first = _calibrated(halves[0].start, halves[0].known(), judged[judged["held"]])
+    mean = tuple(Tree(t.feature, t.cut, t.leaf / 2) for h in halves for t in h.known())
+    judged = judged.groupby(["group", "score"], as_index=False)[counts].sum()
+    return first, _calibrated((halves[0].start + halves[1].start) / 2, mean, judged), judged

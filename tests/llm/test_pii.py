@@ -215,6 +215,52 @@ def test_trees_and_thresholds_come_from_all_candidates(spark):
     assert len(detector.model.trees) == 30 and np.allclose(detector.model.knots, knots) and np.allclose(detector.model.shares, shares)
 
 
+def test_thresholds_count_every_candidate_by_trees_that_have_not_seen_it(spark):
+    rng = random.Random(10)
+    number = lambda n: str(rng.randint(10 ** (n - 1), 10**n - 1))
+    texts = [f"{rng.choice(['call', 'tel', 'to', 'x'])} +{number(rng.randint(1, 3))}{rng.choice(' -.')}" + rng.choice(" -.").join(
+        number(rng.randint(1, 5)) for _ in range(rng.randint(2, 6))) + rng.choice(["", " now", "x"]) for _ in range(3_000)]
+
+    def told(texts):
+        seen = Counter((y, tuple(map(float, x))) for t in texts for y, x in pii._labelled(t))
+        rows = spark.createDataFrame([(y, list(x), n) for (y, x), n in seen.items()], "label int, x array<double>, n long").withColumn("held", trees.is_held_out()).collect()
+        return [np.array([r[c] for r in rows], float) for c in ("x", "label", "n", "held")]
+
+    def learnt(texts):
+        return pii.learn(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+
+    x, label, n, held = told(texts)
+    half = dict(zip(map(tuple, x), held))
+    detector = learnt(texts)
+    model, whole = detector.model, detector.whole
+    other = trees.Boosted(2 * whole.start - model.start, tuple(trees.Tree(t.feature, t.cut, 2 * t.leaf) for t in whole.trees[30:]), whole.knots, whole.shares)
+    assert np.allclose(whole.logit(x), (model.logit(x) + other.logit(x)) / 2)
+    b = np.flatnonzero(held == 1)
+    cuts = [np.unique(np.quantile(x[b, f], np.linspace(0, 1, 17)[:-1])) for f in range(x.shape[1])]
+    mean = (label[b].sum() + 0.5) / (len(b) + 1)
+    total = np.full(len(b), np.log(mean / (1 - mean)))
+    for tree in other.trees:
+        p = 1 / (1 + np.exp(-total))
+        assert np.allclose(tree(x[b]), trees._grow(x[b], p - label[b], p * (1 - p), 3, 0.3, 1.0, cuts)(x[b]), atol=1e-4)
+        total += tree(x[b])
+
+    def plain_cut(x, label, n, held):
+        at = x[:, 0] == 3
+        score = trees.coarse(np.where(held == 1, model.logit(x), other.logit(x)))[at]
+        places = np.unique(score)
+        right, count = (np.array([n[at][(score == s) & (label[at] >= y)].sum() for s in places]) for y in (1, 0))
+        knots, shares = trees.isotonic(places, right / count, count)
+        return knots[shares >= 0.9].min()
+
+    assert min(np.sum(label[x[:, 0] == 3] == y) for y in (0, 1)) >= 20
+    assert detector.cuts[3] == plain_cut(x, label, n, held)
+    # Candidates of the half that taught `model` move the threshold when they are common; trees see distinct rows alone.
+    common = [t for t in texts if all(half[tuple(map(float, v))] == 0 for _, v in pii._labelled(t))]
+    again = learnt(texts + common * 20)
+    assert np.allclose(again.model.logit(x), model.logit(x))
+    assert again.cuts[3] == plain_cut(*told(texts + common * 20)) and again.cuts[3] != detector.cuts[3]
+
+
 def test_coarse_scores_decide_as_the_scores_do():
     s = np.random.default_rng(4).normal(size=2_000) * np.repeat([0.1, 1, 30, 200], 500)
     grid = trees.coarse(s)
