@@ -6,8 +6,8 @@ bucket of its own. Vectors have unit length. Weights are learnt with FTRL-Proxim
 shards that start from the same weights and are averaged after each round. A score is one sparse
 dot product.
 
-What leaves the executors is bounded: a training sample of about `Config.sample` rows, chosen by
-hash over all labelled rows, and `2**bits` weights. Scoring reads each whole text once, in place,
+Every labelled row teaches: the number of shards grows with the rows, and equal rows are one row with
+their number. What leaves the executors is bounded: `2**bits` weights. Scoring reads each whole text once, in place,
 without a shuffle.
 """
 
@@ -34,11 +34,14 @@ KNOWN_WORDS, LONGEST_KNOWN = 150_000, 24
 
 @dataclass(frozen=True)
 class Config:
-    """`sample`: labelled rows to learn from, at most about so many; the bound of the training work."""
+    """`shards`: at least so many; `shard_rows`: rows of a shard, about, when there are more; `copies`: of a text, at most so many go to
+    one shard before the next takes more; `broadcast`: labelled rows whose keys are broadcast, at most (more are joined by a shuffle)."""
 
     bits: int = 18
-    sample: int = 16_384
     shards: int = 8
+    shard_rows: int = 4_096
+    copies: int = 256
+    broadcast: int = 1 << 20
     rounds: int = 2
     epochs: int = 2
     alpha: float = 0.3
@@ -123,23 +126,35 @@ class Ftrl:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, config: Config, key: str = "doc_id", label: str = "quality") -> DataFrame:
-    """`text` and `label` of a bounded sample of the labelled rows, spread by hash over all of them.
+    """`text` and `label` of all labelled rows.
 
     Only the key and the label leave `labels`; rows whose key or label is NULL teach nothing. A key that stands twice in `labels`, or
-    in `docs`, teaches twice. Other columns are not read, whatever their names. The
-    sample has about `config.sample` rows at most, which bounds the broadcast of its keys.
+    in `docs`, teaches twice. Other columns are not read, whatever their names.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(
         F.col(key).alias("_key"), F.col(label).cast("double").alias("label"))
-    rows = known.count()
-    if rows > config.sample:
-        part = F.pmod(F.xxhash64("_key", F.lit(config.seed)), F.lit(1_000_000_007))
-        known = known.where(part < int(config.sample / rows * 1_000_000_007))
-    return docs.select(F.col(key).alias("_key"), "text").join(F.broadcast(known), "_key").select("text", "label")
+    side = F.broadcast(known) if known.count() <= config.broadcast else known
+    return docs.select(F.col(key).alias("_key"), "text").join(side, "_key").select("text", "label")
+
+
+def dealt(rows: DataFrame, config: Config) -> DataFrame:
+    """`text`, `label`, `n` and `shard` of `text` and `label` rows: a partition holds whole shards, in the order in which they are learnt.
+
+    `n` equal rows are one row, of `copies` at most: a common text is spread over the shards from its own on.
+    """
+    rows = in_small_batches(rows).where("label is not null").select("text", "label")
+    shards = max(config.shards, -(-rows.count() // config.shard_rows))
+    place = F.pmod(F.xxhash64("text", F.lit(config.seed)), F.lit(shards))
+    counted = rows.groupBy("text", "label").agg(F.count("*").alias("all"))
+    spread = counted.select("text", "label", "all", F.explode(F.sequence(F.lit(0), F.expr(f"(all - 1) div {config.copies}"))).alias("part"))
+    return spread.select(
+        "text", "label", F.least(F.lit(config.copies), F.col("all") - F.col("part") * config.copies).alias("n"),
+        F.pmod(place + F.col("part"), F.lit(shards)).alias("shard"),
+    ).repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("text", F.lit(config.seed + 1)), "text", "label")
 
 
 def fit(rows: DataFrame, config: Config = Config()) -> Model:
-    """A model of `text` and `label` (0 or 1) rows, a bounded sample. Without rows every score is 0.5. Repeated rows count as often as
+    """A model of all `text` and `label` (0 or 1) rows. Without rows every score is 0.5. Repeated rows count as often as
     they stand; a NULL or empty text teaches the bias alone.
 
     Rows of a shard are taken in an order fixed by their text, so a recomputed shard learns the same. Shards that are dealt to one task
@@ -147,27 +162,26 @@ def fit(rows: DataFrame, config: Config = Config()) -> Model:
     """
     size = (1 << config.bits) + 1
     start = np.zeros(size)
-    shard = F.pmod(F.xxhash64("text", F.lit(config.seed)), F.lit(config.shards))
-    # The sample is written once; rounds then read it alone.
-    placed = (
-        settle(rows.where("label is not null").select("text", "label")).withColumn("shard", shard)
-        .repartition(config.shards, "shard").sortWithinPartitions("shard", F.xxhash64("text", F.lit(config.seed + 1)), "text", "label")
-    )
+    # The shards are written once; rounds then read them alone.
+    placed = settle(dealt(rows, config))
 
     for _ in range(config.rounds):
         given = rows.sparkSession.sparkContext.broadcast(start.astype(np.float32))
 
         def train(batches: Iterator[pd.DataFrame], given=given) -> Iterator[pd.DataFrame]:
-            examples = [
-                (*features(text, config.bits), label)
-                for batch in batches for text, label in zip(batch["text"], batch["label"])
-            ]
+            examples = []
+            for batch in batches:
+                for text, label, n in zip(batch["text"], batch["label"], batch["n"]):
+                    index, value = features(text, config.bits)
+                    examples.append((index.astype(np.int32), value, label, n))
             if not examples:
                 return
             learner = Ftrl(config, given.value.astype(float))
             for _ in range(config.epochs):
-                for index, value, label in examples:
-                    learner.learn(np.append(index, size - 1), np.append(value, 1.0), label)
+                for index, value, label, n in examples:
+                    index, value = np.append(index, size - 1), np.append(value, 1.0)
+                    for _ in range(n):
+                        learner.learn(index, value, label)
             touched = np.flatnonzero((learner.n > 0) | (learner.z != 0))
             w = learner.weights(touched)
             yield pd.DataFrame({"index": touched, "w": w, "learners": np.where(touched == size - 1, 1, 0)})

@@ -174,3 +174,19 @@ def test_a_label_that_stands_twice_teaches_twice_and_names_do_not_clash(spark):
     rows = classifier.training_rows(df, labels, classifier.Config())
     assert sorted(map(tuple, rows.collect())) == [("a b", 1.0), ("a b", 1.0), ("c d", 0.0)]
     assert df.withColumn("score", classifier.scorer(df, classifier.fit(rows))).columns[-1] == "score"
+
+
+def test_all_labelled_rows_teach_and_common_texts_are_spread(spark):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 15_000, "copy").otherwise(F.concat(F.lit("text "), "id")).alias("text"))
+    labels = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    c = classifier.Config(bits=4, shard_rows=1_000, copies=100, rounds=1, epochs=1)
+    for config in (c, classifier.Config(broadcast=10)):
+        rows = classifier.training_rows(docs, labels, config)
+        assert rows.count() == 40_000
+        assert rows.agg(F.sum("label"), F.countDistinct("text")).first()[:] == (20_000.0, 25_001)
+    placed = classifier.dealt(rows, c)
+    sizes = {r.shard: r.n for r in placed.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    assert set(sizes) == set(range(40)) and sum(sizes.values()) == 40_000 and max(sizes.values()) <= 1_300
+    assert {tuple(r) for r in placed.groupBy("text", "label").agg(F.sum("n").alias("n")).where("text = 'copy'").collect()} == {("copy", 0.0, 7_500), ("copy", 1.0, 7_500)}
+    assert placed.select("shard", F.spark_partition_id().alias("p")).distinct().count() == 40
+    assert classifier.fit(rows, c).bias != classifier.fit(rows.where("text != 'copy'"), c).bias
